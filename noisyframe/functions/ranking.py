@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 64
 
 
-def bucket_of(value: Column, bounds: Sequence) -> Column:
-    """Number of ``bounds`` (sorted) that are <= value, as a binary decision tree.
+def bucket_of(value: Column, bounds: Sequence, strict: bool = False) -> Column:
+    """Number of ``bounds`` (sorted) that are <= value (``strict``: < value), as a
+    binary decision tree.
 
     The tree is ``log2(len(bounds))`` comparisons deep and stays inside
     whole-stage codegen (no lambda functions).  NULL goes to the last bucket.
@@ -38,7 +39,8 @@ def bucket_of(value: Column, bounds: Sequence) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2  # is bounds[mid] <= value ?
-        return F.when(value >= F.lit(bounds[mid]), build(mid + 1, hi)).otherwise(build(lo, mid))
+        test = value > F.lit(bounds[mid]) if strict else value >= F.lit(bounds[mid])
+        return F.when(test, build(mid + 1, hi)).otherwise(build(lo, mid))
 
     if not bounds:
         return F.lit(0)
