@@ -243,3 +243,21 @@ def num_label_errors(cj: DataFrame, n_rows: Column | int) -> DataFrame:
     t = cj.withColumn("_t", F.sum("v").over(Window.partitionBy()).cast("double"))
     tr = F.sum(F.when(F.col("k_s") == F.col("k_y"), F.col("v") / F.col("_t")))
     return t.agg(F.floor((F.lit(1.0) - tr) * n).cast("bigint").alias("num_errors"))
+
+
+def fold_rate_psx_multi(df: DataFrame, cat: str, num_classes: int, labels: str = "labels",
+                        fold: str = "fold") -> DataFrame:
+    """L1b for label lists: p_k = (rows of the value in other folds whose list holds
+    k, plus 1) / (rows of the value in other folds, plus K)."""
+    K = num_classes
+    per_fold = df.groupBy(cat, fold).agg(
+        F.count(F.lit(1)).alias("_fn"),
+        *[F.count(F.when(F.array_contains(F.col(labels), k), 1)).alias(f"_f{k}") for k in range(K)])
+    w = Window.partitionBy(cat)
+    lookup = per_fold.select(
+        F.col(cat).alias("_lc"), F.col(fold).alias("_lf"),
+        (F.sum("_fn").over(w) - F.col("_fn")).alias("_nn"),
+        *[(F.sum(f"_f{k}").over(w) - F.col(f"_f{k}")).alias(f"_n{k}") for k in range(K)])
+    joined = df.join(lookup, df[cat].eqNullSafe(lookup["_lc"]) & (df[fold] == lookup["_lf"]), "left")
+    psx = F.array(*[((F.col(f"_n{k}") + 1) / (F.col("_nn") + K)).cast("double") for k in range(K)])
+    return joined.withColumn("psx", psx).drop("_lc", "_lf", "_nn", *[f"_n{k}" for k in range(K)])
