@@ -1 +1,145 @@
-"""Registered queries."""
+"""Queries of the sampling operators."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import functions as F
+
+from ..functions.keys import key_sql
+from ..operators import sampling as SM
+from ..sources.tables import noisy_lineitem, pu_orders, ssl_events
+from . import sqlparts as S
+from .catalog import register
+
+# Fixed parameters of the sampling queries (the reference's caps and seeds).
+CAP_ROWS = 30000
+BALANCE_ROWS = 20000
+BALANCE_SEED = 2019
+FRAC = 1.5
+
+
+def _smallest_sql(src: str, n_expr: str, seed: int, part: str | None = None) -> str:
+    over = f"PARTITION BY {part} " if part else ""
+    return f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({over}ORDER BY {key_sql('row_id', seed)}, row_id) AS _rn
+FROM ({src}) s0) s1 WHERE _rn <= {n_expr}"""
+
+
+@register("capped_sample", f"SELECT row_id FROM ({_smallest_sql(S.F2, str(CAP_ROWS), 0)}) c")
+def capped_sample(spark, sf_dir):
+    return SM.take_smallest(noisy_lineitem(spark, sf_dir), CAP_ROWS, 0).select("row_id")
+
+
+@register("frac_sample", f"""WITH e AS ({S.F3}),
+x AS ({_smallest_sql('SELECT * FROM e', f'(SELECT CAST(ROUND_EVEN(({FRAC} - FLOOR({FRAC})) * COUNT(*), 0) AS BIGINT) FROM e)', 1)})
+SELECT row_id, CAST(c AS INT) AS copy FROM e, range(1, {int(math.floor(FRAC))} + 1) t(c)
+UNION ALL SELECT row_id, {int(math.floor(FRAC)) + 1} FROM x""")
+def frac_sample(spark, sf_dir):
+    s = SM.frac_sample(ssl_events(spark, sf_dir), FRAC, 1)
+    return s.select("row_id", F.col("copy").cast("int").alias("copy"))
+
+
+def _plan_sql(src: str, cap: int) -> str:
+    return f"""WITH c AS (SELECT COUNT(CASE WHEN label = 1 THEN 1 END) AS p0,
+                  COUNT(CASE WHEN label <> 1 THEN 1 END) AS n0 FROM ({src}) a),
+u AS (SELECT *, GREATEST(LEAST(p0, n0), 1000) AS m FROM c),
+r AS (SELECT *, CASE WHEN m < 8000 THEN 10 - FLOOR(m / 1000) ELSE 3 END AS ur, p0 > n0 AS rev,
+             CAST(LEAST(p0, n0) AS DOUBLE) AS p, CAST(GREATEST(p0, n0) AS DOUBLE) AS n FROM u),
+k AS (SELECT *, LEAST(p * (ur + 1), {cap}) AS cap FROM r),
+pl AS (SELECT *, CASE WHEN p + n > cap THEN
+         CASE WHEN n / p <= 2 THEN p / (p + n) * cap
+              WHEN n / p <= ur THEN CASE WHEN p > cap / 3 THEN cap / 3 ELSE p END
+              ELSE CASE WHEN p > cap / (ur + 1) THEN cap / (ur + 1) ELSE p END END
+       ELSE p END AS pn FROM k),
+p2 AS (SELECT *, CASE WHEN p + n > cap THEN CASE WHEN n / p <= 2 THEN n / (p + n) * cap ELSE cap - pn END
+                 ELSE n END AS nn FROM pl),
+f AS (SELECT *, CASE WHEN nn / pn > ur THEN pn * ur ELSE nn END AS nn2 FROM p2)
+SELECT CAST(FLOOR(CASE WHEN rev THEN nn2 ELSE pn END) AS BIGINT) AS pos_num,
+       CAST(FLOOR(CASE WHEN rev THEN pn ELSE nn2 END) AS BIGINT) AS neg_num,
+       CAST(p0 AS BIGINT) AS npos, CAST(n0 AS BIGINT) AS nneg FROM f"""
+
+
+@register("balance_plan", _plan_sql(S.F2, BALANCE_ROWS))
+def balance_plan(spark, sf_dir):
+    npos, nneg = SM.class_counts_binary(noisy_lineitem(spark, sf_dir))
+    pos_num, neg_num = SM.balance_plan(npos, nneg, BALANCE_ROWS)
+    return spark.createDataFrame([(pos_num, neg_num, npos, nneg)],
+                                 "pos_num bigint, neg_num bigint, npos bigint, nneg bigint")
+
+
+@register("class_balanced", f"""WITH f AS (SELECT *, CASE WHEN label = 1 THEN 1 ELSE 0 END AS side FROM ({S.F2}) a),
+pl AS ({_plan_sql(S.F2, BALANCE_ROWS)}),
+sz AS (SELECT 1 AS side, ROUND_EVEN((pos_num / npos) * npos, 0) AS k FROM pl
+       UNION ALL SELECT 0, ROUND_EVEN((neg_num / nneg) * nneg, 0) FROM pl),
+r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY f.side ORDER BY {key_sql('row_id', BALANCE_SEED)}, row_id) AS rn
+      FROM f)
+SELECT row_id, label, 1 AS copy FROM r JOIN sz USING (side) WHERE rn <= k""")
+def class_balanced(spark, sf_dir):
+    s = SM.class_balanced(noisy_lineitem(spark, sf_dir), BALANCE_ROWS, BALANCE_SEED)
+    return s.select("row_id", "label", F.col("copy").cast("int").alias("copy"))
+
+
+@register("ssl_sample", f"""WITH e AS (SELECT row_id, CASE WHEN label = -1 THEN 0 ELSE label END AS label
+                     FROM ({S.F3}) a WHERE label <> 0),
+c AS (SELECT LEAST(COUNT(CASE WHEN label = 1 THEN 1 END), {SM.SSL_MAX_POSITIVES}) AS p,
+             COUNT(CASE WHEN label = 0 THEN 1 END) AS n FROM e),
+r AS (SELECT e.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', 0)}, row_id) AS rn FROM e)
+SELECT row_id, label FROM r CROSS JOIN c WHERE (label = 1 AND rn <= p) OR (label = 0 AND rn <= LEAST(n, p))""")
+def ssl_sample(spark, sf_dir):
+    return SM.ssl_sample(ssl_events(spark, sf_dir), 0).select("row_id", "label")
+
+
+@register("pu_sample", f"""WITH f AS (SELECT row_id, label FROM ({S.F1}) a),
+c AS (SELECT COUNT(CASE WHEN label = 1 THEN 1 END) AS p, COUNT(CASE WHEN label = 0 THEN 1 END) AS u FROM f),
+r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', 0)}, row_id) AS rn FROM f)
+SELECT row_id, label FROM r CROSS JOIN c
+WHERE label = 1 OR (label = 0 AND rn <= LEAST({SM.PU_UNLABELLED_FACTOR} * LEAST(p, u), u))""")
+def pu_sample(spark, sf_dir):
+    return SM.pu_sample(pu_orders(spark, sf_dir), 0).select("row_id", "label")
+
+
+@register("equal_sample", f"""WITH f AS (SELECT row_id, label, CASE WHEN label = 1 THEN 1 ELSE 0 END AS side
+                   FROM ({S.F2}) a),
+c AS (SELECT LEAST(COUNT(CASE WHEN side = 1 THEN 1 END), COUNT(CASE WHEN side = 0 THEN 1 END)) AS n FROM f),
+r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY side ORDER BY {key_sql('row_id', 0)}, row_id) AS rn FROM f)
+SELECT row_id, label FROM r CROSS JOIN c WHERE rn <= n""")
+def equal_sample(spark, sf_dir):
+    return SM.equal_sample(noisy_lineitem(spark, sf_dir), 0).select("row_id", "label")
+
+
+def _ssl_pu_sql(seed: int = 0) -> str:
+    return f"""WITH e AS (SELECT row_id, label FROM ({S.F3}) a),
+c AS (SELECT LEAST(COUNT(CASE WHEN label = -1 THEN 1 END), COUNT(CASE WHEN label = 1 THEN 1 END)) AS n,
+             COUNT(CASE WHEN label = 0 THEN 1 END) AS s0, COUNT(CASE WHEN label = -1 THEN 1 END) AS s1 FROM e),
+r AS (SELECT e.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', seed)}, row_id) AS pos
+      FROM e WHERE label IN (0, -1)),
+d AS (SELECT 0 AS cls, i AS draw, ({key_sql('i', seed + 1)}) % s0 + 1 AS dpos
+      FROM c, range(0, (SELECT n FROM c)) t(i) WHERE s0 > 0
+      UNION ALL
+      SELECT -1, i, ({key_sql('i', seed + 2)}) % s1 + 1 FROM c, range(0, (SELECT n FROM c)) t(i) WHERE s1 > 0)
+SELECT r.row_id, 0 AS label, d.draw FROM d JOIN r ON r.label = d.cls AND r.pos = d.dpos
+UNION ALL SELECT row_id, 1, CAST(NULL AS BIGINT) FROM e WHERE label = 1"""
+
+
+@register("ssl_pu_sample", _ssl_pu_sql(0))
+def ssl_pu_sample(spark, sf_dir):
+    s = SM.ssl_pu_sample(ssl_events(spark, sf_dir), 0)
+    return s.select("row_id", F.col("label").cast("int").alias("label"), "draw")
+
+
+@register("entity_sample", f"""WITH e AS ({S.F3}),
+ids AS (SELECT c_2, MIN(row_id) AS first FROM e WHERE c_2 IS NOT NULL GROUP BY c_2),
+k AS (SELECT CASE WHEN CEIL(COUNT(*) * {SM.ENTITY_PERCENT}) > {SM.ENTITY_MAX} THEN {SM.ENTITY_MAX}
+                  WHEN CEIL(COUNT(*) * {SM.ENTITY_PERCENT}) < {SM.ENTITY_MIN} THEN COUNT(*)
+                  ELSE CEIL(COUNT(*) * {SM.ENTITY_PERCENT}) END AS nids FROM ids),
+chosen AS (SELECT c_2 FROM (SELECT c_2, ROW_NUMBER() OVER (ORDER BY first) AS rn FROM ids) x, k WHERE rn <= nids)
+SELECT row_id, c_2, label FROM e WHERE c_2 IN (SELECT c_2 FROM chosen)""")
+def entity_sample(spark, sf_dir):
+    return SM.entity_sample(ssl_events(spark, sf_dir), "c_2").select("row_id", "c_2", "label")
+
+
+@register("holdout_split", f"""WITH f AS (SELECT row_id FROM ({S.F1}) a),
+t AS ({_smallest_sql('SELECT * FROM f', '(SELECT CAST(CEIL(0.2 * COUNT(*)) AS BIGINT) FROM f)', 0)})
+SELECT row_id, CASE WHEN row_id IN (SELECT row_id FROM t) THEN 'test' ELSE 'train' END AS split FROM f""")
+def holdout_split(spark, sf_dir):
+    return SM.holdout_split(pu_orders(spark, sf_dir).select("row_id"), 0.2, 0).select("row_id", "split")
