@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,6 +113,15 @@ def kth_smallest(df: DataFrame, value: str, ks: dict, group: str | None = None,
     gcol = F.col(group) if group else F.lit(None).cast("int")
     base = df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull())
+    # the refinement rounds re-read two narrow columns: keep them (spills to disk)
+    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _kth_rounds(base, ks, bins, max_rounds)
+    finally:
+        base.unpersist()
+
+
+def _kth_rounds(base: DataFrame, ks: dict, bins: int, max_rounds: int) -> dict:
     stats = {r["_g"]: (r["n"], r["lo"], r["hi"]) for r in base.groupBy("_g").agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
     reqs = []  # (group, k)
@@ -199,6 +209,14 @@ def exact_median(df: DataFrame, value: str, group: str | None, groups_n: dict) -
     return out
 
 
+def localize(df: DataFrame) -> DataFrame:
+    """Materialise a small result (K x K cells, per-class numbers) as a local
+    relation so later steps do not recompute it from the rows.  Only for
+    results whose size is bounded by a constant such as K^2."""
+    rows = df.collect()
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def buckets_for(spark, default: int = DEFAULT_BUCKETS) -> int:
     """Bucket count for split windows: scale with the shuffle width."""
     try:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import KEY_MODULUS, argmax_first, seeded_key
 from ..functions.ranking import (bucket_of, buckets_for, distributed_row_number, exact_median,
-                                 uniform_bounds)
+                                 localize, uniform_bounds)
 
 # Slack on the per-class threshold comparison.
 THRESHOLD_SLACK = 1e-6
@@ -145,8 +145,8 @@ def confusion_cells(df: DataFrame, row_col: str, col_col: str, num_classes: int)
     cells = (df.where(F.col(row_col).isNotNull() & F.col(col_col).isNotNull())
              .groupBy(F.col(row_col).cast("int").alias("k_s"), F.col(col_col).cast("int").alias("k_y"))
              .agg(F.count(F.lit(1)).alias("v")))
-    return (grid(spark, num_classes).join(F.broadcast(cells), ["k_s", "k_y"], "left")
-            .select("k_s", "k_y", F.coalesce(F.col("v"), F.lit(0)).cast("bigint").alias("v")))
+    return localize(grid(spark, num_classes).join(F.broadcast(cells), ["k_s", "k_y"], "left")
+                    .select("k_s", "k_y", F.coalesce(F.col("v"), F.lit(0)).cast("bigint").alias("v")))
 
 
 def confident_joint_raw(df: DataFrame, thresholds: list, label: str = "label",
@@ -216,8 +216,8 @@ def class_count_frame(df: DataFrame, num_classes: int, label: str = "label") ->
     counts = df.groupBy(F.col(label).cast("int").alias("k_s")).agg(
         F.count(F.lit(1)).alias("n"))
     ks = spark.createDataFrame([(k,) for k in range(num_classes)], "k_s int")
-    return ks.join(F.broadcast(counts), "k_s", "left").select(
-        "k_s", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+    return localize(ks.join(F.broadcast(counts), "k_s", "left").select(
+        "k_s", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
 def confident_joint(df: DataFrame, thresholds: list, label: str = "label",
@@ -226,7 +226,7 @@ def confident_joint(df: DataFrame, thresholds: list, label: str = "label",
     raw = confident_joint_raw(df, thresholds, label, psx)
     if not calibrate:
         return raw
-    return calibrate_joint(raw, class_count_frame(df, len(thresholds), label))
+    return localize(calibrate_joint(raw, class_count_frame(df, len(thresholds), label)))
 
 
 # ------------------------------------------------------------------ L5 / L6

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +34,21 @@ def take_smallest(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
     row_id fill the remainder.  Groups not in the dict keep no rows.
     """
     keyed = df.withColumn("_key", seeded_key(row_id, seed))
-    g = by
     ns = n if isinstance(n, dict) else {None: n}
-    if g is None and not isinstance(n, dict):
+    if by is None and not isinstance(n, dict):
         grp = keyed.withColumn("_grp", F.lit(None).cast("int"))
     else:
-        grp = keyed.withColumn("_grp", F.col(g))
+        grp = keyed.withColumn("_grp", F.col(by))
+    # the cut search reads three narrow columns several times: persist only those
+    narrow = grp.select(row_id, "_key", "_grp").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        keep = _smallest_filter(narrow, ns, row_id)
+        return grp.where(keep).drop("_key", "_grp")
+    finally:
+        narrow.unpersist()
+
+
+def _smallest_filter(grp: DataFrame, ns: dict, row_id: str):
     want = {k: int(v) for k, v in ns.items() if v is not None and v > 0}
     sizes = {r["_grp"]: r["count"] for r in grp.groupBy("_grp").count().collect()}
     full = {k for k, v in want.items() if v >= sizes.get(k, 0)}
@@ -54,13 +64,12 @@ def take_smallest(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
             cond = term if cond is None else cond | term
         below = {r["_grp"]: r["count"] for r in grp.where(cond).groupBy("_grp").count().collect()}
     at_cut = {k: partial[k] - below.get(k, 0) for k in partial}
-    ties = grp
     tie_cond = None
     for k, c in key_cut.items():
         ing = F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k)
         term = ing & (F.col("_key") == F.lit(c))
         tie_cond = term if tie_cond is None else tie_cond | term
-    rid_cut = kth_smallest(ties.where(tie_cond), row_id, at_cut, "_grp") if at_cut else {}
+    rid_cut = kth_smallest(grp.where(tie_cond), row_id, at_cut, "_grp") if at_cut else {}
     keep = F.lit(False)
     for k in full:
         keep = keep | (F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k))
@@ -68,7 +77,7 @@ def take_smallest(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
         ing = F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k)
         keep = keep | (ing & ((F.col("_key") < F.lit(c)) |
                               ((F.col("_key") == F.lit(c)) & (F.col(row_id) <= F.lit(rid_cut[k])))))
-    return grp.where(keep).drop("_key", "_grp")
+    return keep
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.2, seed: int = 0,
