@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import seeded_key
 from ..functions.ranking import (bucket_of, buckets_for, distributed_row_number,
                                  quantile_bounds)
+from ..session import cut_lineage
 from ..sources.tables import Roles
 
 # Fixed values of the reference's feature rules.
@@ -240,14 +241,19 @@ def cat_running_count(df: DataFrame, cats: list, time_col: str | None = "t_1",
     """0-based running count of the row's value in time order (ties by row_id).
 
     The window runs per (value, time bucket) with per-bucket offsets, so a hot
-    value is spread over many tasks (X3).  NULL value -> NULL.
+    value is spread over many tasks (X3).  Each column is computed on a narrow
+    projection and joined back on ``row_id``: only narrow rows shuffle and the
+    plan grows linearly with the number of columns.  NULL value -> NULL.
     """
     bucket, order = _time_bucket(df, time_col, row_id)
+    keep = [row_id] + ([time_col] if time_col else [])
     out = df
     for c in cats:
         name = feat_name("n_", "CatCumCnt", c)
-        out = distributed_row_number(out, [c], order, bucket, name="_rn")
-        out = out.withColumn(name, F.when(F.col(c).isNotNull(), F.col("_rn") - 1)).drop("_rn")
+        nar = df.select(*keep, c)
+        r = distributed_row_number(nar, [c], order, bucket, name="_rn")
+        r = r.select(row_id, F.when(F.col(c).isNotNull(), F.col("_rn") - 1).alias(name))
+        out = out.join(r, row_id, "left")
     return out
 
 
@@ -255,23 +261,23 @@ def cat_time_gap(df: DataFrame, cats: list, time_col: str = "t_1", row_id: str =
                  drop_time_col: bool = False) -> DataFrame:
     """Seconds since the previous row with the same value (time order, ties by
     row_id).  Per (value, time bucket) lag plus the latest time of the earlier
-    buckets of that value, so no value sits in one task.  NULL value -> NULL."""
+    buckets of that value, so no value sits in one task.  Narrow per-column
+    work joined back on ``row_id``.  NULL value -> NULL."""
     bucket, order = _time_bucket(df, time_col, row_id)
     micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-    out = df.withColumn("_tb", bucket).withColumn("_us", micros)
+    out = df
     for c in cats:
         name = feat_name("n_", "CatTimeDiff2LEVEL", f"{c}_{time_col}_diff:1")
-        last = out.groupBy(c, "_tb").agg(F.max("_us").alias("_mx"))
+        nar = df.select(row_id, time_col, c).withColumn("_tb", bucket).withColumn("_us", micros)
+        last = nar.groupBy(c, "_tb").agg(F.max("_us").alias("_mx"))
         prior = Window.partitionBy(c).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
         last = last.select(F.col(c).alias("_lc"), F.col("_tb").alias("_ltb"),
                            F.max("_mx").over(prior).alias("_prev_bucket"))
-        out = out.join(last, (out[c] == last["_lc"]) & (out["_tb"] == last["_ltb"]), "left").drop(
-            "_lc", "_ltb")
+        j = nar.join(last, (nar[c] == last["_lc"]) & (nar["_tb"] == last["_ltb"]), "left")
         w = Window.partitionBy(c, "_tb").orderBy(*order)
         prev = F.coalesce(F.lag("_us", 1).over(w), F.col("_prev_bucket"))
-        out = out.withColumn(name, F.when(F.col(c).isNotNull(),
-                                          (F.col("_us") - prev) / F.lit(1e6))).drop("_prev_bucket")
-    out = out.drop("_tb", "_us")
+        r = j.select(row_id, F.when(F.col(c).isNotNull(), (F.col("_us") - prev) / F.lit(1e6)).alias(name))
+        out = out.join(r, row_id, "left")
     return out.drop(time_col) if drop_time_col else out
 
 
@@ -357,7 +363,7 @@ class BlockEncoder:
     def fit(self, df: DataFrame, blocks: DataFrame) -> "BlockEncoder":
         self.blocks = {r["col"]: r["block"] for r in blocks.collect()}
         vals = block_values(df, blocks)
-        self.dictionary = _number_values(vals)
+        self.dictionary = cut_lineage(_number_values(vals))  # fitted state is materialised
         return self
 
     def extend(self, df: DataFrame) -> "BlockEncoder":
@@ -369,7 +375,7 @@ class BlockEncoder:
         size = self.dictionary.groupBy("block").agg(F.count(F.lit(1)).alias("_base"))
         appended = _number_values(new).join(F.broadcast(size), "block", "left").select(
             "block", "value", (F.col("code") + F.coalesce(F.col("_base"), F.lit(0))).alias("code"))
-        self.dictionary = self.dictionary.unionByName(appended)
+        self.dictionary = cut_lineage(self.dictionary.unionByName(appended))
         return self
 
     def transform(self, df: DataFrame, append: bool = True) -> DataFrame:

@@ -207,14 +207,15 @@ class FeatureEngine:
         return self.transform(df)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.encoder.transform(df)
+        # lineage is cut between stages: each stage re-reads its input several times
+        out = cut_lineage(self.encoder.transform(df))
         out = FE.cat_count(out, self.cats)
         has_time = self.time_col is not None and self.time_col in df.columns
-        out = FE.cat_running_count(out, self.cats, self.time_col if has_time else None)
+        out = cut_lineage(FE.cat_running_count(out, self.cats, self.time_col if has_time else None))
         if has_time:
             out = FE.date_parts(out, self.time_col, self.parts)
         out = FE.cat_pair_count(out, self.combine_cats)
-        out = FE.num_mean_by_cat(out, self.combine_cats, self.combine_nums)
+        out = cut_lineage(FE.num_mean_by_cat(out, self.combine_cats, self.combine_nums))
         if has_time:
             out = FE.cat_time_gap(out, self.combine_cats, self.time_col, drop_time_col=True)
         return out
@@ -242,8 +243,9 @@ class WeakLabelModel:
         if self.task not in TASKS:
             raise ValueError(f"unknown task {self.task!r}")
         self.engine = FeatureEngine(self.task)
-        feats = cut_lineage(self.engine.fit_transform(df))
+        feats = self.engine.fit_transform(df)
         self.features = LN.feature_columns(feats)
+        feats = cut_lineage(feats.na.fill(-1, subset=self.features))  # P1 rule for model input
         if self.task == "ssl":
             self.models = ssl_ensemble(feats, self.features, self.max_models, self.rounds, self.trials, self.seed)
         elif self.task == "pu":
@@ -254,7 +256,7 @@ class WeakLabelModel:
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
-        feats = self.engine.transform(df)
+        feats = self.engine.transform(df).na.fill(-1, subset=self.features)
         return predict(self.models, feats)
 
     def save(self, path: str) -> None:

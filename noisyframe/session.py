@@ -27,6 +27,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if not SparkSession.getActiveSession():
+        # local mode: the driver heap is the executor heap (only read at JVM start)
+        builder = builder.config("spark.driver.memory", os.environ.get("NOISYFRAME_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
