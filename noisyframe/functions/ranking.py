@@ -76,15 +76,41 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
 
 def distributed_row_number(df: DataFrame, partition_cols: Sequence[str],
                            order_cols: Sequence[Column], bucket: Column,
-                           name: str = "rn") -> DataFrame:
+                           name: str = "rn", bounded_groups: bool = False) -> DataFrame:
     """Exact ``row_number()`` over (partition_cols, order_cols), 1-based.
 
     ``bucket`` must be non-decreasing in the window order (e.g. ``bucket_of`` of
     the leading order column).  The result is identical to the plain window.
+
+    ``bounded_groups=True`` promises few groups (none, or the classes): the
+    per-(group, bucket) offsets — at most groups x buckets numbers — are then
+    collected once and applied as a literal map, so the rows are not joined.
+    Otherwise the offsets are a table joined back on (group, bucket).
     """
     pcols = list(partition_cols)
     b = df.withColumn("_bkt", bucket)
     counts = b.groupBy(*pcols, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*pcols, "_bkt").orderBy(*order_cols)
+    if bounded_groups:
+        rows = counts.collect()
+        run: dict = {}
+        pairs = []
+        for r in sorted(rows, key=lambda r: (tuple((x is None, x) for x in (r[c] for c in pcols)), r["_bkt"])):
+            g = tuple(r[c] for c in pcols)
+            off = run.get(g, 0)
+            pairs.append((g, r["_bkt"], off))
+            run[g] = off + r["_cnt"]
+        if not pairs:
+            return df.withColumn(name, F.row_number().over(w))
+        types = dict(b.dtypes)
+        kv = []
+        for g, bk, off in pairs:
+            fields = [F.lit(x).cast(types[c]).alias(f"g{i}") for i, (c, x) in enumerate(zip(pcols, g))]
+            kv += [F.struct(*fields, F.lit(bk).cast(types["_bkt"]).alias("b")), F.lit(off).cast("bigint")]
+        key = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(pcols)],
+                       F.col("_bkt").alias("b"))
+        offset = F.element_at(F.create_map(*kv), key)
+        return b.withColumn(name, F.row_number().over(w) + offset).drop("_bkt")
     prior = Window.partitionBy(*pcols).orderBy("_bkt").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.select(*pcols, "_bkt",
@@ -96,16 +122,25 @@ def distributed_row_number(df: DataFrame, partition_cols: Sequence[str],
     for c in pcols:
         cond = cond & b[c].eqNullSafe(offsets[f"_o_{c}"])
     joined = b.join(offsets, cond, "inner").drop("_obkt", *[f"_o_{c}" for c in pcols])
-    w = Window.partitionBy(*pcols, "_bkt").orderBy(*order_cols)
     return joined.withColumn(name, F.row_number().over(w) + F.col("_off")).drop("_bkt", "_off")
 
 
+def minmax_bounds(df: DataFrame, value: Column, buckets: int) -> list:
+    """Equal-width cut points between min and max: one cheap aggregation; fine
+    for key-like columns (ids, hashed keys) whose values spread evenly."""
+    r = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    if r is None or r["lo"] is None:
+        return []
+    return uniform_bounds(float(r["lo"]), float(r["hi"]), buckets)
+
+
 def kth_smallest(df: DataFrame, value: str, ks: dict, group: str | None = None,
                  bins: int = 1024, max_rounds: int = 64) -> dict:
     """Exact k-th smallest (1-based) non-null ``value`` per group.
 
     ``ks`` maps group value -> k, or group value -> list of k (use the key
-    ``None`` when ``group`` is None).  Answers mirror the shape of ``ks``.  A k
+    ``None`` when ``group`` is None); it may also be a function of the group
+    sizes returning that map.  Answers mirror the shape of ``ks``.  A k
     below 1 or above the group size is answered with ``None``.  Each round is
     one job: an aggregation over the rows still in range, returning at most
     ``bins`` buckets per open request to the driver, never the rows.
@@ -124,6 +159,8 @@ def kth_smallest(df: DataFrame, value: str, ks: dict, group: str | None = None,
 def _kth_rounds(base: DataFrame, ks: dict, bins: int, max_rounds: int) -> dict:
     stats = {r["_g"]: (r["n"], r["lo"], r["hi"]) for r in base.groupBy("_g").agg(
         F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
+    if callable(ks):  # ranks chosen from the group sizes counted here (saves a job)
+        ks = ks({g: v[0] for g, v in stats.items()})
     reqs = []  # (group, k)
     for g, k in ks.items():
         for kk in (k if isinstance(k, (list, tuple)) else [k]):
@@ -192,19 +229,25 @@ def _kth_rounds(base: DataFrame, ks: dict, bins: int, max_rounds: int) -> dict:
     return out
 
 
-def exact_median(df: DataFrame, value: str, group: str | None, groups_n: dict) -> dict:
+def exact_median(df: DataFrame, value: str, group: str | None, groups: list) -> dict:
     """Exact median per group (mean of the two middle values for even sizes)."""
-    ks = {}
-    for g, n in groups_n.items():
-        if n <= 0:
-            ks[g] = [None, None]
-        elif n % 2:
-            ks[g] = [(n + 1) // 2, (n + 1) // 2]
-        else:
-            ks[g] = [n // 2, n // 2 + 1]
-    vals = kth_smallest(df, value, ks, group)
+
+    def ranks(sizes):
+        out = {}
+        for g in groups:
+            n = sizes.get(g, 0)
+            if n <= 0:
+                out[g] = [None, None]
+            elif n % 2:
+                out[g] = [(n + 1) // 2, (n + 1) // 2]
+            else:
+                out[g] = [n // 2, n // 2 + 1]
+        return out
+
+    vals = kth_smallest(df, value, ranks, group)
     out = {}
-    for g, (a, b) in vals.items():
+    for g in groups:
+        a, b = vals.get(g, [None, None])
         out[g] = None if a is None or b is None else (a + b) / 2.0
     return out
 

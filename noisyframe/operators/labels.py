@@ -34,7 +34,8 @@ def stratified_folds(df: DataFrame, k: int = 5, seed: int = 0, label: str = "lab
     keyed = df.withColumn("_key", key)
     ranked = distributed_row_number(
         keyed, [label], [F.col("_key"), F.col(row_id)],
-        bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)), name="_rank")
+        bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)), name="_rank",
+        bounded_groups=True)
     return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop(
         "_rank", "_key")
 
@@ -94,8 +95,7 @@ def per_class_thresholds(df: DataFrame, num_classes: int = 2, label: str = "labe
     """
     own = df.select(F.col(label).alias("_s"),
                     F.element_at(F.col(psx), F.col(label).cast("int") + 1).alias("_p"))
-    sizes = class_sizes(own.where(F.col("_p").isNotNull()), "_s", num_classes)
-    med = exact_median(own, "_p", "_s", sizes)
+    med = exact_median(own, "_p", "_s", list(range(num_classes)))
     return [med.get(k) for k in range(num_classes)]
 
 
@@ -222,11 +222,29 @@ def class_count_frame(df: DataFrame, num_classes: int, label: str = "label") ->
 
 def confident_joint(df: DataFrame, thresholds: list, label: str = "label",
                     psx: str = "psx", calibrate: bool = True) -> DataFrame:
-    """L2 + L4: the confident joint, calibrated by default (K x K long table)."""
-    raw = confident_joint_raw(df, thresholds, label, psx)
+    """L2 + L4: the confident joint, calibrated by default (K x K long table).
+
+    One aggregation over the rows gives both the (s, y_conf) cells and the
+    class counts (rows without a confident class included)."""
+    K = len(thresholds)
+    spark = df.sparkSession
+    rows = (with_confident_class(df, thresholds, psx)
+            .groupBy(F.col(label).cast("int").alias("k_s"), F.col("y_conf").alias("k_y"))
+            .agg(F.count(F.lit(1)).alias("v")).collect())
+    cells = {(a, b): 0 for a in range(K) for b in range(K)}
+    counts = {a: 0 for a in range(K)}
+    for r in rows:
+        if r["k_s"] is None or not 0 <= r["k_s"] < K:
+            continue
+        counts[r["k_s"]] += r["v"]
+        if r["k_y"] is not None:
+            cells[(r["k_s"], r["k_y"])] += r["v"]
+    raw = spark.createDataFrame([(a, b, int(v)) for (a, b), v in sorted(cells.items())],
+                                "k_s int, k_y int, v bigint")
     if not calibrate:
         return raw
-    return localize(calibrate_joint(raw, class_count_frame(df, len(thresholds), label)))
+    cc = spark.createDataFrame([(a, int(n)) for a, n in sorted(counts.items())], "k_s int, n bigint")
+    return localize(calibrate_joint(raw, cc))
 
 
 # ------------------------------------------------------------------ L5 / L6

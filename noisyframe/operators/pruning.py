@@ -116,6 +116,56 @@ def prune_by_count_window(df: DataFrame, by_count: dict, K: int, label: str = "l
     return mask
 
 
+def exact_cut_masks(df: DataFrame, by_class: dict, by_count: dict, K: int, label: str = "label",
+                    psx: str = "psx") -> tuple[Column, Column]:
+    """W3 and W4 masks from ONE exact selection over the union of the values
+    both methods rank: own probability per class (group k) and the negated
+    margin per (class k, other j) (group K + k*K + j)."""
+    parts = []
+    for k in range(K):
+        if by_class.get(k, 0) > 0:
+            parts.append(df.where(F.col(label) == k).select(
+                F.lit(k).alias("_g"), _p(psx, k).alias("_v")))
+    for (k, j), n in by_count.items():
+        if n > 0:
+            parts.append(df.where(F.col(label) == k).select(
+                F.lit(K + k * K + j).alias("_g"), (_p(psx, k) - _p(psx, j)).alias("_v")))
+    if not parts:
+        return F.lit(False), F.lit(False)
+    allv = parts[0]
+    for p in parts[1:]:
+        allv = allv.unionByName(p)
+
+    def ranks(sizes):
+        want = {}
+        for k in range(K):
+            m = by_class.get(k, 0)
+            if m > 0:
+                want[k] = m + 1          # (m+1)-th smallest own probability
+        for (k, j), n in by_count.items():
+            if n > 0:
+                want[K + k * K + j] = n  # n-th smallest of -margin = n-th largest margin
+        return want
+
+    cuts = kth_smallest(allv, "_v", ranks, "_g")
+    m_class = F.lit(False)
+    for k in range(K):
+        if by_class.get(k, 0) <= 0:
+            continue
+        cut = cuts.get(k)
+        in_k = F.col(label) == k
+        m_class = m_class | (in_k if cut is None else in_k & (_p(psx, k) < F.lit(cut)))
+    m_count = F.lit(False)
+    for (k, j), n in by_count.items():
+        if n <= 0:
+            continue
+        cut = cuts.get(K + k * K + j)
+        in_k = F.col(label) == k
+        # n beyond the class size marks the whole class (numpy would raise)
+        m_count = m_count | (in_k if cut is None else in_k & ((_p(psx, k) - _p(psx, j)) <= F.lit(cut)))
+    return m_class, m_count
+
+
 def find_label_errors(df: DataFrame, cj: DataFrame | None = None, thresholds: list | None = None,
                       num_classes: int = 2, method: str = "both", budget: str = "reference",
                       label: str = "label", psx: str = "psx", form: str = "cut",
@@ -132,22 +182,20 @@ def find_label_errors(df: DataFrame, cj: DataFrame | None = None, thresholds: li
             thresholds = L.per_class_thresholds(df, K, label, psx)
         cj = L.confident_joint(df, thresholds, label, psx)
     cells = _cells(cj)
-    sizes = L.class_sizes(df, label, K)
+    sizes = L.class_sizes(df, label, K) if budget == "own" else {}
     by_class, by_count = budgets(cells, sizes, K, budget)
+    if method == "prune_by_class":
+        by_count = {}
+    elif method == "prune_by_noise_rate":
+        by_class = {}
+    elif method != "both":
+        raise ValueError(f"unknown method {method!r}")
     if form == "window":
         m_class = prune_by_class_window(df, by_class, label, psx)
         m_count = prune_by_count_window(df, by_count, K, label, psx)
     else:
-        m_class = prune_by_class_mask(df, by_class, K, label, psx)
-        m_count = prune_by_count_mask(df, by_count, K, label, psx)
-    if method == "prune_by_class":
-        mask = m_class
-    elif method == "prune_by_noise_rate":
-        mask = m_count
-    elif method == "both":
-        mask = m_class & m_count
-    else:
-        raise ValueError(f"unknown method {method!r}")
+        m_class, m_count = exact_cut_masks(df, by_class, by_count, K, label, psx)
+    mask = {"prune_by_class": m_class, "prune_by_noise_rate": m_count}.get(method, m_class & m_count)
     mask = mask & (argmax_first(F.col(psx)) != F.col(label))
     return df.withColumn(name, mask)
 

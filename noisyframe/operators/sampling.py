@@ -212,7 +212,7 @@ def ssl_pu_sample(df: DataFrame, seed: int = 0, label: str = "label",
     nb = buckets_for(spark)
     ranked = distributed_row_number(pools, [label], [F.col("_key"), F.col(row_id)],
                                     bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)),
-                                    "_pos")
+                                    "_pos", bounded_groups=True)
     draws = None
     for c in (0, -1):
         size = cnt.get(c, 0)
@@ -287,7 +287,7 @@ def inject_label_noise(df: DataFrame, noise_matrix: list, seed: int = 0, y: str
     nb = buckets_for(spark)
     ranked = distributed_row_number(keyed, [y], [F.col("_key"), F.col(row_id)],
                                     bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)),
-                                    "_pos")
+                                    "_pos", bounded_groups=True)
     s = F.col(y)
     for k, spans in ranges.items():
         for lo, hi, tgt in spans:

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ranking import bucket_of, distributed_row_number, quantile_bounds, buckets_for
+from ..functions.ranking import bucket_of, buckets_for, distributed_row_number, minmax_bounds
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -97,10 +97,10 @@ def lineitem_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     single task numbers the whole table.
     """
     li = table(spark, sf_dir, "lineitem")
-    bounds = quantile_bounds(li, F.col("l_orderkey"), buckets_for(spark))
+    bounds = minmax_bounds(li, F.col("l_orderkey"), buckets_for(spark))
     return distributed_row_number(
         li, [], [F.col(c).asc_nulls_last() for c in LINEITEM_ORDER],
-        bucket_of(F.col("l_orderkey"), bounds), name="row_id")
+        bucket_of(F.col("l_orderkey"), bounds), name="row_id", bounded_groups=True)
 
 
 def noisy_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
