@@ -394,8 +394,10 @@ def _number_values(vals: DataFrame) -> DataFrame:
     """code = rank of the value within its block (0-based, sorted), computed over
     value-range buckets so a large block is numbered by many tasks."""
     bounds = _string_bounds(vals, "value", buckets_for(vals.sparkSession))
+    # groups are the blocks: at most one per category column, so bounded
     ranked = distributed_row_number(vals, ["block"], [F.col("value")],
-                                    bucket_of(F.col("value"), bounds), name="_rn")
+                                    bucket_of(F.col("value"), bounds), name="_rn",
+                                    bounded_groups=True)
     return ranked.select("block", "value", (F.col("_rn") - 1).cast("bigint").alias("code"))
 
 
@@ -421,7 +423,8 @@ def _exact_order_stats(df: DataFrame, col: str, ranks: list) -> dict:
     distributed row number over value buckets, then a filter on the ranks."""
     x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     bounds = quantile_bounds(x, F.col("_x"), buckets_for(df.sparkSession))
-    ranked = distributed_row_number(x, [], [F.col("_x")], bucket_of(F.col("_x"), bounds), "_r")
+    ranked = distributed_row_number(x, [], [F.col("_x")], bucket_of(F.col("_x"), bounds), "_r",
+                                    bounded_groups=True)
     want = sorted(set(int(r) for r in ranks))
     rows = ranked.where(F.col("_r").isin(want)).select("_r", "_x").collect()
     return {r["_r"]: r["_x"] for r in rows}

@@ -236,7 +236,8 @@ def order_label_errors(df: DataFrame, method: str = "normalized_margin", label:
     errs = df.where(F.col(mask)).select(row_id, label, score.alias("score"))
     bounds = quantile_bounds(errs, F.col("score"), 32)
     return distributed_row_number(errs, [], [F.col("score"), F.col(row_id)],
-                                  bucket_of(F.col("score"), bounds), name="pos")
+                                  bucket_of(F.col("score"), bounds), name="pos",
+                                  bounded_groups=True)
 
 
 def baseline_argmax(df: DataFrame, label: str = "label", psx: str = "psx") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import key_sql, r6
@@ -233,24 +234,22 @@ SELECT ABS((SELECT SUM(joint) FROM j) - 1) < 1e-6 AND BOOL_AND(ok) AS valid FROM
 def matrix_valid(spark, sf_dir):
     f = noisy_lineitem(spark, sf_dir).select("y_true")
     py = f.groupBy(F.col("y_true").cast("int").alias("k")).agg(F.count(F.lit(1)).alias("c"))
-    py = py.select("k", (F.col("c") / F.sum("c").over(__import__("pyspark.sql").sql.Window.partitionBy())).alias("py"))
+    py = py.select("k", (F.col("c") / F.sum("c").over(Window.partitionBy())).alias("py"))
     return valid_frame(spark, py)
 
 
 def valid_frame(spark, py_df):
-    from pyspark.sql import Window
+    """L22 over the K x K cells: joint sums to 1 and ps_k * py_k < joint_kk for all k
+    (one windowed aggregation over at most K^2 rows)."""
     nm = spark.createDataFrame([(a, b, float(NOISE_MATRIX[a][b])) for a in range(2) for b in range(2)],
                                "k_s int, k_y int, v double")
     j = nm.join(F.broadcast(py_df.withColumnRenamed("k", "k_y")), "k_y").select(
-        "k_s", "k_y", (F.col("v") * F.col("py")).alias("joint"))
-    ps = j.groupBy(F.col("k_s").alias("k")).agg(F.sum("joint").alias("ps"))
-    diag = (j.where(F.col("k_s") == F.col("k_y"))
-            .join(ps.withColumnRenamed("k", "k_s"), "k_s")
-            .join(py_df.withColumnRenamed("k", "k_s"), "k_s")
-            .select((F.col("ps") * F.col("py") < F.col("joint")).alias("ok")))
-    total = j.agg(F.sum("joint").alias("t"))
-    return diag.agg(F.bool_and("ok").alias("ok")).crossJoin(total).select(
-        ((F.abs(F.col("t") - 1) < 1e-6) & F.col("ok")).alias("valid"))
+        "k_s", "k_y", "py", (F.col("v") * F.col("py")).alias("joint"))
+    j = (j.withColumn("ps", F.sum("joint").over(Window.partitionBy("k_s")))
+         .withColumn("total", F.sum("joint").over(Window.partitionBy())))
+    diag = F.col("k_s") == F.col("k_y")
+    return j.agg(((F.abs(F.max("total") - 1) < 1e-6) &
+                  F.bool_and(F.when(diag, F.col("ps") * F.col("py") < F.col("joint")))).alias("valid"))
 
 
 # ------------------------------------------------------------------ rows-only
