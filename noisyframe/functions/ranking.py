@@ -100,8 +100,8 @@ def distributed_row_number(df: DataFrame, partition_cols: Sequence[str],
             off = run.get(g, 0)
             pairs.append((g, r["_bkt"], off))
             run[g] = off + r["_cnt"]
-        if not pairs:
-            return df.withColumn(name, F.row_number().over(w))
+        if not pairs:  # empty input
+            return b.withColumn(name, F.row_number().over(w).cast("bigint")).drop("_bkt")
         types = dict(b.dtypes)
         kv = []
         for g, bk, off in pairs:
