@@ -25,6 +25,11 @@ ENTITY_MIN = 10
 ENTITY_MAX = 10000
 MIN_NEG_POS_RATIO = 2
 
+# Samples up to this many rows per group use Spark's top-k operator
+# (orderBy + limit: each task keeps at most n rows, the merge holds n rows);
+# larger samples use the exact cut search, which never gathers the rows.
+TOPK_MAX_ROWS = 200000
+
 
 def take_smallest(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
                   by: str | None = None) -> DataFrame:
@@ -35,6 +40,20 @@ def take_smallest(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
     """
     keyed = df.withColumn("_key", seeded_key(row_id, seed))
     ns = n if isinstance(n, dict) else {None: n}
+    if ns and all(v is not None and v <= TOPK_MAX_ROWS for v in ns.values()):
+        parts = []
+        for g, v in ns.items():
+            if v <= 0:
+                continue
+            sel = keyed if (by is None and not isinstance(n, dict)) else keyed.where(
+                F.col(by).isNull() if g is None else F.col(by) == F.lit(g))
+            parts.append(sel.orderBy("_key", row_id).limit(int(v)))
+        if not parts:
+            return df.limit(0)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out.drop("_key")
     if by is None and not isinstance(n, dict):
         grp = keyed.withColumn("_grp", F.lit(None).cast("int"))
     else:
