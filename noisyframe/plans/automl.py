@@ -179,12 +179,17 @@ def predict(models: list, df: DataFrame) -> DataFrame:
 
 @dataclass
 class FeatureEngine:
-    """Blocks + shared dictionaries -> (noisy: label cleaning) -> counts ->
-    running counts -> date parts -> pair counts -> means -> time gaps.
-
-    ``refit=True`` (reference semantics) recomputes counts, running counts,
-    pair counts, means and gaps on the rows being transformed; only the
-    dictionaries and the date-part list carry over from fit.
+    """Blocks + shared dictionaries -> (noisy: one early-stopping cleaning
+    pass, L19) -> counts -> running counts -> date parts -> selection 1 -> pair
+    counts -> means -> time gaps -> selection 2.
+
+    Selection (T2/M1) ranks features by GBT importance on a class-balanced
+    sample; the kept category and number columns, in importance order, become
+    ``combine_cats`` / ``combine_nums``.  Unused features are dropped after
+    selection 1 for ssl/pu (and noisy with noise rates summing above 0.9), after
+    selection 2 for ssl/pu only.  ``refit=True`` semantics: counts, running
+    counts, pair counts, means and gaps are recomputed on the rows transformed;
+    dictionaries, date parts, selected and dropped columns carry over.
     """
 
     task: str = "noisy"
@@ -194,32 +199,73 @@ class FeatureEngine:
     encoder: FE.BlockEncoder | None = None
     parts: list = field(default_factory=list)
     cats: list = field(default_factory=list)
+    select: bool = True
+    clean: bool = True
+    rounds: int = 10
+    seed: int = 0
+    drop1: list = field(default_factory=list)
+    drop2: list = field(default_factory=list)
+    noise_sum: float = 0.0
+
+    def _ranked(self, df: DataFrame, top: int) -> list:
+        feats = LN.feature_columns(df)
+        train = df.select("row_id", "label", *[F.col(f"`{c}`") for c in feats]).na.fill(-1)
+        imp = LN.feature_gain(train, feats, self.rounds, min_share=0.0, top=top, seed=self.seed)
+        return [(r["feature"], r["gain"]) for r in imp.collect()]  # at most `top` names
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         roles = Roles.infer(df)
         self.cats = list(roles.cat)
         blocks = FE.cat_blocks(df, self.cats)
         self.encoder = FE.BlockEncoder().fit(df, blocks)
-        if self.time_col and self.time_col in df.columns:
+        has_time = self.time_col is not None and self.time_col in df.columns
+        if has_time:
             self.parts = FE.date_parts_fit(df, self.time_col)
-        self.combine_cats = self.combine_cats or self.cats[:3]
-        self.combine_nums = self.combine_nums or list(roles.num)[:3]
-        return self.transform(df)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        # lineage is cut between stages: each stage re-reads its input several times
-        out = cut_lineage(self.encoder.transform(df))
+        base = cut_lineage(self.encoder.transform(df, append=False))
+        if self.task == "noisy" and self.clean:
+            raw = [c for c in LN.feature_columns(base) if c in roles.raw]
+            res = LN.clean_labels(base.na.fill(-1, subset=raw), raw, rounds=0, early_stop=True,
+                                  seed=self.seed, max_iter=self.rounds)
+            self.noise_sum = res.rou_0 + res.rou_1
+            base = base.join(res.errors, "row_id", "left_anti")
+        out = self._first(base, has_time)
+        if self.select:
+            ranked = self._ranked(out, 10 ** 6)
+            keep = [f for f, g in ranked if g > 0]
+            self.combine_cats = [f for f in keep if f in self.cats][:5] or self.cats[:3]
+            self.combine_nums = [f for f in keep if f.startswith("n_")][:5] or list(roles.num)[:3]
+            drop_ok = self.task != "noisy" or self.noise_sum > 0.9
+            self.drop1 = [f for f, g in ranked if g <= 0 and f not in self.cats] if drop_ok else []
+        else:
+            self.combine_cats = self.combine_cats or self.cats[:3]
+            self.combine_nums = self.combine_nums or list(roles.num)[:3]
+        out = self._second(out.drop(*self.drop1), has_time)
+        if self.select and self.task != "noisy":
+            ranked = self._ranked(out, 500)
+            keep = {f for f, g in ranked if g > 0}
+            self.drop2 = [f for f in LN.feature_columns(out) if f not in keep and f not in self.cats]
+        return out.drop(*self.drop2)
+
+    def _first(self, out: DataFrame, has_time: bool) -> DataFrame:
         out = FE.cat_count(out, self.cats)
-        has_time = self.time_col is not None and self.time_col in df.columns
         out = cut_lineage(FE.cat_running_count(out, self.cats, self.time_col if has_time else None))
         if has_time:
             out = FE.date_parts(out, self.time_col, self.parts)
+        return out
+
+    def _second(self, out: DataFrame, has_time: bool) -> DataFrame:
         out = FE.cat_pair_count(out, self.combine_cats)
         out = cut_lineage(FE.num_mean_by_cat(out, self.combine_cats, self.combine_nums))
         if has_time:
             out = FE.cat_time_gap(out, self.combine_cats, self.time_col, drop_time_col=True)
         return out
 
+    def transform(self, df: DataFrame) -> DataFrame:
+        # lineage is cut between stages: each stage re-reads its input several times
+        has_time = self.time_col is not None and self.time_col in df.columns
+        out = self._first(cut_lineage(self.encoder.transform(df)), has_time)
+        return self._second(out.drop(*self.drop1), has_time).drop(*self.drop2)
+
 
 # ------------------------------------------------------------------ M14 end to end
 
@@ -242,7 +288,7 @@ class WeakLabelModel:
     def train(self, df: DataFrame) -> "WeakLabelModel":
         if self.task not in TASKS:
             raise ValueError(f"unknown task {self.task!r}")
-        self.engine = FeatureEngine(self.task)
+        self.engine = FeatureEngine(self.task, rounds=self.rounds, seed=self.seed)
         feats = self.engine.fit_transform(df)
         self.features = LN.feature_columns(feats)
         feats = cut_lineage(feats.na.fill(-1, subset=self.features))  # P1 rule for model input
@@ -268,7 +314,7 @@ class WeakLabelModel:
         meta = dict(task=self.task, features=self.features, n_models=len(self.models),
                     blocks=self.engine.encoder.blocks, parts=self.engine.parts, cats=self.engine.cats,
                     combine_cats=self.engine.combine_cats, combine_nums=self.engine.combine_nums,
-                    time_col=self.engine.time_col)
+                    time_col=self.engine.time_col, drop1=self.engine.drop1, drop2=self.engine.drop2)
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(
             f"{path}/meta")
 
@@ -277,6 +323,6 @@ class WeakLabelModel:
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
         enc = FE.BlockEncoder(blocks=meta["blocks"], dictionary=spark.read.parquet(f"{path}/dictionary"))
         eng = FeatureEngine(meta["task"], meta["time_col"], meta["combine_cats"], meta["combine_nums"],
-                            enc, meta["parts"], meta["cats"])
+                            enc, meta["parts"], meta["cats"], drop1=meta["drop1"], drop2=meta["drop2"])
         models = [PipelineModel.load(f"{path}/model_{i}") for i in range(meta["n_models"])]
         return cls(meta["task"], engine=eng, features=meta["features"], models=models)

@@ -245,7 +245,7 @@ def text_probs(spark, sf_dir):
 @register("feature_pipeline")
 def feature_pipeline(spark, sf_dir):
     f = noisy_lineitem(spark, sf_dir).drop("y_true")
-    return AM.FeatureEngine("noisy").fit_transform(f)
+    return AM.FeatureEngine("noisy", rounds=ROUNDS).fit_transform(f)
 
 
 @register("weak_label_model")
