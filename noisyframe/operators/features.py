@@ -390,10 +390,20 @@ class BlockEncoder:
         return out
 
 
+# A dictionary with at most this many (block, value) entries is numbered with one
+# window per block (a task holds at most this many short rows); larger ones are
+# numbered over value-range buckets.
+SMALL_DICTIONARY = 1000000
+
+
 def _number_values(vals: DataFrame) -> DataFrame:
-    """code = rank of the value within its block (0-based, sorted), computed over
-    value-range buckets so a large block is numbered by many tasks."""
-    bounds = _string_bounds(vals, "value", buckets_for(vals.sparkSession))
+    """code = rank of the value within its block (0-based, sorted)."""
+    vals = cut_lineage(vals)  # distinct values: counted, then numbered
+    n = vals.count()
+    if n <= SMALL_DICTIONARY:
+        w = Window.partitionBy("block").orderBy("value")
+        return vals.select("block", "value", (F.row_number().over(w) - 1).cast("bigint").alias("code"))
+    bounds = _string_bounds(vals, "value", buckets_for(vals.sparkSession), n=n)
     # groups are the blocks: at most one per category column, so bounded
     ranked = distributed_row_number(vals, ["block"], [F.col("value")],
                                     bucket_of(F.col("value"), bounds), name="_rn",
@@ -401,10 +411,11 @@ def _number_values(vals: DataFrame) -> DataFrame:
     return ranked.select("block", "value", (F.col("_rn") - 1).cast("bigint").alias("code"))
 
 
-def _string_bounds(df: DataFrame, col: str, buckets: int, target: int = 20000) -> list:
+def _string_bounds(df: DataFrame, col: str, buckets: int, target: int = 20000,
+                   n: int | None = None) -> list:
     """Approximate quantile cut points of any orderable column from a bounded,
     deterministic hash sample (at most ~``target`` values reach the driver)."""
-    n = df.count()
+    n = df.count() if n is None else n
     if n == 0 or buckets <= 1:
         return []
     frac = min(1.0, target / n)
