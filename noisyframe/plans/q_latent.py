@@ -254,7 +254,34 @@ def valid_frame(spark, py_df):
 
 # ------------------------------------------------------------------ rows-only
 
-@register("converge_latent")
+def _converge_sql(inv_iters: int = 5, nm_iters: int = 3) -> str:
+    """L11 unrolled over the K^2 cells (same float operation order as the driver loop)."""
+    clip_row = lambda src: _clip_sql(src, "k_s")
+    clip_col = lambda src: _clip_sql(src, "k_y")
+
+    def clip_py(src):
+        return f"""SELECT k, c * 1.0 / SUM(c) OVER () AS py FROM (
+  SELECT k, LEAST(GREATEST(py, {LT.PRIOR_MIN}), 1.0) AS c FROM ({src}) q0) q1"""
+
+    ctes = [f"nm_0 AS ({_clip_sql(NM0, 'k_y')})", f"py_0 AS ({_prior_sql('cnt')})", f"ps AS ({PS})"]
+    nm, py, inv = "nm_0", "py_0", None
+    step = 0
+    for j in range(nm_iters):
+        for i in range(inv_iters):
+            step += 1
+            ctes.append(f"""inv_{step} AS ({clip_row(f'SELECT n.k_s, n.k_y, n.v * p.py / s.ps AS v FROM {nm} n JOIN {py} p ON p.k = n.k_y JOIN ps s ON s.k = n.k_s')})""")
+            inv = f"inv_{step}"
+            ctes.append(f"""py_{step} AS ({clip_py(f'SELECT i.k_s AS k, i.v / n.v * s.ps AS py FROM {inv} i JOIN {nm} n ON n.k_s = i.k_s AND n.k_y = i.k_y JOIN ps s ON s.k = i.k_s WHERE i.k_s = i.k_y')})""")
+            py = f"py_{step}"
+        ctes.append(f"""nm_{j + 1} AS ({clip_col(f'SELECT i.k_s, i.k_y, i.v * s.ps / p.py AS v FROM {inv} i JOIN ps s ON s.k = i.k_s JOIN {py} p ON p.k = i.k_y')})""")
+        nm = f"nm_{j + 1}"
+    return WITH_CJ + ",\n" + ",\n".join(ctes) + f"""
+SELECT 'prior' AS kind, CAST(k AS INT) AS k_s, CAST(k AS INT) AS k_y, ROUND(py, 6) AS v FROM ({clip_py(f'SELECT * FROM {py}')}) a
+UNION ALL SELECT 'noise', k_s, k_y, ROUND(v, 6) FROM ({clip_col(f'SELECT * FROM {nm}')}) b
+UNION ALL SELECT 'inverse', k_s, k_y, ROUND(v, 6) FROM ({clip_row(f'SELECT * FROM {inv}')}) c"""
+
+
+@register("converge_latent", _converge_sql())
 def converge_latent(spark, sf_dir):
     p, cj, py, nm, inv = _latent(spark, sf_dir)
     K = 2
@@ -265,11 +292,40 @@ def converge_latent(spark, sf_dir):
     rows = ([("prior", k, k, float(py2[k])) for k in range(K)] +
             [("noise", a, b, float(nm2[a][b])) for a in range(K) for b in range(K)] +
             [("inverse", a, b, float(inv2[a][b])) for a in range(K) for b in range(K)])
-    return spark.createDataFrame(rows, "kind string, k_s int, k_y int, v double")
-
-
-@register("adjusted_thresholds")
+    out = spark.createDataFrame(rows, "kind string, k_s int, k_y int, v double")
+    return out.select("kind", "k_s", "k_y", r6(F.col("v")).alias("v"))
+
+
+ADJUST_EPOCHS = 3
+
+
+def _adjust_sql(epochs: int = ADJUST_EPOCHS) -> str:
+    """L23 unrolled: each round counts the uncalibrated joint's rows under the
+    current thresholds and moves them half way towards P(s)."""
+    flags = ["(p0 >= t.t0 - 1e-6)", "(p1 >= t.t1 - 1e-6)"]
+    nconf = " + ".join(f"CAST(COALESCE({f}, FALSE) AS INT)" for f in flags)
+    yc = f"""CASE WHEN {nconf} = 1 THEN CASE WHEN {flags[0]} THEN 0 ELSE 1 END
+               WHEN {nconf} > 1 THEN {S.argmax()} END"""
+    ctes = [f"s AS ({S.psx_lineitem()})",
+            """ps AS (SELECT COUNT(CASE WHEN label = 0 THEN 1 END) / COUNT(*) AS ps0,
+                   COUNT(CASE WHEN label = 1 THEN 1 END) / COUNT(*) AS ps1 FROM s)""",
+            """r0 AS (SELECT AVG(CASE WHEN label = 0 THEN p0 END) AS t0,
+                   AVG(CASE WHEN label = 1 THEN p1 END) AS t1 FROM s)"""]
+    for e in range(1, epochs + 1):
+        ctes.append(f"""c{e} AS (SELECT label, {yc} AS yc FROM s CROSS JOIN r{e - 1} t)""")
+        ctes.append(f"""r{e} AS (SELECT t.t0 + 0.5 * (sh0 - ps.ps0) AS t0, t.t1 + 0.5 * (sh1 - ps.ps1) AS t1
+  FROM r{e - 1} t CROSS JOIN ps CROSS JOIN (
+    SELECT COUNT(CASE WHEN label = 0 AND yc IS NOT NULL THEN 1 END)
+             / CASE WHEN COUNT(yc) = 0 THEN 1.0 ELSE CAST(COUNT(yc) AS DOUBLE) END AS sh0,
+           COUNT(CASE WHEN label = 1 AND yc IS NOT NULL THEN 1 END)
+             / CASE WHEN COUNT(yc) = 0 THEN 1.0 ELSE CAST(COUNT(yc) AS DOUBLE) END AS sh1
+    FROM c{e}) sh)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT 0 AS k, ROUND(t0, 6) AS thr FROM r{epochs} UNION ALL SELECT 1, ROUND(t1, 6) FROM r{epochs}"""
+
+
+@register("adjusted_thresholds", _adjust_sql())
 def adjusted_thresholds(spark, sf_dir):
     p = lineitem_psx(spark, sf_dir)
-    thr = LT.adjusted_thresholds(p, 2, epochs=3)
-    return L.thresholds_frame(spark, thr)
+    thr = LT.adjusted_thresholds(p, 2, epochs=ADJUST_EPOCHS)
+    return L.thresholds_frame(spark, thr).select("k", r6(F.col("thr")).alias("thr"))
