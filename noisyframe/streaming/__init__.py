@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference has no streaming code (no watermark, window, state or late
+data), so no streaming operator is built here.  Fitted lookups and models are
+plain ``transform`` calls and therefore also apply to a streaming DataFrame;
+the running count, time gap and every fit need the whole table and do not.
+"""
