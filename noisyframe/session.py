@@ -26,6 +26,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of datasets no longer referenced are removed by Spark
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if not SparkSession.getActiveSession():
         # local mode: the driver heap is the executor heap (only read at JVM start)
