@@ -141,8 +141,9 @@ SELECT row_id, label FROM m WHERE by_class""")
 def prune_by_class(spark, sf_dir):
     p = lineitem_psx(spark, sf_dir)
     cj = L.confident_joint(p, L.per_class_thresholds(p, 2))
-    by_class, _ = P.budgets(P._cells(cj), L.class_sizes(p, "label", 2), 2)
-    return p.where(P.prune_by_class_mask(p, by_class, 2)).select("row_id", "label")
+    by_class, _ = P.budgets(P._cells(cj), {}, 2)
+    m_class, _ = P.exact_cut_masks(p, by_class, {}, 2)
+    return p.where(m_class).select("row_id", "label")
 
 
 @register("prune_by_count", WITH_CJ + f""", m AS ({_marks_sql()})
@@ -150,8 +151,9 @@ SELECT row_id, label FROM m WHERE by_count""")
 def prune_by_count(spark, sf_dir):
     p = lineitem_psx(spark, sf_dir)
     cj = L.confident_joint(p, L.per_class_thresholds(p, 2))
-    _, by_count = P.budgets(P._cells(cj), L.class_sizes(p, "label", 2), 2)
-    return p.where(P.prune_by_count_mask(p, by_count, 2)).select("row_id", "label")
+    _, by_count = P.budgets(P._cells(cj), {}, 2)
+    _, m_count = P.exact_cut_masks(p, {}, by_count, 2)
+    return p.where(m_count).select("row_id", "label")
 
 
 LABEL_ERRORS_SQL = WITH_CJ + f""", m AS ({_marks_sql()}),
