@@ -96,10 +96,16 @@ def normalize_labels(spark, sf_dir):
     return norm(ssl_events(spark, sf_dir), "ssl").select("row_id", "label")
 
 
-@register("nonneg_rows", f"""SELECT row_id - 5000 AS row_id, label FROM ({S.F3}) e WHERE row_id - 5000 >= 0""")
+@register("nonneg_rows", f"""SELECT row_id, label FROM (
+  SELECT row_id, label FROM ({S.F3}) a
+  UNION ALL SELECT -row_id - 1, label FROM ({S.F3}) b WHERE label <> 0) p WHERE row_id >= 0""")
 def nonneg_rows(spark, sf_dir):
-    e = ssl_events(spark, sf_dir).select((F.col("row_id") - 5000).alias("row_id"), "label")
-    return FE.nonneg_rows(e)
+    """P7 on a padded frame: labelled rows appended again under negative indices
+    (as the reference pads before transforming) are dropped, the table remains."""
+    e = ssl_events(spark, sf_dir).select("row_id", "label")
+    padded = e.unionByName(e.where(F.col("label") != 0).select(
+        (-F.col("row_id") - 1).alias("row_id"), "label"))
+    return FE.nonneg_rows(padded)
 
 
 @register("psx_validate", f"""SELECT COUNT(*) AS n_rows,

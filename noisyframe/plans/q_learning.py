@@ -242,8 +242,8 @@ def text_probs(spark, sf_dir):
     return out.select("row_id", "label", r6(F.element_at(arr, 1)).alias("p0"), r6(F.element_at(arr, 2)).alias("p1"))
 
 
-@register("feature_pipeline")
-def feature_pipeline(spark, sf_dir):
+@register("feature_engine")
+def feature_engine(spark, sf_dir):
     f = noisy_lineitem(spark, sf_dir).drop("y_true")
     return AM.FeatureEngine("noisy", rounds=ROUNDS).fit_transform(f)
 
