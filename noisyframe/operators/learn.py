@@ -7,6 +7,7 @@ small driver thread pool, so the folds train concurrently on the cluster.
 
 from __future__ import annotations
 
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -25,11 +26,18 @@ from . import labels as L
 from . import pruning as P
 from . import sampling as SM
 
-# Fixed values of the reference's search space, mapped to Spark GBT parameters.
-SEARCH_STEP_SIZE = (0.01, 0.05, 0.1, 0.2)
-SEARCH_MAX_DEPTH = (3, 4, 5, 6)
-SEARCH_SUBSAMPLING = (0.6, 0.7, 0.8, 0.9, 1.0)
-SEARCH_FEATURE_SUBSET = ("all", "0.6", "0.8")
+# Fixed values of the reference's search space (learning rate log-uniform in
+# [0.01, 0.07]; max depth one of -1, 2, 3, 4, 5, 6; feature and bagging
+# fractions in [0.5, 1.0] by 0.1; min child weight uniform in [0.5, 10]; half of
+# the rows held out for validation), mapped to Spark GBT parameters as
+# stepSize, maxDepth (-1 -> 6), featureSubsetStrategy, subsamplingRate and
+# minInstancesPerNode.  Leaves, bagging frequency and L1/L2 have no GBT twin.
+SEARCH_LEARNING_RATE = (0.01, 0.07)
+SEARCH_MAX_DEPTH = (-1, 2, 3, 4, 5, 6)
+SEARCH_FRACTION = (0.5, 1.0, 0.1)
+SEARCH_MIN_CHILD_WEIGHT = (0.5, 10.0)
+SEARCH_VALID_FRACTION = 0.5
+UNLIMITED_DEPTH = 6
 DEFAULT_ROUNDS = 20
 
 
@@ -46,10 +54,15 @@ def assembler(cols: list) -> VectorAssembler:
 
 
 def gbt(max_iter: int = DEFAULT_ROUNDS, max_depth: int = 5, step: float = 0.1,
-        subsample: float = 1.0, seed: int = 0, feature_subset: str = "all") -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter,
-                         maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
-                         featureSubsetStrategy=feature_subset, seed=seed, maxBins=64)
+        subsample: float = 1.0, seed: int = 0, feature_subset: str = "all",
+        min_instances: int = 1, validation_col: str | None = None) -> GBTClassifier:
+    est = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter,
+                        maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
+                        featureSubsetStrategy=feature_subset, seed=seed, maxBins=64,
+                        minInstancesPerNode=min_instances)
+    if validation_col:
+        est = est.setValidationIndicatorCol(validation_col)
+    return est
 
 
 def prob1(col: str = "probability") -> Column:
@@ -83,10 +96,25 @@ def oof_probabilities(df: DataFrame, features: list, estimator_factory=None, k:
 # ------------------------------------------------------------------ M2
 
 def random_params(n_trials: int, seed: int) -> list:
+    """Seeded draws from the search space (random search replaces the reference's
+    tree-structured Parzen search)."""
     rnd = random.Random(seed)
-    return [dict(step=rnd.choice(SEARCH_STEP_SIZE), max_depth=rnd.choice(SEARCH_MAX_DEPTH),
-                 subsample=rnd.choice(SEARCH_SUBSAMPLING),
-                 feature_subset=rnd.choice(SEARCH_FEATURE_SUBSET)) for _ in range(n_trials)]
+    lo, hi = SEARCH_LEARNING_RATE
+    flo, fhi, fstep = SEARCH_FRACTION
+
+    def frac():
+        return round(round(rnd.uniform(flo, fhi) / fstep) * fstep, 1)
+
+    out = []
+    for _ in range(n_trials):
+        depth = rnd.choice(SEARCH_MAX_DEPTH)
+        ff = frac()
+        out.append(dict(step=math.exp(rnd.uniform(math.log(lo), math.log(hi))),
+                        max_depth=UNLIMITED_DEPTH if depth == -1 else depth,
+                        feature_subset="all" if ff >= 1.0 else str(ff),
+                        subsample=frac(),
+                        min_instances=max(1, int(round(rnd.uniform(*SEARCH_MIN_CHILD_WEIGHT))))))
+    return out
 
 
 def auc(scored: DataFrame, score: Column | None = None, label: str = "label") -> float:
@@ -99,18 +127,20 @@ def auc(scored: DataFrame, score: Column | None = None, label: str = "label") ->
 
 
 def random_search(df: DataFrame, features: list, n_trials: int = 2, seed: int = 0,
-                  rounds: int = DEFAULT_ROUNDS, valid_frac: float = 0.2,
+                  rounds: int = DEFAULT_ROUNDS, valid_frac: float = SEARCH_VALID_FRACTION,
                   threads: int = 2) -> tuple[dict, float]:
-    """M2: seeded random parameter draws scored by validation AUC on an exact
-    hash split; trials run as concurrent Spark jobs."""
-    split = SM.holdout_split(df, valid_frac, seed)
+    """M2: seeded random draws scored by validation AUC on an exact hash split;
+    each fit stops early on the validation rows (``validationIndicatorCol``);
+    trials run as concurrent Spark jobs."""
+    split = SM.holdout_split(df, valid_frac, seed).withColumn("_valid", F.col("split") == "test")
     split = cut_lineage(split)
-    train, valid = split.where("split = 'train'"), split.where("split = 'test'")
+    valid = split.where("_valid")
     trials = random_params(n_trials, seed)
 
     def score(p):
-        m = Pipeline(stages=[assembler(features), gbt(rounds, p["max_depth"], p["step"],
-                                                        p["subsample"], seed, p["feature_subset"])]).fit(train)
+        est = gbt(rounds, p["max_depth"], p["step"], p["subsample"], seed, p["feature_subset"],
+                  p["min_instances"], validation_col="_valid")
+        m = Pipeline(stages=[assembler(features), est]).fit(split)
         return auc(m.transform(valid))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:

@@ -59,7 +59,7 @@ def _fit(df: DataFrame, features: list, params: dict | None, rounds: int, seed:
     split = SM.holdout_split(df, valid_frac, seed)
     train = split.where("split = 'train'").drop("split")
     est = LN.gbt(rounds, p.get("max_depth", 5), p.get("step", 0.1), p.get("subsample", 1.0),
-                 seed, p.get("feature_subset", "all"))
+                 seed, p.get("feature_subset", "all"), p.get("min_instances", 1))
     return Pipeline(stages=[LN.assembler(features), est]).fit(train)
 
 
@@ -96,7 +96,8 @@ def noisy_single(df: DataFrame, features: list, rounds: int = 20, trials: int =
     small = SM.take_smallest(df, PU_SEARCH_ROWS, seed)
     params, _ = LN.random_search(small, features, trials, seed, rounds) if trials else (None, 0)
     p = params or {}
-    est = LN.gbt(rounds, p.get("max_depth", 5), p.get("step", 0.1), p.get("subsample", 1.0), seed)
+    est = LN.gbt(rounds, p.get("max_depth", 5), p.get("step", 0.1), p.get("subsample", 1.0), seed,
+                 p.get("feature_subset", "all"), p.get("min_instances", 1))
     return [Pipeline(stages=[LN.assembler(features), est]).fit(df)]
 
 
