@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import argmax_first
-from ..functions.ranking import bucket_of, distributed_row_number, kth_smallest, quantile_bounds
+from ..functions.ranking import bucket_of, distributed_row_number, kth_smallest, uniform_bounds
 from . import labels as L
 
 
@@ -234,7 +234,10 @@ def order_label_errors(df: DataFrame, method: str = "normalized_margin", label:
     own = F.element_at(F.col(psx), F.col(label).cast("int") + 1)
     score = own if method == "prob_given_label" else own - F.array_max(F.col(psx))
     errs = df.where(F.col(mask)).select(row_id, label, score.alias("score"))
-    bounds = quantile_bounds(errs, F.col("score"), 32)
+    # the score range is known (margin in [-1, 0], self-confidence in [0, 1]):
+    # fixed equal-width buckets, no pass over the data to place them
+    lo, hi = (0.0, 1.0) if method == "prob_given_label" else (-1.0, 0.0)
+    bounds = uniform_bounds(lo, hi, 64)
     return distributed_row_number(errs, [], [F.col("score"), F.col(row_id)],
                                   bucket_of(F.col("score"), bounds), name="pos",
                                   bounded_groups=True)
