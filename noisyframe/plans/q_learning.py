@@ -258,7 +258,10 @@ def weak_label_model(spark, sf_dir):
     return loaded.predict(f).select("row_id", r6(F.col("score")).alias("score"))
 
 
-@register("labelled_text")
+@register("labelled_text", """SELECT CAST(l.quality AS VARCHAR) AS label,
+  replace(trim(regexp_replace(replace(d.text, chr(13), ''), chr(10) || '+$', '')), chr(10), ' __newline__ ')
+    AS text
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
 def labelled_text(spark, sf_dir):
     docs = noisy_documents(spark, sf_dir)
     ids = docs.where(F.col("label").isNotNull()).select(F.col("row_id").alias("doc_id"))
