@@ -8,8 +8,11 @@ unset (local tests) do we pick a fresh scratch folder.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,21 +50,49 @@ def configure(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster, else a local scratch one."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session (one JVM, as in tests) may go without: it gets a fresh
+    scratch folder.  On a cluster a machine-local folder would be lost with its
+    machine and be invisible to the others, so an unset folder is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="noisyframe-ckpt-")
-    os.makedirs(conf_dir, exist_ok=True) if conf_dir.startswith("/") else None
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if not named:
+        master = sc.master or ""
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        named = tempfile.mkdtemp(prefix="noisyframe-ckpt-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder; survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    """Write the frame as Parquet to the shared folder and read it back.
+
+    The copy survives executor loss, is read column by column, and is written in
+    one pass.  ``eager`` is kept for callers; the write always happens at once.
+    Stage files are deleted when the driver's Python ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/stages/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    _STAGES.append((spark.sparkContext, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGES: list = []
+
+
+@atexit.register
+def _drop_stages() -> None:
+    for sc, path in _STAGES:
+        try:
+            target = sc._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session is already gone
+            return
