@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["language_id"]
+MODULES = [
+    "token_counts", "near_dedup", "chat_format", "substring_dedup", "decontaminate",
+    "url_filter", "quality_rules", "language_id", "packing",
+]
 
 
 def _modules():

@@ -96,3 +96,11 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     for i in np.flatnonzero(sizes > LONG_WORD):
         out[i] = xxhash.xxh64_intdigest(buf[starts[i]:ends[i]].tobytes())
     return mix64(out)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores in front until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

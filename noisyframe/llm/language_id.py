@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, lay_out, mix64, small_batches, table
+from .common import byte_texts, free_name, lay_out, mix64, small_batches, table
 
 NGRAM = 5
 SLOTS = 1 << 18
@@ -191,21 +191,26 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS,
 
 
 def predict(docs: DataFrame, model: NgramFilter, keep_text: bool = False) -> DataFrame:
-    """The columns of docs (text only if asked for) with lang_pred and score."""
+    """The columns of docs (text only if asked for), then ``predicted(docs)``."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     kept = [f for f in docs.schema if keep_text or f.name != "text"]
-    names = [f.name for f in kept]
+    names, new = [f.name for f in kept], predicted(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, score = shared.value.predict(byte_texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(langs, pa.string()), pa.array(score)],
-                [*names, "lang_pred", "score"])
+                [*names, *new])
 
-    return docs.mapInArrow(run, T.StructType(kept).add("lang_pred", "string").add("score", "double"))
+    return docs.mapInArrow(run, T.StructType(list(kept)).add(new[0], "string").add(new[1], "double"))
+
+
+def predicted(docs: DataFrame) -> list[str]:
+    """Names of the added columns: lang_pred and score, unless docs has such columns."""
+    return [free_name(docs, "lang_pred"), free_name(docs, "score")]
 
 
 def held_out() -> F.Column:
