@@ -1,29 +1,73 @@
 """The corpus pipeline: language ID, near-duplicates, repeated passages, benchmark
-leaks, packing.  Each stage reads all that the stage before it kept."""
+leaks, packing.
+
+Each stage works on all that the stage before it kept, and all but the last return
+the columns of documents, texts as changed so far.  Every stage's output is
+written as Parquet to the shared folder and read again by the next one.
+
+Defined cases: null or empty texts, and texts without a letter, go in the first
+stage; a null doc_id is kept by all stages, as nothing can be held against a row
+without identity; repeated rows count as copies, of which one stays; additional
+columns are carried along.  An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from noisyframe.llm import language_id
+from noisyframe.llm import decontaminate, language_id, near_dedup, packing, substring_dedup
+from noisyframe.llm.common import free_name
 from noisyframe.session import cut_lineage
 
 ORACLE_SQL = None
 
-# A document goes when no language is found in it.  The score of a mixed text is
-# low by nature, so it is no ground to drop a document.
-REJECTED = language_id.UNKNOWN
-
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in which a language was found."""
+    """Keeps documents in which a language was found.
+
+    Learned from the documents' own labels.  A mixed text has a low score by nature,
+    so the score is no ground to drop a document.
+    """
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
     found = language_id.predict(docs, model, keep_text=True)
-    return found.where(F.col("lang_pred") != REJECTED).select(*docs.columns)
+    language, _ = language_id.predicted(docs)
+    return found.where(F.col(language) != language_id.UNKNOWN).select(*docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates, the one of the smallest doc_id."""
+    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    same = free_name(docs, "same")
+    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns, F.xxhash64("text").alias(same))
+    return left.dropDuplicates(["doc_id", same]).select(*docs.columns)
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes passages that an earlier document has; a document with nothing left goes."""
+    new = substring_dedup.added(docs)[0]
+    left = substring_dedup.deduplicated(docs)
+    return left.where(F.col(new).rlike(r"[^ \t-\r]")).select(
+        *[F.col(new).alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes spans of benchmark items, and documents that consist of such spans."""
+    return decontaminate.cleaned(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Placements of the kept documents in sequences."""
+    return packing.pack_documents(docs)
 
 
-STAGES = [("language_id", language_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("substring_dedup", substring_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
