@@ -47,13 +47,21 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Removes passages that an earlier document has; a document with nothing left goes."""
     new = substring_dedup.added(docs)[0]
     left = substring_dedup.deduplicated(docs)
-    return left.where(F.col(new).rlike(r"[^ \t-\r]")).select(
-        *[F.col(new).alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    changed = left.select(*[F.col(new).alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    return _counted(changed.where(F.col("text").rlike(r"[^ \t-\r]")), docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes spans of benchmark items, and documents that consist of such spans."""
-    return decontaminate.cleaned(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _counted(decontaminate.cleaned(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), docs)
+
+
+def _counted(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """n_chars, where docs has it, in line with the changed text."""
+    if "n_chars" not in docs.columns:
+        return changed
+    kind = docs.schema["n_chars"].dataType
+    return changed.withColumn("n_chars", F.char_length("text").cast(kind)).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,9 +12,10 @@ First pass, each block by itself:
 
 Second pass: ambiguous blocks inherit the label of their nearest decided
 neighbours.  If both agree, that label; if not, the nearer one's, and at equal
-distance boilerplate.  Blocks in an article (or main) element look at neighbours
-of the same element only, take content at equal distance, and are content if that
-element has no decided block.
+distance boilerplate.  The border of an article (or main) element parts neighbours;
+blocks in one take content at equal distance, and are content if that
+element has no decided block.  What an article holds in a side or similar
+element is no neighbour of its text.
 
 Character references are decoded, white space in a block becomes one space, blocks
 are joined by one space in page order.  Nothing is capped.
@@ -85,7 +86,7 @@ class _Blocks(HTMLParser):
             text = " ".join("".join(self.parts).split())
             if text:
                 _, _, bad, article = self.open[-1]
-                self.blocks.append((text, self.linked, bad, article))
+                self.blocks.append((text, self.linked, bad, 0 if bad else article))
             self.parts = []
         self.link, self.linked = False, 0
 
@@ -168,11 +169,10 @@ def second_pass(labels: list[int], articles: list[int]) -> list[int]:
     n = len(labels)
     before, after = [None] * n, [None] * n
     for order, found in ((range(n), before), (range(n - 1, -1, -1), after)):
-        nearest: dict[int, int] = {}        # by article; 0 for all blocks of the page
+        nearest: dict[int, int] = {}        # by article; 0 for the blocks outside of any
         for i in order:
             found[i] = nearest.get(articles[i])
             if labels[i] != AMBIGUOUS:
-                nearest[0] = i
                 nearest[articles[i]] = i
     out = list(labels)
     for i in range(n):

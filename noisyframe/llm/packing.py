@@ -28,6 +28,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -55,31 +56,32 @@ class Bins:
         at = bisect_left(self.residuals, length)
         while at < len(self.residuals):
             residual = self.residuals[at]
-            for held in self.alike[residual]:
-                if not (held[0] & source or held[1] & cluster):
-                    number = self._take(residual, held)
-                    self._add(number, residual - length, (held[0] | source, held[1] | cluster))
-                    return number, self.capacity - residual
+            fits = [(numbers[0], held) for held, numbers in self.alike[residual].items()
+                    if not (held[0] & source or held[1] & cluster)]
+            if fits:
+                number, held = min(fits)       # of equally tight bins the oldest
+                self._take(residual, held)
+                self._add(number, residual - length, (held[0] | source, held[1] | cluster))
+                return number, self.capacity - residual
             at += 1
         self.count += 1
         self._add(self.count - 1, self.capacity - length, (source, cluster))
         return self.count - 1, 0
 
-    def _take(self, residual: int, held: tuple[int, int]) -> int:
+    def _take(self, residual: int, held: tuple[int, int]) -> None:
         group = self.alike[residual]
-        number = group[held].pop(0)
+        heappop(group[held])
         if not group[held]:
             del group[held]
         if not group:
             del self.alike[residual]
             del self.residuals[bisect_left(self.residuals, residual)]
-        return number
 
     def _add(self, number: int, residual: int, held: tuple[int, int]) -> None:
         if residual not in self.alike:
             insort(self.residuals, residual)
             self.alike[residual] = defaultdict(list)
-        self.alike[residual][held].append(number)
+        heappush(self.alike[residual][held], number)
 
 
 def pack(rows: list[tuple], capacity: int) -> Iterator[tuple]:
