@@ -14,17 +14,22 @@ Two documents are linked if 100 * |A and B| >= 85 * |A or B|.
    must meet in one of them.  Values that a single class retains drop out, and a
    passage in very many documents is among the rarest only where it is most of
    the document.
-3. Pairs in three rounds.  A round of stars pairs each member of a list with the
-   list's first member, the next one with its last: linear in the lists.  What is
-   linked becomes one component.  The last round pairs members of a list whose
-   components still differ; a large group of near copies is one component by
-   then, so that its members don't meet again.  Sizes outside 85 : 100 are never
-   paired.  Nothing is capped.
+3. Pairs in two rounds.  A round of stars pairs each member of a list with the
+   list's first member: linear in the lists.  Each class keeps the hub it resembles
+   most; if that is a link, the hub is its parent, and the trees so made become
+   components.  The second round pairs members of a list whose components still
+   differ; a large group of near copies is one component by then, so that its
+   members don't meet again.  Sizes outside 85 : 100 are never paired.
+   A list of more than ``MANY`` components is the mark of a passage that fills most
+   of the sketches of texts which are not alike.  Its members are paired by their
+   full sets instead, without loss: each enters the lists of its rarest shingles
+   (15 of 100 to be found by larger sets, of these 8 of 100 to find smaller ones), so
+   that only texts meet which have hardly anything but common passages.
 4. A pair stays if the sketch of the union (the k smallest of both sketches
    together) estimates a similarity of at least ``FLOOR``; the rest is verified
    on the full sets, computed anew from both texts.
-5. Components by alternating stars over the links, in Spark, each step written
-   to the shared folder.
+5. Components by pointer jumping over the trees, then by alternating stars over
+   the links between trees, in Spark, each step written to the shared folder.
 
 Losses: a link is lost only if its union sketch falls under the floor.  For a
 similarity of exactly 0.85 the number of common values among k = 64 is about
@@ -55,6 +60,7 @@ WORDS = 5
 LINK_INTERSECTION, LINK_UNION = 100, 85  # fixed: 100 * intersection >= 85 * union
 SKETCH = 64
 FLOOR = 0.62
+MANY = 32
 
 _LOWER, _SPACE = ascii_lower(), space_words()
 _PLACES = mix64(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -131,35 +137,71 @@ def _similar_sizes(a: str, b: str) -> F.Column:
     return (F.least(a, b) * LINK_INTERSECTION) >= (F.greatest(a, b) * LINK_UNION)
 
 
-def star_pairs(lists: DataFrame, last: bool) -> DataFrame:
-    """Pairs of each list's members with its first (or last) member, across components."""
-    pick = F.max if last else F.min
-    hub = lists.groupBy("value").agg(pick(F.struct("id", "n", "component")).alias("hub"))
-    return (lists.join(hub, "value")
-            .where(F.col("component") != F.col("hub.component"))
-            .where(_similar_sizes("n", "hub.n"))
-            .select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct())
+def star_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a: first member of a list, b: another member) of similar sizes."""
+    hub = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("hub"))
+    return (lists.join(hub, "value").where(F.col("id") != F.col("hub.id")).where(_similar_sizes("n", "hub.n"))
+            .select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
 
 
-def cross_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs of members of one list whose components differ and whose sizes allow a link.
+def open_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lists of a few components, and the ids in lists of many; lists of one are done."""
+    width = lists.select("value", "component").distinct().groupBy("value").agg(F.count("*").alias("width"))
+    members = cut_lineage(lists.join(width.where("width > 1"), "value"))
+    return (members.where(F.col("width") <= MANY).drop("width"),
+            members.where(F.col("width") > MANY).select("id").distinct())
+
+
+def cross_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one list whose components differ and whose sizes allow a link.
 
     Components of a list are paired first, then their members, so that members of
-    one component are never compared.
+    one component are never compared.  Where ``finds`` is given, the smaller set (of
+    equal ones the smaller id) must be one that finds.
     """
-    open_lists = (lists.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-                  .where("low <> high").select("value"))
-    members = cut_lineage(lists.join(open_lists, "value"))
-    blocks = members.select("value", "component").distinct()
-    other = blocks.withColumnRenamed("component", "component2")
-    block_pairs = blocks.join(other, "value").where("component < component2")
-    right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
-                           F.col("n").alias("n2"))
-    return (block_pairs.join(members, ["value", "component"]).join(right, ["value", "component2"])
-            .where(_similar_sizes("n", "n2"))
+    directed = "finds" in members.columns
+    finds = F.col("finds") if directed else F.lit(True)
+    rows = members.withColumn("finds", finds)
+    blocks = rows.groupBy("value", "component").agg(F.max("finds").alias("finds"))
+    other = blocks.select("value", F.col("component").alias("component2"))
+    ordered = F.col("component") != F.col("component2") if directed else F.col("component") < F.col("component2")
+    block_pairs = blocks.where("finds").join(other, "value").where(ordered)
+    right = rows.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
+                        F.col("n").alias("n2"))
+    smaller = (F.struct("n", "id") < F.struct("n2", "id2")) if directed else F.lit(True)
+    return (block_pairs.select("value", "component", "component2")
+            .join(rows.where("finds"), ["value", "component"]).join(right, ["value", "component2"])
+            .where(_similar_sizes("n", "n2") & smaller)
             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
 
 
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({
+            "id": batch.column("id"),
+            "shingles": pa.array(shingle_sets(byte_texts(batch.column("text"))), pa.list_(pa.int64()))})
+
+
+def full_lists(texts: DataFrame) -> DataFrame:
+    """value, id, n, finds: lists of the rarest shingles of the full sets of texts (id, text).
+
+    Linked sets have 0.85 of the larger one in common, and 34 / 37 of the smaller
+    one, so that all but so many of a set's shingles must hold one of the other's.
+    """
+    rows = texts.mapInArrow(_set_batches, "id long, shingles array<long>").select(
+        "id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
+    shared = rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
+    own = (rows.join(shared, "value").groupBy("id", "n")
+           .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("common")))
+    alone = F.col("n") - F.size("common")
+    found = F.col("n") - F.ceil(F.col("n") * LINK_UNION / LINK_INTERSECTION) + 1 - alone
+    finding = F.col("n") - F.ceil(F.col("n") * (2 * LINK_UNION) / (LINK_UNION + LINK_INTERSECTION)) + 1 - alone
+    return (own.withColumn("found", found.cast("int")).withColumn("finding", finding.cast("int")).where("found > 0")
+            .select("id", "n", "finding", F.posexplode(F.expr("slice(common, 1, found)")).alias("place", "c"))
+            .select(F.col("c.value").alias("value"), "id", F.col("n").cast("long").alias("n"),
+                    (F.col("place") < F.col("finding")).alias("finds")))
+
+
 def estimated(pairs: DataFrame, classes: DataFrame, k: int = SKETCH) -> DataFrame:
     """The pairs whose union sketch estimates at least FLOOR, with the estimate."""
     left = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
@@ -189,30 +231,53 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .select("a", "b", "ta", "tb").mapInArrow(_verify_batches, "a long, b long"))
 
 
+def _digest(df: DataFrame) -> tuple:
+    """Number and fingerprint of the rows (u, v): two equal ones mean that nothing has moved."""
+    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+def _tasks(rows: int) -> int:
+    """Tasks for a small intermediate table."""
+    return max(1, -(-rows // 100_000))
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """u, v (the root of u's tree) from u, v (u's parent), by pointer jumping."""
+    tree = cut_lineage(parents.select("u", "v"))
+    before = _digest(tree)
+    while before[0]:
+        up = tree.select(F.col("u").alias("v"), F.col("v").alias("w"))
+        jumped = tree.join(up, "v", "left").select("u", F.coalesce("w", "v").alias("v"))
+        tree = cut_lineage(jumped.coalesce(_tasks(before[0])))
+        now = _digest(tree)
+        if now == before:
+            break
+        before = now
+    return tree
+
+
 def components(links: DataFrame) -> DataFrame:
-    """id, component (the smallest id reachable) for every id in a link.
+    """u, v (the smallest id reachable from u) for every u > v in links (u, v).
 
     Alternates large stars (a node's larger neighbours move to its smallest one)
     and small stars (its smaller neighbours do) until the edges are stars.
     """
-    edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = cut_lineage(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                         .where("u <> v").distinct())
-    before = None
-    while True:
+    before = _digest(edges)
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("low"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = large.distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("low"))
-        moved = (large.join(smallest, "u").where("v <> low")
-                 .select(F.col("v").alias("u"), F.col("low").alias("v")))
-        edges = cut_lineage(moved.unionByName(smallest.select("u", F.col("low").alias("v"))).distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        small = large.join(smallest, "u").select(
+            F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v"))
+        edges = cut_lineage(small.distinct().coalesce(_tasks(before[0])))
+        now = _digest(edges)
         if now == before:
             break
         before = now
-    roots = edges.select(F.col("v").alias("id")).distinct().withColumn("component", F.col("id"))
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+    return edges
 
 
 def near_duplicates(docs: DataFrame, k: int = SKETCH) -> DataFrame:
@@ -227,25 +292,23 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH) -> DataFrame:
     in_lists = lists.select("id").distinct()
     # a class is stood for by the text of one row with its digest
     texts = cut_lineage(_texts_of(docs, in_lists))
-    links = None
-    found = lists.withColumn("component", F.col("id"))
-    for last in (False, True, None):
-        if last is None:
-            pairs = estimated(cross_pairs(found), classes, k)
-        else:
-            best = estimated(star_pairs(found, last), classes, k)
-            # one hub for each member: the one it resembles most
-            side = "b" if not last else "a"
-            pairs = (best.groupBy(side).agg(F.max_by("a" if side == "b" else "b",
-                                                     F.struct("estimate", F.negate("a" if side == "b" else "b")))
-                                            .alias("other"))
-                     .select(F.least(side, "other").alias("a"), F.greatest(side, "other").alias("b")).distinct())
-        new = verified(pairs, texts)
-        links = cut_lineage(new if links is None else links.unionByName(new))
-        group = cut_lineage(components(links))
-        found = lists.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    # one hub for each class: the one it resembles most, of equal ones the smallest
+    best = (estimated(star_pairs(lists), classes, k).groupBy("b")
+            .agg(F.max_by("a", F.struct("estimate", F.negate("a"))).alias("a")))
+    tree = roots(verified(best, texts).select(F.col("b").alias("u"), F.col("a").alias("v")))
+    found = _with_component(lists, tree, "id")
+    few, ids_of_many = open_lists(found)
+    by_sets = _with_component(full_lists(texts.join(ids_of_many, "id", "left_semi")), tree, "id")
+    pairs = cross_pairs(few).unionByName(cross_pairs(by_sets)).distinct()
+    between = verified(estimated(pairs, classes, k), texts)
+    joined = _with_component(_with_component(between, tree, "a", "u"), tree, "b", "v")
+    merged = components(joined.select("u", "v"))
+    # a root that was merged takes its tree along
+    group = cut_lineage(_with_component(tree.withColumnRenamed("v", "root"), merged, "root", "component")
+                        .select("u", "component").unionByName(
+                            merged.select("u", F.col("v").alias("component"))).distinct())
     with_class = prepared.join(membership, "digest", "left")
-    whole = with_class.join(group.withColumnRenamed("id", "class_id"), "class_id", "left")
+    whole = with_class.join(group.withColumnRenamed("u", "class_id"), "class_id", "left")
     own = F.coalesce("component", "class_id", "doc_id")
     out = whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
                        F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")).distinct()
@@ -253,6 +316,12 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "class_id")
 
 
+def _with_component(rows: DataFrame, tops: DataFrame, key: str, name: str = "component") -> DataFrame:
+    """rows with the top (u -> v) of the id in ``key``, the id itself where it has none."""
+    top = tops.select(F.col("u").alias(key), F.col("v").alias(name))
+    return rows.join(top, key, "left").withColumn(name, F.coalesce(name, key))
+
+
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return (docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
             .join(ids, "id", "left_semi")

@@ -1,6 +1,8 @@
 """Near-duplicates against brute force over all pairs of shingle sets."""
 import re
 
+import pytest
+
 from noisyframe.llm import near_dedup as M
 
 from .frames import docs, words
@@ -52,7 +54,9 @@ def cases():
     return rows
 
 
-def test_components_equal_brute_force(spark):
+@pytest.mark.parametrize("many", [M.MANY, 1])
+def test_components_equal_brute_force(spark, monkeypatch, many):
+    monkeypatch.setattr(M, "MANY", many)      # 1: all pairs of the second round by their full sets
     rows = cases()
     got = {r["doc_id"]: r for r in M.near_duplicates(docs(spark, rows)).collect()}
     want = brute(rows)
@@ -69,7 +73,10 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert M.near_duplicates(docs(spark, [])).count() == 0
 
 
-def test_components_of_a_long_chain(spark):
-    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001)], "a long, b long")
-    got = {r["id"]: r["component"] for r in M.components(links).collect()}
-    assert got == {**{i: 0 for i in range(201)}, 1000: 1000, 1001: 1000}
+def test_components_and_roots_of_long_chains(spark):
+    links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(1001, 1000), (5, 300)], "u long, v long")
+    got = {r["u"]: r["v"] for r in M.components(links).collect()}
+    assert got == {**{i: 0 for i in [*range(1, 201), 300]}, 1001: 1000}
+    tree = spark.createDataFrame([(i + 1, i) for i in range(100)] + [(500, 7)], "u long, v long")
+    assert {r["u"]: r["v"] for r in M.roots(tree).collect()} == {i: 0 for i in [*range(1, 101), 500]}
+    assert M.components(links.limit(0)).count() == M.roots(tree.limit(0)).count() == 0
