@@ -1,15 +1,15 @@
 """Deterministic row keys and small column helpers.
 
-Sampling, fold assignment and shuffles order rows by a seeded key computed from
-``row_id`` only, so a result never depends on partitioning, task order or a
-re-run after executor loss (unlike ``rand()`` or ``randomSplit``).
+Sampling, fold assignment and shuffles order rows by a key computed from the row
+id only, so a result never depends on partitioning, task order or a re-run after
+executor loss (unlike ``rand()`` or ``randomSplit``).
 
-The key is plain integer arithmetic so that DuckDB can compute the same value:
+The key is a mixing hash of (id, seed, purpose), which DuckDB computes as well:
 
-    key(id, seed) = (pmod(id, 2^31) * 1103515245 + seed * 12345) mod 2^31
+    key = the first 12 hex digits of md5("id|seed|purpose"), as a number
 
-``pmod`` first keeps the product inside BIGINT for any id.  ``key_sql`` returns
-the same expression as SQL text for the oracle queries.
+so that two seeds, and two purposes under one seed, order the rows independently.
+``key_sql`` is the same expression as SQL text for the oracle queries.
 """
 
 from __future__ import annotations
@@ -17,27 +17,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the key (a linear congruential step, modulus 2^31).
-KEY_MULTIPLIER = 1103515245
-KEY_SEED_STEP = 12345
-KEY_MODULUS = 2147483648
+KEY_DIGITS = 12
+KEY_MODULUS = 16 ** KEY_DIGITS
 
 
-def seeded_key(row_id: Column | str, seed: int) -> Column:
+def seeded_key(row_id: Column | str, seed: int, purpose: str = "sample") -> Column:
     rid = F.col(row_id) if isinstance(row_id, str) else row_id
-    base = F.pmod(rid.cast("bigint"), F.lit(KEY_MODULUS))
-    return F.pmod(base * F.lit(KEY_MULTIPLIER) + F.lit(int(seed) * KEY_SEED_STEP),
-                  F.lit(KEY_MODULUS))
+    text = F.concat(rid.cast("bigint").cast("string"), F.lit(f"|{int(seed)}|{purpose}"))
+    return F.conv(F.substring(F.md5(text), 1, KEY_DIGITS), 16, 10).cast("bigint")
 
 
-def key_sql(row_id: str, seed: int) -> str:
-    return (f"((({row_id}) % {KEY_MODULUS}) * {KEY_MULTIPLIER} + {int(seed) * KEY_SEED_STEP})"
-            f" % {KEY_MODULUS}")
-
-
-def hash_fraction(row_id: Column | str, seed: int) -> Column:
-    """Seeded key scaled to [0, 1)."""
-    return seeded_key(row_id, seed) / F.lit(float(KEY_MODULUS))
+def key_sql(row_id: str, seed: int, purpose: str = "sample") -> str:
+    text = f"CAST({row_id} AS BIGINT) || '|{int(seed)}|{purpose}'"
+    return f"CAST('0x' || substr(md5({text}), 1, {KEY_DIGITS}) AS BIGINT)"
 
 
 def r6(c: Column) -> Column:
@@ -48,8 +40,3 @@ def r6(c: Column) -> Column:
 def argmax_first(arr: Column) -> Column:
     """0-based index of the first maximum of an array (numpy ``argmax``)."""
     return F.array_position(arr, F.array_max(arr)) - F.lit(1)
-
-
-def psx_at(psx: Column, k: Column) -> Column:
-    """psx[k] with a 0-based column index."""
-    return F.element_at(psx, k.cast("int") + F.lit(1))

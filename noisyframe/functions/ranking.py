@@ -5,10 +5,9 @@ With two classes, or one category holding a third of the rows, that is one task
 for a third of the table.  The helpers below give the same exact answers while
 the heavy work stays spread over many tasks:
 
-* :func:`distributed_row_number` — ``row_number() over (partition by g order by
-  o)``.  Rows get a bucket that is monotone in the leading order column, the
-  window runs per ``(g, bucket)`` and a per-bucket offset (a tiny table: one row
-  per group and bucket) is added.
+* :func:`global_row_number` and :func:`distributed_row_number` — ``row_number() over
+  (partition by g order by o)`` from a range partitioning on the complete order,
+  with the partition sizes as offsets.
 * :func:`kth_smallest` — exact k-th smallest value per group by histogram
   refinement: a few aggregation passes, each returning at most
   ``bins`` rows per group to the driver, never the rows themselves.
@@ -16,14 +15,13 @@ the heavy work stays spread over many tasks:
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+from ..session import cut_lineage
 
 
 def bucket_of(value: Column, bounds: Sequence, strict: bool = False) -> Column:
@@ -48,185 +46,185 @@ def bucket_of(value: Column, bounds: Sequence, strict: bool = False) -> Column:
     return F.when(value.isNull(), F.lit(len(bounds))).otherwise(build(0, len(bounds)))
 
 
-def quantile_bounds(df: DataFrame, value: Column, buckets: int,
-                    accuracy: int = 10000) -> list:
-    """Approximate quantile cut points of ``value``; only bucket balance depends on them."""
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(value, probs, accuracy).alias("q")).first()
-    qs = row["q"] if row is not None else None
-    return sorted(set(q for q in (qs or []) if q is not None))
+def global_row_number(df: DataFrame, order_cols: Sequence[Column], name: str = "rn",
+                      rows: int | None = None) -> DataFrame:
+    """Exact ``row_number()`` over the whole frame, 1-based, without one task for it all.
 
-
-def uniform_bounds(lo: float, hi: float, buckets: int) -> list:
-    if buckets <= 1 or hi <= lo:
-        return []
-    step = (hi - lo) / buckets
-    return [lo + step * i for i in range(1, buckets)]
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = None
-    for c in cols:
-        piece = left[c].eqNullSafe(right[c])
-        cond = piece if cond is None else cond & piece
-    return cond
-
-
-def distributed_row_number(df: DataFrame, partition_cols: Sequence[str],
-                           order_cols: Sequence[Column], bucket: Column,
-                           name: str = "rn", bounded_groups: bool = False) -> DataFrame:
-    """Exact ``row_number()`` over (partition_cols, order_cols), 1-based.
-
-    ``bucket`` must be non-decreasing in the window order (e.g. ``bucket_of`` of
-    the leading order column).  The result is identical to the plain window.
-
-    ``bounded_groups=True`` promises few groups (none, or the classes): the
-    per-(group, bucket) offsets — at most groups x buckets numbers — are then
-    collected once and applied as a literal map, so the rows are not joined.
-    Otherwise the offsets are a table joined back on (group, bucket).
+    The rows are range partitioned on the complete order, so that ties of the leading
+    column are split as well, and sorted within their partitions.  A row's number is
+    its place in its partition plus the sizes of the partitions before it, of which
+    there are as many as ``buckets_for`` gives.  The sorted rows are written to the
+    shared folder first: the bounds are sampled, and numbering must not see two draws.
     """
+    parts = buckets_for(df.sparkSession, df.count() if rows is None else rows)
+    placed = cut_lineage(df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
+                         .withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, seen = [], 0
+    for i in range(max(sizes, default=0) + 1):
+        before.append(seen)
+        seen += sizes.get(i, 0)
+    offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), part.cast("int"))
+    place = F.col("_at") - F.shiftleft(part, 33)
+    return placed.withColumn(name, (place + offset + 1).cast("bigint")).drop("_at")
+
+
+def distributed_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],
+                           name: str = "rn") -> DataFrame:
+    """Exact ``row_number()`` over (partition_cols, order_cols), 1-based, for a bounded
+    number of groups (the classes, or the blocks of a dictionary): the global number
+    in the order (group, order_cols) less the sizes of the groups before."""
     pcols = list(partition_cols)
-    b = df.withColumn("_bkt", bucket)
-    counts = b.groupBy(*pcols, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*pcols, "_bkt").orderBy(*order_cols)
-    if bounded_groups:
-        rows = counts.collect()
-        run: dict = {}
-        pairs = []
-        for r in sorted(rows, key=lambda r: (tuple((x is None, x) for x in (r[c] for c in pcols)), r["_bkt"])):
-            g = tuple(r[c] for c in pcols)
-            off = run.get(g, 0)
-            pairs.append((g, r["_bkt"], off))
-            run[g] = off + r["_cnt"]
-        if not pairs:  # empty input
-            return b.withColumn(name, F.row_number().over(w).cast("bigint")).drop("_bkt")
-        types = dict(b.dtypes)
-        kv = []
-        for g, bk, off in pairs:
-            fields = [F.lit(x).cast(types[c]).alias(f"g{i}") for i, (c, x) in enumerate(zip(pcols, g))]
-            kv += [F.struct(*fields, F.lit(bk).cast(types["_bkt"]).alias("b")), F.lit(off).cast("bigint")]
-        key = F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(pcols)],
-                       F.col("_bkt").alias("b"))
-        offset = F.element_at(F.create_map(*kv), key)
-        return b.withColumn(name, F.row_number().over(w) + offset).drop("_bkt")
-    prior = Window.partitionBy(*pcols).orderBy("_bkt").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(*pcols, "_bkt",
-                            F.coalesce(F.sum("_cnt").over(prior), F.lit(0)).alias("_off"))
-    offsets = offsets.withColumnRenamed("_bkt", "_obkt")
-    for c in pcols:
-        offsets = offsets.withColumnRenamed(c, f"_o_{c}")
-    cond = (b["_bkt"] == offsets["_obkt"])
-    for c in pcols:
-        cond = cond & b[c].eqNullSafe(offsets[f"_o_{c}"])
-    joined = b.join(offsets, cond, "inner").drop("_obkt", *[f"_o_{c}" for c in pcols])
-    return joined.withColumn(name, F.row_number().over(w) + F.col("_off")).drop("_bkt", "_off")
-
-
-def minmax_bounds(df: DataFrame, value: Column, buckets: int) -> list:
-    """Equal-width cut points between min and max: one cheap aggregation; fine
-    for key-like columns (ids, hashed keys) whose values spread evenly."""
-    r = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
-    if r is None or r["lo"] is None:
-        return []
-    return uniform_bounds(float(r["lo"]), float(r["hi"]), buckets)
+    ranked = global_row_number(df, [*[F.col(c).asc_nulls_first() for c in pcols], *order_cols], name)
+    if not pcols:
+        return ranked
+    firsts = ranked.groupBy(*pcols).agg(F.min(name).alias("n")).limit(MAX_GROUPS + 1).collect()
+    if len(firsts) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups: number them over buckets")
+    start = F.lit(1).cast("bigint")
+    for r in firsts:
+        test = F.lit(True)
+        for c in pcols:
+            test = test & (F.col(c).isNull() if r[c] is None else F.col(c) == F.lit(r[c]))
+        start = F.when(test, F.lit(r["n"])).otherwise(start)
+    return ranked.withColumn(name, F.col(name) - start + 1)
+
+
+def position_bucket(ranked: DataFrame, name: str = "rn") -> Column:
+    """Even buckets of a global row number: monotone in its order, and no tie is larger than a row."""
+    rows = ranked.count()
+    size = max(1, -(-rows // buckets_for(ranked.sparkSession, rows)))
+    return F.floor((F.col(name) - 1) / F.lit(size)).cast("int")
 
 
 def kth_smallest(df: DataFrame, value: str, ks: dict, group: str | None = None,
-                 bins: int = 1024, max_rounds: int = 64) -> dict:
+                 bins: int = 1024) -> dict:
     """Exact k-th smallest (1-based) non-null ``value`` per group.
 
     ``ks`` maps group value -> k, or group value -> list of k (use the key
     ``None`` when ``group`` is None); it may also be a function of the group
     sizes returning that map.  Answers mirror the shape of ``ks``.  A k
-    below 1 or above the group size is answered with ``None``.  Each round is
-    one job: an aggregation over the rows still in range, returning at most
-    ``bins`` buckets per open request to the driver, never the rows.
+    below 1 or above the group size is answered with ``None``.
+
+    Integers stay integers: a histogram over their high bits ends after at most
+    seven rounds at 1,024 bins.  Doubles start with equal-width histograms; where
+    one round leaves more than half of the values in one bin, the next one cuts at
+    approximate quantiles of what is left, so that every round shrinks a skewed
+    range too.  A round is one aggregation for all open requests, returning at most
+    ``bins`` + 1 buckets each to the driver, never the rows.
     """
     gcol = F.col(group) if group else F.lit(None).cast("int")
-    base = df.select(gcol.alias("_g"), F.col(value).cast("double").alias("_v")).where(
+    whole = dict(df.dtypes)[value] in ("tinyint", "smallint", "int", "bigint")
+    base = df.select(gcol.alias("_g"), F.col(value).cast("bigint" if whole else "double").alias("_v")).where(
         F.col("_v").isNotNull())
     # the refinement rounds re-read two narrow columns: keep them (spills to disk)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _kth_rounds(base, ks, bins, max_rounds)
+        return _kth_rounds(base, ks, bins, whole)
     finally:
         base.unpersist()
 
 
-def _kth_rounds(base: DataFrame, ks: dict, bins: int, max_rounds: int) -> dict:
-    stats = {r["_g"]: (r["n"], r["lo"], r["hi"]) for r in base.groupBy("_g").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()}
+MAX_GROUPS = 100000
+MAX_ROUNDS = 64
+
+
+class _Request:
+    """The k-th smallest of a group, among its values in [lo, hi]."""
+
+    def __init__(self, group, k: int, lo, hi, size: int):
+        self.group, self.k, self.lo, self.hi, self.size = group, k, lo, hi, size
+        self.skewed = not self._even()
+
+    def _even(self) -> bool:
+        """The range can be cut into bins of equal width."""
+        width = (self.hi - self.lo) / 65536
+        return 0 < width < float("inf")
+
+    def inside(self) -> Column:
+        own = F.col("_g").isNull() if self.group is None else F.col("_g") == F.lit(self.group)
+        return own & F.col("_v").between(F.lit(self.lo), F.lit(self.hi))
+
+    def bucket(self, bins: int, whole: bool, cuts: list | None) -> Column:
+        if cuts is not None:  # a cut's own value gets a bucket of its own
+            return bucket_of(F.col("_v"), cuts) + bucket_of(F.col("_v"), cuts, strict=True)
+        if whole:
+            shift = 0
+            while (self.hi >> shift) - (self.lo >> shift) >= bins:
+                shift += 1
+            return F.shiftright(F.col("_v"), shift) - F.lit(self.lo >> shift)
+        width = (self.hi - self.lo) / bins
+        return F.least(F.floor((F.col("_v") - F.lit(self.lo)) / F.lit(width)), F.lit(bins - 1))
+
+    def narrow(self, hist: list, whole: bool):
+        """The answer, or None with the range narrowed to the bucket of the k-th value."""
+        seen = 0
+        for _, count, lo, hi in sorted(hist):
+            if seen + count >= self.k:
+                stuck = count > self.size / 2
+                self.k, self.lo, self.hi, self.size = self.k - seen, lo, hi, count
+                self.skewed = not whole and (stuck or not self._even())
+                return lo if lo == hi else None
+            seen += count
+        raise RuntimeError(f"{seen} values counted, {self.k} wanted: the rows changed between two passes")
+
+
+def _kth_rounds(base: DataFrame, ks: dict, bins: int, whole: bool) -> dict:
+    rows = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"),
+                                  F.max("_v").alias("hi")).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups: this is not a class column")
+    stats = {r["_g"]: (r["n"], r["lo"], r["hi"]) for r in rows}
     if callable(ks):  # ranks chosen from the group sizes counted here (saves a job)
         ks = ks({g: v[0] for g, v in stats.items()})
-    reqs = []  # (group, k)
-    for g, k in ks.items():
-        for kk in (k if isinstance(k, (list, tuple)) else [k]):
-            reqs.append((g, kk))
+    asked = [(g, i, kk) for g, k in ks.items() for i, kk in enumerate(k if isinstance(k, (list, tuple)) else [k])]
     answer: dict = {}
-    state: dict = {}
-    for i, (g, k) in enumerate(reqs):
-        if g not in stats or k is None or k < 1 or k > stats[g][0]:
-            answer[i] = None
-            continue
-        n, lo, hi = stats[g]
-        if lo == hi:
-            answer[i] = lo
+    open_: dict = {}
+    for g, i, k in asked:
+        n, lo, hi = stats.get(g, (0, None, None))
+        if k is None or k < 1 or k > n:
+            answer[g, i] = None
+        elif lo == hi:
+            answer[g, i] = lo
         else:
-            state[i] = [g, k, lo, hi]  # k-th smallest among values of g in [lo, hi]
-    rounds = 0
-    while state and rounds < max_rounds:
-        rounds += 1
+            open_[g, i] = _Request(g, k, lo, hi, n)
+    for _ in range(MAX_ROUNDS):
+        if not open_:
+            break
         # requests with the same group and range share one histogram
-        shared: dict = {}
-        for i, (g, k, lo, hi) in state.items():
-            shared.setdefault((g, lo, hi), []).append(i)
-        parts = []
-        for tag, (g, lo, hi) in enumerate(shared):
-            in_g = F.col("_g").isNull() if g is None else (F.col("_g") == F.lit(g))
-            width = (hi - lo) / bins
-            bk = F.least(F.floor((F.col("_v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
-            parts.append(base.where(in_g & (F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi)))
-                         .select(F.lit(tag).alias("_t"), bk.alias("_b"), "_v"))
-        allp = parts[0]
-        for p in parts[1:]:
-            allp = allp.unionByName(p)
-        hist = (allp.groupBy("_t", "_b")
-                .agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
-                .collect())
-        per: dict = {}
-        for r in hist:
-            per.setdefault(r["_t"], []).append((r["_b"], r["c"], r["mn"], r["mx"]))
-        for tag, key in enumerate(shared):
-            for i in shared[key]:
-                g, k, lo, hi = state[i]
-                seen = 0
-                for b, c, mn, mx in sorted(per.get(tag, [])):
-                    if seen + c >= k:
-                        if mn == mx:
-                            answer[i] = mn
-                            del state[i]
-                        else:
-                            state[i] = [g, k - seen, mn, mx]
-                        break
-                    seen += c
-                else:  # pragma: no cover - counts always cover k
-                    answer[i] = None
-                    del state[i]
-    for i in state:  # pragma: no cover - doubles converge well before max_rounds
-        answer[i] = None
-    out: dict = {}
-    idx = 0
-    for g, k in ks.items():
-        if isinstance(k, (list, tuple)):
-            out[g] = [answer[idx + j] for j in range(len(k))]
-            idx += len(k)
-        else:
-            out[g] = answer[idx]
-            idx += 1
-    return out
+        ranges: dict = {}
+        for at, r in open_.items():
+            ranges.setdefault((r.group, r.lo, r.hi), []).append(at)
+        firsts = {tag: open_[ats[0]] for tag, ats in enumerate(ranges.values())}
+        skewed = {tag: r for tag, r in firsts.items() if r.skewed}
+        cuts = _quantile_cuts(base, skewed) if skewed else {}
+        parts = F.array(*[F.when(r.inside(), F.struct(
+            F.lit(tag).alias("t"), r.bucket(bins, whole, cuts.get(tag)).cast("bigint").alias("b")))
+            for tag, r in firsts.items()])
+        hist: dict = {}
+        for r in (base.select("_v", F.explode(F.filter(parts, lambda x: x.isNotNull())).alias("p"))
+                  .groupBy("p.t", "p.b").agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("lo"),
+                                             F.max("_v").alias("hi")).collect()):
+            hist.setdefault(r["t"], []).append((r["b"], r["c"], r["lo"], r["hi"]))
+        for tag, ats in enumerate(ranges.values()):
+            for at in ats:
+                found = open_[at].narrow(hist.get(tag, []), whole)
+                if found is not None:
+                    answer[at] = found
+                    del open_[at]
+    if open_:
+        raise RuntimeError(f"no end after {MAX_ROUNDS} rounds: {sorted(map(str, open_))}")
+    return {g: [answer[g, i] for i in range(len(k))] if isinstance(k, (list, tuple)) else answer[g, 0]
+            for g, k in ks.items()}
+
+
+def _quantile_cuts(base: DataFrame, requests: dict, points: int = 255) -> dict:
+    """Approximate quantiles of each request's range, all of them values of it."""
+    probs = [i / (points + 1) for i in range(1, points + 1)]
+    row = base.agg(*[F.percentile_approx(F.when(r.inside(), F.col("_v")), probs, 10000).alias(f"q{tag}")
+                     for tag, r in requests.items()]).first()
+    return {tag: sorted({*(row[f"q{tag}"] or []), r.hi}) for tag, r in requests.items()}
 
 
 def exact_median(df: DataFrame, value: str, group: str | None, groups: list) -> dict:
@@ -255,19 +253,19 @@ def exact_median(df: DataFrame, value: str, group: str | None, groups: list) ->
 def localize(df: DataFrame) -> DataFrame:
     """Materialise a small result (K x K cells, per-class numbers) as a local
     relation so later steps do not recompute it from the rows.  Only for
-    results whose size is bounded by a constant such as K^2."""
-    rows = df.collect()
+    results whose size is bounded by a constant such as K^2: more rows than
+    ``MAX_GROUPS`` raise."""
+    rows = df.limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} rows: not a bounded result")
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def buckets_for(spark, default: int = DEFAULT_BUCKETS) -> int:
-    """Bucket count for split windows: scale with the shuffle width."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        n = default
-    return max(8, min(1024, max(default, n)))
+ROWS_PER_BUCKET = 2000000
 
 
-def log2_ceil(n: int) -> int:
-    return max(0, math.ceil(math.log2(max(n, 1))))
+def buckets_for(spark, rows: int | None = None) -> int:
+    """Bucket count for split windows: the shuffle width, and where the number of
+    rows is known at least one for each two million of them."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return n if rows is None else max(n, -(-rows // ROWS_PER_BUCKET))

@@ -16,9 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import seeded_key
-from ..functions.ranking import (bucket_of, buckets_for, distributed_row_number,
-                                 quantile_bounds)
+from ..functions.ranking import bucket_of, distributed_row_number, global_row_number, position_bucket
 from ..session import cut_lineage
 from ..sources.tables import Roles
 
@@ -32,7 +30,6 @@ BIN_MIN_DISTINCT = 100      # more distinct values than this -> quantile bins
 BIN_PER_VALUES = 10         # bins = min(nunique // 10, 255)
 BIN_MAX = 255
 BLOCK_OVERLAP = 0.1         # share of the smaller value set
-BLOCK_SAMPLE_ROWS = 100000
 
 
 def feat_name(prefix: str, cls: str, feat: str) -> str:
@@ -65,10 +62,14 @@ def drop_time(df: DataFrame, roles: Roles | None = None) -> DataFrame:
 
 
 def hash_categories(df: DataFrame, roles: Roles | None = None) -> DataFrame:
-    """Replace categories by a stable 64-bit hash (Python's ``hash`` is salted)."""
+    """Replace categories by a stable 60-bit hash (Python's ``hash`` is salted): the
+    first 15 hex digits of the MD5.  A null stays null."""
     roles = roles or Roles.infer(df)
-    return df.select(*[F.xxhash64(F.col(c)).alias(c) if c in roles.cat else F.col(c)
-                       for c in df.columns])
+
+    def hashed(c: str) -> Column:
+        return F.conv(F.substring(F.md5(F.col(c).cast("string")), 1, 15), 16, 10).cast("bigint")
+
+    return df.select(*[hashed(c).alias(c) if c in roles.cat else F.col(c) for c in df.columns])
 
 
 def nonneg_rows(df: DataFrame, row_id: str = "row_id") -> DataFrame:
@@ -128,9 +129,10 @@ def _part(t: Column, part: str) -> Column:
 
 
 def date_parts_fit(df: DataFrame, time_col: str) -> list:
-    """P11 fit: the date parts with more than one distinct value (one aggregation)."""
-    row = df.agg(*[F.countDistinct(_part(F.col(time_col), p)).alias(p) for p in DATE_PARTS]).first()
-    return [p for p in DATE_PARTS if row[p] > 1]
+    """P11 fit: the date parts with more than one distinct value (smallest below largest)."""
+    parts = {p: _part(F.col(time_col), p) for p in DATE_PARTS}
+    row = df.agg(*[(F.min(x) < F.max(x)).alias(p) for p, x in parts.items()]).first()
+    return [p for p in DATE_PARTS if row[p]]
 
 
 def date_parts(df: DataFrame, time_col: str, parts: list | None = None) -> DataFrame:
@@ -153,9 +155,10 @@ def num_diff(df: DataFrame, nums: list) -> DataFrame:
 # ------------------------------------------------------------------ A2-A7 aggregates
 
 def cat_cardinality(df: DataFrame, cats: list, approx: bool = False) -> DataFrame:
-    """A2: distinct values per category column, one aggregation for all columns."""
-    fn = F.approx_count_distinct if approx else F.countDistinct
-    return df.agg(*[fn(c).alias(f"n_{c}") for c in cats])
+    """A2: distinct values per category column: the distinct (column, value) pairs, counted."""
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c).alias(f"n_{c}") for c in cats])
+    return _value_pairs(df, cats).agg(*[F.count_if(F.col("col") == c).alias(f"n_{c}") for c in cats])
 
 
 def _attach(df: DataFrame, lookup: DataFrame, keys: list, how: str = "left") -> DataFrame:
@@ -166,23 +169,13 @@ def _attach(df: DataFrame, lookup: DataFrame, keys: list, how: str = "left") ->
 def cat_count(df: DataFrame, cats: list) -> DataFrame:
     """A3: count of the row's value in each category column (first 100 columns).
 
-    All columns are counted in ONE aggregation over the unpivoted
-    ``(col, value)`` pairs with map-side partial counts (X2), then each
-    column's counts are joined back.
+    Each column is counted by itself, with map-side partial counts, and its counts
+    are joined back.
     """
-    cats = cats[:MAX_COUNT_CATS]
-    if not cats:
-        return df
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cats
-    ])).alias("p")).select("p.col", "p.value").where(F.col("value").isNotNull())
-    counts = pairs.groupBy("col", "value").agg(F.count(F.lit(1)).alias("cnt"))
     out = df
-    for c in cats:
-        name = feat_name("n_", "CatCnt", c)
-        lk = counts.where(F.col("col") == c).select(F.col("value").alias(f"_k_{c}"),
-                                                    F.col("cnt").alias(name))
-        out = out.join(lk, out[c].cast("string") == lk[f"_k_{c}"], "left").drop(f"_k_{c}")
+    for c in cats[:MAX_COUNT_CATS]:
+        lk = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias(feat_name("n_", "CatCnt", c)))
+        out = _attach(out, lk, [c])
     return out
 
 
@@ -223,61 +216,65 @@ def cat_label_rate(df: DataFrame, cat: str, label: str = "label", inverted: bool
 
 # ------------------------------------------------------------------ W1, W2 windows
 
-def _time_bucket(df: DataFrame, time_col: str | None, row_id: str) -> tuple[Column, list]:
-    """Bucket monotone in the (time asc nulls last, row_id) order."""
-    spark = df.sparkSession
-    nb = buckets_for(spark)
-    if time_col is None:
-        x = F.col(row_id).cast("double")
-    else:
-        x = F.unix_micros(F.col(time_col).cast("timestamp")).cast("double")
-    bounds = quantile_bounds(df, x, nb)
+def _long_values(df: DataFrame, cats: list, *keep: str) -> DataFrame:
+    """(keep, col, value) for the non-null values of the category columns."""
+    return df.select(*keep, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cats
+    ])).alias("p")).select(*keep, "p.col", "p.value").where(F.col("value").isNotNull())
+
+
+def _time_ordered(df: DataFrame, cats: list, time_col: str | None, row_id: str) -> DataFrame:
+    """(row_id, _us, _pos, _bkt, col, value): the values in time order (nulls last, ties
+    by row_id), in buckets of equal size, so that equal times are split as well."""
     order = ([F.col(time_col).asc_nulls_last()] if time_col else []) + [F.col(row_id).asc()]
-    return bucket_of(x, bounds), order
+    narrow = df.select(row_id, *([time_col] if time_col else []), *cats)
+    ranked = global_row_number(narrow, order, "_pos")
+    us = F.unix_micros(F.col(time_col).cast("timestamp")) if time_col else F.lit(None).cast("bigint")
+    return _long_values(ranked.withColumn("_us", us).withColumn("_bkt", position_bucket(ranked, "_pos")),
+                        cats, row_id, "_us", "_pos", "_bkt")
+
+
+def _attach_long(df: DataFrame, long: DataFrame, names: dict, value: str, row_id: str) -> DataFrame:
+    """One column per key of ``names`` (source column -> new name), from (row_id, col, value)."""
+    wide = long.groupBy(row_id).agg(*[F.max(F.when(F.col("col") == c, F.col(value))).alias(n)
+                                      for c, n in names.items()])
+    return df.join(wide, row_id, "left")
+
+
+_VALUE = ["col", "value"]
 
 
 def cat_running_count(df: DataFrame, cats: list, time_col: str | None = "t_1",
                       row_id: str = "row_id") -> DataFrame:
     """0-based running count of the row's value in time order (ties by row_id).
 
-    The window runs per (value, time bucket) with per-bucket offsets, so a hot
-    value is spread over many tasks (X3).  Each column is computed on a narrow
-    projection and joined back on ``row_id``: only narrow rows shuffle and the
-    plan grows linearly with the number of columns.  NULL value -> NULL.
+    The window runs per (value, time bucket) with the counts of the earlier buckets
+    of the value added, so a hot value is spread over many tasks (X3).  All columns
+    go through it together, and are joined back once on ``row_id``.  NULL -> NULL.
     """
-    bucket, order = _time_bucket(df, time_col, row_id)
-    keep = [row_id] + ([time_col] if time_col else [])
-    out = df
-    for c in cats:
-        name = feat_name("n_", "CatCumCnt", c)
-        nar = df.select(*keep, c)
-        r = distributed_row_number(nar, [c], order, bucket, name="_rn")
-        r = r.select(row_id, F.when(F.col(c).isNotNull(), F.col("_rn") - 1).alias(name))
-        out = out.join(r, row_id, "left")
-    return out
+    rows = _time_ordered(df, cats, time_col, row_id)
+    earlier = Window.partitionBy(*_VALUE).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(*_VALUE, "_bkt").agg(F.count(F.lit(1)).alias("_n")).select(
+        *_VALUE, "_bkt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*_VALUE, "_bkt").orderBy("_pos")) - 1
+    counted = rows.join(before, [*_VALUE, "_bkt"]).select(row_id, "col", (within + F.col("_before")).alias("_run"))
+    return _attach_long(df, counted, {c: feat_name("n_", "CatCumCnt", c) for c in cats}, "_run", row_id)
 
 
 def cat_time_gap(df: DataFrame, cats: list, time_col: str = "t_1", row_id: str = "row_id",
                  drop_time_col: bool = False) -> DataFrame:
     """Seconds since the previous row with the same value (time order, ties by
     row_id).  Per (value, time bucket) lag plus the latest time of the earlier
-    buckets of that value, so no value sits in one task.  Narrow per-column
-    work joined back on ``row_id``.  NULL value -> NULL."""
-    bucket, order = _time_bucket(df, time_col, row_id)
-    micros = F.unix_micros(F.col(time_col).cast("timestamp"))
-    out = df
-    for c in cats:
-        name = feat_name("n_", "CatTimeDiff2LEVEL", f"{c}_{time_col}_diff:1")
-        nar = df.select(row_id, time_col, c).withColumn("_tb", bucket).withColumn("_us", micros)
-        last = nar.groupBy(c, "_tb").agg(F.max("_us").alias("_mx"))
-        prior = Window.partitionBy(c).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-        last = last.select(F.col(c).alias("_lc"), F.col("_tb").alias("_ltb"),
-                           F.max("_mx").over(prior).alias("_prev_bucket"))
-        j = nar.join(last, (nar[c] == last["_lc"]) & (nar["_tb"] == last["_ltb"]), "left")
-        w = Window.partitionBy(c, "_tb").orderBy(*order)
-        prev = F.coalesce(F.lag("_us", 1).over(w), F.col("_prev_bucket"))
-        r = j.select(row_id, F.when(F.col(c).isNotNull(), (F.col("_us") - prev) / F.lit(1e6)).alias(name))
-        out = out.join(r, row_id, "left")
+    buckets of that value, so no value sits in one task.  NULL value -> NULL."""
+    rows = _time_ordered(df, cats, time_col, row_id)
+    earlier = Window.partitionBy(*_VALUE).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    last = rows.groupBy(*_VALUE, "_bkt").agg(F.max("_us").alias("_mx")).select(
+        *_VALUE, "_bkt", F.max("_mx").over(earlier).alias("_before"))
+    within = F.lag("_us", 1).over(Window.partitionBy(*_VALUE, "_bkt").orderBy("_pos"))
+    gaps = rows.join(last, [*_VALUE, "_bkt"]).select(
+        row_id, "col", ((F.col("_us") - F.coalesce(within, F.col("_before"))) / F.lit(1e6)).alias("_gap"))
+    out = _attach_long(df, gaps, {c: feat_name("n_", "CatTimeDiff2LEVEL", f"{c}_{time_col}_diff:1") for c in cats},
+                       "_gap", row_id)
     return out.drop(time_col) if drop_time_col else out
 
 
@@ -290,9 +287,7 @@ def capped_sample(df: DataFrame, n: int, seed: int = 0, row_id: str = "row_id")
 
 
 def _value_pairs(df: DataFrame, cats: list) -> DataFrame:
-    return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("value")) for c in cats
-    ])).alias("p")).select("p.col", "p.value").where(F.col("value").isNotNull()).distinct()
+    return _long_values(df, cats).distinct()
 
 
 def block_edges(df: DataFrame, cats: list, overlap: float = BLOCK_OVERLAP) -> DataFrame:
@@ -311,17 +306,14 @@ def block_edges(df: DataFrame, cats: list, overlap: float = BLOCK_OVERLAP) -> Da
     return j.where((less > 1) & (F.col("n_both") / less > F.lit(overlap))).select("col_a", "col_b")
 
 
-def cat_blocks(df: DataFrame, cats: list, sample_rows: int = BLOCK_SAMPLE_ROWS, seed: int = 0,
-               row_id: str = "row_id") -> DataFrame:
+def cat_blocks(df: DataFrame, cats: list) -> DataFrame:
     """Connected components of the overlap graph over category columns.
 
-    The value work (unpivot, distinct, self join on value) runs on Spark over an
-    exact seeded sample of at most ``sample_rows`` rows; only the edge list — at
-    most C*(C-1)/2 column-name pairs — reaches the driver, where components are
-    numbered from 1 in column order.
+    The value work (unpivot, distinct, self join on value) runs on Spark over all
+    rows; only the edge list — at most C*(C-1)/2 column-name pairs — reaches the
+    driver, where components are numbered from 1 in column order.
     """
-    sample = capped_sample(df, sample_rows, seed, row_id)
-    edges = [(r["col_a"], r["col_b"]) for r in block_edges(sample, cats).collect()]
+    edges = [(r["col_a"], r["col_b"]) for r in block_edges(df, cats).collect()]
     adj = {c: set() for c in cats}
     for x, y in edges:
         adj[x].add(y)
@@ -362,15 +354,22 @@ class BlockEncoder:
 
     def fit(self, df: DataFrame, blocks: DataFrame) -> "BlockEncoder":
         self.blocks = {r["col"]: r["block"] for r in blocks.collect()}
-        vals = block_values(df, blocks)
+        vals = self._values(df)
         self.dictionary = cut_lineage(_number_values(vals))  # fitted state is materialised
         return self
 
+    def _values(self, df: DataFrame) -> DataFrame:
+        """Distinct (block, value), a null of any of the block's columns included."""
+        return self._long(df).select("block", "value").distinct()
+
+    def _long(self, df: DataFrame, *keep: str) -> DataFrame:
+        return df.select(*keep, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("col"), F.lit(b).cast("int").alias("block"), F.col(c).cast("string").alias("value"))
+            for c, b in self.blocks.items()])).alias("p")).select(*keep, "p.*")
+
     def extend(self, df: DataFrame) -> "BlockEncoder":
-        """Append codes for values not yet in the dictionary."""
-        spark = df.sparkSession
-        bl = spark.createDataFrame(list(self.blocks.items()), "col string, block int")
-        vals = block_values(df, bl)
+        """Append codes for values not yet in the dictionary (a null only has a code from fit)."""
+        vals = self._values(df).where(F.col("value").isNotNull())
         new = vals.join(self.dictionary, ["block", "value"], "left_anti")
         size = self.dictionary.groupBy("block").agg(F.count(F.lit(1)).alias("_base"))
         appended = _number_values(new).join(F.broadcast(size), "block", "left").select(
@@ -378,67 +377,48 @@ class BlockEncoder:
         self.dictionary = cut_lineage(self.dictionary.unionByName(appended))
         return self
 
-    def transform(self, df: DataFrame, append: bool = True) -> DataFrame:
+    def transform(self, df: DataFrame, append: bool = True, row_id: str = "row_id") -> DataFrame:
+        """The columns replaced by codes: one join of the narrow values, and one back on row_id."""
         if append:
             self.extend(df)
-        out = df
-        for c, b in self.blocks.items():
-            d = self.dictionary.where(F.col("block") == b).select(
-                F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
-            out = out.join(d, out[c].cast("string") == d[f"_v_{c}"], "left")
-            out = out.withColumn(c, F.col(f"_c_{c}").cast("int")).drop(f"_v_{c}", f"_c_{c}")
-        return out
-
-
-# A dictionary with at most this many (block, value) entries is numbered with one
-# window per block (a task holds at most this many short rows); larger ones are
-# numbered over value-range buckets.
-SMALL_DICTIONARY = 1000000
+        names = {c: f"_code_{c}" for c in self.blocks}
+        long = self._long(df, row_id).alias("l").join(
+            self.dictionary.alias("d"), (F.col("l.block") == F.col("d.block"))
+            & F.col("l.value").eqNullSafe(F.col("d.value"))).select(f"l.{row_id}", "l.col", "d.code")
+        out = _attach_long(df, long, names, "code", row_id)
+        return out.select(*[F.col(names[c]).cast("int").alias(c) if c in names else F.col(c) for c in df.columns])
 
 
 def _number_values(vals: DataFrame) -> DataFrame:
-    """code = rank of the value within its block (0-based, sorted)."""
-    vals = cut_lineage(vals)  # distinct values: counted, then numbered
-    n = vals.count()
-    if n <= SMALL_DICTIONARY:
-        w = Window.partitionBy("block").orderBy("value")
-        return vals.select("block", "value", (F.row_number().over(w) - 1).cast("bigint").alias("code"))
-    bounds = _string_bounds(vals, "value", buckets_for(vals.sparkSession), n=n)
-    # groups are the blocks: at most one per category column, so bounded
-    ranked = distributed_row_number(vals, ["block"], [F.col("value")],
-                                    bucket_of(F.col("value"), bounds), name="_rn",
-                                    bounded_groups=True)
+    """code = rank of the value within its block (0-based, sorted, null last)."""
+    ranked = distributed_row_number(vals, ["block"], [F.col("value").asc_nulls_last()], "_rn")
     return ranked.select("block", "value", (F.col("_rn") - 1).cast("bigint").alias("code"))
 
 
-def _string_bounds(df: DataFrame, col: str, buckets: int, target: int = 20000,
-                   n: int | None = None) -> list:
-    """Approximate quantile cut points of any orderable column from a bounded,
-    deterministic hash sample (at most ~``target`` values reach the driver)."""
-    n = df.count() if n is None else n
-    if n == 0 or buckets <= 1:
-        return []
-    frac = min(1.0, target / n)
-    sample = df.where(F.abs(F.xxhash64(F.col(col))) % 1000000 < F.lit(int(frac * 1000000)))
-    vals = sorted(r[0] for r in sample.select(col).collect() if r[0] is not None)
-    if not vals:
-        return []
-    step = max(1, len(vals) // buckets)
-    return sorted(set(vals[step::step]))
-
-
 # ------------------------------------------------------------------ E3, E4
 
 def _exact_order_stats(df: DataFrame, col: str, ranks: list) -> dict:
-    """Values at the given 1-based ranks of ``col`` (non-null), exactly: a
-    distributed row number over value buckets, then a filter on the ranks."""
-    x = df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    bounds = quantile_bounds(x, F.col("_x"), buckets_for(df.sparkSession))
-    ranked = distributed_row_number(x, [], [F.col("_x")], bucket_of(F.col("_x"), bounds), "_r",
-                                    bounded_groups=True)
-    want = sorted(set(int(r) for r in ranks))
-    rows = ranked.where(F.col("_r").isin(want)).select("_r", "_x").collect()
-    return {r["_r"]: r["_x"] for r in rows}
+    """Values at the given 1-based ranks of ``col`` (non-null), exactly.
+
+    The distinct values are counted (a value held by most rows is one row then),
+    numbered in order, and their counts summed up over even buckets.
+    """
+    counts = (df.select(F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+              .groupBy("_x").agg(F.count(F.lit(1)).alias("_n")))
+    ranked = global_row_number(counts, [F.col("_x")], "_r")
+    ranked = ranked.withColumn("_bkt", position_bucket(ranked, "_r"))
+    sums = {r["_bkt"]: r["n"] for r in ranked.groupBy("_bkt").agg(F.sum("_n").alias("n")).collect()}
+    before, seen = [], 0
+    for i in range(max(sums, default=0) + 1):
+        before.append(seen)
+        seen += sums.get(i, 0)
+    running = F.sum("_n").over(Window.partitionBy("_bkt").orderBy("_r"))
+    upto = running + F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), F.col("_bkt"))
+    want = F.array(*[F.lit(int(r)).cast("bigint") for r in sorted(set(ranks))])
+    held = ranked.select("_x", "_n", upto.alias("_upto")).withColumn(
+        "_held", F.filter(want, lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n"))))
+    rows = held.where(F.size("_held") > 0).select("_x", F.explode("_held").alias("_k")).collect()  # one per rank
+    return {r["_k"]: r["_x"] for r in rows}
 
 
 def quantile_edges(df: DataFrame, col: str, bins: int) -> list:

@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import KEY_MODULUS, argmax_first, seeded_key
-from ..functions.ranking import (bucket_of, buckets_for, distributed_row_number, exact_median,
-                                 localize, uniform_bounds)
+from ..functions.keys import argmax_first, seeded_key
+from ..functions.ranking import MAX_GROUPS, distributed_row_number, exact_median, localize
 
 # Slack on the per-class threshold comparison.
 THRESHOLD_SLACK = 1e-6
@@ -25,25 +24,12 @@ def stratified_folds(df: DataFrame, k: int = 5, seed: int = 0, label: str = "lab
     """Stratified k-fold: within each class, rows ordered by a seeded key are dealt
     round-robin, ``fold = (rank - 1) mod k``.  Exact and repeatable.
 
-    The per-class rank is computed with key-range buckets (the key is uniform),
-    so a class is spread over many tasks.
+    The per-class rank comes from a range partitioning, so a class is spread over
+    many tasks.
     """
-    spark = df.sparkSession
-    key = seeded_key(row_id, seed)
-    nb = buckets_for(spark)
-    keyed = df.withColumn("_key", key)
-    ranked = distributed_row_number(
-        keyed, [label], [F.col("_key"), F.col(row_id)],
-        bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)), name="_rank",
-        bounded_groups=True)
-    return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop(
-        "_rank", "_key")
-
-
-def hash_folds(df: DataFrame, k: int = 5, seed: int = 0, row_id: str = "row_id",
-               name: str = "fold") -> DataFrame:
-    """Unstratified scale form: fold from the seeded key alone (no shuffle)."""
-    return df.withColumn(name, F.pmod(seeded_key(row_id, seed), F.lit(k)).cast("int"))
+    ranked = distributed_row_number(df.withColumn("_key", seeded_key(row_id, seed, "fold")), [label],
+                                    [F.col("_key"), F.col(row_id)], "_rank")
+    return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_key")
 
 
 # ------------------------------------------------------------------ L1b psx
@@ -79,7 +65,10 @@ def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def class_sizes(df: DataFrame, label: str = "label", num_classes: int | None = None) -> dict:
-    got = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    rows = df.groupBy(label).count().limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} classes in {label}")
+    got = {r[0]: r[1] for r in rows}
     if num_classes is not None:
         return {k: int(got.get(k, 0)) for k in range(num_classes)}
     return {k: int(v) for k, v in got.items()}
@@ -230,12 +219,12 @@ def confident_joint(df: DataFrame, thresholds: list, label: str = "label",
     spark = df.sparkSession
     rows = (with_confident_class(df, thresholds, psx)
             .groupBy(F.col(label).cast("int").alias("k_s"), F.col("y_conf").alias("k_y"))
-            .agg(F.count(F.lit(1)).alias("v")).collect())
+            .agg(F.count(F.lit(1)).alias("v")).limit(2 * K * (K + 1) + 1).collect())
     cells = {(a, b): 0 for a in range(K) for b in range(K)}
     counts = {a: 0 for a in range(K)}
     for r in rows:
         if r["k_s"] is None or not 0 <= r["k_s"] < K:
-            continue
+            raise ValueError(f"{r['v']} rows have the label {r['k_s']}, which is none of 0..{K - 1}")
         counts[r["k_s"]] += r["v"]
         if r["k_y"] is not None:
             cells[(r["k_s"], r["k_y"])] += r["v"]

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import argmax_first
-from ..functions.ranking import bucket_of, distributed_row_number, kth_smallest, uniform_bounds
+from ..functions.ranking import global_row_number, kth_smallest
 from . import labels as L
 
 
@@ -44,54 +44,6 @@ def _p(psx: str, k: int) -> Column:
     return F.element_at(F.col(psx), k + 1)
 
 
-def prune_by_class_mask(df: DataFrame, by_class: dict, K: int, label: str = "label",
-                        psx: str = "psx") -> Column:
-    """W3 via exact cuts: in class k mark p_k strictly below the (m_k+1)-th smallest."""
-    own = df.select(F.col(label).alias("_s"),
-                    F.element_at(F.col(psx), F.col(label).cast("int") + 1).alias("_p"))
-    cuts = kth_smallest(own, "_p", {k: by_class.get(k, 0) + 1 for k in range(K)}, "_s")
-    mask = F.lit(False)
-    for k in range(K):
-        m = by_class.get(k, 0)
-        if m <= 0:
-            continue
-        in_k = F.col(label) == k
-        cut = cuts.get(k)
-        term = in_k if cut is None else in_k & (_p(psx, k) < F.lit(cut))
-        mask = mask | term
-    return mask
-
-
-def prune_by_count_mask(df: DataFrame, by_count: dict, K: int, label: str = "label",
-                        psx: str = "psx") -> Column:
-    """W4 via exact cuts: in class k, for each j != k, mark margins p_j - p_k at or
-    above the n-th largest (ties at the cut all marked)."""
-    parts = []
-    for (k, j), n in by_count.items():
-        if n > 0:
-            parts.append(df.where(F.col(label) == k).select(
-                F.lit(k * K + j).alias("_g"), (_p(psx, j) - _p(psx, k)).alias("_m")))
-    if not parts:
-        return F.lit(False)
-    allm = parts[0]
-    for p in parts[1:]:
-        allm = allm.unionByName(p)
-    sizes = {r["_g"]: r["count"] for r in allm.groupBy("_g").count().collect()}
-    # n-th largest = (size - n + 1)-th smallest; n >= size marks the whole class
-    ks = {k * K + j: max(1, sizes.get(k * K + j, 0) - n + 1)
-          for (k, j), n in by_count.items() if n > 0}
-    cuts = kth_smallest(allm, "_m", ks, "_g")
-    mask = F.lit(False)
-    for (k, j), n in by_count.items():
-        if n <= 0:
-            continue
-        cut = cuts.get(k * K + j)
-        if cut is None:
-            continue
-        mask = mask | ((F.col(label) == k) & ((_p(psx, j) - _p(psx, k)) >= F.lit(cut)))
-    return mask
-
-
 def prune_by_class_window(df: DataFrame, by_class: dict, label: str = "label",
                           psx: str = "psx") -> Column:
     """W3, window form: count of class rows with p <= own p is at most m."""
@@ -121,20 +73,16 @@ def exact_cut_masks(df: DataFrame, by_class: dict, by_count: dict, K: int, label
     """W3 and W4 masks from ONE exact selection over the union of the values
     both methods rank: own probability per class (group k) and the negated
     margin per (class k, other j) (group K + k*K + j)."""
-    parts = []
-    for k in range(K):
-        if by_class.get(k, 0) > 0:
-            parts.append(df.where(F.col(label) == k).select(
-                F.lit(k).alias("_g"), _p(psx, k).alias("_v")))
-    for (k, j), n in by_count.items():
-        if n > 0:
-            parts.append(df.where(F.col(label) == k).select(
-                F.lit(K + k * K + j).alias("_g"), (_p(psx, k) - _p(psx, j)).alias("_v")))
-    if not parts:
+    values = [F.when(F.col(label) == k, F.struct(F.lit(k).alias("g"), _p(psx, k).alias("v")))
+              for k in range(K) if by_class.get(k, 0) > 0]
+    values += [F.when(F.col(label) == k, F.struct(F.lit(K + k * K + j).alias("g"),
+                                                  (_p(psx, k) - _p(psx, j)).alias("v")))
+               for (k, j), n in by_count.items() if n > 0]
+    if not values:
         return F.lit(False), F.lit(False)
-    allv = parts[0]
-    for p in parts[1:]:
-        allv = allv.unionByName(p)
+    # one scan: every row gives the values that its own class ranks
+    allv = df.select(F.explode(F.filter(F.array(*values), lambda x: x.isNotNull())).alias("x")).select(
+        F.col("x.g").alias("_g"), F.col("x.v").alias("_v"))
 
     def ranks(sizes):
         want = {}
@@ -228,19 +176,13 @@ def order_label_errors(df: DataFrame, method: str = "normalized_margin", label:
                        psx: str = "psx", mask: str = "is_error", row_id: str = "row_id") -> DataFrame:
     """Label errors ordered by self-confidence or by margin p_s - max(p).
 
-    The position is an exact global row number computed over score-range
-    buckets, so the ordering never runs in a single task.
+    The position is an exact global row number over (score, row_id): many rows of one
+    score are split by their id.
     """
     own = F.element_at(F.col(psx), F.col(label).cast("int") + 1)
     score = own if method == "prob_given_label" else own - F.array_max(F.col(psx))
     errs = df.where(F.col(mask)).select(row_id, label, score.alias("score"))
-    # the score range is known (margin in [-1, 0], self-confidence in [0, 1]):
-    # fixed equal-width buckets, no pass over the data to place them
-    lo, hi = (0.0, 1.0) if method == "prob_given_label" else (-1.0, 0.0)
-    bounds = uniform_bounds(lo, hi, 64)
-    return distributed_row_number(errs, [], [F.col("score"), F.col(row_id)],
-                                  bucket_of(F.col("score"), bounds), name="pos",
-                                  bounded_groups=True)
+    return global_row_number(errs, [F.col("score"), F.col(row_id)], "pos")
 
 
 def baseline_argmax(df: DataFrame, label: str = "label", psx: str = "psx") -> DataFrame:

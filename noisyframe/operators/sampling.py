@@ -11,11 +11,11 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import KEY_MODULUS, seeded_key
-from ..functions.ranking import bucket_of, buckets_for, distributed_row_number, kth_smallest, uniform_bounds
+from ..functions.keys import seeded_key
+from ..functions.ranking import MAX_GROUPS, distributed_row_number, kth_smallest
 
 # Fixed values of the reference's sampling rules.
 SSL_MAX_POSITIVES = 20000
@@ -25,89 +25,76 @@ ENTITY_MIN = 10
 ENTITY_MAX = 10000
 MIN_NEG_POS_RATIO = 2
 
-# Samples up to this many rows per group use Spark's top-k operator
-# (orderBy + limit: each task keeps at most n rows, the merge holds n rows);
-# larger samples use the exact cut search, which never gathers the rows.
-TOPK_MAX_ROWS = 200000
-
 
 def take_smallest(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
-                  by: str | None = None) -> DataFrame:
+                  by: str | None = None, purpose: str = "sample") -> DataFrame:
     """Rows with the ``n`` smallest (key, row_id); ``n`` may be a dict per ``by`` value.
 
     Exact: the cut is the n-th smallest key, and at the cut key the first rows by
-    row_id fill the remainder.  Groups not in the dict keep no rows.
+    row_id fill the remainder.  Groups not in the dict keep no rows.  The rows are
+    filtered where they are: no sort, no join.
     """
-    keyed = df.withColumn("_key", seeded_key(row_id, seed))
-    ns = n if isinstance(n, dict) else {None: n}
-    if ns and all(v is not None and v <= TOPK_MAX_ROWS for v in ns.values()):
-        parts = []
-        for g, v in ns.items():
-            if v <= 0:
-                continue
-            sel = keyed if (by is None and not isinstance(n, dict)) else keyed.where(
-                F.col(by).isNull() if g is None else F.col(by) == F.lit(g))
-            parts.append(sel.orderBy("_key", row_id).limit(int(v)))
-        if not parts:
-            return df.limit(0)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out.drop("_key")
-    if by is None and not isinstance(n, dict):
-        grp = keyed.withColumn("_grp", F.lit(None).cast("int"))
-    else:
-        grp = keyed.withColumn("_grp", F.col(by))
+    return df.where(smallest_filter(df, n, seed, row_id, by, purpose))
+
+
+def smallest_filter(df: DataFrame, n, seed: int = 0, row_id: str = "row_id",
+                    by: str | Column | None = None, purpose: str = "sample") -> Column:
+    """The condition of :func:`take_smallest`, over the columns of ``df``."""
+    key = seeded_key(row_id, seed, purpose)
+    group = F.lit(None).cast("int") if by is None else F.col(by) if isinstance(by, str) else by
+    want = {g: int(v) for g, v in (n if isinstance(n, dict) else {None: n}).items() if v is not None and v > 0}
     # the cut search reads three narrow columns several times: persist only those
-    narrow = grp.select(row_id, "_key", "_grp").persist(StorageLevel.MEMORY_AND_DISK)
+    narrow = df.select(F.col(row_id).alias("_id"), key.alias("_key"), group.alias("_grp")).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        keep = _smallest_filter(narrow, ns, row_id)
-        return grp.where(keep).drop("_key", "_grp")
+        sizes = _sizes(narrow)
+        cuts = kth_smallest(narrow, "_key", {g: v for g, v in want.items() if v < sizes.get(g, 0)}, "_grp")
+
+        def at(column: str, test) -> Column:
+            out = F.lit(False)
+            for g, cut in cuts.items():
+                out = out | (_is(F.col("_grp"), g) & test(F.col(column), F.lit(cut)))
+            return out
+
+        below = _sizes(narrow.where(at("_key", lambda x, c: x < c))) if cuts else {}
+        ids = kth_smallest(narrow.where(at("_key", lambda x, c: x == c)), "_id",
+                           {g: want[g] - below.get(g, 0) for g in cuts}, "_grp") if cuts else {}
     finally:
         narrow.unpersist()
+    keep = F.lit(False)
+    for g, v in want.items():
+        if g in cuts:
+            rank = (key < F.lit(cuts[g])) | ((key == F.lit(cuts[g])) & (F.col(row_id) <= F.lit(ids[g])))
+            keep = keep | (_is(group, g) & rank)
+        elif sizes.get(g, 0):
+            keep = keep | _is(group, g)
+    return F.coalesce(keep, F.lit(False))
 
 
-def _smallest_filter(grp: DataFrame, ns: dict, row_id: str):
-    want = {k: int(v) for k, v in ns.items() if v is not None and v > 0}
-    sizes = {r["_grp"]: r["count"] for r in grp.groupBy("_grp").count().collect()}
-    full = {k for k, v in want.items() if v >= sizes.get(k, 0)}
-    partial = {k: v for k, v in want.items() if k not in full and sizes.get(k, 0) > 0}
-    key_cut = kth_smallest(grp, "_key", partial, "_grp") if partial else {}
-    # rows strictly below the cut key, then ties at the cut ordered by row_id
-    below = {}
-    if partial:
-        cond = None
-        for k, c in key_cut.items():
-            ing = F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k)
-            term = ing & (F.col("_key") < F.lit(c))
-            cond = term if cond is None else cond | term
-        below = {r["_grp"]: r["count"] for r in grp.where(cond).groupBy("_grp").count().collect()}
-    at_cut = {k: partial[k] - below.get(k, 0) for k in partial}
-    tie_cond = None
-    for k, c in key_cut.items():
-        ing = F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k)
-        term = ing & (F.col("_key") == F.lit(c))
-        tie_cond = term if tie_cond is None else tie_cond | term
-    rid_cut = kth_smallest(grp.where(tie_cond), row_id, at_cut, "_grp") if at_cut else {}
-    keep = F.lit(False)
-    for k in full:
-        keep = keep | (F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k))
-    for k, c in key_cut.items():
-        ing = F.col("_grp").isNull() if k is None else F.col("_grp") == F.lit(k)
-        keep = keep | (ing & ((F.col("_key") < F.lit(c)) |
-                              ((F.col("_key") == F.lit(c)) & (F.col(row_id) <= F.lit(rid_cut[k])))))
-    return keep
+def _is(column: Column, value) -> Column:
+    return column.isNull() if value is None else column == F.lit(value)
+
+
+def _sizes(df: DataFrame) -> dict:
+    """Rows per class of ``_grp``; more than MAX_GROUPS classes raise."""
+    rows = df.groupBy("_grp").count().limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} classes")
+    return {r["_grp"]: r["count"] for r in rows}
+
+
+def class_sizes(df: DataFrame, label: str | Column) -> dict:
+    """Rows per class of a column; more than MAX_GROUPS classes raise."""
+    return _sizes(df.select((F.col(label) if isinstance(label, str) else label).alias("_grp")))
 
 
 def holdout_split(df: DataFrame, test_size: float = 0.2, seed: int = 0,
                   row_id: str = "row_id") -> DataFrame:
     """Exact split; ``ceil(test_size * N)`` rows with the smallest keys are
     ``test``, the rest ``train``."""
-    n = df.count()
-    n_test = int(math.ceil(test_size * n))
-    test = take_smallest(df.select(row_id), n_test, seed, row_id).withColumn("_t", F.lit(True))
-    return df.join(test, row_id, "left").withColumn(
-        "split", F.when(F.col("_t"), "test").otherwise("train")).drop("_t")
+    n_test = int(math.ceil(test_size * df.count()))
+    test = smallest_filter(df, n_test, seed, row_id, purpose="split")
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def frac_sample(df: DataFrame, frac: float, seed: int = 0, row_id: str = "row_id",
@@ -117,55 +104,38 @@ def frac_sample(df: DataFrame, frac: float, seed: int = 0, row_id: str = "row_id
     keeps all rows.  Adds ``copy`` (1-based).  With ``by``, ``frac`` is a dict
     and each group is sampled on its own."""
     fracs = frac if isinstance(frac, dict) else {None: frac}
-    if by is None:
-        grp_col = F.lit(None).cast("int")
-        sizes = {None: df.count()}
-    else:
-        grp_col = F.col(by)
-        sizes = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
-    whole = {g: int(math.floor(f)) if f >= 1 else 0 for g, f in fracs.items()}
-    extra = {g: int(round((f - math.floor(f)) * sizes.get(g, 0))) if f != 1 else 0
-             for g, f in fracs.items()}
-    picked = take_smallest(df.select(row_id, grp_col.alias("_sg")), extra, seed, row_id,
-                           by="_sg").withColumn("_x", F.lit(1))
-    tagged = df.withColumn("_sg", grp_col).join(picked.drop("_sg"), row_id, "left")
-    mul = F.lit(0)
-    for g, w in whole.items():
-        cond = F.col("_sg").isNull() if g is None else F.col("_sg") == F.lit(g)
-        mul = F.when(cond, F.lit(w)).otherwise(mul)
-    copies = mul + F.coalesce(F.col("_x"), F.lit(0))
-    return (tagged.withColumn("_n", copies).where(F.col("_n") > 0)
-            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-            .drop("_x", "_n", "_sg"))
+    group = F.lit(None).cast("int") if by is None else F.col(by)
+    sizes = class_sizes(df, group)
+    extra = {g: int(round((f - math.floor(f)) * sizes.get(g, 0))) for g, f in fracs.items()}
+    copies = F.lit(0)
+    for g, f in fracs.items():
+        copies = F.when(_is(group, g), F.lit(int(math.floor(f)))).otherwise(copies)
+    copies = copies + smallest_filter(df, extra, seed, row_id, by).cast("int")
+    return (df.withColumn("_n", copies).where(F.col("_n") > 0)
+            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"))
 
 
 def balance_plan(npos: int, nneg: int, sample_num: int, unbalanced_ratio: float | None = None,
                  min_neg_pos_ratio: float = MIN_NEG_POS_RATIO) -> tuple[int, int]:
-    """T5: target (positive, negative) counts from a size cap and imbalance ratio."""
+    """T5: target (positive, negative) counts from a size cap and imbalance ratio.
+
+    Over the cap, the share of the smaller class depends on the band its ratio
+    falls in: proportional, one part in ``min_neg_pos_ratio + 1``, or one part in
+    ``unbalanced_ratio + 1``.  The larger class never exceeds the ratio.
+    """
+    small, large = sorted((npos, nneg))
     if unbalanced_ratio is None:
-        m = max(min(npos, nneg), 1000)
-        unbalanced_ratio = 10 - (m // 1000) if m < 8000 else 3
-    reverse = npos > nneg
-    if reverse:
-        npos, nneg = nneg, npos
-    ntol = npos + nneg
-    cap = min(min(npos, nneg) * (unbalanced_ratio + 1), sample_num)
-    if npos + nneg > cap:
-        r = nneg / npos
-        if r <= min_neg_pos_ratio:
-            pos_num, neg_num = npos / ntol * cap, nneg / ntol * cap
-        elif r <= unbalanced_ratio:
-            pos_num = cap / (min_neg_pos_ratio + 1) if npos > cap / (min_neg_pos_ratio + 1) else npos
-            neg_num = cap - pos_num
-        else:
-            pos_num = cap / (unbalanced_ratio + 1) if npos > cap / (unbalanced_ratio + 1) else npos
-            neg_num = cap - pos_num
-    else:
-        pos_num, neg_num = npos, nneg
-    if neg_num / pos_num > unbalanced_ratio:
-        neg_num = pos_num * unbalanced_ratio
-    neg_num, pos_num = int(neg_num), int(pos_num)
-    return (neg_num, pos_num) if reverse else (pos_num, neg_num)
+        thousands = max(small, 1000) // 1000
+        unbalanced_ratio = 3 if thousands >= 8 else 10 - thousands
+    cap = min(small * (unbalanced_ratio + 1), sample_num)
+    few, many = float(small), float(large)
+    if small + large > cap:
+        proportional = large <= min_neg_pos_ratio * small
+        parts = (min_neg_pos_ratio if large <= unbalanced_ratio * small else unbalanced_ratio) + 1
+        few = small / (small + large) * cap if proportional else min(small, cap / parts)
+        many = large / (small + large) * cap if proportional else cap - few
+    plan = int(few), int(min(many, few * unbalanced_ratio))
+    return plan if npos <= nneg else plan[::-1]
 
 
 def class_counts_binary(df: DataFrame, label: str = "label") -> tuple[int, int]:
@@ -190,7 +160,7 @@ def ssl_sample(df: DataFrame, seed: int = 0, label: str = "label", row_id: str =
     more negatives than positives."""
     lab = df.where(F.col(label) != 0).withColumn(label, F.when(F.col(label) == -1, 0).otherwise(
         F.col(label)))
-    cnt = {r[0]: r[1] for r in lab.groupBy(label).count().collect()}
+    cnt = class_sizes(lab, label)
     p = min(cnt.get(1, 0), max_pos)
     n = min(cnt.get(0, 0), p)
     return take_smallest(lab, {1: p, 0: n}, seed, row_id, by=label)
@@ -199,7 +169,7 @@ def ssl_sample(df: DataFrame, seed: int = 0, label: str = "label", row_id: str =
 def pu_sample(df: DataFrame, seed: int = 0, label: str = "label", row_id: str = "row_id",
               factor: int = PU_UNLABELLED_FACTOR) -> DataFrame:
     """All positives plus ``3 * min(p, u)`` unlabelled rows, clamped to u."""
-    cnt = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    cnt = class_sizes(df, label)
     p, u = cnt.get(1, 0), cnt.get(0, 0)
     n = min(factor * min(p, u), u)
     return take_smallest(df, {1: p, 0: n}, seed, row_id, by=label)
@@ -210,7 +180,7 @@ def equal_sample(df: DataFrame, seed: int = 0, label: str = "label",
     """The same number of rows from label 1 and from the rest."""
     side = F.when(F.col(label) == 1, 1).otherwise(0)
     d = df.withColumn("_side", side)
-    cnt = {r[0]: r[1] for r in d.groupBy("_side").count().collect()}
+    cnt = class_sizes(d, "_side")
     n = min(cnt.get(0, 0), cnt.get(1, 0))
     return take_smallest(d, {0: n, 1: n}, seed, row_id, by="_side").drop("_side")
 
@@ -220,18 +190,15 @@ def ssl_pu_sample(df: DataFrame, seed: int = 0, label: str = "label",
     """n = min(#negatives, #positives) draws with replacement from the
     unlabelled rows and from the negatives (both relabelled 0), plus all positives.
 
-    Draw ``d`` of class c picks position ``key(d, seed + c) mod size(c)`` of the
+    Draw ``d`` of class c picks position ``key(d, seed, purpose c) mod size(c)`` of the
     class in key order; positions are exact row numbers over key buckets and
     the draws are a distributed range joined on (class, position).
     """
     spark = df.sparkSession
-    cnt = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    cnt = class_sizes(df, label)
     n = min(cnt.get(-1, 0), cnt.get(1, 0))
-    pools = df.where(F.col(label).isin(0, -1)).withColumn("_key", seeded_key(row_id, seed))
-    nb = buckets_for(spark)
-    ranked = distributed_row_number(pools, [label], [F.col("_key"), F.col(row_id)],
-                                    bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)),
-                                    "_pos", bounded_groups=True)
+    pools = df.where(F.col(label).isin(0, -1)).withColumn("_key", seeded_key(row_id, seed, "pool"))
+    ranked = distributed_row_number(pools, [label], [F.col("_key"), F.col(row_id)], "_pos")
     draws = None
     for c in (0, -1):
         size = cnt.get(c, 0)
@@ -239,7 +206,7 @@ def ssl_pu_sample(df: DataFrame, seed: int = 0, label: str = "label",
             continue
         d = spark.range(n).select(
             F.lit(c).alias("_c"), F.col("id").alias("draw"),
-            (F.pmod(seeded_key(F.col("id"), seed + abs(c) + 1), F.lit(size)) + 1).alias("_dpos"))
+            (F.pmod(seeded_key(F.col("id"), seed, f"draw{abs(c)}"), F.lit(size)) + 1).alias("_dpos"))
         draws = d if draws is None else draws.unionByName(d)
     pos = df.where(F.col(label) == 1).select(row_id, F.lit(1).alias("label_out"),
                                             F.lit(None).cast("bigint").alias("draw"))
@@ -255,15 +222,11 @@ def entity_sample(df: DataFrame, col: str, row_id: str = "row_id", percent: floa
     """All rows of the first ceil(10%) distinct ids (first by their lowest
     row_id), at most 10,000 ids; all ids when that is fewer than 10."""
     ids = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.min(row_id).alias("_first"))
-    nids_all = ids.count()
-    nids = int(math.ceil(nids_all * percent))
-    if nids > maximum:
-        nids = maximum
-    elif nids < minimum:
-        nids = nids_all
-    cut = kth_smallest(ids, "_first", {None: nids})[None] if nids > 0 else None
-    chosen = ids.where(F.col("_first") <= F.lit(cut)).select(col) if cut is not None else ids.limit(0).select(col)
-    return df.join(chosen, col, "left_semi")
+    total = ids.count()
+    share = math.ceil(total * percent)
+    wanted = total if share < minimum else min(share, maximum)
+    cut = kth_smallest(ids, "_first", {None: wanted})[None] if wanted else None
+    return df.join(ids.where(F.col("_first") <= F.lit(cut)).select(col), col, "left_semi")
 
 
 # ------------------------------------------------------------------ L21, L22
@@ -284,10 +247,9 @@ def inject_label_noise(df: DataFrame, noise_matrix: list, seed: int = 0, y: str
     each class i != k, drawn without replacement (rows in seeded key order: the
     first block goes to the lowest i, and so on).  A class with fewer rows than
     its flips is left clean, as in the reference."""
-    spark = df.sparkSession
     K = len(noise_matrix)
     N = df.count()
-    cnt = {r[0]: r[1] for r in df.groupBy(y).count().collect()}
+    cnt = class_sizes(df, y)
     ranges = {}  # k -> list of (lo, hi, target) over 1-based positions
     for k in range(K):
         pyk = cnt.get(k, 0) / float(N)
@@ -302,11 +264,8 @@ def inject_label_noise(df: DataFrame, noise_matrix: list, seed: int = 0, y: str
                 pos += c
         if spans and cnt.get(k, 0) >= pos:
             ranges[k] = spans
-    keyed = df.withColumn("_key", seeded_key(row_id, seed))
-    nb = buckets_for(spark)
-    ranked = distributed_row_number(keyed, [y], [F.col("_key"), F.col(row_id)],
-                                    bucket_of(F.col("_key"), uniform_bounds(0, KEY_MODULUS, nb)),
-                                    "_pos", bounded_groups=True)
+    keyed = df.withColumn("_key", seeded_key(row_id, seed, "noise"))
+    ranked = distributed_row_number(keyed, [y], [F.col("_key"), F.col(row_id)], "_pos")
     s = F.col(y)
     for k, spans in ranges.items():
         for lo, hi, tgt in spans:

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,17 +19,9 @@ from ..sources.tables import noisy_lineitem
 
 def with_psx(df: DataFrame, cat: str, num_classes: int = 2, k: int = 5, seed: int = 0,
              checkpoint: bool = True) -> DataFrame:
-    """Folds plus fold-rate psx; checkpointed because the cut searches re-read it.
-
-    The input is persisted while the folds are numbered (their bucket counts and
-    the numbering both read it) and released once the checkpoint is written."""
-    if not checkpoint:
-        return L.fold_rate_psx(L.stratified_folds(df, k, seed), cat, num_classes)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cut_lineage(L.fold_rate_psx(L.stratified_folds(src, k, seed), cat, num_classes))
-    finally:
-        src.unpersist()
+    """Folds plus fold-rate psx; written out because the cut searches re-read it."""
+    psx = L.fold_rate_psx(L.stratified_folds(df, k, seed), cat, num_classes)
+    return cut_lineage(psx) if checkpoint else psx
 
 
 def lineitem_psx(spark: SparkSession, sf_dir: str, checkpoint: bool = True) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.keys import key_sql, r6
+from ..functions.keys import r6
 from ..operators import features as FE
 from ..sources.tables import (noisy_lineitem, pu_orders, ssl_events, table)
 from . import sqlparts as S
@@ -206,11 +206,8 @@ def _pairs_sql(src: str, cats: list) -> str:
 
 
 def _blocks_sql(cats: list) -> str:
-    sample = f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {key_sql('row_id', 0)}, row_id) AS _rn
-FROM ({S.F2}) s0) s1 WHERE _rn <= {FE.BLOCK_SAMPLE_ROWS}"""
     cols = ", ".join(f"('{c}', {i})" for i, c in enumerate(cats))
-    return f"""WITH RECURSIVE smp AS ({sample}),
-pv AS ({_pairs_sql('SELECT * FROM smp', cats)}),
+    return f"""WITH RECURSIVE pv AS ({_pairs_sql(S.F2, cats)}),
 sz AS (SELECT col, COUNT(*) AS n FROM pv GROUP BY col),
 it AS (SELECT a.col AS col_a, b.col AS col_b, COUNT(*) AS n_both FROM pv a JOIN pv b
        ON a.value = b.value AND a.col < b.col GROUP BY 1, 2),
@@ -316,6 +313,11 @@ def cat_time_gap(spark, sf_dir):
         for c in RC_CATS])
 
 
-@register("hash_categories")
+def _hash_sql(c: str) -> str:
+    return f"CAST('0x' || substr(md5({c}), 1, 15) AS BIGINT) AS {c}"
+
+
+@register("hash_categories", f"""SELECT row_id, {', '.join(_hash_sql(f'c_{i}') for i in range(1, 5))},
+n_1, n_2, t_1, label FROM ({S.F1}) f""")
 def hash_categories(spark, sf_dir):
     return FE.hash_categories(pu_orders(spark, sf_dir))

@@ -39,11 +39,22 @@ def _marks_sql() -> str:
 FROM ({_own_margin_sql()}) m CROSS JOIN ({_budget_sql()}) b"""
 
 
-WITH_CJ = f"""WITH s AS ({PSX}),
+def with_cj(psx: str) -> str:
+    """s (psx rows) and cj (their calibrated joint)."""
+    return f"""WITH s AS ({psx}),
 cj AS ({S.calibrate(S.cells(S.confident('SELECT * FROM s'), 'label', 'y_conf'),
                     S.class_counts('SELECT * FROM s'))})"""
 
 
+def errors_sql(psx: str) -> str:
+    """Likely label errors of psx rows (L15, both methods)."""
+    return f"""{with_cj(psx)}, m AS ({_marks_sql()})
+SELECT * FROM m WHERE by_class AND by_count AND NOT agrees"""
+
+
+WITH_CJ = with_cj(PSX)
+
+
 # ------------------------------------------------------------------ W5 / L1b / A1
 
 @register("strat_folds", f"""SELECT label, fold, COUNT(*) AS n FROM ({S.folds(S.F2)}) f

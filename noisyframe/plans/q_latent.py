@@ -209,7 +209,7 @@ def _inject_sql() -> str:
 c AS (SELECT y_true, COUNT(*) AS cnt, (SELECT COUNT(*) FROM f) AS n FROM f GROUP BY y_true),
 fl AS (SELECT y_true, CAST(FLOOR(CASE WHEN y_true = 0 THEN {nm[1][0]} ELSE {nm[0][1]} END
                                  * (cnt / n) * n) AS BIGINT) AS flips, cnt FROM c),
-r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY y_true ORDER BY {key_sql('row_id', NOISE_SEED)}, row_id) AS pos
+r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY y_true ORDER BY {key_sql('row_id', NOISE_SEED, 'noise')}, row_id) AS pos
       FROM f)
 SELECT row_id, y_true, CAST(CASE WHEN fl.flips > 0 AND fl.cnt >= fl.flips AND pos <= fl.flips
                             THEN 1 - r.y_true ELSE r.y_true END AS INT) AS s

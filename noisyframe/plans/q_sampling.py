@@ -19,9 +19,9 @@ BALANCE_SEED = 2019
 FRAC = 1.5
 
 
-def _smallest_sql(src: str, n_expr: str, seed: int, part: str | None = None) -> str:
+def _smallest_sql(src: str, n_expr: str, seed: int, part: str | None = None, purpose: str = "sample") -> str:
     over = f"PARTITION BY {part} " if part else ""
-    return f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({over}ORDER BY {key_sql('row_id', seed)}, row_id) AS _rn
+    return f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({over}ORDER BY {key_sql('row_id', seed, purpose)}, row_id) AS _rn
 FROM ({src}) s0) s1 WHERE _rn <= {n_expr}"""
 
 
@@ -39,7 +39,7 @@ def frac_sample(spark, sf_dir):
     return s.select("row_id", F.col("copy").cast("int").alias("copy"))
 
 
-def _plan_sql(src: str, cap: int) -> str:
+def _plan_sql(src: str, cap: int | str) -> str:
     return f"""WITH c AS (SELECT COUNT(CASE WHEN label = 1 THEN 1 END) AS p0,
                   COUNT(CASE WHEN label <> 1 THEN 1 END) AS n0 FROM ({src}) a),
 u AS (SELECT *, GREATEST(LEAST(p0, n0), 1000) AS m FROM c),
@@ -67,33 +67,47 @@ def balance_plan(spark, sf_dir):
                                  "pos_num bigint, neg_num bigint, npos bigint, nneg bigint")
 
 
-@register("class_balanced", f"""WITH f AS (SELECT *, CASE WHEN label = 1 THEN 1 ELSE 0 END AS side FROM ({S.F2}) a),
-pl AS ({_plan_sql(S.F2, BALANCE_ROWS)}),
+def balanced_sql(src: str, cap: str, seed: int) -> str:
+    """Rows of T6 without copies (the plan never repeats a class); ``cap`` may use p0, the positives."""
+    return f"""WITH f AS (SELECT *, CASE WHEN label = 1 THEN 1 ELSE 0 END AS side FROM ({src}) a),
+pl AS ({_plan_sql(src, cap)}),
 sz AS (SELECT 1 AS side, ROUND_EVEN((pos_num / npos) * npos, 0) AS k FROM pl
        UNION ALL SELECT 0, ROUND_EVEN((neg_num / nneg) * nneg, 0) FROM pl),
-r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY f.side ORDER BY {key_sql('row_id', BALANCE_SEED)}, row_id) AS rn
+r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY f.side ORDER BY {key_sql('row_id', seed)}, row_id) AS rn
       FROM f)
-SELECT row_id, label, 1 AS copy FROM r JOIN sz USING (side) WHERE rn <= k""")
+SELECT r.* FROM r JOIN sz USING (side) WHERE rn <= k"""
+
+
+@register("class_balanced", f"""SELECT row_id, label, 1 AS copy
+FROM ({balanced_sql(S.F2, str(BALANCE_ROWS), BALANCE_SEED)}) b""")
 def class_balanced(spark, sf_dir):
     s = SM.class_balanced(noisy_lineitem(spark, sf_dir), BALANCE_ROWS, BALANCE_SEED)
     return s.select("row_id", "label", F.col("copy").cast("int").alias("copy"))
 
 
-@register("ssl_sample", f"""WITH e AS (SELECT row_id, CASE WHEN label = -1 THEN 0 ELSE label END AS label
+def ssl_sql(seed: int) -> str:
+    return f"""WITH e AS (SELECT * REPLACE (CASE WHEN label = -1 THEN 0 ELSE label END AS label)
                      FROM ({S.F3}) a WHERE label <> 0),
 c AS (SELECT LEAST(COUNT(CASE WHEN label = 1 THEN 1 END), {SM.SSL_MAX_POSITIVES}) AS p,
              COUNT(CASE WHEN label = 0 THEN 1 END) AS n FROM e),
-r AS (SELECT e.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', 0)}, row_id) AS rn FROM e)
-SELECT row_id, label FROM r CROSS JOIN c WHERE (label = 1 AND rn <= p) OR (label = 0 AND rn <= LEAST(n, p))""")
+r AS (SELECT e.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', seed)}, row_id) AS rn FROM e)
+SELECT r.* FROM r CROSS JOIN c WHERE (label = 1 AND rn <= p) OR (label = 0 AND rn <= LEAST(n, p))"""
+
+
+@register("ssl_sample", f"SELECT row_id, label FROM ({ssl_sql(0)}) s")
 def ssl_sample(spark, sf_dir):
     return SM.ssl_sample(ssl_events(spark, sf_dir), 0).select("row_id", "label")
 
 
-@register("pu_sample", f"""WITH f AS (SELECT row_id, label FROM ({S.F1}) a),
+def pu_sql(seed: int) -> str:
+    return f"""WITH f AS ({S.F1}),
 c AS (SELECT COUNT(CASE WHEN label = 1 THEN 1 END) AS p, COUNT(CASE WHEN label = 0 THEN 1 END) AS u FROM f),
-r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', 0)}, row_id) AS rn FROM f)
-SELECT row_id, label FROM r CROSS JOIN c
-WHERE label = 1 OR (label = 0 AND rn <= LEAST({SM.PU_UNLABELLED_FACTOR} * LEAST(p, u), u))""")
+r AS (SELECT f.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', seed)}, row_id) AS rn FROM f)
+SELECT r.* FROM r CROSS JOIN c
+WHERE label = 1 OR (label = 0 AND rn <= LEAST({SM.PU_UNLABELLED_FACTOR} * LEAST(p, u), u))"""
+
+
+@register("pu_sample", f"SELECT row_id, label FROM ({pu_sql(0)}) s")
 def pu_sample(spark, sf_dir):
     return SM.pu_sample(pu_orders(spark, sf_dir), 0).select("row_id", "label")
 
@@ -107,21 +121,21 @@ def equal_sample(spark, sf_dir):
     return SM.equal_sample(noisy_lineitem(spark, sf_dir), 0).select("row_id", "label")
 
 
-def _ssl_pu_sql(seed: int = 0) -> str:
+def ssl_pu_sql(seed: int = 0) -> str:
     return f"""WITH e AS (SELECT row_id, label FROM ({S.F3}) a),
 c AS (SELECT LEAST(COUNT(CASE WHEN label = -1 THEN 1 END), COUNT(CASE WHEN label = 1 THEN 1 END)) AS n,
              COUNT(CASE WHEN label = 0 THEN 1 END) AS s0, COUNT(CASE WHEN label = -1 THEN 1 END) AS s1 FROM e),
-r AS (SELECT e.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', seed)}, row_id) AS pos
+r AS (SELECT e.*, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {key_sql('row_id', seed, 'pool')}, row_id) AS pos
       FROM e WHERE label IN (0, -1)),
-d AS (SELECT 0 AS cls, i AS draw, ({key_sql('i', seed + 1)}) % s0 + 1 AS dpos
+d AS (SELECT 0 AS cls, i AS draw, ({key_sql('i', seed, 'draw0')}) % s0 + 1 AS dpos
       FROM c, range(0, (SELECT n FROM c)) t(i) WHERE s0 > 0
       UNION ALL
-      SELECT -1, i, ({key_sql('i', seed + 2)}) % s1 + 1 FROM c, range(0, (SELECT n FROM c)) t(i) WHERE s1 > 0)
+      SELECT -1, i, ({key_sql('i', seed, 'draw1')}) % s1 + 1 FROM c, range(0, (SELECT n FROM c)) t(i) WHERE s1 > 0)
 SELECT r.row_id, 0 AS label, d.draw FROM d JOIN r ON r.label = d.cls AND r.pos = d.dpos
 UNION ALL SELECT row_id, 1, CAST(NULL AS BIGINT) FROM e WHERE label = 1"""
 
 
-@register("ssl_pu_sample", _ssl_pu_sql(0))
+@register("ssl_pu_sample", ssl_pu_sql(0))
 def ssl_pu_sample(spark, sf_dir):
     s = SM.ssl_pu_sample(ssl_events(spark, sf_dir), 0)
     return s.select("row_id", F.col("label").cast("int").alias("label"), "draw")
@@ -139,7 +153,25 @@ def entity_sample(spark, sf_dir):
 
 
 @register("holdout_split", f"""WITH f AS (SELECT row_id FROM ({S.F1}) a),
-t AS ({_smallest_sql('SELECT * FROM f', '(SELECT CAST(CEIL(0.2 * COUNT(*)) AS BIGINT) FROM f)', 0)})
+t AS ({_smallest_sql('SELECT * FROM f', '(SELECT CAST(CEIL(0.2 * COUNT(*)) AS BIGINT) FROM f)', 0, purpose='split')})
 SELECT row_id, CASE WHEN row_id IN (SELECT row_id FROM t) THEN 'test' ELSE 'train' END AS split FROM f""")
 def holdout_split(spark, sf_dir):
     return SM.holdout_split(pu_orders(spark, sf_dir).select("row_id"), 0.2, 0).select("row_id", "split")
+
+
+_HALF = "(SELECT COUNT(*) // 2 FROM f)"
+
+
+@register("seed_overlap", f"""WITH f AS (SELECT row_id FROM ({S.F1}) a),
+a AS ({_smallest_sql('SELECT * FROM f', _HALF, 0)}), b AS ({_smallest_sql('SELECT * FROM f', _HALF, 1)}),
+c AS ({_smallest_sql('SELECT * FROM f', _HALF, 0, purpose='split')})
+SELECT (SELECT COUNT(*) FROM f) AS n, (SELECT COUNT(*) FROM a JOIN b USING (row_id)) AS two_seeds,
+       (SELECT COUNT(*) FROM a JOIN c USING (row_id)) AS two_purposes""")
+def seed_overlap(spark, sf_dir):
+    """Half of the rows drawn with two seeds, and for two purposes: about a quarter is in both."""
+    f = pu_orders(spark, sf_dir).select("row_id")
+    half = f.count() // 2
+    first, seed, purpose = (SM.smallest_filter(f, half, s, purpose=p) for s, p in (
+        (0, "sample"), (1, "sample"), (0, "split")))
+    return f.agg(F.count(F.lit(1)).alias("n"), F.count_if(first & seed).alias("two_seeds"),
+                 F.count_if(first & purpose).alias("two_purposes"))

@@ -37,7 +37,7 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 def folds(src: str, k: int = 5, seed: int = 0) -> str:
     return f"""SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY label
-                 ORDER BY {key_sql('row_id', seed)}, row_id) - 1) % {k} AS INT) AS fold
+                 ORDER BY {key_sql('row_id', seed, 'fold')}, row_id) - 1) % {k} AS INT) AS fold
 FROM ({src}) fsrc"""
 
 

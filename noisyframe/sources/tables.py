@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ranking import bucket_of, buckets_for, distributed_row_number, minmax_bounds
+from ..functions.ranking import global_row_number
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -93,14 +93,10 @@ def lineitem_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with an exact global row number over all its columns.
 
     ``(l_orderkey, l_linenumber)`` is not unique, so the id is a row number over
-    every column.  It is computed with range buckets on ``l_orderkey`` so no
-    single task numbers the whole table.
+    every column, by range partitioning on all of them.
     """
-    li = table(spark, sf_dir, "lineitem")
-    bounds = minmax_bounds(li, F.col("l_orderkey"), buckets_for(spark))
-    return distributed_row_number(
-        li, [], [F.col(c).asc_nulls_last() for c in LINEITEM_ORDER],
-        bucket_of(F.col("l_orderkey"), bounds), name="row_id", bounded_groups=True)
+    return global_row_number(table(spark, sf_dir, "lineitem"),
+                             [F.col(c).asc_nulls_last() for c in LINEITEM_ORDER], "row_id")
 
 
 def noisy_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
