@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from ..sources.tables import Roles
 from . import labels as L
+from . import latent as LT
 from . import pruning as P
 from . import sampling as SM
+from .clean import assert_valid
 
 # Fixed values of the reference's search space (learning rate log-uniform in
 # [0.01, 0.07]; max depth one of -1, 2, 3, 4, 5, 6; feature and bagging
@@ -39,6 +41,23 @@ SEARCH_MIN_CHILD_WEIGHT = (0.5, 10.0)
 SEARCH_VALID_FRACTION = 0.5
 UNLIMITED_DEPTH = 6
 DEFAULT_ROUNDS = 20
+# Fixed values of the reference's cleaning pass: five folds of 50 rounds, a search
+# space of its own on at most 30,000 rows, and the rate sum that counts as noisy.
+CLEAN_FOLDS = 5
+CLEAN_ROUNDS = 50
+CLEAN_SEARCH_ROWS = 30000
+NOISY_RATE = 0.9
+
+
+class Space:
+    """Ranges of a search: learning rate (log-uniform), depths, row and feature fractions."""
+
+    def __init__(self, rate: tuple, depths: tuple, fraction: tuple):
+        self.rate, self.depths, self.fraction = rate, depths, fraction
+
+
+SEARCH_SPACE = Space(SEARCH_LEARNING_RATE, SEARCH_MAX_DEPTH, SEARCH_FRACTION)
+CLEAN_SPACE = Space((0.001, 0.07), (4, 5, 6, 7), (0.5, 0.99, 0.01))
 
 
 def feature_columns(df: DataFrame, roles: Roles | None = None) -> list:
@@ -65,6 +84,14 @@ def gbt(max_iter: int = DEFAULT_ROUNDS, max_depth: int = 5, step: float = 0.1,
     return est
 
 
+def searched_gbt(params: dict | None, rounds: int, seed: int, depth: int = 5,
+                 validation_col: str | None = None) -> GBTClassifier:
+    """The classifier of a search result; ``depth`` where nothing was searched."""
+    p = params or {}
+    return gbt(rounds, p.get("max_depth", depth), p.get("step", 0.1), p.get("subsample", 1.0), seed,
+               p.get("feature_subset", "all"), p.get("min_instances", 1), validation_col)
+
+
 def prob1(col: str = "probability") -> Column:
     return F.element_at(vector_to_array(F.col(col)), 2)
 
@@ -95,19 +122,19 @@ def oof_probabilities(df: DataFrame, features: list, estimator_factory=None, k:
 
 # ------------------------------------------------------------------ M2
 
-def random_params(n_trials: int, seed: int) -> list:
+def random_params(n_trials: int, seed: int, space: Space = SEARCH_SPACE) -> list:
     """Seeded draws from the search space (random search replaces the reference's
     tree-structured Parzen search)."""
     rnd = random.Random(seed)
-    lo, hi = SEARCH_LEARNING_RATE
-    flo, fhi, fstep = SEARCH_FRACTION
+    lo, hi = space.rate
+    flo, fhi, fstep = space.fraction
 
     def frac():
-        return round(round(rnd.uniform(flo, fhi) / fstep) * fstep, 1)
+        return round(round(rnd.uniform(flo, fhi) / fstep) * fstep, 2)
 
     out = []
     for _ in range(n_trials):
-        depth = rnd.choice(SEARCH_MAX_DEPTH)
+        depth = rnd.choice(space.depths)
         ff = frac()
         out.append(dict(step=math.exp(rnd.uniform(math.log(lo), math.log(hi))),
                         max_depth=UNLIMITED_DEPTH if depth == -1 else depth,
@@ -128,14 +155,14 @@ def auc(scored: DataFrame, score: Column | None = None, label: str = "label") ->
 
 def random_search(df: DataFrame, features: list, n_trials: int = 2, seed: int = 0,
                   rounds: int = DEFAULT_ROUNDS, valid_frac: float = SEARCH_VALID_FRACTION,
-                  threads: int = 2) -> tuple[dict, float]:
+                  threads: int = 2, space: Space = SEARCH_SPACE) -> tuple[dict, float]:
     """M2: seeded random draws scored by validation AUC on an exact hash split;
     each fit stops early on the validation rows (``validationIndicatorCol``);
     trials run as concurrent Spark jobs."""
     split = SM.holdout_split(df, valid_frac, seed).withColumn("_valid", F.col("split") == "test")
     split = cut_lineage(split)
     valid = split.where("_valid")
-    trials = random_params(n_trials, seed)
+    trials = random_params(n_trials, seed, space)
 
     def score(p):
         est = gbt(rounds, p["max_depth"], p["step"], p["subsample"], seed, p["feature_subset"],
@@ -160,52 +187,78 @@ class CleanResult:
     passes: int
 
 
+def converged_rates(cj: DataFrame, df: DataFrame) -> tuple[float, float]:
+    """P(s=1|y=0) and P(s=0|y=1) from the joint, after L11 made prior and matrices agree."""
+    py, nm, inv = LT.estimate_latent(cj, df, 2)
+    prior = {r["k"]: r["py"] for r in py.collect()}
+    share = {r["k"]: r["ps"] for r in LT.class_shares(df, 2).collect()}
+    if min(share.values()) <= 0:
+        return 0.0, 0.0
+    _, out, _ = LT.converge_latent([share[0], share[1]], [prior[0], prior[1]], LT._mat(nm, 2), LT._mat(inv, 2))
+    return out[1][0], out[0][1]
+
+
 def clean_labels(df: DataFrame, features: list, rounds: int = 0, early_stop: bool = False,
-                 seed: int = 0, k: int = 3, max_iter: int = 10, method: str = "both",
-                 estimator_factory=None) -> CleanResult:
+                 seed: int = 0, k: int = CLEAN_FOLDS, max_iter: int = CLEAN_ROUNDS, method: str = "both",
+                 estimator_factory=None, search_trials: int = 0) -> CleanResult:
     """``rounds + 1`` passes of OOF psx -> confident joint -> pruning; each pass
-    removes its errors and is checkpointed.  Noise rates come from pass 1.  With
-    ``early_stop``, stop before pruning when rou_0 + rou_1 <= 0.9."""
+    removes its errors and is written out.  The (converged) noise rates come from
+    pass 1.  With ``early_stop``, stop before pruning when rou_0 + rou_1 <= 0.9.
+    ``search_trials`` > 0 chooses the classifier's parameters by M2 in the cleaning
+    space, on at most ``CLEAN_SEARCH_ROWS`` labelled rows."""
+    params: dict = {}
+    if search_trials and estimator_factory is None:
+        rows = SM.take_smallest(df, CLEAN_SEARCH_ROWS, seed, purpose="search")
+        params, _ = random_search(rows, features, search_trials, seed, max_iter, space=CLEAN_SPACE)
     cur = df
     all_err = None
     rou = None
     passes = 0
     for r in range(rounds + 1):
-        est = estimator_factory or (lambda: gbt(max_iter=max_iter, max_depth=4, seed=seed + r))
+        est = estimator_factory or (lambda: searched_gbt(params, max_iter, seed + r, 4))  # noqa: B023
         psx = cut_lineage(oof_probabilities(cur, features, est, k, seed + r))
+        assert_valid(psx, 2)
         thr = L.per_class_thresholds(psx, 2)
         cj = L.confident_joint(psx, thr)
+        passes += 1
         if rou is None:
-            from . import latent as LT
-            nm = LT._mat(LT.noise_matrix(cj), 2)
-            rou = (nm[1][0], nm[0][1])  # P(s=1|y=0), P(s=0|y=1)
-            if early_stop and rou[0] + rou[1] <= 0.9:
-                passes += 1
+            rou = converged_rates(cj, psx)
+            if early_stop and sum(rou) <= NOISY_RATE:
                 break
         marked = P.find_label_errors(psx, cj=cj, num_classes=2, method=method)
         err = marked.where("is_error").select("row_id")
         all_err = err if all_err is None else all_err.unionByName(err)
         cur = cut_lineage(cur.join(err, "row_id", "left_anti"))
-        passes += 1
     errors = all_err if all_err is not None else df.select("row_id").limit(0)
     return CleanResult(cur, errors, float(rou[0]), float(rou[1]), passes)
 
 
+def estimate_noise(df: DataFrame, features: list, estimator_factory=None, k: int = CLEAN_FOLDS, seed: int = 0,
+                   max_iter: int = CLEAN_ROUNDS) -> float:
+    """Sum of the two noise rates, from one out-of-fold pass without pruning."""
+    est = estimator_factory or (lambda: gbt(max_iter, 4, seed=seed))
+    psx = cut_lineage(oof_probabilities(df, features, est, k, seed))
+    return sum(converged_rates(L.confident_joint(psx, L.per_class_thresholds(psx, 2)), psx))
+
+
 class NoisyLabelModel:
     """Estimate label noise with out-of-fold probabilities, prune the likely
     errors, train the classifier on the kept rows (D2: it really trains)."""
 
-    def __init__(self, features: list, estimator_factory=None, k: int = 3, seed: int = 0,
+    def __init__(self, features: list, estimator_factory=None, k: int = CLEAN_FOLDS, seed: int = 0,
                  method: str = "both", pulearning: int | None = None):
         self.features = features
-        self.est = estimator_factory or (lambda: gbt(max_iter=10, max_depth=4, seed=seed))
+        self.est = estimator_factory or (lambda: gbt(max_iter=CLEAN_ROUNDS, max_depth=4, seed=seed))
         self.k, self.seed, self.method, self.pulearning = k, seed, method, pulearning
         self.model = None
         self.mask = None
 
-    def fit(self, df: DataFrame) -> "NoisyLabelModel":
-        psx = cut_lineage(oof_probabilities(df, self.features, self.est, self.k, self.seed))
-        marked = P.find_label_errors(psx, num_classes=2, method=self.method)
+    def fit(self, df: DataFrame, psx: DataFrame | None = None, joint: DataFrame | None = None) -> "NoisyLabelModel":
+        """``psx`` (row_id, label, psx) and ``joint`` (the calibrated one) may be given."""
+        if psx is None:
+            psx = cut_lineage(oof_probabilities(df, self.features, self.est, self.k, self.seed))
+        assert_valid(psx, 2)
+        marked = P.find_label_errors(psx, cj=joint, num_classes=2, method=self.method)
         if self.pulearning is not None:  # the perfectly labelled class is never pruned (D18)
             marked = marked.withColumn("is_error", F.col("is_error") & (F.col("label") != self.pulearning))
         self.mask = marked.select("row_id", "is_error")
@@ -243,15 +296,24 @@ def precision_at_k(df: DataFrame, k: int, num_classes: int, label: str = "label"
     return df.agg(F.avg(F.when(ahead < k, 1.0).otherwise(0.0)).alias("precision_at_k"))
 
 
-def ensemble_mean(scored: list, row_id: str = "row_id") -> DataFrame:
-    """Mean of the models' positive-class scores per row (column arithmetic
-    on one joined plan; every part is keyed by row_id)."""
-    out = None
-    for i, s in enumerate(scored):
-        part = s.select(row_id, prob1().alias(f"_s{i}"))
-        out = part if out is None else out.join(part, row_id)
-    total = sum((F.col(f"_s{i}") for i in range(len(scored))), F.lit(0.0))
-    return out.select(row_id, (total / F.lit(float(len(scored)))).alias("score"))
+def ensemble_mean(models: list, df: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Mean of the models' positive-class scores, in one plan.
+
+    Every model writes to output columns of its own, one after the other over the
+    same rows: the features are computed once and no rows are joined by their id.
+    """
+    out = models[0].stages[0].transform(df)
+    names = []
+    for i, m in enumerate(models):
+        last = m.stages[-1].copy()
+        names.append(f"_p{i}")
+        last.setProbabilityCol(names[-1])
+        last.setPredictionCol(f"_y{i}")
+        if hasattr(last, "setRawPredictionCol"):
+            last.setRawPredictionCol(f"_r{i}")
+        out = last.transform(out)
+    total = sum((prob1(n) for n in names), F.lit(0.0))
+    return out.select(row_id, (total / F.lit(float(len(models)))).alias("score"))
 
 
 # ------------------------------------------------------------------ M1 / T2

@@ -54,126 +54,149 @@ class Budget:
 
 
 def _fit(df: DataFrame, features: list, params: dict | None, rounds: int, seed: int,
-         valid_frac: float = 0.2) -> PipelineModel:
-    p = params or {}
-    split = SM.holdout_split(df, valid_frac, seed)
-    train = split.where("split = 'train'").drop("split")
-    est = LN.gbt(rounds, p.get("max_depth", 5), p.get("step", 0.1), p.get("subsample", 1.0),
-                 seed, p.get("feature_subset", "all"), p.get("min_instances", 1))
-    return Pipeline(stages=[LN.assembler(features), est]).fit(train)
-
-
-def ssl_ensemble(df: DataFrame, features: list, max_models: int = SSL_MODELS, rounds: int = 20,
-                 trials: int = 2, seed: int = 0, time_budget_s: float | None = None) -> list:
+         valid_frac: float = 0.2, estimator=None) -> PipelineModel:
+    """Fit with early stopping on ``valid_frac`` of the rows, whose AUC is kept on the
+    model as ``valid_auc``.  ``estimator(params, seed)`` replaces the boosted trees; it
+    learns from the rows that are not held out."""
+    split = cut_lineage(SM.holdout_split(df, valid_frac, seed).withColumn("_valid", F.col("split") == "test")
+                        .drop("split"))
+    if estimator is None:
+        est, train = LN.searched_gbt(params, rounds, seed, validation_col="_valid"), split
+    else:
+        est, train = estimator(params, seed), split.where(~F.col("_valid"))
+    model = Pipeline(stages=[LN.assembler(features), est]).fit(train)
+    valid = split.where("_valid")
+    classes = valid.select("label").distinct().limit(3).count()
+    model.valid_auc = LN.auc(model.transform(valid)) if classes == 2 else None
+    return model
+
+
+def _searched(df: DataFrame, features: list, trials: int, seed: int, rounds: int) -> dict | None:
+    return LN.random_search(df, features, trials, seed, rounds)[0] if trials else None
+
+
+def ssl_ensemble(df: DataFrame, features: list, max_models: int = SSL_MODELS, rounds: int = 100,
+                 trials: int = 2, seed: int = 0, time_budget_s: float | None = None, estimator=None) -> list:
     """M3: rounds of T7 sample -> M2 search -> 80/20 fit."""
     b, models = Budget(max_models, time_budget_s), []
     while b.more():
         t0, i = time.time(), len(models)
         s = cut_lineage(SM.ssl_sample(df, seed + i))
-        params, _ = LN.random_search(s, features, trials, seed + i, rounds) if trials else (None, 0)
-        models.append(_fit(s, features, params, rounds, seed + i))
+        models.append(_fit(s, features, _searched(s, features, trials, seed + i, rounds), rounds, seed + i,
+                           estimator=estimator))
         b.tick(t0)
     return models
 
 
-def pu_ensemble(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 20,
-                trials: int = 2, seed: int = 0, time_budget_s: float | None = None) -> list:
+def pu_ensemble(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 100,
+                trials: int = 2, seed: int = 0, time_budget_s: float | None = None, estimator=None) -> list:
     """M4: rounds of T8 sample -> T3 (30,000 rows) search -> fit."""
     b, models = Budget(max_models, time_budget_s), []
     while b.more():
         t0, i = time.time(), len(models)
         s = cut_lineage(SM.pu_sample(df, seed + i))
-        small = SM.take_smallest(s, PU_SEARCH_ROWS, seed + i)
-        params, _ = LN.random_search(small, features, trials, seed + i, rounds) if trials else (None, 0)
-        models.append(_fit(s, features, params, rounds, seed + i))
+        params = _searched(SM.take_smallest(s, PU_SEARCH_ROWS, seed + i, purpose="search") if trials else s,
+                           features, trials, seed + i, rounds)
+        models.append(_fit(s, features, params, rounds, seed + i, estimator=estimator))
         b.tick(t0)
     return models
 
 
-def noisy_single(df: DataFrame, features: list, rounds: int = 20, trials: int = 2,
-                 seed: int = 0) -> list:
-    """M5: search on a 30,000-row sample, then one model on all rows."""
-    small = SM.take_smallest(df, PU_SEARCH_ROWS, seed)
-    params, _ = LN.random_search(small, features, trials, seed, rounds) if trials else (None, 0)
-    p = params or {}
-    est = LN.gbt(rounds, p.get("max_depth", 5), p.get("step", 0.1), p.get("subsample", 1.0), seed,
-                 p.get("feature_subset", "all"), p.get("min_instances", 1))
-    return [Pipeline(stages=[LN.assembler(features), est]).fit(df)]
+def noisy_single(df: DataFrame, features: list, rounds: int = 500, trials: int = 2,
+                 seed: int = 0, estimator=None) -> list:
+    """M5: search on a 30,000-row sample, then one model with early stopping."""
+    params = _searched(SM.take_smallest(df, PU_SEARCH_ROWS, seed, purpose="search") if trials else df,
+                       features, trials, seed, rounds)
+    return [_fit(df, features, params, rounds, seed, estimator=estimator)]
 
 
-def noisy_ensemble(df: DataFrame, features: list, max_models: int = NOISY_MODELS, rounds: int = 20,
-                   clean_rounds: int = 1, seed: int = 0, time_budget_s: float | None = None) -> list:
-    """M6: each round re-cleans the labels with a new seed (L19), then fits on the
-    kept rows; 3 cleaning passes and 3 models when the noise rates sum above 0.9."""
+def noisy_ensemble(df: DataFrame, features: list, max_models: int = NOISY_MODELS, rounds: int = 500,
+                   clean_rounds: int = 1, seed: int = 0, time_budget_s: float | None = None,
+                   noise_sum: float | None = None, trials: int = 0, estimator=None, folds: int = LN.CLEAN_FOLDS,
+                   clean_iter: int = LN.CLEAN_ROUNDS) -> list:
+    """M6: each round re-cleans the labels with a new seed (L19), then fits on the kept
+    rows.  Noise rates that sum above 0.9 (``noise_sum``, as the feature engine found
+    them, or those of the first pass) mean 3 cleaning passes a round and 3 models."""
     b, models = Budget(max_models, time_budget_s), []
+    factory = (lambda: estimator(None, seed)) if estimator else None
+    passes = clean_rounds
+    if noise_sum is None:
+        noise_sum = LN.estimate_noise(df, features, factory, folds, seed, clean_iter)
+    if noise_sum > LN.NOISY_RATE:
+        b.max_models, passes = min(b.max_models, 3), 2
     while b.more():
         t0, i = time.time(), len(models)
-        res = LN.clean_labels(df, features, rounds=clean_rounds, seed=seed + i, max_iter=max(5, rounds // 2))
-        if i == 0 and res.rou_0 + res.rou_1 > 0.9:
-            b.max_models = min(b.max_models, 3)
-            res = LN.clean_labels(df, features, rounds=2, seed=seed + i, max_iter=max(5, rounds // 2))
-        models.append(_fit(res.kept, features, None, rounds, seed + i))
+        res = LN.clean_labels(df, features, rounds=passes, seed=seed + i, k=folds, max_iter=clean_iter,
+                              estimator_factory=factory, search_trials=trials)
+        models.append(_fit(res.kept, features, _searched(res.kept, features, trials, seed + i, rounds), rounds,
+                           seed + i, estimator=estimator))
         b.tick(t0)
     return models
 
 
-def noisy_regression(df: DataFrame, features: list, max_models: int = NOISY_MODELS, rounds: int = 20,
-                     seed: int = 0, keep_share: float = 0.8) -> list:
-    """M7: GBT regressors on cleaned 75% samples with validation-based early
-    stopping; keep the models in the better 80% by number of trees."""
+def noisy_regression(df: DataFrame, features: list, max_models: int = NOISY_MODELS, rounds: int = 500,
+                     seed: int = 0, keep_share: float = 0.8, trials: int = 0, folds: int = LN.CLEAN_FOLDS,
+                     clean_iter: int = LN.CLEAN_ROUNDS) -> list:
+    """M7: GBT regressors on cleaned 75% samples with validation-based early stopping
+    (70/30); keep the models in the better 80% by number of trees."""
     fitted = []
     for i in range(max_models):
-        res = LN.clean_labels(df, features, rounds=0, seed=seed + i, max_iter=max(5, rounds // 2))
-        s = SM.frac_sample(res.kept, 0.75, seed + i)
-        split = SM.holdout_split(s.drop("copy"), 0.2, seed + i).withColumn("_valid", F.col("split") == "test")
-        est = GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=5,
-                           seed=seed + i, validationIndicatorCol="_valid", maxBins=64)
-        fitted.append(Pipeline(stages=[LN.assembler(features), est]).fit(split))
+        s = cut_lineage(SM.frac_sample(df, 0.75, seed + i).drop("copy"))
+        res = LN.clean_labels(s, features, rounds=0, seed=seed + i, k=folds, max_iter=clean_iter,
+                              search_trials=trials)
+        p = _searched(res.kept, features, trials, seed + i, rounds) or {}
+        split = SM.holdout_split(res.kept, 0.3, seed + i).withColumn("_valid", F.col("split") == "test")
+        est = GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds,
+                           maxDepth=p.get("max_depth", 5), stepSize=p.get("step", 0.1),
+                           subsamplingRate=p.get("subsample", 1.0), seed=seed + i,
+                           validationIndicatorCol="_valid", maxBins=64)
+        fitted.append(Pipeline(stages=[LN.assembler(features), est]).fit(cut_lineage(split)))
     sizes = sorted(m.stages[-1].getNumTrees for m in fitted)
     cut = sizes[int(len(sizes) * (1 - keep_share))] if sizes else 0
     return [m for m in fitted if m.stages[-1].getNumTrees >= cut]
 
 
 def pu_confident(df: DataFrame, features: list, max_models: int = PU_MODELS, seed: int = 0,
-                 rounds: int = 10) -> list:
-    """M8: 1:4 class-balanced sample, then the noisy-label model with the
-    positive class protected (it runs as intended, D3)."""
+                 rounds: int = LN.CLEAN_ROUNDS, folds: int = LN.CLEAN_FOLDS, estimator=None) -> list:
+    """M8: a balanced sample of 4x the positives in all (T6), then the noisy-label model
+    with the positive class protected (it runs as intended, D3)."""
     models = []
+    p, _ = SM.class_counts_binary(df)
     for i in range(max_models):
-        p, u = SM.class_counts_binary(df)
-        s = SM.take_smallest(df, {1: p, 0: min(u, 4 * p)}, seed + i, by="label")
-        nl = LN.NoisyLabelModel(features, lambda: LN.gbt(rounds, 4, 0.1, 1.0, seed + i), 3, seed + i,
-                                pulearning=1).fit(cut_lineage(s))
-        models.append(nl.model)
+        s = cut_lineage(SM.class_balanced(df, 4 * p, seed + i).drop("copy"))
+        factory = (lambda: estimator(None, seed + i)) if estimator else (  # noqa: B023
+            lambda: LN.gbt(rounds, 4, 0.1, 1.0, seed + i))  # noqa: B023
+        models.append(LN.NoisyLabelModel(features, factory, folds, seed + i, pulearning=1).fit(s).model)
     return models
 
 
-def pu_bagging(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 20,
-               trials: int = 2, seed: int = 0) -> list:
+def pu_bagging(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 100,
+               trials: int = 2, seed: int = 0, estimator=None) -> list:
     """M9: class-balanced bags of 4x the positives, search, 90/10 fit."""
     models = []
     p, _ = SM.class_counts_binary(df)
     for i in range(max_models):
         s = cut_lineage(SM.class_balanced(df, 4 * p, seed + i).drop("copy"))
-        params, _ = LN.random_search(s, features, trials, seed + i, rounds) if trials else (None, 0)
-        models.append(_fit(s, features, params, rounds, seed + i, 0.1))
+        models.append(_fit(s, features, _searched(s, features, trials, seed + i, rounds), rounds, seed + i, 0.1,
+                           estimator))
     return models
 
 
-def ssl_as_pu(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 20,
-              seed: int = 0) -> list:
-    """Rounds of T9 (draws with replacement, relabelled 0) plus all positives."""
+def ssl_as_pu(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 100,
+              trials: int = 0, seed: int = 0, estimator=None) -> list:
+    """Rounds of T9 (draws with replacement, relabelled 0) plus all positives, 90/10 fit."""
     models = []
     for i in range(max_models):
         s = SM.ssl_pu_sample(df, seed + i)
-        rows = df.drop("label").join(s.select("row_id", "label"), "row_id")
-        models.append(_fit(cut_lineage(rows), features, None, rounds, seed + i))
+        rows = cut_lineage(df.drop("label").join(s.select("row_id", "label"), "row_id"))
+        models.append(_fit(rows, features, _searched(rows, features, trials, seed + i, rounds), rounds, seed + i,
+                           0.1, estimator))
     return models
 
 
 def predict(models: list, df: DataFrame) -> DataFrame:
-    """M11 + A13: score with every model (partitioned transform), mean per row."""
-    return LN.ensemble_mean([m.transform(df) for m in models])
+    """M11 + A13: the mean score of all models, in one plan over the rows."""
+    return LN.ensemble_mean(models, df)
 
 
 # ------------------------------------------------------------------ M13 feature engine
@@ -215,6 +238,7 @@ class FeatureEngine:
         return [(r["feature"], r["gain"]) for r in imp.collect()]  # at most `top` names
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
+        df = FE.select_raw(FE.nonneg_rows(df))
         roles = Roles.infer(df)
         self.cats = list(roles.cat)
         blocks = FE.cat_blocks(df, self.cats)
@@ -264,7 +288,7 @@ class FeatureEngine:
     def transform(self, df: DataFrame) -> DataFrame:
         # lineage is cut between stages: each stage re-reads its input several times
         has_time = self.time_col is not None and self.time_col in df.columns
-        out = self._first(cut_lineage(self.encoder.transform(df)), has_time)
+        out = self._first(cut_lineage(self.encoder.transform(FE.select_raw(FE.nonneg_rows(df)))), has_time)
         return self._second(out.drop(*self.drop1), has_time).drop(*self.drop2)
 
 
@@ -282,6 +306,8 @@ class WeakLabelModel:
     rounds: int = 10
     trials: int = 0
     seed: int = 0
+    clean_rounds: int = 0
+    folds: int = LN.CLEAN_FOLDS
     engine: FeatureEngine | None = None
     features: list = field(default_factory=list)
     models: list = field(default_factory=list)
@@ -290,7 +316,8 @@ class WeakLabelModel:
         if self.task not in TASKS:
             raise ValueError(f"unknown task {self.task!r}")
         self.engine = FeatureEngine(self.task, rounds=self.rounds, seed=self.seed)
-        feats = self.engine.fit_transform(df)
+        # the engine's cleaning and selection read labels: 0 / 1 first
+        feats = self.engine.fit_transform(normalize_labels(df, "noisy") if self.task == "noisy" else df)
         self.features = LN.feature_columns(feats)
         feats = cut_lineage(feats.na.fill(-1, subset=self.features))  # P1 rule for model input
         if self.task == "ssl":
@@ -298,8 +325,9 @@ class WeakLabelModel:
         elif self.task == "pu":
             self.models = pu_ensemble(feats, self.features, self.max_models, self.rounds, self.trials, self.seed)
         else:
-            feats = normalize_labels(feats, "noisy")
-            self.models = noisy_ensemble(feats, self.features, self.max_models, self.rounds, 0, self.seed)
+            self.models = noisy_ensemble(feats, self.features, self.max_models, self.rounds, self.clean_rounds,
+                                         self.seed, noise_sum=self.engine.noise_sum, trials=self.trials,
+                                         folds=self.folds, clean_iter=self.rounds)
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:

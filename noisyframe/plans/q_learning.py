@@ -181,13 +181,14 @@ def noisy_single(spark, sf_dir):
 @register("noisy_ensemble")
 def noisy_ensemble(spark, sf_dir):
     d = coded_lineitem(spark, sf_dir)
-    return _scored(AM.noisy_ensemble(d, _features(d), MODELS, ROUNDS, clean_rounds=0), d)
+    return _scored(AM.noisy_ensemble(d, _features(d), MODELS, ROUNDS, clean_rounds=0, folds=FOLDS,
+                                     clean_iter=ROUNDS), d)
 
 
 @register("noisy_regression")
 def noisy_regression(spark, sf_dir):
     d = coded_lineitem(spark, sf_dir)
-    models = AM.noisy_regression(d, _features(d), MODELS, ROUNDS)
+    models = AM.noisy_regression(d, _features(d), MODELS, ROUNDS, folds=FOLDS, clean_iter=ROUNDS)
     parts = [m.transform(d).select("row_id", F.col("prediction").alias(f"s{i}")) for i, m in enumerate(models)]
     out = parts[0]
     for p in parts[1:]:
@@ -199,7 +200,7 @@ def noisy_regression(spark, sf_dir):
 @register("pu_confident")
 def pu_confident(spark, sf_dir):
     d = _pu_coded(spark, sf_dir)
-    return _scored(AM.pu_confident(d, _features(d), 1, 0, ROUNDS), d)
+    return _scored(AM.pu_confident(d, _features(d), 1, 0, ROUNDS, FOLDS), d)
 
 
 @register("pu_bagging")
@@ -251,7 +252,7 @@ def feature_engine(spark, sf_dir):
 @register("weak_label_model")
 def weak_label_model(spark, sf_dir):
     f = noisy_lineitem(spark, sf_dir).drop("y_true")
-    m = AM.WeakLabelModel("noisy", max_models=1, rounds=ROUNDS).train(f)
+    m = AM.WeakLabelModel("noisy", max_models=1, rounds=ROUNDS, folds=FOLDS).train(f)
     path = f"{checkpoint_dir(spark).rstrip('/')}/weak-label-model-{uuid.uuid4().hex}"
     m.save(path)
     loaded = AM.WeakLabelModel.load(spark, path)
