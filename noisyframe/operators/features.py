@@ -11,6 +11,7 @@ otherwise runs a shuffle join with skew splitting.
 from __future__ import annotations
 
 import itertools
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,11 +21,14 @@ from ..functions.ranking import bucket_of, distributed_row_number, global_row_nu
 from ..session import cut_lineage
 from ..sources.tables import Roles
 
+LOG = logging.getLogger(__name__)
+
 # Fixed values of the reference's feature rules.
 FILL_NUM = -1
 FILL_CAT = "0"
 FILL_TIME = "1970-01-01 00:00:00"
 MAX_COUNT_CATS = 100
+MAX_COMBINED = 5            # categories and numbers that pairs, means and differences take
 DATE_PARTS = ("year", "month", "day", "hour", "weekday")
 BIN_MIN_DISTINCT = 100      # more distinct values than this -> quantile bins
 BIN_PER_VALUES = 10         # bins = min(nunique // 10, 255)
@@ -142,9 +146,16 @@ def date_parts(df: DataFrame, time_col: str, parts: list | None = None) -> DataF
         feat_name("c_", "KeyTimeDate", f"{time_col}:{p}")) for p in parts])
 
 
-def num_diff(df: DataFrame, nums: list) -> DataFrame:
-    """The first number minus each of the next (at most four)."""
-    nums = nums[:5]
+def _first_columns(cols: list, limit: int, what: str) -> list:
+    """The rule's first ``limit`` columns; the ones left out are logged by name."""
+    if len(cols) > limit:
+        LOG.warning("%s takes %d columns and leaves out %s", what, limit, ", ".join(cols[limit:]))
+    return cols[:limit]
+
+
+def num_diff(df: DataFrame, nums: list, limit: int = MAX_COMBINED) -> DataFrame:
+    """The first number minus each of the next (``limit`` numbers in all)."""
+    nums = _first_columns(nums, limit, "num_diff")
     if len(nums) < 2:
         return df
     first = nums[0]
@@ -166,23 +177,31 @@ def _attach(df: DataFrame, lookup: DataFrame, keys: list, how: str = "left") ->
     return df.join(lookup, keys, how)
 
 
-def cat_count(df: DataFrame, cats: list) -> DataFrame:
-    """A3: count of the row's value in each category column (first 100 columns).
+def all_known(keys: list) -> Column:
+    """None of the key columns is null."""
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(f"`{k}`").isNotNull()
+    return known
+
+
+def cat_count(df: DataFrame, cats: list, limit: int = MAX_COUNT_CATS) -> DataFrame:
+    """A3: count of the row's value in each category column (the first ``limit``).
 
     Each column is counted by itself, with map-side partial counts, and its counts
     are joined back.
     """
     out = df
-    for c in cats[:MAX_COUNT_CATS]:
+    for c in _first_columns(cats, limit, "cat_count"):
         lk = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias(feat_name("n_", "CatCnt", c)))
         out = _attach(out, lk, [c])
     return out
 
 
-def cat_pair_count(df: DataFrame, cats: list) -> DataFrame:
-    """A4: count of the exact pair (a, b) for every pair of the (first five) cats."""
+def cat_pair_count(df: DataFrame, cats: list, limit: int = MAX_COMBINED) -> DataFrame:
+    """A4: count of the exact pair (a, b) for every pair of the first ``limit`` cats."""
     out = df
-    for a, b in itertools.combinations(cats[:5], 2):
+    for a, b in itertools.combinations(_first_columns(cats, limit, "cat_pair_count"), 2):
         name = feat_name("n_", "CatCnt2LEVEL", f"{a}_{b}_cnt")
         lk = (df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
               .groupBy(a, b).agg(F.count(F.lit(1)).alias(name)))
@@ -190,11 +209,11 @@ def cat_pair_count(df: DataFrame, cats: list) -> DataFrame:
     return out
 
 
-def num_mean_by_cat(df: DataFrame, cats: list, nums: list) -> DataFrame:
+def num_mean_by_cat(df: DataFrame, cats: list, nums: list, limit: int = MAX_COMBINED) -> DataFrame:
     """A5: mean of each number per category value; one aggregation per category
     computes all its means (numbers that are also categories are skipped)."""
-    cats = cats[:5]
-    nums = [n for n in nums if n not in cats][:5]
+    cats = _first_columns(cats, limit, "num_mean_by_cat")
+    nums = _first_columns([n for n in nums if n not in cats], limit, "num_mean_by_cat")
     out = df
     for c in cats:
         aggs = [F.avg(n).alias(feat_name("n_", "NumMean2LEVEL", f"{c}_{n}_mean")) for n in nums]

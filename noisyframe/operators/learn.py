@@ -20,7 +20,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..functions.ranking import localize
+from ..session import cut_lineage, stage_path
 from ..sources.tables import Roles
 from . import labels as L
 from . import latent as LT
@@ -47,6 +48,9 @@ CLEAN_FOLDS = 5
 CLEAN_ROUNDS = 50
 CLEAN_SEARCH_ROWS = 30000
 NOISY_RATE = 0.9
+# Fixed values of the reference's gain ranking: rows it is fitted on, and the floor.
+GAIN_ROWS = 50000
+GAIN_FLOOR = 5.0
 
 
 class Space:
@@ -318,16 +322,19 @@ def ensemble_mean(models: list, df: DataFrame, row_id: str = "row_id") -> DataFr
 
 # ------------------------------------------------------------------ M1 / T2
 
-def feature_gain(df: DataFrame, features: list, max_iter: int = 20, min_share: float = 0.0,
-                 top: int = 500, seed: int = 0) -> DataFrame:
-    """M1 + T2: importance of each feature from a GBT fit on a class-balanced
-    sample without time columns; features at or above ``min_share`` of the
-    total, at most ``top``.  Spark reports normalised gain (shares), so the
-    reference's raw-gain floor of 5 is expressed as a share."""
-    sample = SM.class_balanced(df, 50000, seed)
+def feature_gain(df: DataFrame, features: list, max_iter: int = 20, min_gain: float = 0.0,
+                 top: int = 500, seed: int = 0, sample_rows: int = GAIN_ROWS) -> DataFrame:
+    """M1 + T2: gain of each feature from a GBT fit on a class-balanced sample of
+    labelled rows without time columns; features of at least ``min_gain``, at most
+    ``top``.  The gain is the impurity that a feature's splits took off, times the
+    rows that they split, summed over all trees (read from the saved nodes)."""
+    sample = cut_lineage(SM.class_balanced(df, sample_rows, seed).drop("copy"))
     model = Pipeline(stages=[assembler(features), gbt(max_iter, 6, 0.1, 1.0, seed)]).fit(sample)
-    imp = model.stages[-1].featureImportances.toArray()
     spark = df.sparkSession
-    rows = [(f, float(imp[i])) for i, f in enumerate(features)]
-    t = spark.createDataFrame(rows, "feature string, gain double")
-    return t.where(F.col("gain") >= min_share).orderBy(F.col("gain").desc(), "feature").limit(top)
+    path = stage_path(spark)
+    model.stages[-1].write().save(path)
+    node = spark.read.parquet(f"{path}/data").where("nodeData.gain > 0").select("nodeData.*")
+    gains = node.groupBy(F.col("split.featureIndex").alias("i")).agg(F.sum(F.col("gain") * F.col("rawCount")).alias("g"))
+    names = spark.createDataFrame(list(enumerate(features)), "i int, feature string")
+    table = names.join(gains, "i", "left").select("feature", F.coalesce("g", F.lit(0.0)).alias("gain"))
+    return localize(table.where(F.col("gain") >= min_gain).orderBy(F.col("gain").desc(), "feature").limit(top))

@@ -20,14 +20,16 @@ def _cells(cj: DataFrame) -> dict:
     return {(r["k_s"], r["k_y"]): r["v"] for r in cj.collect()}  # K*K rows
 
 
-def budgets(cj_cells: dict, sizes: dict, K: int, budget: str = "reference") -> tuple[dict, dict]:
+def budgets(cj_cells: dict, sizes: dict, K: int, budget: str = "reference", frac_noise: float = 1.0,
+            num_to_remove: dict | None = None, spark=None) -> tuple[dict, dict]:
     """Per-class prune budgets.
 
     Returns ``(by_class, by_count)``: ``by_class[k]`` rows of class k to drop by
     self-confidence; ``by_count[(k, j)]`` rows of class k to drop by margin
     ``p_j - p_k``.  ``reference`` (K = 2 only) reproduces the forced budget of the
     original (by class: class 0 loses cj[1,0], class 1 loses cj[0,1]); ``own``
-    gives class k the off-diagonal mass of its own row.
+    gives class k the off-diagonal mass of its own row, of which ``frac_noise`` is
+    used, or which is scaled to ``num_to_remove[k]`` rows (rounded by W6).
     """
     if budget == "reference":
         if K != 2:
@@ -35,9 +37,16 @@ def budgets(cj_cells: dict, sizes: dict, K: int, budget: str = "reference") -> t
         by_class = {0: int(cj_cells[(1, 0)]), 1: int(cj_cells[(0, 1)])}
         by_count = {(0, 1): int(cj_cells[(0, 1)]), (1, 0): int(cj_cells[(1, 0)])}
         return by_class, by_count
-    by_class = {k: int(sizes.get(k, 0) - cj_cells[(k, k)]) for k in range(K)}
-    by_count = {(k, j): int(cj_cells[(k, j)]) for k in range(K) for j in range(K) if j != k}
-    return by_class, by_count
+    pairs = [(k, j) for k in range(K) for j in range(K) if j != k]
+    if num_to_remove is None:
+        by_count = {(k, j): int(cj_cells[(k, j)] * frac_noise) for k, j in pairs}
+    else:
+        noise = {k: sum(cj_cells[(k, j)] for j in range(K) if j != k) for k in range(K)}
+        cells = [(k, j, cj_cells[(k, j)] / noise[k] * num_to_remove.get(k, 0) if noise[k] else 0.0) for k, j in pairs]
+        cells += [(k, k, float(sizes.get(k, 0) - num_to_remove.get(k, 0))) for k in range(K)]
+        rounded = _cells(L.round_rows(spark.createDataFrame(cells, "k_s int, k_y int, v double")))
+        by_count = {at: int(rounded[at]) for at in pairs}
+    return {k: sum(by_count[(k, j)] for j in range(K) if j != k) for k in range(K)}, by_count
 
 
 def _p(psx: str, k: int) -> Column:
@@ -117,7 +126,8 @@ def exact_cut_masks(df: DataFrame, by_class: dict, by_count: dict, K: int, label
 def find_label_errors(df: DataFrame, cj: DataFrame | None = None, thresholds: list | None = None,
                       num_classes: int = 2, method: str = "both", budget: str = "reference",
                       label: str = "label", psx: str = "psx", form: str = "cut",
-                      name: str = "is_error") -> DataFrame:
+                      name: str = "is_error", frac_noise: float = 1.0,
+                      num_to_remove: dict | None = None) -> DataFrame:
     """Mark likely label errors; a row whose argmax equals its label is never marked.
 
     ``method``: ``prune_by_class``, ``prune_by_noise_rate`` or ``both`` (AND).
@@ -131,7 +141,7 @@ def find_label_errors(df: DataFrame, cj: DataFrame | None = None, thresholds: li
         cj = L.confident_joint(df, thresholds, label, psx)
     cells = _cells(cj)
     sizes = L.class_sizes(df, label, K) if budget == "own" else {}
-    by_class, by_count = budgets(cells, sizes, K, budget)
+    by_class, by_count = budgets(cells, sizes, K, budget, frac_noise, num_to_remove, df.sparkSession)
     if method == "prune_by_class":
         by_count = {}
     elif method == "prune_by_noise_rate":

@@ -8,10 +8,10 @@ three mean rounds (the reference's budget rule, measured from the call).
 
 from __future__ import annotations
 
+import itertools
 import json
-import os
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
@@ -207,13 +207,18 @@ class FeatureEngine:
     pass, L19) -> counts -> running counts -> date parts -> selection 1 -> pair
     counts -> means -> time gaps -> selection 2.
 
-    Selection (T2/M1) ranks features by GBT importance on a class-balanced
-    sample; the kept category and number columns, in importance order, become
-    ``combine_cats`` / ``combine_nums``.  Unused features are dropped after
-    selection 1 for ssl/pu (and noisy with noise rates summing above 0.9), after
-    selection 2 for ssl/pu only.  ``refit=True`` semantics: counts, running
-    counts, pair counts, means and gaps are recomputed on the rows transformed;
-    dictionaries, date parts, selected and dropped columns carry over.
+    From selection 1 on, everything is gated: a noisy task whose rates sum to at most
+    2, or another task with a time column.  Selection (T2/M1) ranks all features, raw
+    categories and date parts included, by gain on a class-balanced sample; those of
+    at least ``min_gain`` are kept, and in that order the kept categories and numbers
+    become ``combine_cats`` / ``combine_nums``, of which the pair counts and means
+    take the first ``combine`` each.  The others are dropped after selection 1 for
+    ssl/pu and for noisy with rates above 0.9, after selection 2 for ssl/pu only.
+
+    ``refit=True``: counts, running counts, pair counts and means are recomputed on
+    the rows transformed.  ``refit=False``: counts, pair counts and means are those of
+    the fit (saved lookups), so that one row's features don't depend on its batch.
+    Dictionaries, date parts, selected and dropped columns always carry over.
     """
 
     task: str = "noisy"
@@ -231,11 +236,20 @@ class FeatureEngine:
     drop2: list = field(default_factory=list)
     noise_sum: float = 0.0
 
-    def _ranked(self, df: DataFrame, top: int) -> list:
+    min_gain: float = LN.GAIN_FLOOR
+    combine: int = 5
+    refit: bool = True
+    folds: int = LN.CLEAN_FOLDS
+    deep: bool = True
+    lookups: dict = field(default_factory=dict)     # step name -> DataFrame, for refit=False
+
+    def _kept(self, df: DataFrame, top: int) -> tuple[list, list]:
+        """Names of the features at or above the floor, by gain, and of the others."""
         feats = LN.feature_columns(df)
         train = df.select("row_id", "label", *[F.col(f"`{c}`") for c in feats]).na.fill(-1)
-        imp = LN.feature_gain(train, feats, self.rounds, min_share=0.0, top=top, seed=self.seed)
-        return [(r["feature"], r["gain"]) for r in imp.collect()]  # at most `top` names
+        kept = [r["feature"] for r in LN.feature_gain(train, feats, self.rounds, self.min_gain, top,
+                                                      self.seed).collect()]  # at most `top` names
+        return kept, [f for f in feats if f not in set(kept)]
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
         df = FE.select_raw(FE.nonneg_rows(df))
@@ -249,47 +263,61 @@ class FeatureEngine:
         base = cut_lineage(self.encoder.transform(df, append=False))
         if self.task == "noisy" and self.clean:
             raw = [c for c in LN.feature_columns(base) if c in roles.raw]
-            res = LN.clean_labels(base.na.fill(-1, subset=raw), raw, rounds=0, early_stop=True,
+            res = LN.clean_labels(base.na.fill(-1, subset=raw), raw, rounds=0, early_stop=True, k=self.folds,
                                   seed=self.seed, max_iter=self.rounds)
             self.noise_sum = res.rou_0 + res.rou_1
             base = base.join(res.errors, "row_id", "left_anti")
+        self.deep = self.noise_sum <= 2 if self.task == "noisy" else has_time
         out = self._first(base, has_time)
-        if self.select:
-            ranked = self._ranked(out, 10 ** 6)
-            keep = [f for f, g in ranked if g > 0]
-            self.combine_cats = [f for f in keep if f in self.cats][:5] or self.cats[:3]
-            self.combine_nums = [f for f in keep if f.startswith("n_")][:5] or list(roles.num)[:3]
-            drop_ok = self.task != "noisy" or self.noise_sum > 0.9
-            self.drop1 = [f for f, g in ranked if g <= 0 and f not in self.cats] if drop_ok else []
-        else:
-            self.combine_cats = self.combine_cats or self.cats[:3]
-            self.combine_nums = self.combine_nums or list(roles.num)[:3]
-        out = self._second(out.drop(*self.drop1), has_time)
-        if self.select and self.task != "noisy":
-            ranked = self._ranked(out, 500)
-            keep = {f for f, g in ranked if g > 0}
-            self.drop2 = [f for f in LN.feature_columns(out) if f not in keep and f not in self.cats]
+        if self.deep:
+            if self.select:
+                kept, others = self._kept(out, 10 ** 6)
+                self.combine_cats = [f for f in kept if f.startswith("c_")]
+                self.combine_nums = [f for f in kept if f.startswith("n_")]
+                drops = self.task != "noisy" or self.noise_sum > LN.NOISY_RATE
+                self.drop1 = others if drops else []
+            out = self._second(out.drop(*self.drop1), has_time)
+            if self.select and self.task != "noisy":
+                self.drop2 = self._kept(out, 500)[1]
         return out.drop(*self.drop2)
 
+    def _looked_up(self, step: str, rows: DataFrame, keys: list, aggs: list) -> DataFrame:
+        """rows with the aggregates of their keys: of these rows, or of those of the fit."""
+        if self.refit or step not in self.lookups:
+            found = rows.where(FE.all_known(keys)).groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
+            if self.refit:
+                return rows.join(found, keys, "left")
+            self.lookups[step] = cut_lineage(found)
+        return rows.join(self.lookups[step], keys, "left")
+
     def _first(self, out: DataFrame, has_time: bool) -> DataFrame:
-        out = FE.cat_count(out, self.cats)
+        for c in self.cats:
+            out = self._looked_up(f"count {c}", out, [c], [F.count(F.lit(1)).alias(FE.feat_name("n_", "CatCnt", c))])
         out = cut_lineage(FE.cat_running_count(out, self.cats, self.time_col if has_time else None))
         if has_time:
             out = FE.date_parts(out, self.time_col, self.parts)
         return out
 
     def _second(self, out: DataFrame, has_time: bool) -> DataFrame:
-        out = FE.cat_pair_count(out, self.combine_cats)
-        out = cut_lineage(FE.num_mean_by_cat(out, self.combine_cats, self.combine_nums))
+        cats, nums = self.combine_cats[:self.combine], self.combine_nums[:self.combine]
+        for a, b in itertools.combinations(cats, 2):
+            out = self._looked_up(f"pair {a} {b}", out, [a, b], [F.count(F.lit(1)).alias(
+                FE.feat_name("n_", "CatCnt2LEVEL", f"{a}_{b}_cnt"))])
+        for c in cats:
+            if nums:
+                out = self._looked_up(f"mean {c}", out, [c], [F.avg(F.col(f"`{n}`")).alias(
+                    FE.feat_name("n_", "NumMean2LEVEL", f"{c}_{n}_mean")) for n in nums])
+        out = cut_lineage(out)
         if has_time:
-            out = FE.cat_time_gap(out, self.combine_cats, self.time_col, drop_time_col=True)
+            own = [c for c in cats if c in out.columns]
+            out = FE.cat_time_gap(out, own, self.time_col, drop_time_col=True) if own else out.drop(self.time_col)
         return out
 
     def transform(self, df: DataFrame) -> DataFrame:
         # lineage is cut between stages: each stage re-reads its input several times
         has_time = self.time_col is not None and self.time_col in df.columns
         out = self._first(cut_lineage(self.encoder.transform(FE.select_raw(FE.nonneg_rows(df)))), has_time)
-        return self._second(out.drop(*self.drop1), has_time).drop(*self.drop2)
+        return self._second(out.drop(*self.drop1), has_time).drop(*self.drop2) if self.deep else out
 
 
 # ------------------------------------------------------------------ M14 end to end
@@ -308,6 +336,7 @@ class WeakLabelModel:
     seed: int = 0
     clean_rounds: int = 0
     folds: int = LN.CLEAN_FOLDS
+    refit: bool = True
     engine: FeatureEngine | None = None
     features: list = field(default_factory=list)
     models: list = field(default_factory=list)
@@ -315,7 +344,8 @@ class WeakLabelModel:
     def train(self, df: DataFrame) -> "WeakLabelModel":
         if self.task not in TASKS:
             raise ValueError(f"unknown task {self.task!r}")
-        self.engine = FeatureEngine(self.task, rounds=self.rounds, seed=self.seed)
+        self.engine = FeatureEngine(self.task, rounds=self.rounds, seed=self.seed, refit=self.refit,
+                                    folds=self.folds)
         # the engine's cleaning and selection read labels: 0 / 1 first
         feats = self.engine.fit_transform(normalize_labels(df, "noisy") if self.task == "noisy" else df)
         self.features = LN.feature_columns(feats)
@@ -338,20 +368,22 @@ class WeakLabelModel:
         """Models with the ML writer, dictionaries as Parquet, settings as JSON."""
         for i, m in enumerate(self.models):
             m.write().overwrite().save(f"{path}/model_{i}")
-        self.engine.encoder.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
-        spark = self.engine.encoder.dictionary.sparkSession
-        meta = dict(task=self.task, features=self.features, n_models=len(self.models),
-                    blocks=self.engine.encoder.blocks, parts=self.engine.parts, cats=self.engine.cats,
-                    combine_cats=self.engine.combine_cats, combine_nums=self.engine.combine_nums,
-                    time_col=self.engine.time_col, drop1=self.engine.drop1, drop2=self.engine.drop2)
-        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(
-            f"{path}/meta")
+        e = self.engine
+        e.encoder.dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
+        for i, found in enumerate(e.lookups.values()):
+            found.write.mode("overwrite").parquet(f"{path}/lookup_{i}")
+        spark = e.encoder.dictionary.sparkSession
+        own = {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("engine", "models")}
+        engine = {f.name: getattr(e, f.name) for f in fields(e) if f.name not in ("encoder", "lookups")}
+        meta = dict(model=own, engine=engine, n_models=len(self.models), blocks=e.encoder.blocks,
+                    lookups=list(e.lookups))
+        spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").text(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "WeakLabelModel":
-        meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
+        meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
         enc = FE.BlockEncoder(blocks=meta["blocks"], dictionary=spark.read.parquet(f"{path}/dictionary"))
-        eng = FeatureEngine(meta["task"], meta["time_col"], meta["combine_cats"], meta["combine_nums"],
-                            enc, meta["parts"], meta["cats"], drop1=meta["drop1"], drop2=meta["drop2"])
+        lookups = {step: spark.read.parquet(f"{path}/lookup_{i}") for i, step in enumerate(meta["lookups"])}
         models = [PipelineModel.load(f"{path}/model_{i}") for i in range(meta["n_models"])]
-        return cls(meta["task"], engine=eng, features=meta["features"], models=models)
+        return cls(**meta["model"], engine=FeatureEngine(**meta["engine"], encoder=enc, lookups=lookups),
+                   models=models)

@@ -47,7 +47,7 @@ EMB_SRC = """SELECT vec_id AS row_id, label,
        + CAST(embedding[3] > 0 AS INT) AS STRING) AS c_1 FROM embeddings"""
 
 
-def _emb_psx(spark, sf_dir):
+def emb_psx(spark, sf_dir):
     e = embeddings(spark, sf_dir)
     emb = F.col("embedding")
     sign = lambda i: (F.element_at(emb, i) > 0).cast("int")
@@ -67,7 +67,7 @@ FROM (SELECT *, {own} AS own FROM ({src}) q) r"""
 
 @register("precision_at_k", _prec_sql())
 def precision_at_k(spark, sf_dir):
-    p = LN.precision_at_k(_emb_psx(spark, sf_dir), EMB_TOP, EMB_K)
+    p = LN.precision_at_k(emb_psx(spark, sf_dir), EMB_TOP, EMB_K)
     return p.select(r6(F.col("precision_at_k")).alias("precision_at_k"))
 
 
@@ -133,7 +133,7 @@ def noisy_label_model(spark, sf_dir):
 @register("feature_gain")
 def feature_gain(spark, sf_dir):
     d = coded_lineitem(spark, sf_dir)
-    return LN.feature_gain(d, _features(d), ROUNDS, min_share=0.0)
+    return LN.feature_gain(d, _features(d), ROUNDS)
 
 
 @register("random_search")
@@ -246,7 +246,7 @@ def text_probs(spark, sf_dir):
 @register("feature_engine")
 def feature_engine(spark, sf_dir):
     f = noisy_lineitem(spark, sf_dir).drop("y_true")
-    return AM.FeatureEngine("noisy", rounds=ROUNDS).fit_transform(f)
+    return AM.FeatureEngine("noisy", rounds=ROUNDS, folds=FOLDS).fit_transform(f)
 
 
 @register("weak_label_model")

@@ -80,12 +80,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     Stage files are deleted when the driver's Python ends.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/stages/{uuid.uuid4().hex}"
+    path = stage_path(spark)
     df.write.option("compression", "zstd").parquet(path)
-    _STAGES.append((spark.sparkContext, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, deleted when the driver's Python ends."""
+    path = f"{checkpoint_dir(spark)}/stages/{uuid.uuid4().hex}"
+    _STAGES.append((spark.sparkContext, path))
+    return path
+
+
 _STAGES: list = []
 
 
