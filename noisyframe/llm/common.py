@@ -13,6 +13,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import import_path
+
 # Rows of one Arrow batch.  Bounds a worker's memory by this many texts.
 BATCH_ROWS = 128
 # Words above this many bytes are hashed one by one, shorter ones by columns.
@@ -25,6 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Arrow batches of a few rows: a batch of long texts stays small."""
+    import_path(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

@@ -312,11 +312,12 @@ _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQR
 ORACLE_SQL = f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark),
-win AS (SELECT DISTINCT item_id, least({SPAN}, len(w)) AS size, w[k:k + least({SPAN}, len(w)) - 1] AS run
-        FROM (SELECT item_id, w, unnest(range(1, len(w) - least({SPAN}, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
-place AS (SELECT doc_id, k, size, w[k:k + size - 1] AS run
-          FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
-                FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size)),
+win AS (SELECT DISTINCT item_id, least({SPAN}, len(w)) AS size, unnest(list_transform(
+        range(1, len(w) - least({SPAN}, len(w)) + 2), lambda k: w[k:k + least({SPAN}, len(w)) - 1])) AS run
+        FROM i WHERE len(w) > 0),
+place AS (SELECT doc_id, size, unnest(range(1, len(w) - size + 2)) AS k,
+          unnest(list_transform(range(1, len(w) - size + 2), lambda k: w[k:k + size - 1])) AS run
+          FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size),
 hit AS (SELECT doc_id, k, size, item_id FROM place JOIN win USING (size, run)),
 n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM hit)
       GROUP BY doc_id),

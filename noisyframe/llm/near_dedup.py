@@ -156,22 +156,27 @@ def cross_pairs(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of members of one list whose components differ and whose sizes allow a link.
 
     Components of a list are paired first, then their members, so that members of
-    one component are never compared.  Where ``finds`` is given, the smaller set (of
-    equal ones the smaller id) must be one that finds.
+    one component are never compared.  For lists of full sets, the smaller set (of
+    equal ones the smaller id) must be one that finds; and the two must still be able
+    to have enough in common after the places where they meet.  At the first value
+    that they share nothing before it is common, so no link is lost.
     """
     directed = "finds" in members.columns
-    finds = F.col("finds") if directed else F.lit(True)
-    rows = members.withColumn("finds", finds)
+    rows = members if directed else members.withColumns({"finds": F.lit(True), "pos": F.lit(0)})
     blocks = rows.groupBy("value", "component").agg(F.max("finds").alias("finds"))
     other = blocks.select("value", F.col("component").alias("component2"))
     ordered = F.col("component") != F.col("component2") if directed else F.col("component") < F.col("component2")
     block_pairs = blocks.where("finds").join(other, "value").where(ordered)
     right = rows.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
-                        F.col("n").alias("n2"))
-    smaller = (F.struct("n", "id") < F.struct("n2", "id2")) if directed else F.lit(True)
+                        F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    allowed = F.lit(True)
+    if directed:
+        rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
+        enough = rest * (LINK_INTERSECTION + LINK_UNION) >= (F.col("n") + F.col("n2")) * LINK_UNION
+        allowed = enough & (F.struct("n", "id") < F.struct("n2", "id2"))
     return (block_pairs.select("value", "component", "component2")
             .join(rows.where("finds"), ["value", "component"]).join(right, ["value", "component2"])
-            .where(_similar_sizes("n", "n2") & smaller)
+            .where(_similar_sizes("n", "n2") & allowed)
             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
 
 
@@ -183,7 +188,7 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def full_lists(texts: DataFrame) -> DataFrame:
-    """value, id, n, finds: lists of the rarest shingles of the full sets of texts (id, text).
+    """value, id, n, finds, pos: lists of the rarest shingles of the full sets of texts (id, text).
 
     Linked sets have 0.85 of the larger one in common, and 34 / 37 of the smaller
     one, so that all but so many of a set's shingles must hold one of the other's.
@@ -197,9 +202,11 @@ def full_lists(texts: DataFrame) -> DataFrame:
     found = F.col("n") - F.ceil(F.col("n") * LINK_UNION / LINK_INTERSECTION) + 1 - alone
     finding = F.col("n") - F.ceil(F.col("n") * (2 * LINK_UNION) / (LINK_UNION + LINK_INTERSECTION)) + 1 - alone
     return (own.withColumn("found", found.cast("int")).withColumn("finding", finding.cast("int")).where("found > 0")
-            .select("id", "n", "finding", F.posexplode(F.expr("slice(common, 1, found)")).alias("place", "c"))
+            .withColumn("alone", alone.cast("int"))
+            .select("id", "n", "finding", "alone", F.posexplode(F.expr("slice(common, 1, found)")).alias("place", "c"))
             .select(F.col("c.value").alias("value"), "id", F.col("n").cast("long").alias("n"),
-                    (F.col("place") < F.col("finding")).alias("finds")))
+                    (F.col("place") < F.col("finding")).alias("finds"),
+                    (F.col("alone") + F.col("place") + 1).alias("pos")))
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, k: int = SKETCH) -> DataFrame:
@@ -332,8 +339,8 @@ QUERY = "op2_near_dedup"
 ORACLE_SQL = f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least({WORDS}, len(w)) - 1], ' ') AS run
-      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least({WORDS}, len(w)) + 2)) AS k FROM w WHERE len(w) > 0)),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - least({WORDS}, len(w)) + 2),
+    lambda k: array_to_string(w[k:k + least({WORDS}, len(w)) - 1], ' '))) AS run FROM w WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 e AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y USING (run)
       WHERE x.doc_id <> y.doc_id GROUP BY ALL) p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b

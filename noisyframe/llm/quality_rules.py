@@ -47,7 +47,7 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 # Risk control.
-RISK, DELTA = 0.02, 0.05
+RISK, DELTA = 0.05, 0.05
 # name -> (ratio is too high beyond the cutoff, cutoffs from the loosest to the strictest)
 RULES = {
     "symbol_ratio": (True, [0.9, 0.7, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.07, 0.05]),
@@ -184,7 +184,47 @@ def rated(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 QUERY = "op7_quality_rules"
-ORACLE_SQL = None
+
+_GRID = ", ".join(f"('{rule}', {i}, {c!r}, {str(high).lower()})"
+                  for rule, (high, grid) in RULES.items() for i, c in enumerate(grid))
+_RATIO = """CASE rule WHEN 'symbol_ratio' THEN n_symbols / greatest(word_chars, 1)
+  WHEN 'dup_line_ratio' THEN n_dup_lines / greatest(n_lines, 1) WHEN 'repeat_ratio' THEN n_repeat_words / greatest(n_words, 1)
+  WHEN 'upper_ratio' THEN n_upper / greatest(word_chars, 1) ELSE word_chars / greatest(n_words, 1) END"""
+_BEYOND = f"CASE WHEN high THEN {_RATIO} > cutoff ELSE {_RATIO} < cutoff END"
+_P = RISK / len(RULES)
+ORACLE_SQL = f"""
+WITH t AS MATERIALIZED (SELECT doc_id, lang, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM documents),
+g AS MATERIALIZED (SELECT doc_id, k, count(*) OVER (PARTITION BY doc_id, tri) AS times
+  FROM (SELECT doc_id, unnest(range(1, len(w) - 1)) AS k, unnest(list_transform(range(1, len(w) - 1),
+    lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS tri FROM t WHERE len(w) > 2)),
+r AS (SELECT doc_id, count(DISTINCT hit) AS n FROM (SELECT doc_id, unnest(range(k, k + 3)) AS hit FROM g WHERE times > 1)
+  GROUP BY doc_id),
+m AS MATERIALIZED (SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+    length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper, len(lines) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+    len(w) < {MIN_WORDS} OR 100 * coalesce(r.n, 0) > {MAX_REPEAT_PERCENT} * len(w) AS base_failed
+  FROM t LEFT JOIN r USING (doc_id)),
+grid(rule, place, cutoff, high) AS (VALUES {_GRID}),
+one AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+c AS MATERIALIZED (SELECT lang, rule, place, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (good AND {_BEYOND}) AS x,
+    count(*) FILTER (NOT good) AS n_bad, count(*) FILTER (NOT good AND {_BEYOND}) AS x_bad
+  FROM m JOIN one USING (doc_id), grid WHERE NOT base_failed GROUP BY ALL),
+p AS MATERIALIZED (SELECT *, x_bad / greatest(n_bad, 1) - x / greatest(n, 1) AS surplus, CASE WHEN n = 0 OR x >= n THEN 1.0 ELSE
+    (SELECT sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({_P}) + (n - k) * ln(1 - {_P})))
+     FROM (SELECT unnest(range(0, x + 1)) AS k)) END
+    <= {DELTA} / ((SELECT count(DISTINCT coalesce(lang, '')) FROM c) * {len(RULES)}) AS safe FROM c),
+f AS (SELECT *, min(place) FILTER (NOT safe) OVER (PARTITION BY lang, rule) AS failed FROM p),
+b AS (SELECT lang, rule, cutoff FROM (SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY surplus DESC, place DESC) AS rn
+    FROM f WHERE place < coalesce(failed, 1000000) AND surplus > 0) WHERE rn = 1),
+bad AS (SELECT DISTINCT doc_id FROM m JOIN b ON m.lang IS NOT DISTINCT FROM b.lang
+    JOIN (SELECT DISTINCT rule, high FROM grid) h USING (rule) WHERE {_BEYOND})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM m"""
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

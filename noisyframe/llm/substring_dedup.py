@@ -17,8 +17,8 @@ then one join back for the rows whose digest repeats; hot digests are split by
 the adaptive skew join.  Spans come back to the texts by doc_id.
 
 Defined cases: null text stays null, with no chunks; an empty text has none.
-Rows are told apart by (doc_id, copy): repeated rows of one doc_id and text are
-numbered by their text, and equal rows count as one document.  A null doc_id
+Rows are told apart by doc_id and a 32-bit hash of the text: repeated rows of one
+doc_id and text count as one document.  A null doc_id
 takes no part: its text stays as it is.  Other columns are left alone.
 """
 
@@ -82,7 +82,7 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, copy, repeats (sorted places of chunks kept elsewhere), shared (of all that repeat)."""
     small_batches(docs.sparkSession)
-    digests = docs.mapInArrow(_digest_batches, "doc_id long, copy long, digests array<long>")
+    digests = docs.mapInArrow(_digest_batches, "doc_id long, copy int, digests array<long>")
     rows = digests.select("doc_id", "copy", F.posexplode("digests").alias("place", "digest"))
     first = (rows.groupBy("digest").agg(F.min(F.struct("doc_id", "copy", "place")).alias("first"),
                                         F.count("*").alias("n")).where("n > 1").drop("n"))
@@ -144,7 +144,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     names = added(docs)
     copy, repeats, shared = (free_name(docs, n) for n in ("copy", "repeats", "shared"))
-    given = docs.withColumn(copy, F.xxhash64(F.col("text").cast("string")))
+    given = docs.withColumn(copy, F.hash(F.col("text").cast("string")))
     keyed = given.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(copy).alias("copy"),
                          F.col("text").cast("string").alias("text")).where("doc_id is not null")
     found = repeated_chunks(keyed).select(

@@ -29,7 +29,8 @@ def test_gear_hash_equals_its_definition():
 
 
 def test_passages_are_removed_from_later_documents(spark):
-    passages = [words(100 + k, 55) for k in range(60)]
+    # 80 invented words of four letters are as long as 50 natural ones
+    passages = [words(100 + k, 80) for k in range(60)]
     rows = [(k, words(200 + k, 80) + " " + passages[k] + " " + words(300 + k, 70)) for k in range(60)]
     rows += [(100 + k, words(400 + k, 30 + k) + "\n" + passages[k] + "\n" + words(500 + k, 40)) for k in range(60)]
     rows += [(200 + k, words(600 + k, 150)) for k in range(20)]
