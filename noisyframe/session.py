@@ -47,9 +47,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def configure(spark: SparkSession) -> None:
     """Settings every operator relies on; safe to call on any session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    import_path(spark)
     checkpoint_dir(spark)
 
 
+def import_path(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver did, whatever
+    their working folder; on a cluster without that path it comes by --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    given = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in given.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [given, root]))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
