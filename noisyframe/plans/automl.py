@@ -252,7 +252,7 @@ class FeatureEngine:
         return kept, [f for f in feats if f not in set(kept)]
 
     def fit_transform(self, df: DataFrame) -> DataFrame:
-        df = FE.select_raw(FE.nonneg_rows(df))
+        df = self._raw(df)
         roles = Roles.infer(df)
         self.cats = list(roles.cat)
         blocks = FE.cat_blocks(df, self.cats)
@@ -281,6 +281,10 @@ class FeatureEngine:
                 self.drop2 = self._kept(out, 500)[1]
         return out.drop(*self.drop2)
 
+    def _raw(self, df: DataFrame) -> DataFrame:
+        """Rows with a non-negative index (P7), raw columns only (P8); time columns but the one used are dropped."""
+        return FE.select_raw(FE.nonneg_rows(df), keep=("row_id", "label", self.time_col))
+
     def _looked_up(self, step: str, rows: DataFrame, keys: list, aggs: list) -> DataFrame:
         """rows with the aggregates of their keys: of these rows, or of those of the fit."""
         if self.refit or step not in self.lookups:
@@ -316,7 +320,7 @@ class FeatureEngine:
     def transform(self, df: DataFrame) -> DataFrame:
         # lineage is cut between stages: each stage re-reads its input several times
         has_time = self.time_col is not None and self.time_col in df.columns
-        out = self._first(cut_lineage(self.encoder.transform(FE.select_raw(FE.nonneg_rows(df)))), has_time)
+        out = self._first(cut_lineage(self.encoder.transform(self._raw(df))), has_time)
         return self._second(out.drop(*self.drop1), has_time).drop(*self.drop2) if self.deep else out
 
 

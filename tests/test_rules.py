@@ -1,5 +1,7 @@
 """The exact rules of SURVEY §2.11 on hand-written edge frames."""
 import numpy as np
+import pytest
+
 from pyspark.sql import functions as F
 
 from noisyframe.operators import labels as L
@@ -131,3 +133,16 @@ def test_converge_keeps_columns_normalised():
     assert abs(sum(py) - 1) < 1e-9
     assert all(abs(nm[0][b] + nm[1][b] - 1) < 1e-9 for b in range(2))
     assert all(abs(sum(inv[a]) - 1) < 1e-9 for a in range(2))
+
+
+def test_null_seen_in_fit_has_a_code(spark):
+    fit = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "row_id long, c_1 string")
+    enc = FE.BlockEncoder().fit(fit, FE.cat_blocks(fit, ["c_1"]))
+    new = spark.createDataFrame([(4, None), (5, "z"), (6, "x")], "row_id long, c_1 string")
+    assert {r.row_id: r.c_1 for r in enc.transform(new).collect()} == {4: 2, 5: 3, 6: 0}
+
+
+def test_labels_out_of_range_raise(spark):
+    df = _psx_frame(spark, [(0, 0.9), (1, 0.2), (7, 0.5)])
+    with pytest.raises(ValueError, match="label"):
+        L.confident_joint(df, [0.5, 0.5])
