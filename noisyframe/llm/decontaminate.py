@@ -27,6 +27,7 @@ gives a row, repeated or not.  An empty benchmark hits nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ from .common import (alnum_words, ascii_lower, byte_texts, free_name, lay_out, s
                      word_hashes, word_spans)
 
 SPAN = 10
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 200_000
 # A text loses its hit spans, or goes as a whole if they cover this share of its words.
 COVERAGE = 0.8
 
@@ -212,31 +213,28 @@ def shards(items: DataFrame, limit: int = SHARD_WORDS) -> list[list[tuple[str, b
         yield [(r["item_id"], r["text"].encode()) for r in sorted(part)]
 
 
-_SCREENS: dict[int, Screen] = {}
-
-
-def _screen(shared) -> Screen:
-    """The worker's screen for a broadcast shard, built once per worker."""
-    if shared.id not in _SCREENS:
-        _SCREENS.clear()
-        _SCREENS[shared.id] = Screen(*shared.value)
-    return _SCREENS[shared.id]
+_SCREENS: dict[str, Screen] = {}
 
 
 class _Shared:
-    def __init__(self, spark: SparkSession, value, number: int):
-        self.broadcast, self.id = spark.sparkContext.broadcast(value), (id(self), number)
+    """A broadcast shard with a name of its own, by which a worker keeps its screen."""
+
+    def __init__(self, spark: SparkSession, items: list[tuple[str, bytes]], span: int):
+        self.broadcast, self.name = spark.sparkContext.broadcast((items, span)), uuid.uuid4().hex
 
-    @property
-    def value(self):
-        return self.broadcast.value
+    def screen(self) -> Screen:
+        """Built once per worker, and kept until another shard comes."""
+        if self.name not in _SCREENS:
+            _SCREENS.clear()
+            _SCREENS[self.name] = Screen(*self.broadcast.value)
+        return _SCREENS[self.name]
 
 
 def _scan_batches(shared, out):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = byte_texts(batch.column("text"))
-            yield out(batch, texts, _screen(shared).scan(texts))
+            yield out(batch, texts, shared.screen().scan(texts))
     return run
 
 
@@ -252,10 +250,10 @@ def contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFra
             "hit": pa.array([np.flatnonzero(s[1]) for s in scans], pa.list_(pa.int64())),
             "items": pa.array([sorted(s[2]) for s in scans], pa.list_(pa.string()))})
 
-    found = None
-    parts = list(shards(items))
-    for i, part in enumerate(parts):
-        shared = _Shared(spark, (part, span), i)
+    found, count = None, 0
+    for i, part in enumerate(shards(items)):
+        count += 1
+        shared = _Shared(spark, part, span)
         # equal rows have equal hits, so (doc_id, hash of the text) tells rows apart
         given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"),
                             F.col("text").cast("string").alias("text"))
@@ -263,7 +261,7 @@ def contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFra
                                "doc_id long, row long, n_words long, hit array<long>, items array<string>")
         found = own.withColumn("shard", F.lit(i)) if found is None else found.unionByName(
             own.withColumn("shard", F.lit(i)))
-    if len(parts) > 1:
+    if count > 1:
         found = (found.groupBy("doc_id", "row", "n_words", "shard")
                  .agg(F.count("*").alias("times"), F.first("hit").alias("hit"), F.first("items").alias("items"))
                  .groupBy("doc_id", "row", "n_words", "times")
@@ -289,8 +287,8 @@ def cleaned(docs: DataFrame, items: DataFrame, span: int = SPAN, coverage: float
         columns = [pa.array(new, pa.binary()).cast(pa.string()) if c == "text" else batch.column(c) for c in names]
         return pa.RecordBatch.from_arrays([*columns, pa.array(drop)], [*names, gone])
 
-    for i, part in enumerate(shards(items)):
-        shared = _Shared(docs.sparkSession, (part, span), i)
+    for part in shards(items):
+        shared = _Shared(docs.sparkSession, part, span)
         docs = docs.mapInArrow(_scan_batches(shared, out), schema).where(~F.col(gone)).select(*names)
     return docs
 
