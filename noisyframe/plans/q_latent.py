@@ -10,7 +10,6 @@ from ..operators import labels as L
 from ..operators import latent as LT
 from ..operators import sampling as SM
 from ..sources.tables import multi_label_documents, noisy_lineitem
-from ..session import cut_lineage
 from . import sqlparts as S
 from .catalog import register
 from .label_errors import lineitem_psx, p_columns

@@ -15,7 +15,6 @@ from ..functions.keys import argmax_first, r6
 from ..operators import features as FE
 from ..operators import labels as L
 from ..operators import learn as LN
-from ..operators import sampling as SM
 from ..session import checkpoint_dir, cut_lineage
 from ..sources.tables import (embeddings, noisy_documents, noisy_lineitem, pu_orders, ssl_events)
 from ..sources.text import read_labelled_text, write_labelled_text
