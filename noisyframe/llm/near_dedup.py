@@ -155,29 +155,38 @@ def open_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
 def cross_pairs(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of members of one list whose components differ and whose sizes allow a link.
 
-    Components of a list are paired first, then their members, so that members of
-    one component are never compared.  For lists of full sets, the smaller set (of
-    equal ones the smaller id) must be one that finds; and the two must still be able
-    to have enough in common after the places where they meet.  At the first value
-    that they share nothing before it is common, so no link is lost.
+    For lists of few components: these are paired first, then their members, so that
+    members of one component are never compared.
     """
-    directed = "finds" in members.columns
-    rows = members if directed else members.withColumns({"finds": F.lit(True), "pos": F.lit(0)})
-    blocks = rows.groupBy("value", "component").agg(F.max("finds").alias("finds"))
-    other = blocks.select("value", F.col("component").alias("component2"))
-    ordered = F.col("component") != F.col("component2") if directed else F.col("component") < F.col("component2")
-    block_pairs = blocks.where("finds").join(other, "value").where(ordered)
-    right = rows.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
-                        F.col("n").alias("n2"), F.col("pos").alias("pos2"))
-    allowed = F.lit(True)
-    if directed:
-        rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
-        enough = rest * (LINK_INTERSECTION + LINK_UNION) >= (F.col("n") + F.col("n2")) * LINK_UNION
-        allowed = enough & (F.struct("n", "id") < F.struct("n2", "id2"))
-    return (block_pairs.select("value", "component", "component2")
-            .join(rows.where("finds"), ["value", "component"]).join(right, ["value", "component2"])
-            .where(_similar_sizes("n", "n2") & allowed)
-            .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
+    blocks = members.select("value", "component").distinct()
+    other = blocks.withColumnRenamed("component", "component2")
+    block_pairs = blocks.join(other, "value").where("component < component2")
+    right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
+                           F.col("n").alias("n2"))
+    return (block_pairs.join(members, ["value", "component"]).join(right, ["value", "component2"])
+            .where(_similar_sizes("n", "n2")).select(*_ordered_ids()).distinct())
+
+
+def set_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one list of full sets (see ``full_lists``).
+
+    The smaller set (of equal ones the smaller id) must be one that finds, and the two
+    must still be able to have enough in common after the places where they meet.  At
+    the first value that they share nothing before it is common, so no link is lost.
+    All of this is in the condition of the join: what can't be a link is not made.
+    """
+    right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
+                           F.col("n").alias("n2"), F.col("pos").alias("pos2"))
+    rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
+    enough = rest * (LINK_INTERSECTION + LINK_UNION) >= (F.col("n") + F.col("n2")) * LINK_UNION
+    smaller = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("id") < F.col("id2")))
+    return (members.where("finds").join(right, "value")
+            .where((F.col("component") != F.col("component2")) & smaller & enough & _similar_sizes("n", "n2"))
+            .select(*_ordered_ids()).distinct())
+
+
+def _ordered_ids() -> list[F.Column]:
+    return [F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")]
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +315,7 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH) -> DataFrame:
     found = _with_component(lists, tree, "id")
     few, ids_of_many = open_lists(found)
     by_sets = _with_component(full_lists(texts.join(ids_of_many, "id", "left_semi")), tree, "id")
-    pairs = cross_pairs(few).unionByName(cross_pairs(by_sets)).distinct()
+    pairs = cross_pairs(few).unionByName(set_pairs(by_sets)).distinct()
     between = verified(estimated(pairs, classes, k), texts)
     joined = _with_component(_with_component(between, tree, "a", "u"), tree, "b", "v")
     merged = components(joined.select("u", "v"))
