@@ -21,6 +21,8 @@ from noisyframe.llm.common import free_name
 from noisyframe.session import cut_lineage
 
 ORACLE_SQL = None
+# Near copies have this similarity of word shingles, in hundredths (op2's query: 85).
+NEAR = 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates, the one of the smallest doc_id."""
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    gone = near_dedup.near_duplicates(docs, link=NEAR).where(~F.col("kept")).select("doc_id").distinct()
     same = free_name(docs, "same")
     left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns, F.xxhash64("text").alias(same))
     return left.dropDuplicates(["doc_id", same]).select(*docs.columns)

@@ -2,7 +2,8 @@
 
 A document's set holds its distinct shingles of five words (fewer words: the
 whole sequence as one shingle; no word: the empty set, linked with nothing).
-Two documents are linked if 100 * |A and B| >= 85 * |A or B|.
+Two documents are linked if 100 * |A and B| >= link * |A or B|; link is 85 unless
+given.  What follows from the 85 below follows from the link that is given.
 
 1. One pass over the texts gives each document the size of its set, a digest of
    the set and the ``k`` smallest hashes of it: its sketch.  Equal sets fall into
@@ -25,16 +26,17 @@ Two documents are linked if 100 * |A and B| >= 85 * |A or B|.
    full sets instead, without loss: each enters the lists of its rarest shingles
    (15 of 100 to be found by larger sets, of these 8 of 100 to find smaller ones), so
    that only texts meet which have hardly anything but common passages.
-4. A pair stays if the sketch of the union (the k smallest of both sketches
-   together) estimates a similarity of at least ``FLOOR``; the rest is verified
-   on the full sets, computed anew from both texts.
+4. A pair stays if ``least_common`` values of the union's sketch (the k smallest of
+   both sketches together) are in both; the rest is verified on the full sets,
+   computed anew from both texts.
 5. Components by pointer jumping over the trees, then by alternating stars over
    the links between trees, in Spark, each step written to the shared folder.
 
-Losses: a link is lost only if its union sketch falls under the floor.  For a
-similarity of exactly 0.85 the number of common values among k = 64 is about
-binomial(64, 0.85); P(less than 40) is about 4e-6.  Sets of up to 54 shingles
-are compared without loss (both sketches hold the full sets).
+Losses: a link is lost only if its union sketch has fewer common values.  For a
+similarity of exactly 0.85 their number among k = 64 is about binomial(64, 0.85);
+P(less than 40) is about 4e-6, and ``least_common`` holds any other link to
+``LOSS`` as well.  Sets of up to 54 shingles (51 at 0.80) are compared without loss
+(both sketches hold the full sets).
 
 Defined cases: null or empty text: n_shingles 0, its own component, kept.  Rows
 with a null doc_id take part in nothing: component null, kept.  Repeated rows of
@@ -45,6 +47,7 @@ row each, and their links count for that id.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -57,9 +60,9 @@ from .common import (ascii_lower, byte_texts, lay_out, mix64, small_batches, spa
                      word_hashes, word_spans)
 
 WORDS = 5
-LINK_INTERSECTION, LINK_UNION = 100, 85  # fixed: 100 * intersection >= 85 * union
+LINK_INTERSECTION, LINK_UNION = 100, 85  # op2's rule: 100 * intersection >= 85 * union
 SKETCH = 64
-FLOOR = 0.62
+LOSS = 5e-6  # of the links of the least similarity, at most this share is lost
 MANY = 32
 
 _LOWER, _SPACE = ascii_lower(), space_words()
@@ -108,18 +111,27 @@ def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
         _sketch_batches(k), "doc_id long, n_shingles long, digest binary, sketch array<long>")
 
 
-def need(n: F.Column, k: int = SKETCH) -> F.Column:
+def least_common(link: int = LINK_UNION, k: int = SKETCH) -> int:
+    """Values of a union's sketch that are in both sets, but for ``LOSS`` of the links."""
+    p, lost = link / LINK_INTERSECTION, 0.0
+    for common in range(k + 1):
+        lost += comb(k, common) * p ** common * (1 - p) ** (k - common)
+        if lost > LOSS:
+            return common
+    return k
+
+
+def need(n: F.Column, k: int = SKETCH, link: int = LINK_UNION) -> F.Column:
     """Values that the sketch of a set of n must have in common with that of any linked set.
 
-    Up to 0.85 * k both sketches are the full sets, and the intersection is at
-    least 0.85 n.  Above, the common values of the union sketch are in both.
+    Up to link / 100 * k both sketches are the full sets, and the intersection is at
+    least link / 100 * n.  Above, the common values of the union sketch are in both.
     """
-    exact = F.ceil(n * LINK_UNION / LINK_INTERSECTION)
-    return F.when(n <= int(k * LINK_UNION / LINK_INTERSECTION), exact).otherwise(
-        F.lit(int(np.ceil(FLOOR * k)))).cast("int")
+    exact = F.ceil(n * link / LINK_INTERSECTION)
+    return F.when(n <= k * link // LINK_INTERSECTION, exact).otherwise(F.lit(least_common(link, k))).cast("int")
 
 
-def inverted_lists(classes: DataFrame, k: int = SKETCH) -> DataFrame:
+def inverted_lists(classes: DataFrame, k: int = SKETCH, link: int = LINK_UNION) -> DataFrame:
     """value, id, n: the rarest retained values of each class that another one retains too."""
     postings = classes.select("id", "n", F.explode("sketch").alias("value"))
     shared = postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
@@ -127,20 +139,20 @@ def inverted_lists(classes: DataFrame, k: int = SKETCH) -> DataFrame:
            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("common")))
     size = F.least(F.col("n"), F.lit(k))
     alone = size - F.size("common")          # values that no other class retains come first
-    enter = size - need(F.col("n"), k) + 1 - alone
+    enter = size - need(F.col("n"), k, link) + 1 - alone
     return (own.withColumn("enter", enter.cast("int")).where("enter > 0")
             .select("id", "n", F.explode(F.expr("slice(common, 1, enter)")).alias("c"))
             .select(F.col("c.value").alias("value"), "id", "n"))
 
 
-def _similar_sizes(a: str, b: str) -> F.Column:
-    return (F.least(a, b) * LINK_INTERSECTION) >= (F.greatest(a, b) * LINK_UNION)
+def _similar_sizes(a: str, b: str, link: int) -> F.Column:
+    return (F.least(a, b) * LINK_INTERSECTION) >= (F.greatest(a, b) * link)
 
 
-def star_pairs(lists: DataFrame) -> DataFrame:
+def star_pairs(lists: DataFrame, link: int = LINK_UNION) -> DataFrame:
     """Pairs (a: first member of a list, b: another member) of similar sizes."""
     hub = lists.groupBy("value").agg(F.min(F.struct("id", "n")).alias("hub"))
-    return (lists.join(hub, "value").where(F.col("id") != F.col("hub.id")).where(_similar_sizes("n", "hub.n"))
+    return (lists.join(hub, "value").where(F.col("id") != F.col("hub.id")).where(_similar_sizes("n", "hub.n", link))
             .select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct())
 
 
@@ -152,7 +164,7 @@ def open_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
             members.where(F.col("width") > MANY).select("id").distinct())
 
 
-def cross_pairs(members: DataFrame) -> DataFrame:
+def cross_pairs(members: DataFrame, link: int = LINK_UNION) -> DataFrame:
     """Pairs (a, b) of members of one list whose components differ and whose sizes allow a link.
 
     For lists of few components: these are paired first, then their members, so that
@@ -164,10 +176,10 @@ def cross_pairs(members: DataFrame) -> DataFrame:
     right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
                            F.col("n").alias("n2"))
     return (block_pairs.join(members, ["value", "component"]).join(right, ["value", "component2"])
-            .where(_similar_sizes("n", "n2")).select(*_ordered_ids()).distinct())
+            .where(_similar_sizes("n", "n2", link)).select(*_ordered_ids()).distinct())
 
 
-def set_pairs(members: DataFrame) -> DataFrame:
+def set_pairs(members: DataFrame, link: int = LINK_UNION) -> DataFrame:
     """Pairs (a, b) of members of one list of full sets (see ``full_lists``).
 
     The smaller set (of equal ones the smaller id) must be one that finds, and the two
@@ -178,10 +190,10 @@ def set_pairs(members: DataFrame) -> DataFrame:
     right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
                            F.col("n").alias("n2"), F.col("pos").alias("pos2"))
     rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
-    enough = rest * (LINK_INTERSECTION + LINK_UNION) >= (F.col("n") + F.col("n2")) * LINK_UNION
+    enough = rest * (LINK_INTERSECTION + link) >= (F.col("n") + F.col("n2")) * link
     smaller = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("id") < F.col("id2")))
     return (members.where("finds").join(right, "value")
-            .where((F.col("component") != F.col("component2")) & smaller & enough & _similar_sizes("n", "n2"))
+            .where((F.col("component") != F.col("component2")) & smaller & enough & _similar_sizes("n", "n2", link))
             .select(*_ordered_ids()).distinct())
 
 
@@ -196,11 +208,11 @@ def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "shingles": pa.array(shingle_sets(byte_texts(batch.column("text"))), pa.list_(pa.int64()))})
 
 
-def full_lists(texts: DataFrame) -> DataFrame:
+def full_lists(texts: DataFrame, link: int = LINK_UNION) -> DataFrame:
     """value, id, n, finds, pos: lists of the rarest shingles of the full sets of texts (id, text).
 
-    Linked sets have 0.85 of the larger one in common, and 34 / 37 of the smaller
-    one, so that all but so many of a set's shingles must hold one of the other's.
+    Linked sets have link / 100 of the larger one in common, and 2 * link / (100 + link)
+    of the smaller one (0.85 and 34 / 37), so that all but so many of a set's shingles must hold one of the other's.
     """
     rows = texts.mapInArrow(_set_batches, "id long, shingles array<long>").select(
         "id", F.size("shingles").alias("n"), F.explode("shingles").alias("value"))
@@ -208,8 +220,8 @@ def full_lists(texts: DataFrame) -> DataFrame:
     own = (rows.join(shared, "value").groupBy("id", "n")
            .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("common")))
     alone = F.col("n") - F.size("common")
-    found = F.col("n") - F.ceil(F.col("n") * LINK_UNION / LINK_INTERSECTION) + 1 - alone
-    finding = F.col("n") - F.ceil(F.col("n") * (2 * LINK_UNION) / (LINK_UNION + LINK_INTERSECTION)) + 1 - alone
+    found = F.col("n") - F.ceil(F.col("n") * link / LINK_INTERSECTION) + 1 - alone
+    finding = F.col("n") - F.ceil(F.col("n") * (2 * link) / (link + LINK_INTERSECTION)) + 1 - alone
     return (own.withColumn("found", found.cast("int")).withColumn("finding", finding.cast("int")).where("found > 0")
             .withColumn("alone", alone.cast("int"))
             .select("id", "n", "finding", "alone", F.posexplode(F.expr("slice(common, 1, found)")).alias("place", "c"))
@@ -218,33 +230,36 @@ def full_lists(texts: DataFrame) -> DataFrame:
                     (F.col("alone") + F.col("place") + 1).alias("pos")))
 
 
-def estimated(pairs: DataFrame, classes: DataFrame, k: int = SKETCH) -> DataFrame:
-    """The pairs whose union sketch estimates at least FLOOR, with the estimate."""
+def estimated(pairs: DataFrame, classes: DataFrame, k: int = SKETCH, link: int = LINK_UNION) -> DataFrame:
+    """The pairs whose union sketch has enough common values, with the estimate."""
     left = classes.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
     right = classes.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
     return (pairs.join(left, "a").join(right, "b")
-            .select("a", "b", (common / F.size(union)).alias("estimate")).where(F.col("estimate") >= FLOOR))
+            .select("a", "b", (common / F.size(union)).alias("estimate"))
+            .where(F.col("estimate") >= least_common(link, k) / k))
 
 
-def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        left = shingle_sets(byte_texts(batch.column("ta")))
-        right = shingle_sets(byte_texts(batch.column("tb")))
-        linked = []
-        for x, y in zip(left, right, strict=True):
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(LINK_INTERSECTION * both >= LINK_UNION * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+def _verify_batches(link: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = shingle_sets(byte_texts(batch.column("ta")))
+            right = shingle_sets(byte_texts(batch.column("tb")))
+            linked = []
+            for x, y in zip(left, right, strict=True):
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(LINK_INTERSECTION * both >= link * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+    return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, link: int = LINK_UNION) -> DataFrame:
     """The pairs that are links on their full sets.  texts: id, text."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b")
-            .select("a", "b", "ta", "tb").mapInArrow(_verify_batches, "a long, b long"))
+            .select("a", "b", "ta", "tb").mapInArrow(_verify_batches(link), "a long, b long"))
 
 
 def _digest(df: DataFrame) -> tuple:
@@ -296,27 +311,30 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
-def near_duplicates(docs: DataFrame, k: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and class_id (the smallest id with an equal set)."""
+def near_duplicates(docs: DataFrame, k: int = SKETCH, link: int = LINK_UNION) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept and class_id (the smallest id with an equal set).
+
+    ``link`` is the least similarity of a link, in hundredths.
+    """
     prepared = cut_lineage(sketches(docs, k))
     full = prepared.where("n_shingles > 0 and doc_id is not null")
     membership = full.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     # equal digests have equal sizes and sketches: any of them will do
     classes = cut_lineage(full.groupBy("digest").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")))
-    lists = cut_lineage(inverted_lists(classes, k))
+    lists = cut_lineage(inverted_lists(classes, k, link))
     in_lists = lists.select("id").distinct()
     # a class is stood for by the text of one row with its digest
     texts = cut_lineage(_texts_of(docs, in_lists))
     # one hub for each class: the one it resembles most, of equal ones the smallest
-    best = (estimated(star_pairs(lists), classes, k).groupBy("b")
+    best = (estimated(star_pairs(lists, link), classes, k, link).groupBy("b")
             .agg(F.max_by("a", F.struct("estimate", F.negate("a"))).alias("a")))
-    tree = roots(verified(best, texts).select(F.col("b").alias("u"), F.col("a").alias("v")))
+    tree = roots(verified(best, texts, link).select(F.col("b").alias("u"), F.col("a").alias("v")))
     found = _with_component(lists, tree, "id")
     few, ids_of_many = open_lists(found)
-    by_sets = _with_component(full_lists(texts.join(ids_of_many, "id", "left_semi")), tree, "id")
-    pairs = cross_pairs(few).unionByName(set_pairs(by_sets)).distinct()
-    between = verified(estimated(pairs, classes, k), texts)
+    by_sets = _with_component(full_lists(texts.join(ids_of_many, "id", "left_semi"), link), tree, "id")
+    pairs = cross_pairs(few, link).unionByName(set_pairs(by_sets, link)).distinct()
+    between = verified(estimated(pairs, classes, k, link), texts, link)
     joined = _with_component(_with_component(between, tree, "a", "u"), tree, "b", "v")
     merged = components(joined.select("u", "v"))
     # a root that was merged takes its tree along

@@ -80,3 +80,29 @@ def test_components_and_roots_of_long_chains(spark):
     tree = spark.createDataFrame([(i + 1, i) for i in range(100)] + [(500, 7)], "u long, v long")
     assert {r["u"]: r["v"] for r in M.roots(tree).collect()} == {i: 0 for i in [*range(1, 101), 500]}
     assert M.components(links.limit(0)).count() == M.roots(tree.limit(0)).count() == 0
+
+
+def jaccard(a, b):
+    x, y = (set(M.shingle_sets([t.encode()])[0].tolist()) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("many", [M.MANY, 1])
+def test_link_is_a_parameter(spark, monkeypatch, many):
+    monkeypatch.setattr(M, "MANY", many)
+    rows = []
+    for k in range(12):      # one changed word in 54, two in 100, eight in 400: 0.81 to 0.82
+        for n, every in ((54, 30), (100, 40), (400, 48)):
+            base = words(10 * k + n, n)
+            rows += [(len(rows), base), (len(rows) + 1, near(base, every))]
+    for k in range(20):      # a common passage, less than a link
+        rows.append((len(rows), words(2, 60) + " " + words(500 + k, 30 + k)))
+    assert all(0.80 <= jaccard(rows[i][1], rows[i + 1][1]) < 0.85 for i in range(0, 72, 2))
+    at = {link: {r["doc_id"]: r["component_id"] for r in M.near_duplicates(docs(spark, rows), link=link).collect()}
+          for link in (80, 85)}
+    assert at[80] == {i: i - i % 2 if i < 72 else i for i, _ in rows}
+    assert at[85] == {i: i for i, _ in rows}
+
+
+def test_floor_of_the_sketches_follows_the_link():
+    assert (M.least_common(85), M.least_common(80)) == (40, 36)

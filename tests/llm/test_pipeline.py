@@ -68,3 +68,10 @@ def test_one_query_for_each_operator():
     entry = importlib.import_module("__spark_entry__")
     assert {"pipeline", *names} <= set(entry.queries())
     assert [n for n, _ in P.STAGES] == ["language_id", "near_dedup", "substring_dedup", "decontamination", "packing"]
+
+
+def test_near_dedup_stage_links_at_four_fifths(spark, tmp_path):
+    base = words(40, 100)
+    changed = " ".join("z" + w if i in (40, 70) else w for i, w in enumerate(base.split()))     # 86 of 106 shingles
+    frame = docs(spark, [(1, base), (2, changed), (3, words(41, 100))])
+    assert sorted(r["doc_id"] for r in P.near_dedup_stage(spark, frame, str(tmp_path)).collect()) == [1, 3]
