@@ -17,8 +17,8 @@ window; only those, confirmed word by word, are streamed.
 
 The automaton is built on each worker from the items, which are sent out in
 shards of at most ``SHARD_WORDS`` words.  One shard is the usual case; a larger
-benchmark takes a pass over the texts for each shard, and the hits are merged by
-document.
+benchmark takes a pass over the texts for each shard, each over the texts as given,
+and the hits are merged by document before anything follows from them.
 
 Defined cases: null texts and items have no words.  Null item_ids are left out.
 Items of one id and different texts count as one item.  Every row of documents
@@ -28,7 +28,8 @@ gives a row, repeated or not.  An empty benchmark hits nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -238,42 +239,58 @@ def _scan_batches(shared, out):
     return run
 
 
-def contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted as strings), spans of hit words."""
-    spark = docs.sparkSession
-    small_batches(spark)
+_FOUND = "doc_id long, row long, n_words long, hit array<long>, items array<string>"
 
-    def out(batch, texts, scans):
-        return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "row": batch.column("row"),
-            "n_words": pa.array([s[0] for s in scans], pa.int64()),
-            "hit": pa.array([np.flatnonzero(s[1]) for s in scans], pa.list_(pa.int64())),
-            "items": pa.array([sorted(s[2]) for s in scans], pa.list_(pa.string()))})
 
+def _found_batches(batch, texts, scans) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({
+        "doc_id": batch.column("doc_id"), "row": batch.column("row"),
+        "n_words": pa.array([s[0] for s in scans], pa.int64()),
+        "hit": pa.array([np.flatnonzero(s[1]) for s in scans], pa.list_(pa.int64())),
+        "items": pa.array([sorted(s[2]) for s in scans], pa.list_(pa.string()))})
+
+
+def _row() -> F.Column:
+    """Equal texts have equal hits, so (doc_id, this hash of the text) tells rows apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _hits_by_shard(docs: DataFrame, parts: Iterable[list], span: int) -> tuple[DataFrame, int]:
+    """doc_id, row, n_words, hit, items and shard: each row of docs once a shard; and the number of shards."""
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row().alias("row"),
+                        F.col("text").cast("string").alias("text"))
     found, count = None, 0
-    for i, part in enumerate(shards(items)):
+    for part in parts:
+        shared = _Shared(docs.sparkSession, part, span)
+        own = given.mapInArrow(_scan_batches(shared, _found_batches), _FOUND).withColumn("shard", F.lit(count))
+        found = own if found is None else found.unionByName(own)
         count += 1
-        shared = _Shared(spark, part, span)
-        # equal rows have equal hits, so (doc_id, hash of the text) tells rows apart
-        given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"),
-                            F.col("text").cast("string").alias("text"))
-        own = given.mapInArrow(_scan_batches(shared, out),
-                               "doc_id long, row long, n_words long, hit array<long>, items array<string>")
-        found = own.withColumn("shard", F.lit(i)) if found is None else found.unionByName(
-            own.withColumn("shard", F.lit(i)))
+    return found, count
+
+
+def _merged(lists: str) -> F.Column:
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(lists)))).alias(lists)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, span: int = SPAN) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items (sorted as strings), spans of hit words."""
+    small_batches(docs.sparkSession)
+    found, count = _hits_by_shard(docs, shards(items), span)
     if count > 1:
         found = (found.groupBy("doc_id", "row", "n_words", "shard")
                  .agg(F.count("*").alias("times"), F.first("hit").alias("hit"), F.first("items").alias("items"))
-                 .groupBy("doc_id", "row", "n_words", "times")
-                 .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("hit"),
-                      F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+                 .groupBy("doc_id", "row", "n_words", "times").agg(_merged("hit"), _merged("items"))
                  .withColumn("time", F.explode(F.expr("sequence(1, times)"))))
     return found.select("doc_id", "n_words", F.size("hit").cast("long").alias("n_hit"),
                         F.size("items").cast("long").alias("n_items"), "items", "hit")
 
 
 def cleaned(docs: DataFrame, items: DataFrame, span: int = SPAN, coverage: float = COVERAGE) -> DataFrame:
-    """docs without hit spans, and without documents of which they cover too large a share."""
+    """docs without hit spans, and without documents of which they cover too large a share.
+
+    All shards are matched against the texts as given; their hits are merged by row
+    before anything is cut and the share is taken.
+    """
     small_batches(docs.sparkSession)
     names = docs.columns
     gone = free_name(docs, "gone")
@@ -287,10 +304,38 @@ def cleaned(docs: DataFrame, items: DataFrame, span: int = SPAN, coverage: float
         columns = [pa.array(new, pa.binary()).cast(pa.string()) if c == "text" else batch.column(c) for c in names]
         return pa.RecordBatch.from_arrays([*columns, pa.array(drop)], [*names, gone])
 
-    for part in shards(items):
-        shared = _Shared(docs.sparkSession, part, span)
-        docs = docs.mapInArrow(_scan_batches(shared, out), schema).where(~F.col(gone)).select(*names)
-    return docs
+    parts = shards(items)
+    held = [next(parts), *islice(parts, 1)]
+    if len(held) == 1:
+        marked = docs.mapInArrow(_scan_batches(_Shared(docs.sparkSession, held[0], span), out), schema)
+        return marked.where(~F.col(gone)).select(*names)
+    of_id, of_row, hits = (free_name(docs, c) for c in ("id_key", "row_key", "hits"))
+    found, _ = _hits_by_shard(docs, chain(held, parts), span)
+    merged = (found.where(F.size("hit") > 0).groupBy("doc_id", "row").agg(_merged("hit"))
+              .select(F.col("doc_id").alias(of_id), F.col("row").alias(of_row), F.col("hit").alias(hits)))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (_row() == F.col(of_row))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = byte_texts(batch.column("text"))
+            yield out(batch, texts, _as_scans(texts, batch.column(hits)))
+
+    marked = docs.join(merged, same, "left").select(*names, hits).mapInArrow(run, schema)
+    return marked.where(~F.col(gone)).select(*names)
+
+
+def _as_scans(texts: list[bytes | None], hits: pa.Array) -> list[tuple]:
+    """Per text what ``Screen.scan`` gives, but for the items, from the numbers of its hit words."""
+    raw, starts = lay_out(texts)
+    begin, end = word_spans(_LOWER[raw], _ALNUM)
+    first = np.searchsorted(begin, starts)
+    out = []
+    for i, places in enumerate(hits.to_pylist()):
+        own = slice(first[i], first[i + 1])
+        hit = np.zeros(first[i + 1] - first[i], bool)
+        hit[places or []] = True
+        out.append((len(hit), hit, set(), np.stack([begin[own], end[own]], axis=1) - starts[i]))
+    return out
 
 
 def _without(text: bytes, hit: np.ndarray, spans: np.ndarray) -> bytes:

@@ -83,3 +83,46 @@ def test_cleaned_texts_and_empty_tables(spark):
     assert M.cleaned(frame, table).columns == frame.columns
     assert M.contaminated(docs(spark, []), table).count() == 0
     assert [r["n_items"] for r in M.contaminated(frame, table.limit(0)).collect()] == [0] * 5
+
+
+def by_hand(rows, items):
+    """Rows without their hit words and what is between two of them, all items taken at once."""
+    out = []
+    for (i, text), (n, hit, _) in zip(rows, brute([t for _, t in rows], items), strict=True):
+        if n and len(hit) >= M.COVERAGE * n:
+            continue
+        places = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(
+            "[A-Z]", lambda m: m[0].lower(), text or ""))]
+        left, at = "", 0
+        for k in hit:
+            if k - 1 not in hit:
+                left += text[at:places[k][0]]
+            at = places[k][1]
+        out.append((i, None if text is None else left + text[at:]))
+    return out
+
+
+def test_cleaned_with_several_shards_equals_one(spark, monkeypatch):
+    texts, items = material()
+    def run_of(letter, n):
+        return [f"{letter}{k}" for k in range(n)]
+    parts = [run_of(x, 30) for x in "abc"]
+    whole = run_of("o", 20)
+    items += [(f"p{k}", " ".join(p)) for k, p in enumerate(parts)]
+    items += [("left", " ".join(whole[:12])), ("right", " ".join(whole[8:])), ("met", " ".join(run_of("m", 12)))]
+    rows = list(enumerate(texts))
+    # nine tenths in three items; two items that overlap; words that are an item only once another is cut out
+    rows += [(900, " ".join(run_of("v", 10) + sum(parts, []))), (901, " ".join(run_of("v", 40) + whole)),
+             (902, " ".join(run_of("v", 60) + run_of("m", 6) + parts[0] + run_of("m", 12)[6:])),
+             (901, " ".join(run_of("u", 40) + whole)), (None, " ".join(run_of("v", 40) + whole)), (900, "none of it")]
+    rows += [rows[-2], rows[1]]
+    frame, table = docs(spark, rows), spark.createDataFrame(items, "item_id string, text string")
+    key = lambda rows: sorted(rows, key=str)
+    want = key(by_hand(rows, items))
+    assert key((r["doc_id"], r["text"]) for r in M.cleaned(frame, table).collect()) == want
+    for limit in (60, 25):
+        monkeypatch.setattr(M.shards, "__defaults__", (limit,))
+        assert len(list(M.shards(table))) > 3
+        again = M.cleaned(frame, table)
+        assert again.columns == frame.columns
+        assert key((r["doc_id"], r["text"]) for r in again.collect()) == want
