@@ -5,10 +5,11 @@ Each stage works on all that the stage before it kept, and all but the last retu
 the columns of documents, texts as changed so far.  Every stage's output is
 written as Parquet to the shared folder and read again by the next one.
 
-Defined cases: null or empty texts, and texts without a letter, go in the first
-stage; a null doc_id is kept by all stages, as nothing can be held against a row
-without identity; repeated rows count as copies, of which one stays; additional
-columns are carried along.  An empty table gives an empty result.
+Defined cases: null or empty texts, texts without a letter, and texts in none of the
+labelled languages go in the first stage; a null doc_id is kept by all other stages,
+as nothing can be held against a row without identity; repeated rows count as copies,
+of which one stays; additional columns are carried along.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ NEAR = 80
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in which a language was found.
 
-    Learned from the documents' own labels.  A mixed text has a low score by nature,
-    so the score is no ground to drop a document.
+    Learned from the documents' own labels.  A document goes if the n-grams that it
+    shares with any language are no more than false positives explain, or if it has no
+    letter.  A mixed text has a low score by nature, so the score is no ground to drop
+    a document.  Without a label to learn from, every text with a letter stays.
     """
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
-    found = language_id.predict(docs, model, keep_text=True)
-    language, _ = language_id.predicted(docs)
-    return found.where(F.col(language) != language_id.UNKNOWN).select(*docs.columns)
+    return language_id.in_a_language(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,6 +48,8 @@ CONTRAST = 1.5
 FIT_ROWS = 4000
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
+# Probability that a text of unknown n-grams is taken for one in a language.
+NOISE = 0.01
 
 
 def _fold_table() -> np.ndarray:
@@ -159,6 +161,37 @@ class NgramFilter:
         return names, score
 
 
+    def recognised(self, texts: list[bytes | None]) -> np.ndarray:
+        """Texts with a letter and, in some language, more n-grams than false positives explain.
+
+        Distinct n-grams, as a repeated false positive is one.  By Chernoff's bound
+        ``seen`` or more of ``n`` are false positives with a probability of at most
+        exp(-n * KL(seen / n, fp)); over all languages it may be ``NOISE``.  If nothing
+        was learned, a letter is all that is asked for.
+        """
+        letter = np.array([bool(t and LETTER.search(t.decode("utf-8", "replace"))) for t in texts], bool)
+        if not self.bits.any():
+            return letter
+        grams, owner = _batch_ngrams(texts)
+        at = np.searchsorted(owner, np.arange(len(texts) + 1))
+        for i in np.flatnonzero(letter):
+            masks = self.masks(np.unique(grams[at[i]:at[i + 1]]))
+            n = masks.shape[1]
+            masks = masks[:, masks.any(axis=0)]
+            seen = np.array([np.count_nonzero(masks[k // 64] >> np.uint64(k % 64) & np.uint64(1))
+                             for k in range(len(self.langs))])
+            letter[i] = bool((_evidence(seen, n, self.false_rate) >= np.log(len(self.langs) / NOISE)).any())
+        return letter
+
+
+def _evidence(seen: np.ndarray, n: int, rate: np.ndarray) -> np.ndarray:
+    """n * KL(seen / n, rate) where seen / n is above the rate, else 0."""
+    share = seen / max(1, n)
+    above = (share > rate) & (rate > 0)
+    x, p = np.where(above, share, 0.5), np.where(above, rate, 0.5)
+    return np.where(above, n * (x * np.log(x / p) + (1 - x) * np.log(np.maximum(1 - x, 1e-300) / (1 - p))), 0.0)
+
+
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS,
         ngrams_per_language: int = NGRAMS_PER_LANGUAGE, contrast: float = CONTRAST) -> NgramFilter:
     """Learn a filter from columns doc_id, text and lang."""
@@ -208,6 +241,18 @@ def predict(docs: DataFrame, model: NgramFilter, keep_text: bool = False) -> Dat
     return docs.mapInArrow(run, T.StructType(list(kept)).add(new[0], "string").add(new[1], "double"))
 
 
+def in_a_language(docs: DataFrame, model: NgramFilter) -> DataFrame:
+    """The rows of docs whose texts the model recognises as some language or languages."""
+    small_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.recognised(byte_texts(batch.column("text"))), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predicted(docs: DataFrame) -> list[str]:
     """Names of the added columns: lang_pred and score, unless docs has such columns."""
     return [free_name(docs, "lang_pred"), free_name(docs, "score")]

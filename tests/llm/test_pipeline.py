@@ -6,6 +6,8 @@ from noisyframe.llm import catalog
 
 from .frames import docs, words
 from .test_decontaminate import brute as windows_in
+from .test_language_id import PHRASES
+from .test_language_id import text as text_in
 from .test_near_dedup import brute as near_groups
 
 
@@ -75,3 +77,23 @@ def test_near_dedup_stage_links_at_four_fifths(spark, tmp_path):
     changed = " ".join("z" + w if i in (40, 70) else w for i, w in enumerate(base.split()))     # 86 of 106 shingles
     frame = docs(spark, [(1, base), (2, changed), (3, words(41, 100))])
     assert sorted(r["doc_id"] for r in P.near_dedup_stage(spark, frame, str(tmp_path)).collect()) == [1, 3]
+
+
+def test_language_stage_rejects_what_is_in_no_language(spark, tmp_path):
+    natural = [(1000 * k + i, text_in(lang, i), lang) for k, lang in enumerate(PHRASES) for i in range(60)]
+    noise = [(9000 + i, " ".join("qxzjvkwpbg"[(i + 3 * j + j * j) % 10:][:1] * (2 + j % 3) + f"{chr(103 + (i * j) % 20)}zx"
+                                 for j in range(60))) for i in range(20)]
+    foreign = [(9100, "Съешь же ещё этих мягких французских булок"), (9101, "hyvää huomenta kaikille ystäville pohjoisessa")]
+    mixed = [(9200, " ".join(PHRASES.values())), (9201, noise[0][1] + " " + PHRASES["en"])]
+    rows = [*((i, t, None) for i, t in noise + foreign + mixed), (9300, "12 !?", None), (9301, None, None)]
+    frame = docs(spark, [])
+    for i, t, lang in natural:
+        rows.append((i, t, lang))
+    frame = spark.createDataFrame([(i, t, lang, "s", len(t or ""), "x", 7, "y") for i, t, lang in rows], frame.schema)
+    kept = {r["doc_id"] for r in P.language_stage(spark, frame, str(tmp_path)).collect()}
+    assert kept == {i for i, _, _ in natural} | {9200, 9201}
+    assert P.language_stage(spark, frame, str(tmp_path)).columns == frame.columns
+    # nothing to learn from: nothing is held against a text
+    unlabelled = frame.drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang")
+    left = {r["doc_id"] for r in P.language_stage(spark, unlabelled, str(tmp_path)).collect()}
+    assert left == {i for i, _, _ in rows} - {9300, 9301}
