@@ -7,14 +7,18 @@ content alone, and an insertion moves the cuts around it but no later ones.  A
 chunk's digest is a 64-bit hash of its words, whatever the white space between.
 
 Of equal chunks the first one (smallest doc_id, then the earliest in the text)
-stays.  Neighbouring repeated chunks form a passage, which is removed from the
-text if it has at least ``MIN_WORDS`` words: short phrases that any two texts may
-share stay, and a chance collision of one digest has no effect.  A passage of 50
-words lies over about nine cuts, so that nearly all of it is in whole chunks.
+stays, and so does the first one of equal pairs of neighbouring chunks.  Repeated
+chunks form a passage where each pair of neighbours in it repeats as a pair: phrases
+that come from different places don't join.  A passage is removed from the text if it
+has at least ``MIN_WORDS`` words: short phrases that any two texts may share stay, and
+a chance collision of one digest has no effect.  A passage of 50 words lies over about
+nine cuts, so that nearly all of it is in whole chunks.
 
 Plan: texts -> arrays of digests (one pass), digests counted with pre-aggregation,
 then one join back for the rows whose digest repeats; hot digests are split by
-the adaptive skew join.  Spans come back to the texts by doc_id.
+the adaptive skew join.  The repeated chunks of each text are written to the shared
+folder; pairs are made of these alone, and counted and joined back the same way.
+Spans come back to the texts by doc_id.
 
 Defined cases: null text stays null, with no chunks; an empty text has none.
 Rows are told apart by doc_id and a 32-bit hash of the text: repeated rows of one
@@ -32,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from .common import (byte_texts, free_name, mix64, small_batches, space_words, table, word_hashes,
                      word_spans)
 
@@ -79,40 +84,61 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                                           "digests": pa.array(found, pa.list_(pa.int64()))})
 
 
+def _marked(rows: DataFrame, key: str) -> DataFrame:
+    """The rows (doc_id, copy, place, key) whose key repeats, with later: not the first one of its key."""
+    at = F.struct("doc_id", "copy", "place")
+    first = rows.groupBy(key).agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return rows.join(first, key).select("doc_id", "copy", "place", key, (at != F.col("first")).alias("later"))
+
+
+def _places(later: bool) -> F.Column:
+    return F.sort_array(F.collect_set(F.when(F.col("later"), F.col("place")) if later else F.col("place")))
+
+
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, copy, repeats (sorted places of chunks kept elsewhere), shared (of all that repeat)."""
+    """doc_id, copy and sorted places of chunks, or pairs of a chunk and the next one.
+
+    repeats: chunks kept elsewhere, shared: all that repeat; repeat_pairs and
+    shared_pairs: the same of pairs.
+    """
     small_batches(docs.sparkSession)
     digests = docs.mapInArrow(_digest_batches, "doc_id long, copy int, digests array<long>")
     rows = digests.select("doc_id", "copy", F.posexplode("digests").alias("place", "digest"))
-    first = (rows.groupBy("digest").agg(F.min(F.struct("doc_id", "copy", "place")).alias("first"),
-                                        F.count("*").alias("n")).where("n > 1").drop("n"))
-    met = rows.join(first, "digest").select(
-        "doc_id", "copy", "place",
-        (F.struct("doc_id", "copy", "place") != F.col("first")).alias("later"))
-    return met.groupBy("doc_id", "copy").agg(
-        F.sort_array(F.collect_set(F.when(F.col("later"), F.col("place")))).alias("repeats"),
-        F.sort_array(F.collect_set("place")).alias("shared"))
-
-
-def passages(begin: np.ndarray, end: np.ndarray, words: np.ndarray, places: np.ndarray,
+    met = cut_lineage(_marked(rows, "digest").groupBy("doc_id", "copy").agg(
+        F.sort_array(F.collect_set(F.struct("place", "digest", "later"))).alias("met")))
+    # a pair can only repeat where both of its chunks do
+    behind = F.size("met") - 1
+    pairs = F.zip_with(F.slice("met", 1, behind), F.slice("met", 2, behind), lambda x, y: F.struct(
+        x["place"].alias("place"),
+        F.when(y["place"] == x["place"] + 1, F.xxhash64(x["digest"], y["digest"])).alias("pair")))
+    paired = met.select("doc_id", "copy", F.inline(pairs)).where("pair is not null")
+    found = _marked(paired, "pair").groupBy("doc_id", "copy").agg(
+        _places(True).alias("repeat_pairs"), _places(False).alias("shared_pairs"))
+    return met.join(found, ["doc_id", "copy"], "left").select(
+        "doc_id", "copy", F.expr("transform(filter(met, m -> m.later), m -> m.place)").alias("repeats"),
+        F.col("met.place").alias("shared"), "repeat_pairs", "shared_pairs")
+
+
+def passages(begin: np.ndarray, end: np.ndarray, words: np.ndarray, places: np.ndarray, pairs: np.ndarray,
              min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """Runs of the given chunk places with enough words: start byte, end byte, words."""
+    """Runs of the given chunk places, over the given pairs, with enough words: start byte, end byte, words."""
     if not len(places):
         return []
-    breaks = np.flatnonzero(np.diff(places) > 1)
+    breaks = np.flatnonzero((np.diff(places) > 1) | ~np.isin(places[:-1], pairs))
     from_, to = places[np.append(0, breaks + 1)], places[np.append(breaks, len(places) - 1)]
     total = np.append(0, np.cumsum(words))
     return [(int(begin[a]), int(end[b]), int(total[b + 1] - total[a]))
             for a, b in zip(from_, to, strict=True) if total[b + 1] - total[a] >= min_words]
 
 
-def _rewrite(text: bytes | None, repeats: list[int], shared: list[int]) -> tuple[bytes | None, list, int, int, int]:
+def _rewrite(text: bytes | None, repeats: list[int], shared: list[int], repeat_pairs: list[int],
+             shared_pairs: list[int]) -> tuple[bytes | None, list, int, int, int]:
     """New text, removed spans (in characters), chunks, words removed, words in shared passages."""
     if not text:
         return text, [], 0, 0, 0
     begin, end, _, words = chunks(text)
-    cut = passages(begin, end, words, np.asarray(repeats, np.int64))
-    seen = passages(begin, end, words, np.asarray(shared, np.int64))
+    cut = passages(begin, end, words, np.asarray(repeats, np.int64), np.asarray(repeat_pairs, np.int64))
+    seen = passages(begin, end, words, np.asarray(shared, np.int64), np.asarray(shared_pairs, np.int64))
     spans, left, at, chars = [], [], 0, 0
     for a, b, _ in cut:
         left.append(text[at:a])
@@ -143,20 +169,21 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     names = added(docs)
-    copy, repeats, shared = (free_name(docs, n) for n in ("copy", "repeats", "shared"))
+    copy = free_name(docs, "copy")
+    places = {n: free_name(docs, n) for n in ("repeats", "shared", "repeat_pairs", "shared_pairs")}
     given = docs.withColumn(copy, F.hash(F.col("text").cast("string")))
     keyed = given.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(copy).alias("copy"),
                          F.col("text").cast("string").alias("text")).where("doc_id is not null")
     found = repeated_chunks(keyed).select(
-        F.col("doc_id"), F.col("copy").alias(copy), F.col("repeats").alias(repeats), F.col("shared").alias(shared))
+        F.col("doc_id"), F.col("copy").alias(copy), *(F.col(n).alias(own) for n, own in places.items()))
     joined = given.join(found, ["doc_id", copy], "left")
     kept = [f for f in docs.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_rewrite(t, r or [], s or []) for t, r, s in zip(
-                byte_texts(batch.column("text")), batch.column(repeats).to_pylist(),
-                batch.column(shared).to_pylist(), strict=True)]
+            rows = [_rewrite(t, *(x or [] for x in found)) for t, *found in zip(
+                byte_texts(batch.column("text")), *(batch.column(c).to_pylist() for c in places.values()),
+                strict=True)]
             columns = [pa.array([r[0] for r in rows], pa.binary()).cast(pa.string()),
                        pa.array([r[1] for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                        *(pa.array([r[i] for r in rows], pa.int64()) for i in (2, 3, 4))]
@@ -166,7 +193,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     schema = T.StructType(list(kept))
     for name, (_, kind) in zip(names, _OUT, strict=True):
         schema = schema.add(name, kind)
-    return joined.select(*docs.columns, repeats, shared).mapInArrow(run, schema)
+    return joined.select(*docs.columns, *places.values()).mapInArrow(run, schema)
 
 
 def added(docs: DataFrame) -> list[str]:

@@ -67,3 +67,27 @@ def test_null_ids_other_columns_and_empty_table(spark):
     assert out.columns[:len(frame.columns)] == frame.columns
     assert all(r["new_text"] == text for r in out.collect())
     assert M.deduplicated(docs(spark, [])).count() == 0
+
+
+def scattered(text):
+    """Texts that each have one chunk of text, without the chunk before it.
+
+    Where the chunk before it is long, its words but the first have the same cut.
+    """
+    begin, end, _, n = M.chunks(text.encode())
+    for k in range(1, len(begin)):
+        before = text[begin[k - 1]:end[k - 1]].partition(" ")[2]
+        if len(before) > 32 and n[k] < M.MIN_WORDS:
+            yield f"{words(7000 + k, 40)} {before} {text[begin[k]:end[k]]} {words(90000 + k, 40)}"
+
+
+def test_a_passage_repeats_as_a_passage(spark):
+    text = words(50, 4000)
+    rows = [*enumerate(scattered(text)), (1000, text)]
+    # chunks that are met one by one in other texts, some of them neighbours, of ten words or more
+    got = run(spark, rows)
+    assert all(got[i]["new_text"] == t and got[i]["shared_words"] == 0 for i, t in rows)
+    # of a passage that does repeat the first copy stays, though chunks of it are met before
+    got = run(spark, [*rows, (1001, words(3, 60) + " " + text)])
+    assert got[1000]["new_text"] == text and got[1000]["shared_words"] >= 3980
+    assert got[1001]["removed_words"] >= 3980
