@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = [
     "token_counts", "near_dedup", "chat_format", "substring_dedup", "decontaminate",
-    "url_filter", "quality_rules", "language_id", "packing", "html_extract", "token_alignment", "divergence",
+    "url_filter", "quality_rules", "language_id", "packing", "html_extract", "quality_classifier", "token_alignment", "divergence",
 ]
 
 
