@@ -14,11 +14,12 @@ has at least ``MIN_WORDS`` words: short phrases that any two texts may share sta
 a chance collision of one digest has no effect.  A passage of 50 words lies over about
 nine cuts, so that nearly all of it is in whole chunks.
 
-Plan: texts -> arrays of digests (one pass), digests counted with pre-aggregation,
-then one join back for the rows whose digest repeats; hot digests are split by
-the adaptive skew join.  The repeated chunks of each text are written to the shared
-folder; pairs are made of these alone, and counted and joined back the same way.
-Spans come back to the texts by doc_id.
+Plan: texts -> arrays of digests (one pass, written to the shared folder), digests
+counted with pre-aggregation, then one join back for the rows whose digest repeats; hot
+digests are split by the adaptive skew join.  The repeated chunks of each text are written
+to the shared folder; pairs are made of these alone, and counted and joined back the same
+way.  Places come back to the texts by doc_id, with the words of each chunk, so that only
+texts with a passage are cut into chunks again.
 
 Defined cases: null text stays null, with no chunks; an empty text has none.
 Rows are told apart by doc_id and a 32-bit hash of the text: repeated rows of one
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,17 +80,19 @@ def chunks(text: bytes, mean: int = MEAN_CHUNK) -> tuple[np.ndarray, np.ndarray,
 
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    none = np.zeros(0, np.int64)
     for batch in batches:
-        found = [chunks(t)[2] if t else np.zeros(0, np.int64) for t in byte_texts(batch.column("text"))]
+        found = [chunks(t)[2:] if t else (none, none) for t in byte_texts(batch.column("text"))]
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "copy": batch.column("copy"),
-                                          "digests": pa.array(found, pa.list_(pa.int64()))})
+                                          "digests": pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                                          "words": pa.array([f[1] for f in found], pa.list_(pa.int32()))})
 
 
 def _marked(rows: DataFrame, key: str) -> DataFrame:
-    """The rows (doc_id, copy, place, key) whose key repeats, with later: not the first one of its key."""
+    """The rows (doc_id, copy, place, key, ...) whose key repeats, with later: not the first one of its key."""
     at = F.struct("doc_id", "copy", "place")
     first = rows.groupBy(key).agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return rows.join(first, key).select("doc_id", "copy", "place", key, (at != F.col("first")).alias("later"))
+    return rows.join(first, key).select(*rows.columns, (at != F.col("first")).alias("later"))
 
 
 def _places(later: bool) -> F.Column:
@@ -96,16 +100,18 @@ def _places(later: bool) -> F.Column:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, copy and sorted places of chunks, or pairs of a chunk and the next one.
+    """doc_id, copy, n_chunks, and sorted places of chunks, or pairs of a chunk and the next one.
 
-    repeats: chunks kept elsewhere, shared: all that repeat; repeat_pairs and
-    shared_pairs: the same of pairs.
+    repeats: chunks kept elsewhere, shared: all that repeat, shared_words: their words;
+    repeat_pairs and shared_pairs: the places of pairs.
     """
     small_batches(docs.sparkSession)
-    digests = docs.mapInArrow(_digest_batches, "doc_id long, copy int, digests array<long>")
-    rows = digests.select("doc_id", "copy", F.posexplode("digests").alias("place", "digest"))
+    digests = cut_lineage(docs.mapInArrow(
+        _digest_batches, "doc_id long, copy int, digests array<long>, words array<int>"))
+    rows = digests.select("doc_id", "copy", F.posexplode(F.arrays_zip("digests", "words")).alias("place", "chunk")).select(
+        "doc_id", "copy", "place", F.col("chunk.digests").alias("digest"), F.col("chunk.words").alias("words"))
     met = cut_lineage(_marked(rows, "digest").groupBy("doc_id", "copy").agg(
-        F.sort_array(F.collect_set(F.struct("place", "digest", "later"))).alias("met")))
+        F.sort_array(F.collect_set(F.struct("place", "digest", "later", "words"))).alias("met")))
     # a pair can only repeat where both of its chunks do
     behind = F.size("met") - 1
     pairs = F.zip_with(F.slice("met", 1, behind), F.slice("met", 2, behind), lambda x, y: F.struct(
@@ -114,33 +120,38 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     paired = met.select("doc_id", "copy", F.inline(pairs)).where("pair is not null")
     found = _marked(paired, "pair").groupBy("doc_id", "copy").agg(
         _places(True).alias("repeat_pairs"), _places(False).alias("shared_pairs"))
-    return met.join(found, ["doc_id", "copy"], "left").select(
-        "doc_id", "copy", F.expr("transform(filter(met, m -> m.later), m -> m.place)").alias("repeats"),
-        F.col("met.place").alias("shared"), "repeat_pairs", "shared_pairs")
+    sizes = digests.groupBy("doc_id", "copy").agg(F.max(F.size("digests")).cast("long").alias("n_chunks"))
+    return sizes.join(met, ["doc_id", "copy"], "left").join(found, ["doc_id", "copy"], "left").select(
+        "doc_id", "copy", "n_chunks", F.expr("transform(filter(met, m -> m.later), m -> m.place)").alias("repeats"),
+        F.col("met.place").alias("shared"), F.col("met.words").alias("shared_words"), "repeat_pairs", "shared_pairs")
 
 
-def passages(begin: np.ndarray, end: np.ndarray, words: np.ndarray, places: np.ndarray, pairs: np.ndarray,
-             min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
-    """Runs of the given chunk places, over the given pairs, with enough words: start byte, end byte, words."""
+def runs(places: np.ndarray, words: np.ndarray, pairs: np.ndarray, min_words: int = MIN_WORDS) -> list[tuple[int, int, int]]:
+    """Runs of the given chunk places, over the given pairs, with enough words: first place, last place, words."""
     if not len(places):
         return []
     breaks = np.flatnonzero((np.diff(places) > 1) | ~np.isin(places[:-1], pairs))
-    from_, to = places[np.append(0, breaks + 1)], places[np.append(breaks, len(places) - 1)]
+    from_, to = np.append(0, breaks + 1), np.append(breaks, len(places) - 1)
     total = np.append(0, np.cumsum(words))
-    return [(int(begin[a]), int(end[b]), int(total[b + 1] - total[a]))
+    return [(int(places[a]), int(places[b]), int(total[b + 1] - total[a]))
             for a, b in zip(from_, to, strict=True) if total[b + 1] - total[a] >= min_words]
 
 
-def _rewrite(text: bytes | None, repeats: list[int], shared: list[int], repeat_pairs: list[int],
-             shared_pairs: list[int]) -> tuple[bytes | None, list, int, int, int]:
-    """New text, removed spans (in characters), chunks, words removed, words in shared passages."""
-    if not text:
-        return text, [], 0, 0, 0
-    begin, end, _, words = chunks(text)
-    cut = passages(begin, end, words, np.asarray(repeats, np.int64), np.asarray(repeat_pairs, np.int64))
-    seen = passages(begin, end, words, np.asarray(shared, np.int64), np.asarray(shared_pairs, np.int64))
+def _rewrite(text: bytes | None, repeats: list[int], shared: list[int], words: list[int], repeat_pairs: list[int],
+             shared_pairs: list[int]) -> tuple[bytes | None, list, int, int]:
+    """New text, removed spans (in characters), words removed, words in shared passages."""
+    if not text or not shared:
+        return text, [], 0, 0
+    places, words = np.asarray(shared, np.int64), np.asarray(words, np.int64)
+    seen = runs(places, words, np.asarray(shared_pairs, np.int64))
+    later = np.isin(places, np.asarray(repeats, np.int64))
+    cut = runs(places[later], words[later], np.asarray(repeat_pairs, np.int64))
+    if not cut:
+        return text, [], 0, sum(x[2] for x in seen)
+    begin, end, _, _ = chunks(text)
     spans, left, at, chars = [], [], 0, 0
-    for a, b, _ in cut:
+    for first, last, _ in cut:
+        a, b = int(begin[first]), int(end[last])
         left.append(text[at:a])
         start = chars + len(left[-1].decode("utf-8", "replace"))
         chars = start + len(text[a:b].decode("utf-8", "replace"))
@@ -151,7 +162,7 @@ def _rewrite(text: bytes | None, repeats: list[int], shared: list[int], repeat_p
     out = left[0]
     for piece in left[1:]:
         out += piece.lstrip(_BLANK) if not out or out[-1:] in _BLANK else piece
-    return out, spans, len(begin), sum(x[2] for x in cut), sum(x[2] for x in seen)
+    return out, spans, sum(x[2] for x in cut), sum(x[2] for x in seen)
 
 
 _BLANK = b" \t\n\v\f\r"
@@ -170,7 +181,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     small_batches(spark)
     names = added(docs)
     copy = free_name(docs, "copy")
-    places = {n: free_name(docs, n) for n in ("repeats", "shared", "repeat_pairs", "shared_pairs")}
+    given_names = ("n_chunks", "repeats", "shared", "shared_words", "repeat_pairs", "shared_pairs")
+    places = {n: free_name(docs, f"found_{n}") for n in given_names}
     given = docs.withColumn(copy, F.hash(F.col("text").cast("string")))
     keyed = given.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(copy).alias("copy"),
                          F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -181,12 +193,12 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            n_chunks, *found = (batch.column(c) for c in places.values())
             rows = [_rewrite(t, *(x or [] for x in found)) for t, *found in zip(
-                byte_texts(batch.column("text")), *(batch.column(c).to_pylist() for c in places.values()),
-                strict=True)]
+                byte_texts(batch.column("text")), *(c.to_pylist() for c in found), strict=True)]
             columns = [pa.array([r[0] for r in rows], pa.binary()).cast(pa.string()),
                        pa.array([r[1] for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                       *(pa.array([r[i] for r in rows], pa.int64()) for i in (2, 3, 4))]
+                       pc.fill_null(n_chunks, 0), *(pa.array([r[i] for r in rows], pa.int64()) for i in (2, 3))]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), *columns],
                                              [*(f.name for f in kept), *names])
 

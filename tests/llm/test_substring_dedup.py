@@ -91,3 +91,57 @@ def test_a_passage_repeats_as_a_passage(spark):
     got = run(spark, [*rows, (1001, words(3, 60) + " " + text)])
     assert got[1000]["new_text"] == text and got[1000]["shared_words"] >= 3980
     assert got[1001]["removed_words"] >= 3980
+
+
+def brute(rows):
+    """New texts by the rule itself: chunks and neighbouring pairs counted in plain dictionaries."""
+    cut = {(i, t): M.chunks(t.encode()) for i, t in rows if i is not None and t}
+    order = sorted(cut, key=lambda k: (k[0], signed_hash(k[1])))
+    chunks, pairs = {}, {}
+    for key in order:
+        digest = cut[key][2].tolist()
+        for p, d in enumerate(digest):
+            chunks.setdefault(d, []).append((key, p))
+        for p, d in enumerate(zip(digest, digest[1:])):
+            pairs.setdefault(d, []).append((key, p))
+    out = {}
+    for key in order:
+        begin, end, digest, n = (x.tolist() for x in cut[key])
+        later = [len(chunks[d]) > 1 and chunks[d][0] != (key, p) for p, d in enumerate(digest)]
+        joined = [len(pairs[d]) > 1 and pairs[d][0] != (key, p) for p, d in enumerate(zip(digest, digest[1:]))]
+        spans, p = [], 0
+        while p < len(digest):
+            q = p
+            while later[p] and q + 1 < len(digest) and later[q + 1] and joined[q]:
+                q += 1
+            if later[p] and sum(n[p:q + 1]) >= M.MIN_WORDS:
+                spans.append((begin[p], end[q]))
+            p = q + 1
+        raw, at, left = key[1].encode(), 0, ""
+        for a, b in spans:
+            left, at = left + raw[at:a].decode(), b
+        out[key] = ((left + raw[at:].decode()).split(), sum(b - a for a, b in spans), len(digest))
+    return out
+
+
+def signed_hash(text):
+    from pyspark.sql import functions as F
+    from pyspark.sql import SparkSession
+    return SparkSession.getActiveSession().range(1).select(F.hash(F.lit(text))).first()[0]
+
+
+def test_equals_the_rule_in_plain_python(spark):
+    import numpy as np
+    g = np.random.default_rng(4)
+    pool = [words(800 + k, int(g.integers(3, 70))) for k in range(25)]
+    rows = []
+    for i in range(60):
+        parts = [pool[j] if g.random() < 0.5 else words(10_000 + 100 * i + int(j), int(g.integers(1, 30)))
+                 for j in g.integers(0, len(pool), g.integers(1, 7))]
+        rows.append((int(g.integers(0, 45)), (" ", "\n", "  ")[i % 3].join(parts)))
+    rows = sorted(set(rows))
+    want = brute(rows)
+    got = {(r["doc_id"], r["text"]): r for r in M.deduplicated(docs(spark, rows)).collect()}
+    assert {k: (r["new_text"].split(), sum(s["end"] - s["start"] for s in r["spans"]), r["n_chunks"])
+            for k, r in got.items()} == want
+    assert sum(bool(w[1]) for w in want.values()) > 20
