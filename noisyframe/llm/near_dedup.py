@@ -21,11 +21,14 @@ given.  What follows from the 85 below follows from the link that is given.
    components.  The second round pairs members of a list whose components still
    differ; a large group of near copies is one component by then, so that its
    members don't meet again.  Sizes outside 85 : 100 are never paired.
-   A list of more than ``MANY`` components is the mark of a passage that fills most
-   of the sketches of texts which are not alike.  Its members are paired by their
-   full sets instead, without loss: each enters the lists of its rarest shingles
-   (15 of 100 to be found by larger sets, of these 8 of 100 to find smaller ones), so
-   that only texts meet which have hardly anything but common passages.
+   A list whose members would be in ``MANY`` or more pairs each, over components that
+   differ, is the mark of a passage that fills most of the sketches of texts which are
+   not alike, be it many single texts or a few large families of near copies.  Its members
+   are paired by their full sets instead, without loss: each enters the lists of its
+   rarest shingles (15 of 100 to be found by larger sets, of these 8 of 100 to find
+   smaller ones), so that only texts meet which have hardly anything but common passages.
+   Families that are less than a link apart by their common part alone meet there
+   member by member: the definition leaves these pairs to be looked at.
 4. A pair stays if ``least_common`` values of the union's sketch (the k smallest of
    both sketches together) are in both; the rest is verified on the full sets,
    computed anew from both texts.
@@ -157,11 +160,12 @@ def star_pairs(lists: DataFrame, link: int = LINK_UNION) -> DataFrame:
 
 
 def open_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The lists of a few components, and the ids in lists of many; lists of one are done."""
-    width = lists.select("value", "component").distinct().groupBy("value").agg(F.count("*").alias("width"))
-    members = cut_lineage(lists.join(width.where("width > 1"), "value"))
-    return (members.where(F.col("width") <= MANY).drop("width"),
-            members.where(F.col("width") > MANY).select("id").distinct())
+    """The lists with few pairs between components, and the ids in lists of many; lists of one component are done."""
+    blocks = lists.groupBy("value", "component").agg(F.count("*").cast("double").alias("m"))
+    width = (blocks.groupBy("value").agg(F.count("*").alias("width"), F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+             .where("width > 1").select("value", (F.col("m") * F.col("m") - F.col("own") >= MANY * F.col("m")).alias("many")))
+    members = cut_lineage(lists.join(width, "value"))
+    return members.where(~F.col("many")).drop("many"), members.where("many").select("id").distinct()
 
 
 def cross_pairs(members: DataFrame, link: int = LINK_UNION) -> DataFrame:
@@ -186,7 +190,10 @@ def set_pairs(members: DataFrame, link: int = LINK_UNION) -> DataFrame:
     must still be able to have enough in common after the places where they meet.  At
     the first value that they share nothing before it is common, so no link is lost.
     All of this is in the condition of the join: what can't be a link is not made.
+    Lists of one component, as a family of near copies fills with what only it has, are done.
     """
+    several = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    members = members.join(several.select("value"), "value")
     right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
                            F.col("n").alias("n2"), F.col("pos").alias("pos2"))
     rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
@@ -311,6 +318,13 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
+def candidates(lists: DataFrame, texts: DataFrame, tree: DataFrame, link: int = LINK_UNION) -> DataFrame:
+    """Pairs (a, b) of the second round: members of one list that no tree joins yet."""
+    few, ids_of_many = open_lists(_with_component(lists, tree, "id"))
+    by_sets = _with_component(full_lists(texts.join(ids_of_many, "id", "left_semi"), link), tree, "id")
+    return cross_pairs(few, link).unionByName(set_pairs(cut_lineage(by_sets), link)).distinct()
+
+
 def near_duplicates(docs: DataFrame, k: int = SKETCH, link: int = LINK_UNION) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and class_id (the smallest id with an equal set).
 
@@ -330,18 +344,14 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, link: int = LINK_UNION) ->
     best = (estimated(star_pairs(lists, link), classes, k, link).groupBy("b")
             .agg(F.max_by("a", F.struct("estimate", F.negate("a"))).alias("a")))
     tree = roots(verified(best, texts, link).select(F.col("b").alias("u"), F.col("a").alias("v")))
-    found = _with_component(lists, tree, "id")
-    few, ids_of_many = open_lists(found)
-    by_sets = _with_component(full_lists(texts.join(ids_of_many, "id", "left_semi"), link), tree, "id")
-    pairs = cross_pairs(few, link).unionByName(set_pairs(by_sets, link)).distinct()
-    between = verified(estimated(pairs, classes, k, link), texts, link)
+    between = verified(estimated(candidates(lists, texts, tree, link), classes, k, link), texts, link)
     joined = _with_component(_with_component(between, tree, "a", "u"), tree, "b", "v")
     merged = components(joined.select("u", "v"))
     # a root that was merged takes its tree along
     group = cut_lineage(_with_component(tree.withColumnRenamed("v", "root"), merged, "root", "component")
                         .select("u", "component").unionByName(
                             merged.select("u", F.col("v").alias("component"))).distinct())
-    with_class = prepared.join(membership, "digest", "left")
+    with_class = prepared.drop("sketch").join(membership, "digest", "left")
     whole = with_class.join(group.withColumnRenamed("u", "class_id"), "class_id", "left")
     own = F.coalesce("component", "class_id", "doc_id")
     out = whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),

@@ -2,6 +2,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from noisyframe.llm import near_dedup as M
 
@@ -106,3 +107,27 @@ def test_link_is_a_parameter(spark, monkeypatch, many):
 
 def test_floor_of_the_sketches_follows_the_link():
     assert (M.least_common(85), M.least_common(80)) == (40, 36)
+
+
+def families(n):
+    """Two families of n near copies each (every text has two words of its own), alike in 70 % of their words."""
+    common, rows = words(1, 280), []
+    for f in (0, 1):
+        base = (common + " " + words(10 + f, 120)).split()
+        for k in range(n):
+            own = list(base)
+            own[7 + (37 * k + 11 * f) % 380], own[3 + (53 * k) % 390] = f"q{f}x{k}", f"p{f}x{k}"
+            rows.append((f * n + k, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("n", [100, 200])
+def test_families_that_share_a_passage_are_not_paired_member_by_member(spark, n):
+    rows = families(n)
+    got = {r["doc_id"]: r["component_id"] for r in M.near_duplicates(docs(spark, rows)).collect()}
+    assert got == {i: i // n * n for i, _ in rows}
+    classes = M.sketches(docs(spark, rows)).select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch")
+    lists = M.inverted_lists(classes)
+    texts = spark.createDataFrame(rows, "id long, text string")
+    tree = spark.createDataFrame([(i, i // n * n) for i, _ in rows if i % n], "u long, v long")
+    assert M.candidates(lists, texts, tree).count() <= 8 * n
