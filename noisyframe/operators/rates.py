@@ -15,10 +15,12 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol, HasProbabilityCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .persist import StageReader, StageWriter
 
 
 class _RateParams(HasLabelCol, HasProbabilityCol, HasPredictionCol):
@@ -32,12 +34,12 @@ class _RateParams(HasLabelCol, HasProbabilityCol, HasPredictionCol):
         return self._set(predictionCol=value)
 
 
-class RateClassifier(Estimator, _RateParams):
+class RateClassifier(Estimator, _RateParams, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
-    def __init__(self, *, catCol: str, numClasses: int = 2, labelCol: str = "label"):
+    def __init__(self, *, catCol: str | None = None, numClasses: int = 2, labelCol: str = "label"):
         super().__init__()
         self._setDefault(numClasses=2)
-        self._set(**self._input_kwargs)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "RateModel":
         cat, label = self.getOrDefault(self.catCol), F.col(self.getLabelCol())
@@ -46,11 +48,19 @@ class RateClassifier(Estimator, _RateParams):
         return self._copyValues(RateModel(cut_lineage(counts)))
 
 
-class RateModel(Model, _RateParams):
+class RateModel(Model, _RateParams, MLReadable, MLWritable):
     def __init__(self, counts: DataFrame):
         super().__init__()
+        self._setDefault(numClasses=2)
         self.counts = counts
 
+    def write(self) -> MLWriter:
+        return StageWriter(self, {}, lambda path: self.counts.write.parquet(f"{path}/counts"))
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return StageReader(lambda path, metadata, session: cls(session.read.parquet(f"{path}/counts")))
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         cat, size = self.getOrDefault(self.catCol), self.getOrDefault(self.numClasses)
         rates = self.counts.select(F.col("value").alias("_value"), F.col("n").alias("_n"))

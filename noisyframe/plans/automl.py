@@ -54,16 +54,16 @@ class Budget:
 
 
 def _fit(df: DataFrame, features: list, params: dict | None, rounds: int, seed: int,
-         valid_frac: float = 0.2, estimator=None) -> PipelineModel:
+         valid_frac: float = 0.2, estimator=None, staged: bool = False) -> PipelineModel:
     """Fit with early stopping on ``valid_frac`` of the rows, whose AUC is kept on the
     model as ``valid_auc``.  ``estimator(params, seed)`` replaces the boosted trees; it
-    learns from the rows that are not held out."""
+    learns from the rows that are not held out, or (``staged``) reads ``_valid`` itself."""
     split = cut_lineage(SM.holdout_split(df, valid_frac, seed).withColumn("_valid", F.col("split") == "test")
                         .drop("split"))
     if estimator is None:
         est, train = LN.searched_gbt(params, rounds, seed, validation_col="_valid"), split
     else:
-        est, train = estimator(params, seed), split.where(~F.col("_valid"))
+        est, train = estimator(params, seed), split if staged else split.where(~F.col("_valid"))
     model = Pipeline(stages=[LN.assembler(features), est]).fit(train)
     valid = split.where("_valid")
     classes = valid.select("label").distinct().limit(3).count()
@@ -103,11 +103,11 @@ def pu_ensemble(df: DataFrame, features: list, max_models: int = PU_MODELS, roun
 
 
 def noisy_single(df: DataFrame, features: list, rounds: int = 500, trials: int = 2,
-                 seed: int = 0, estimator=None) -> list:
+                 seed: int = 0, estimator=None, staged: bool = False) -> list:
     """M5: search on a 30,000-row sample, then one model with early stopping."""
     params = _searched(SM.take_smallest(df, PU_SEARCH_ROWS, seed, purpose="search") if trials else df,
                        features, trials, seed, rounds)
-    return [_fit(df, features, params, rounds, seed, estimator=estimator)]
+    return [_fit(df, features, params, rounds, seed, estimator=estimator, staged=staged)]
 
 
 def noisy_ensemble(df: DataFrame, features: list, max_models: int = NOISY_MODELS, rounds: int = 500,
@@ -136,24 +136,49 @@ def noisy_ensemble(df: DataFrame, features: list, max_models: int = NOISY_MODELS
 
 def noisy_regression(df: DataFrame, features: list, max_models: int = NOISY_MODELS, rounds: int = 500,
                      seed: int = 0, keep_share: float = 0.8, trials: int = 0, folds: int = LN.CLEAN_FOLDS,
-                     clean_iter: int = LN.CLEAN_ROUNDS) -> list:
-    """M7: GBT regressors on cleaned 75% samples with validation-based early stopping
-    (70/30); keep the models in the better 80% by number of trees."""
+                     clean_iter: int = LN.CLEAN_ROUNDS, estimator=None, cleaner=None) -> list:
+    """M7: regressors on cleaned 75% samples with validation-based early stopping
+    (70/30); keep the models in the better 80% by number of rounds.
+
+    ``estimator(params, seed)`` replaces the boosted trees; it reads the validation rows from
+    ``_valid``.  ``cleaner()`` gives the classifier of the cleaning pass."""
     fitted = []
     for i in range(max_models):
         s = cut_lineage(SM.frac_sample(df, 0.75, seed + i).drop("copy"))
         res = LN.clean_labels(s, features, rounds=0, seed=seed + i, k=folds, max_iter=clean_iter,
-                              search_trials=trials)
+                              estimator_factory=cleaner, search_trials=trials)
         p = _searched(res.kept, features, trials, seed + i, rounds) or {}
         split = SM.holdout_split(res.kept, 0.3, seed + i).withColumn("_valid", F.col("split") == "test")
-        est = GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds,
-                           maxDepth=p.get("max_depth", 5), stepSize=p.get("step", 0.1),
-                           subsamplingRate=p.get("subsample", 1.0), seed=seed + i,
-                           validationIndicatorCol="_valid", maxBins=64)
+        if estimator is None:
+            est = GBTRegressor(featuresCol="features", labelCol="label", maxIter=rounds,
+                               maxDepth=p.get("max_depth", 5), stepSize=p.get("step", 0.1),
+                               subsamplingRate=p.get("subsample", 1.0), seed=seed + i,
+                               validationIndicatorCol="_valid", maxBins=64)
+        else:
+            est = estimator(p, seed + i)
         fitted.append(Pipeline(stages=[LN.assembler(features), est]).fit(cut_lineage(split)))
-    sizes = sorted(m.stages[-1].getNumTrees for m in fitted)
-    cut = sizes[int(len(sizes) * (1 - keep_share))] if sizes else 0
-    return [m for m in fitted if m.stages[-1].getNumTrees >= cut]
+    sizes = sorted(_rounds_kept(m) for m in fitted)
+    cut = sizes[int(round(len(sizes) * (1 - keep_share), 9))] if sizes else 0
+    return [m for m in fitted if _rounds_kept(m) >= cut]
+
+
+def _rounds_kept(model: PipelineModel) -> int:
+    last = model.stages[-1]
+    return last.numRounds if hasattr(last, "numRounds") else last.getNumTrees
+
+
+def mean_prediction(models: list, df: DataFrame) -> DataFrame:
+    """Mean of regression models, one after the other over the same rows."""
+    out, names = models[0].stages[0].transform(df), []
+    for i, m in enumerate(models):
+        last = m.stages[-1].copy()
+        names.append(f"_y{i}")
+        last.setPredictionCol(names[-1])
+        if hasattr(last, "setProbabilityCol"):
+            last.setProbabilityCol(f"_p{i}")
+        out = last.transform(out)
+    total = sum((F.col(n) for n in names), F.lit(0.0))
+    return out.select("row_id", (total / F.lit(float(len(models)))).alias("score"))
 
 
 def pu_confident(df: DataFrame, features: list, max_models: int = PU_MODELS, seed: int = 0,
@@ -194,9 +219,39 @@ def ssl_as_pu(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds
     return models
 
 
-def predict(models: list, df: DataFrame) -> DataFrame:
-    """M11 + A13: the mean score of all models, in one plan over the rows."""
-    return LN.ensemble_mean(models, df)
+def predict(models: list, df: DataFrame, time_budget_s: float | None = None, by_auc: bool = False,
+            tree_limit: int | None = None) -> DataFrame:
+    """M11 + A13: the mean score of all models, in one plan over the rows.
+
+    ``by_auc`` puts the models of the best validation AUC first, which matters under a
+    budget: with ``time_budget_s`` each model's scores are written out in turn, until the
+    remaining time is at most two mean rounds; the mean is over the models that got their
+    turn (one at least).  ``tree_limit``: the first so many rounds of each model only, for
+    estimators that can be asked for them.
+    """
+    if by_auc:
+        models = sorted(models, key=lambda m: -(getattr(m, "valid_auc", None) or 0.0))
+    if tree_limit is not None:
+        models = [_limited(m, tree_limit) for m in models]
+    if time_budget_s is None:
+        return LN.ensemble_mean(models, df)
+    start, total = time.time(), None
+    for i, m in enumerate(models):
+        own = LN.ensemble_mean([m], df).withColumnRenamed("score", "_own")
+        total = own.withColumnRenamed("_own", "_sum") if total is None else total.join(own, "row_id").select(
+            "row_id", (F.col("_sum") + F.col("_own")).alias("_sum"))
+        total = cut_lineage(total)
+        spent = time.time() - start
+        if time_budget_s - spent <= BUDGET_PREDICT_FACTOR * spent / (i + 1):
+            break
+    return total.select("row_id", (F.col("_sum") / F.lit(float(i + 1))).alias("score"))
+
+
+def _limited(model: PipelineModel, tree_limit: int) -> PipelineModel:
+    last = model.stages[-1].copy()
+    if not hasattr(last, "setTreeLimit"):
+        raise ValueError(f"{type(last).__name__} cannot score by its first rounds")
+    return PipelineModel([*model.stages[:-1], last.setTreeLimit(tree_limit)])
 
 
 # ------------------------------------------------------------------ M13 feature engine

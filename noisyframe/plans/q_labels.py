@@ -26,7 +26,7 @@ def _budget_sql() -> str:
        MAX(CASE WHEN k_s = 0 AND k_y = 1 THEN v END) AS cj01 FROM cj"""
 
 
-def _marks_sql() -> str:
+def marks_sql() -> str:
     """s (psx rows), cj (calibrated joint) -> by_class, by_count, agree flags."""
     return f"""SELECT m.*,
   (CASE WHEN label = 0 THEN cj10 ELSE cj01 END) > 0 AND
@@ -48,7 +48,7 @@ cj AS ({S.calibrate(S.cells(S.confident('SELECT * FROM s'), 'label', 'y_conf'),
 
 def errors_sql(psx: str) -> str:
     """Likely label errors of psx rows (L15, both methods)."""
-    return f"""{with_cj(psx)}, m AS ({_marks_sql()})
+    return f"""{with_cj(psx)}, m AS ({marks_sql()})
 SELECT * FROM m WHERE by_class AND by_count AND NOT agrees"""
 
 
@@ -147,7 +147,7 @@ def round_rows(spark, sf_dir):
 
 # ------------------------------------------------------------------ pruning
 
-@register("prune_by_class", WITH_CJ + f""", m AS ({_marks_sql()})
+@register("prune_by_class", WITH_CJ + f""", m AS ({marks_sql()})
 SELECT row_id, label FROM m WHERE by_class""")
 def prune_by_class(spark, sf_dir):
     p = lineitem_psx(spark, sf_dir)
@@ -157,7 +157,7 @@ def prune_by_class(spark, sf_dir):
     return p.where(m_class).select("row_id", "label")
 
 
-@register("prune_by_count", WITH_CJ + f""", m AS ({_marks_sql()})
+@register("prune_by_count", WITH_CJ + f""", m AS ({marks_sql()})
 SELECT row_id, label FROM m WHERE by_count""")
 def prune_by_count(spark, sf_dir):
     p = lineitem_psx(spark, sf_dir)
@@ -167,7 +167,7 @@ def prune_by_count(spark, sf_dir):
     return p.where(m_count).select("row_id", "label")
 
 
-LABEL_ERRORS_SQL = WITH_CJ + f""", m AS ({_marks_sql()}),
+LABEL_ERRORS_SQL = WITH_CJ + f""", m AS ({marks_sql()}),
 e AS (SELECT row_id, label, own - GREATEST(p0, p1) AS score FROM m
       WHERE by_class AND by_count AND NOT agrees)
 SELECT row_id, label, ROUND(score, 6) AS score, ROW_NUMBER() OVER (ORDER BY score, row_id) AS pos
@@ -181,7 +181,7 @@ def label_errors_lineitem(spark, sf_dir):
     return o.select("row_id", "label", r6(F.col("score")).alias("score"), "pos")
 
 
-@register("order_errors", WITH_CJ + f""", m AS ({_marks_sql()}),
+@register("order_errors", WITH_CJ + f""", m AS ({marks_sql()}),
 e AS (SELECT row_id, label, own AS score FROM m WHERE by_count AND NOT agrees)
 SELECT row_id, label, ROUND(score, 6) AS score, ROW_NUMBER() OVER (ORDER BY score, row_id) AS pos
 FROM e""")
@@ -199,7 +199,7 @@ def baseline_argmax(spark, sf_dir):
 def _baseline_sql(calibrated: bool) -> str:
     am = S.cells(f"SELECT label, {S.argmax()} AS am FROM s", "label", "am")
     cj = S.calibrate(am, S.class_counts("SELECT * FROM s")) if calibrated else am
-    return f"""WITH s AS ({PSX}), cj AS ({cj}), m AS ({_marks_sql()})
+    return f"""WITH s AS ({PSX}), cj AS ({cj}), m AS ({marks_sql()})
 SELECT row_id, label, {1 if calibrated else 0} AS calibrated FROM m WHERE by_count AND NOT agrees"""
 
 

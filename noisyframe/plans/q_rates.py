@@ -46,7 +46,7 @@ def _kept_for_fit(src: str, seed: int, share: float) -> str:
 WHERE _rk > CEIL(CAST({share} AS DOUBLE) * _n)"""
 
 
-def _mean_sql(src: str, cat: str, trains: list) -> str:
+def mean_sql(src: str, cat: str, trains: list) -> str:
     """Mean over the models of the smoothed rate of the row's value."""
     joins = " ".join(f"LEFT JOIN ({_rates(t, cat)}) m{i} ON f.{cat} IS NOT DISTINCT FROM m{i}.value"
                      for i, t in enumerate(trains))
@@ -54,23 +54,23 @@ def _mean_sql(src: str, cat: str, trains: list) -> str:
     return f"SELECT f.row_id, ROUND(({terms}) / {len(trains)}.0, 6) AS score FROM ({src}) f {joins}"
 
 
-def _psx(src: str, seed: int = 0, cat: str = F2_CAT) -> str:
+def psx_sql(src: str, seed: int = 0, cat: str = F2_CAT) -> str:
     return S.fold_psx(S.folds(src, FOLDS, seed), cat, 2)
 
 
-def _without(src: str, errors: str) -> str:
+def without(src: str, errors: str) -> str:
     return f"SELECT * FROM ({src}) w WHERE row_id NOT IN (SELECT row_id FROM ({errors}) x)"
 
 
-@register("oof_rate_probs", f"""SELECT row_id, label, ROUND(p0, 6) AS p0, ROUND(p1, 6) AS p1 FROM ({_psx(S.F2)}) p""")
+@register("oof_rate_probs", f"""SELECT row_id, label, ROUND(p0, 6) AS p0, ROUND(p1, 6) AS p1 FROM ({psx_sql(S.F2)}) p""")
 def oof_rate_probs(spark, sf_dir):
     """L1: five models, each scores the fold it has not seen."""
     p = LN.oof_probabilities(noisy_lineitem(spark, sf_dir), ["n_1"], _rate(F2_CAT), FOLDS, 0)
     return p.select("row_id", "label", *[r6(F.element_at("psx", k + 1)).alias(f"p{k}") for k in (0, 1)])
 
 
-_ERR1 = errors_sql(_psx(S.F2))
-_ERR2 = errors_sql(_psx(_without(S.F2, _ERR1), 1))
+_ERR1 = errors_sql(psx_sql(S.F2))
+_ERR2 = errors_sql(psx_sql(without(S.F2, _ERR1), 1))
 
 
 @register("clean_labels_rate", f"""SELECT row_id FROM ({_ERR1}) a UNION ALL SELECT row_id FROM ({_ERR2}) b""")
@@ -80,7 +80,7 @@ def clean_labels_rate(spark, sf_dir):
     return LN.clean_labels(d, ["n_1"], rounds=1, estimator_factory=_rate(F2_CAT)).errors
 
 
-@register("noisy_label_model_rate", _mean_sql(S.F2, F2_CAT, [_without(S.F2, _ERR1)]))
+@register("noisy_label_model_rate", mean_sql(S.F2, F2_CAT, [without(S.F2, _ERR1)]))
 def noisy_label_model_rate(spark, sf_dir):
     """Prune the likely errors, train on the rest."""
     d = cut_lineage(noisy_lineitem(spark, sf_dir))
@@ -89,7 +89,7 @@ def noisy_label_model_rate(spark, sf_dir):
     return m.transform(d).select("row_id", r6(p1).alias("score"))
 
 
-@register("ssl_ensemble_rate", _mean_sql(S.F3, F3_CAT, [_kept_for_fit(ssl_sql(i), i, 0.2)
+@register("ssl_ensemble_rate", mean_sql(S.F3, F3_CAT, [_kept_for_fit(ssl_sql(i), i, 0.2)
                                                         for i in range(AM.SSL_MODELS)]))
 def ssl_ensemble_rate(spark, sf_dir):
     """M3 + A13: five samples (T7), 80/20 fits, mean score."""
@@ -97,7 +97,7 @@ def ssl_ensemble_rate(spark, sf_dir):
     return _mean(AM.ssl_ensemble(d, ["n_1"], trials=0, estimator=_rate(F3_CAT)), d)
 
 
-@register("pu_ensemble_rate", _mean_sql(S.F1, F1_CAT, [_kept_for_fit(pu_sql(i), i, 0.2)
+@register("pu_ensemble_rate", mean_sql(S.F1, F1_CAT, [_kept_for_fit(pu_sql(i), i, 0.2)
                                                        for i in range(AM.PU_MODELS)]))
 def pu_ensemble_rate(spark, sf_dir):
     """M4 + A13: ten samples (T8), 80/20 fits, mean score."""
@@ -105,7 +105,7 @@ def pu_ensemble_rate(spark, sf_dir):
     return _mean(AM.pu_ensemble(d, ["n_1"], trials=0, estimator=_rate(F1_CAT)), d)
 
 
-@register("noisy_single_rate", _mean_sql(S.F2, F2_CAT, [_kept_for_fit(S.F2, 0, 0.2)]))
+@register("noisy_single_rate", mean_sql(S.F2, F2_CAT, [_kept_for_fit(S.F2, 0, 0.2)]))
 def noisy_single_rate(spark, sf_dir):
     """M5 + M11: one model, all rows scored."""
     d = cut_lineage(noisy_lineitem(spark, sf_dir))
@@ -113,12 +113,12 @@ def noisy_single_rate(spark, sf_dir):
 
 
 def _cleaned_twice(seed: int) -> str:
-    first = errors_sql(_psx(S.F2, seed))
-    kept = _without(S.F2, first)
-    return _without(kept, errors_sql(_psx(kept, seed + 1)))
+    first = errors_sql(psx_sql(S.F2, seed))
+    kept = without(S.F2, first)
+    return without(kept, errors_sql(psx_sql(kept, seed + 1)))
 
 
-@register("noisy_ensemble_rate", _mean_sql(S.F2, F2_CAT, [_kept_for_fit(_cleaned_twice(i), i, 0.2)
+@register("noisy_ensemble_rate", mean_sql(S.F2, F2_CAT, [_kept_for_fit(_cleaned_twice(i), i, 0.2)
                                                           for i in range(NOISY_ROUNDS)]))
 def noisy_ensemble_rate(spark, sf_dir):
     """M6: every round cleans all rows again with its own seed, then fits on the kept ones."""
@@ -129,7 +129,7 @@ def noisy_ensemble_rate(spark, sf_dir):
 _BAG = "4 * p0"     # four times the positives in all
 
 
-@register("pu_bagging_rate", _mean_sql(S.F1, F1_CAT, [_kept_for_fit(balanced_sql(S.F1, _BAG, i), i, 0.1)
+@register("pu_bagging_rate", mean_sql(S.F1, F1_CAT, [_kept_for_fit(balanced_sql(S.F1, _BAG, i), i, 0.1)
                                                       for i in range(AM.PU_MODELS)]))
 def pu_bagging_rate(spark, sf_dir):
     """M9: ten class-balanced bags, 90/10 fits, mean score."""
@@ -139,10 +139,10 @@ def pu_bagging_rate(spark, sf_dir):
 
 def _confident_train(seed: int) -> str:
     sample = balanced_sql(S.F1, _BAG, seed)
-    return _without(sample, f"SELECT row_id FROM ({errors_sql(_psx(sample, seed, F1_CAT))}) e WHERE label <> 1")
+    return without(sample, f"SELECT row_id FROM ({errors_sql(psx_sql(sample, seed, F1_CAT))}) e WHERE label <> 1")
 
 
-@register("pu_confident_rate", _mean_sql(S.F1, F1_CAT, [_confident_train(i) for i in range(NOISY_ROUNDS)]))
+@register("pu_confident_rate", mean_sql(S.F1, F1_CAT, [_confident_train(i) for i in range(NOISY_ROUNDS)]))
 def pu_confident_rate(spark, sf_dir):
     """M8: balanced samples, pruned with the positive class protected."""
     d = cut_lineage(pu_orders(spark, sf_dir))
@@ -153,7 +153,7 @@ def _drawn(seed: int) -> str:
     return f"SELECT d.row_id, d.label, e.{F3_CAT} FROM ({ssl_pu_sql(seed)}) d JOIN ({S.F3}) e ON e.row_id = d.row_id"
 
 
-@register("ssl_as_pu_rate", _mean_sql(S.F3, F3_CAT, [_kept_for_fit(_drawn(i), i, 0.1) for i in range(AM.SSL_MODELS)]))
+@register("ssl_as_pu_rate", mean_sql(S.F3, F3_CAT, [_kept_for_fit(_drawn(i), i, 0.1) for i in range(AM.SSL_MODELS)]))
 def ssl_as_pu_rate(spark, sf_dir):
     """Draws with replacement (T9), 90/10 fits, mean score."""
     d = cut_lineage(ssl_events(spark, sf_dir))
@@ -162,7 +162,7 @@ def ssl_as_pu_rate(spark, sf_dir):
 
 @register("holdout_auc", f"""WITH t AS ({_kept_for_fit(S.F2, 0, 0.2)}),
 v AS (SELECT f.label, (COALESCE(m.n1, 0) + 1) / (COALESCE(m.n, 0) + 2) AS x
-      FROM ({_without(S.F2, 'SELECT row_id FROM t')}) f
+      FROM ({without(S.F2, 'SELECT row_id FROM t')}) f
       LEFT JOIN ({_rates('SELECT * FROM t', F2_CAT)}) m ON f.{F2_CAT} IS NOT DISTINCT FROM m.value),
 r AS (SELECT x, label, AVG(rn) OVER (PARTITION BY x) AS ar FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY x) AS rn FROM v) a),
 c AS (SELECT CAST(COUNT(CASE WHEN label = 1 THEN 1 END) AS DOUBLE) AS np,

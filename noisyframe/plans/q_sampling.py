@@ -19,19 +19,19 @@ BALANCE_SEED = 2019
 FRAC = 1.5
 
 
-def _smallest_sql(src: str, n_expr: str, seed: int, part: str | None = None, purpose: str = "sample") -> str:
+def smallest_sql(src: str, n_expr: str, seed: int, part: str | None = None, purpose: str = "sample") -> str:
     over = f"PARTITION BY {part} " if part else ""
     return f"""SELECT * FROM (SELECT *, ROW_NUMBER() OVER ({over}ORDER BY {key_sql('row_id', seed, purpose)}, row_id) AS _rn
 FROM ({src}) s0) s1 WHERE _rn <= {n_expr}"""
 
 
-@register("capped_sample", f"SELECT row_id FROM ({_smallest_sql(S.F2, str(CAP_ROWS), 0)}) c")
+@register("capped_sample", f"SELECT row_id FROM ({smallest_sql(S.F2, str(CAP_ROWS), 0)}) c")
 def capped_sample(spark, sf_dir):
     return SM.take_smallest(noisy_lineitem(spark, sf_dir), CAP_ROWS, 0).select("row_id")
 
 
 @register("frac_sample", f"""WITH e AS ({S.F3}),
-x AS ({_smallest_sql('SELECT * FROM e', f'(SELECT CAST(ROUND_EVEN(({FRAC} - FLOOR({FRAC})) * COUNT(*), 0) AS BIGINT) FROM e)', 1)})
+x AS ({smallest_sql('SELECT * FROM e', f'(SELECT CAST(ROUND_EVEN(({FRAC} - FLOOR({FRAC})) * COUNT(*), 0) AS BIGINT) FROM e)', 1)})
 SELECT row_id, CAST(c AS INT) AS copy FROM e, range(1, {int(math.floor(FRAC))} + 1) t(c)
 UNION ALL SELECT row_id, {int(math.floor(FRAC)) + 1} FROM x""")
 def frac_sample(spark, sf_dir):
@@ -153,7 +153,7 @@ def entity_sample(spark, sf_dir):
 
 
 @register("holdout_split", f"""WITH f AS (SELECT row_id FROM ({S.F1}) a),
-t AS ({_smallest_sql('SELECT * FROM f', '(SELECT CAST(CEIL(0.2 * COUNT(*)) AS BIGINT) FROM f)', 0, purpose='split')})
+t AS ({smallest_sql('SELECT * FROM f', '(SELECT CAST(CEIL(0.2 * COUNT(*)) AS BIGINT) FROM f)', 0, purpose='split')})
 SELECT row_id, CASE WHEN row_id IN (SELECT row_id FROM t) THEN 'test' ELSE 'train' END AS split FROM f""")
 def holdout_split(spark, sf_dir):
     return SM.holdout_split(pu_orders(spark, sf_dir).select("row_id"), 0.2, 0).select("row_id", "split")
@@ -163,8 +163,8 @@ _HALF = "(SELECT COUNT(*) // 2 FROM f)"
 
 
 @register("seed_overlap", f"""WITH f AS (SELECT row_id FROM ({S.F1}) a),
-a AS ({_smallest_sql('SELECT * FROM f', _HALF, 0)}), b AS ({_smallest_sql('SELECT * FROM f', _HALF, 1)}),
-c AS ({_smallest_sql('SELECT * FROM f', _HALF, 0, purpose='split')})
+a AS ({smallest_sql('SELECT * FROM f', _HALF, 0)}), b AS ({smallest_sql('SELECT * FROM f', _HALF, 1)}),
+c AS ({smallest_sql('SELECT * FROM f', _HALF, 0, purpose='split')})
 SELECT (SELECT COUNT(*) FROM f) AS n, (SELECT COUNT(*) FROM a JOIN b USING (row_id)) AS two_seeds,
        (SELECT COUNT(*) FROM a JOIN c USING (row_id)) AS two_purposes""")
 def seed_overlap(spark, sf_dir):
