@@ -13,7 +13,7 @@ Fit: labelled documents, about ``fit_rows`` of each label chosen by a hash of th
 each at most ``FIT_CHUNKS`` chunks spread evenly over the whole text; both bounds hold what
 reaches the driver (4,000 documents x 16 chunks x 256 bytes = 16 MB).  The two labels weigh
 the same in the loss of training.  Then the probability is made that of the labelled corpus,
-by adding the logarithm of its odds, counted over all labelled rows.  Weights start from a
+by adding the logarithm of its odds, counted over all labels.  Weights start from a
 seed, and rows are taken in the order of their hash, so that a fit is repeatable.
 Scoring reads every chunk of every text, ``SCORE_CHUNKS`` at a time, so that memory
 doesn't grow with a text beyond its own bytes.
@@ -234,11 +234,15 @@ def held_out() -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> ByteNetwork:
-    """Learn from columns doc_id, text and label (0 or 1)."""
-    spark = labelled.sparkSession
+def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> ByteNetwork:
+    """Learn from docs (doc_id, text) and labels (doc_id, label 0 or 1; one row per document).
+
+    The sample is drawn from the labels, which are ids and numbers, before any text is
+    read: it is small by its bound, and goes to the texts by broadcast.
+    """
+    spark = docs.sparkSession
     small_batches(spark)
-    known = labelled.where("doc_id is not null and text is not null and label is not null")
+    known = labels.where("doc_id is not null and label is not null")
     per_label = {int(r["label"]): r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     network = ByteNetwork()
     total = sum(per_label.values())
@@ -247,7 +251,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> ByteNetwork:
         return network
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     share = {k: min(1.0, fit_rows / n) for k, n in per_label.items()}
-    drawn = known.where(draw < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
+    drawn = known.where(draw < F.when(F.col("label") == 1, share[1]).otherwise(share[0])).select("doc_id", "label")
+    texts = docs.where("text is not null").join(F.broadcast(drawn), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -255,14 +260,14 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> ByteNetwork:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("order"), batch.column("label"), pa.array(rows, pa.binary())], ["order", "label", "chunks"])
 
-    rows = drawn.select(F.xxhash64("doc_id", "text").alias("order"), F.col("label").cast("int").alias("label"), "text") \
+    rows = texts.select(F.xxhash64("doc_id", "text").alias("order"), F.col("label").cast("int").alias("label"), "text") \
         .mapInArrow(run, "order long, label int, chunks binary").collect()
     rows.sort(key=lambda r: (r["order"], bytes(r["chunks"])))
-    labels = np.array([r["label"] for r in rows])
-    if len(set(labels.tolist())) < 2:       # a draw of very few rows
+    kinds = np.array([r["label"] for r in rows])
+    if len(set(kinds.tolist())) < 2:       # very few rows, or labels without their documents
         network.constant = per_label[1] / total
         return network
-    network.train([symbols(np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK)) for r in rows], labels)
+    network.train([symbols(np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK)) for r in rows], kinds)
     network.shift = float(np.log(per_label[1] / per_label[0]))
     return network
 
@@ -288,7 +293,7 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Data
     """doc_id, held_out, score, predicted, learned from the labelled rows not held out."""
     marked = labels.where(~held_out()).groupBy("doc_id").agg(F.avg(label).alias("label")).select(
         "doc_id", (F.col("label") >= 0.5).cast("int").alias("label"))
-    network = fit(docs.select("doc_id", "text").where(~held_out()).join(marked, "doc_id"))
+    network = fit(docs.select("doc_id", "text").where(~held_out()), marked)
     return predict(docs, network).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
