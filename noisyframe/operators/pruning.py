@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import argmax_first
 from ..functions.ranking import global_row_number, kth_smallest
 from . import labels as L
+from . import latent as LT
 
 
 def _cells(cj: DataFrame) -> dict:
@@ -78,13 +79,17 @@ def prune_by_count_window(df: DataFrame, by_count: dict, K: int, label: str = "l
 
 
 def exact_cut_masks(df: DataFrame, by_class: dict, by_count: dict, K: int, label: str = "label",
-                    psx: str = "psx") -> tuple[Column, Column]:
+                    psx: str = "psx", member=None) -> tuple[Column, Column]:
     """W3 and W4 masks from ONE exact selection over the union of the values
     both methods rank: own probability per class (group k) and the negated
-    margin per (class k, other j) (group K + k*K + j)."""
-    values = [F.when(F.col(label) == k, F.struct(F.lit(k).alias("g"), _p(psx, k).alias("v")))
+    margin per (class k, other j) (group K + k*K + j).
+
+    ``member(k)`` says which rows are ranked in class k: by default those labelled k.  A
+    row may be in several classes; it is marked if any of them marks it."""
+    member = member or (lambda k: F.col(label) == k)
+    values = [F.when(member(k), F.struct(F.lit(k).alias("g"), _p(psx, k).alias("v")))
               for k in range(K) if by_class.get(k, 0) > 0]
-    values += [F.when(F.col(label) == k, F.struct(F.lit(K + k * K + j).alias("g"),
+    values += [F.when(member(k), F.struct(F.lit(K + k * K + j).alias("g"),
                                                   (_p(psx, k) - _p(psx, j)).alias("v")))
                for (k, j), n in by_count.items() if n > 0]
     if not values:
@@ -110,14 +115,14 @@ def exact_cut_masks(df: DataFrame, by_class: dict, by_count: dict, K: int, label
         if by_class.get(k, 0) <= 0:
             continue
         cut = cuts.get(k)
-        in_k = F.col(label) == k
+        in_k = member(k)
         m_class = m_class | (in_k if cut is None else in_k & (_p(psx, k) < F.lit(cut)))
     m_count = F.lit(False)
     for (k, j), n in by_count.items():
         if n <= 0:
             continue
         cut = cuts.get(K + k * K + j)
-        in_k = F.col(label) == k
+        in_k = member(k)
         # n beyond the class size marks the whole class (numpy would raise)
         m_count = m_count | (in_k if cut is None else in_k & ((_p(psx, k) - _p(psx, j)) <= F.lit(cut)))
     return m_class, m_count
@@ -158,6 +163,45 @@ def find_label_errors(df: DataFrame, cj: DataFrame | None = None, thresholds: li
     return df.withColumn(name, mask)
 
 
+def find_label_errors_multi(df: DataFrame, num_classes: int, cj: DataFrame | None = None, method: str = "both",
+                            labels: str = "labels", psx: str = "psx", name: str = "is_error",
+                            frac_noise: float = 1.0) -> DataFrame:
+    """L15 for label lists: a row is ranked in every class of its list, with budgets from
+    the multi-label joint (L7), and marked if any of these classes marks it.
+
+    A row whose list equals its predicted classes, those above the boundary of the best
+    F1 (L18), is never marked.  The masks are column expressions over the cuts: rows aren't
+    exploded and joined back.  A null or empty list is in no class.
+    """
+    K = num_classes
+    cells = _cells(cj if cj is not None else LT.multilabel_joint(df, K, labels, psx))
+    by_class, by_count = budgets(cells, {}, K, "own", frac_noise)
+
+    def member(k: int) -> Column:
+        return F.coalesce(F.array_contains(F.col(labels), k), F.lit(False))
+
+    m_class, m_count = exact_cut_masks(df, by_class if method != "prune_by_noise_rate" else {},
+                                       by_count if method != "prune_by_class" else {}, K, psx=psx, member=member)
+    mask = {"prune_by_class": m_class, "prune_by_noise_rate": m_count, "both": m_class & m_count}[method]
+    boundary = LT.multilabel_boundary(df, K, labels, psx).where("best").first()["boundary"]
+    agrees = F.lit(True)
+    for k in range(K):
+        agrees = agrees & (member(k) == (_p(psx, k) > F.lit(boundary)))
+    return df.withColumn(name, mask & ~agrees)
+
+
+def order_label_errors_multi(df: DataFrame, method: str = "normalized_margin", labels: str = "labels",
+                             psx: str = "psx", mask: str = "is_error", row_id: str = "row_id") -> DataFrame:
+    """T1 for label lists: by the mean probability of the row's classes, less the largest one
+    for the margin (D19); positions over (score, row_id)."""
+    own = F.array_distinct(F.col(labels))
+    total = F.aggregate(own, F.lit(0.0), lambda s, k: s + F.element_at(F.col(psx), k + 1))
+    mean = F.when(F.size(own) > 0, total / F.size(own))
+    score = mean if method == "prob_given_label" else mean - F.array_max(F.col(psx))
+    errs = df.where(F.col(mask)).select(row_id, labels, score.alias("score"))
+    return global_row_number(errs, [F.col("score"), F.col(row_id)], "pos")
+
+
 def keep_at_least_n_per_class(pcm: DataFrame, n: int, frac_noise: float = 1.0) -> DataFrame:
     """Raise each diagonal to >= n taking the same amount off the column's
     non-zero noise cells (clipped at 0), scale noise by ``frac_noise`` moving the

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from ..functions.keys import r6
@@ -165,30 +167,31 @@ def cat_count(spark, sf_dir):
                                 for c in CATS5])
 
 
-PAIRS = [("c_1", "c_2"), ("c_1", "c_3"), ("c_2", "c_3")]
+PAIRS = list(itertools.combinations(CATS5, 2))
 
 
 @register("cat_pair_count", f"""WITH f AS ({S.F2})
 SELECT row_id, {', '.join(f'COUNT(*) OVER (PARTITION BY {a}, {b}) AS cnt_{a}_{b}' for a, b in PAIRS)}
 FROM f""")
 def cat_pair_count(spark, sf_dir):
-    d = FE.cat_pair_count(_f2(spark, sf_dir), ["c_1", "c_2", "c_3"])
+    d = FE.cat_pair_count(_f2(spark, sf_dir), CATS5)
     return d.select("row_id", *[
         F.col(f"`{FE.feat_name('n_', 'CatCnt2LEVEL', f'{a}_{b}_cnt')}`").alias(f"cnt_{a}_{b}")
         for a, b in PAIRS])
 
 
-MEAN_CATS, MEAN_NUMS = ["c_1", "c_2"], ["n_1", "n_2"]
+MEAN_CATS, MEAN_NUMS = CATS5, ["n_1", "n_2", "n_3", "n_4"]
 
 
 @register("num_mean_by_cat", f"""WITH f AS ({S.F2})
-SELECT row_id, {', '.join(f'ROUND(AVG({n}) OVER (PARTITION BY {c}), 6) AS mean_{c}_{n}'
+SELECT row_id, {', '.join(f'ROUND(AVG({n}) OVER (PARTITION BY {c}) + 1e-9, 6) AS mean_{c}_{n}'
                           for c in MEAN_CATS for n in MEAN_NUMS)}
 FROM f""")
 def num_mean_by_cat(spark, sf_dir):
     d = FE.num_mean_by_cat(_f2(spark, sf_dir), MEAN_CATS, MEAN_NUMS)
     return d.select("row_id", *[
-        r6(F.col(f"`{FE.feat_name('n_', 'NumMean2LEVEL', f'{c}_{n}_mean')}`")).alias(f"mean_{c}_{n}")
+        # a mean of few cents can be a tie at six places, which the engines round differently
+        r6(F.col(f"`{FE.feat_name('n_', 'NumMean2LEVEL', f'{c}_{n}_mean')}`") + 1e-9).alias(f"mean_{c}_{n}")
         for c in MEAN_CATS for n in MEAN_NUMS])
 
 
@@ -258,22 +261,39 @@ def block_encode(spark, sf_dir):
     return enc.transform(f).select("row_id", *CATS5)
 
 
-@register("quantile_bins", f"""WITH f AS ({S.F2}),
-v AS (SELECT n_2 AS x FROM f WHERE n_2 IS NOT NULL),
+def _bins_sql(src: str, c: str, name: str) -> str:
+    """row_id and the quantile bin of one column."""
+    return f"""WITH f AS ({src}),
+v AS (SELECT {c} AS x FROM f WHERE {c} IS NOT NULL),
 st AS (SELECT COUNT(*) AS n, LEAST(FLOOR(COUNT(DISTINCT x) / {FE.BIN_PER_VALUES}), {FE.BIN_MAX}) AS q FROM v),
 r AS (SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS rn FROM v),
 pos AS (SELECT (n - 1) * (i * (1.0 / q)) AS h, n FROM st, range(0, {FE.BIN_MAX + 1}) t(i) WHERE i <= q),
 ed AS (SELECT DISTINCT a.x + (h - FLOOR(h)) * (b.x - a.x) AS e FROM pos
        JOIN r a ON a.rn = FLOOR(h) + 1 JOIN r b ON b.rn = LEAST(FLOOR(h) + 2, n)),
 lim AS (SELECT MIN(e) AS lo, MAX(e) AS hi FROM ed)
-SELECT row_id, CASE WHEN n_2 IS NULL OR n_2 <= lo OR n_2 > hi THEN NULL
-                    ELSE CAST((SELECT COUNT(*) FROM ed WHERE e < n_2) - 1 AS INT) END AS bin
-FROM f CROSS JOIN lim""")
+SELECT row_id, CASE WHEN {c} IS NULL OR {c} <= lo OR {c} > hi THEN NULL
+                    ELSE CAST((SELECT COUNT(*) FROM ed WHERE e < {c}) - 1 AS INT) END AS {name}
+FROM f CROSS JOIN lim"""
+
+
+def _bin(c: str):
+    return F.col(f"`{FE.feat_name('c_', 'NumsBucket', f'{c}_bucket')}`")
+
+
+@register("quantile_bins", _bins_sql(S.F2, "n_2", "bin"))
 def quantile_bins(spark, sf_dir):
+    """The one column of F2 with more than 100 distinct values."""
     f = _f2(spark, sf_dir)
-    b = FE.NumBucketer().fit(f, ["n_2"])
-    return b.transform(f).select(
-        "row_id", F.col(f"`{FE.feat_name('c_', 'NumsBucket', 'n_2_bucket')}`").alias("bin"))
+    return FE.NumBucketer().fit(f, ["n_2"]).transform(f).select("row_id", _bin("n_2").alias("bin"))
+
+
+@register("quantile_bins_orders", f"""SELECT * FROM ({_bins_sql(S.F1, 'n_1', 'bin_n_1')}) a
+JOIN ({_bins_sql(S.F1, 'n_2', 'bin_n_2')}) b USING (row_id)""")
+def quantile_bins_orders(spark, sf_dir):
+    """All numbers of F1."""
+    f = pu_orders(spark, sf_dir)
+    return FE.NumBucketer().fit(f, ["n_1", "n_2"]).transform(f).select(
+        "row_id", *[_bin(c).alias(f"bin_{c}") for c in ("n_1", "n_2")])
 
 
 IDX_COLS = ["n_1", "n_3", "n_4"]

@@ -140,7 +140,7 @@ F6 = f"""SELECT *, CASE WHEN toxic = 1 THEN [label, 2] ELSE [label] END AS label
 FROM ({S.F4}) d WHERE label IS NOT NULL"""
 
 
-def _multi_psx_sql(K: int = 3) -> str:
+def multi_psx_sql(K: int = 3) -> str:
     counts = ", ".join(f"COUNT(CASE WHEN list_contains(labels, {k}) THEN 1 END) AS f{k}" for k in range(K))
     loo = ", ".join(f"SUM(f{k}) OVER (PARTITION BY c_1) - f{k} AS n{k}" for k in range(K))
     ps = ", ".join(f"CAST(lk.n{k} + 1 AS DOUBLE) / (lk.nn + {K}) AS p{k}" for k in range(K))
@@ -151,29 +151,29 @@ def _multi_psx_sql(K: int = 3) -> str:
   ON s.c_1 IS NOT DISTINCT FROM lk.lc AND s.fold = lk.lf"""
 
 
-def _multi_psx(spark, sf_dir):
+def multi_psx(spark, sf_dir):
     d = multi_label_documents(spark, sf_dir).select("row_id", "c_1", "label", "labels")
     return L.fold_rate_psx_multi(L.stratified_folds(d, 5, 0), "c_1", 3)
 
 
-def _multi_joint_sql(K: int = 3) -> str:
+def multi_joint_sql(K: int = 3) -> str:
     thr = ", ".join(f"AVG(CASE WHEN list_contains(labels, {k}) THEN p{k} END) AS t{k}" for k in range(K))
     cells = " UNION ALL ".join(
         f"SELECT {k} AS k_s, {j} AS k_y, COUNT(CASE WHEN list_contains(labels, {k}) AND p{j} >= t{j} THEN 1 END) AS v FROM m CROSS JOIN th"
         for k in range(K) for j in range(K))
     cnt = " UNION ALL ".join(
         f"SELECT {k} AS k_s, COUNT(CASE WHEN list_contains(labels, {k}) THEN 1 END) AS n FROM m" for k in range(K))
-    return f"""WITH m AS ({_multi_psx_sql(K)}), th AS (SELECT {thr} FROM m)
+    return f"""WITH m AS ({multi_psx_sql(K)}), th AS (SELECT {thr} FROM m)
 SELECT * FROM ({S.calibrate(f'SELECT CAST(k_s AS INT) AS k_s, CAST(k_y AS INT) AS k_y, CAST(v AS BIGINT) AS v FROM ({cells}) c',
                             f'SELECT CAST(k_s AS INT) AS k_s, CAST(n AS BIGINT) AS n FROM ({cnt}) n')}) r"""
 
 
-@register("joint_multilabel", _multi_joint_sql(3))
+@register("joint_multilabel", multi_joint_sql(3))
 def joint_multilabel(spark, sf_dir):
-    return LT.multilabel_joint(_multi_psx(spark, sf_dir), 3)
+    return LT.multilabel_joint(multi_psx(spark, sf_dir), 3)
 
 
-def _boundary_sql(K: int = 3) -> str:
+def boundary_sql(K: int = 3) -> str:
     bs = LT.boundaries()
     rows = " UNION ALL ".join(
         f"SELECT {i} AS i, CAST({b!r} AS DOUBLE) AS boundary, " +
@@ -181,16 +181,16 @@ def _boundary_sql(K: int = 3) -> str:
         " + ".join(f"COUNT(CASE WHEN p{k} > CAST({b!r} AS DOUBLE) AND NOT list_contains(labels, {k}) THEN 1 END)" for k in range(K)) + " AS fp, " +
         " + ".join(f"COUNT(CASE WHEN NOT (p{k} > CAST({b!r} AS DOUBLE)) AND list_contains(labels, {k}) THEN 1 END)" for k in range(K)) + " AS fn FROM m"
         for i, b in enumerate(bs))
-    return f"""WITH m AS ({_multi_psx_sql(K)}), s AS ({rows}),
+    return f"""WITH m AS ({multi_psx_sql(K)}), s AS ({rows}),
 f AS (SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1 FROM s)
 SELECT ROUND(boundary, 6) AS boundary, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
        CAST(fn AS BIGINT) AS fn, ROUND(f1, 6) AS f1,
        ROW_NUMBER() OVER (ORDER BY f1 DESC, i) = 1 AS best FROM f"""
 
 
-@register("multilabel_boundary", _boundary_sql(3))
+@register("multilabel_boundary", boundary_sql(3))
 def multilabel_boundary(spark, sf_dir):
-    b = LT.multilabel_boundary(_multi_psx(spark, sf_dir), 3)
+    b = LT.multilabel_boundary(multi_psx(spark, sf_dir), 3)
     return b.select(r6(F.col("boundary")).alias("boundary"), "tp", "fp", "fn",
                     r6(F.col("f1")).alias("f1"), "best")
 
