@@ -42,6 +42,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -282,7 +283,7 @@ class Block:
 def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
     of = np.zeros(len(lists) + 1, np.int64)
     np.cumsum([len(x) for x in lists], out=of[1:])
-    return np.fromiter((i for x in lists for i in x), np.int64, int(of[-1])), of
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(of[-1])), of
 
 
 def _sizes(side: ByteBpe | Pieces) -> np.ndarray:
