@@ -100,7 +100,7 @@ def _sketch_batches(k: int):
         for batch in batches:
             sets = shingle_sets(byte_texts(batch.column("text")))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
+                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "digest": pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 "sketch": pa.array([s[:k] for s in sets], pa.list_(pa.int64()))})
@@ -108,10 +108,11 @@ def _sketch_batches(k: int):
 
 
 def sketches(docs: DataFrame, k: int = SKETCH) -> DataFrame:
-    """doc_id, n_shingles, digest, sketch (the k smallest hashes, sorted)."""
+    """doc_id, text_hash, n_shingles, digest, sketch (the k smallest hashes, sorted)."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _sketch_batches(k), "doc_id long, n_shingles long, digest binary, sketch array<long>")
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
+        _sketch_batches(k), "doc_id long, text_hash long, n_shingles long, digest binary, sketch array<long>")
 
 
 def least_common(link: int = LINK_UNION, k: int = SKETCH) -> int:
@@ -330,6 +331,11 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, link: int = LINK_UNION) ->
 
     ``link`` is the least similarity of a link, in hundredths.
     """
+    return groups(docs, k, link).drop("text_hash").distinct()
+
+
+def groups(docs: DataFrame, k: int = SKETCH, link: int = LINK_UNION) -> DataFrame:
+    """The rows of ``near_duplicates`` per document and text: with text_hash, the hash of the text as it is."""
     prepared = cut_lineage(sketches(docs, k))
     full = prepared.where("n_shingles > 0 and doc_id is not null")
     membership = full.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
@@ -354,10 +360,10 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, link: int = LINK_UNION) ->
     with_class = prepared.drop("sketch").join(membership, "digest", "left")
     whole = with_class.join(group.withColumnRenamed("u", "class_id"), "class_id", "left")
     own = F.coalesce("component", "class_id", "doc_id")
-    out = whole.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
+    out = whole.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"),
                        F.when(F.col("doc_id").isNotNull(), F.col("class_id")).alias("class_id")).distinct()
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "class_id")
+    return out.select("doc_id", "text_hash", "n_shingles", "component_id", kept.alias("kept"), "class_id")
 
 
 def _with_component(rows: DataFrame, tops: DataFrame, key: str, name: str = "component") -> DataFrame:

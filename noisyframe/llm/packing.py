@@ -8,6 +8,9 @@ it fits and that shares neither its source nor its cluster: the search starts at
 the smallest residual that is large enough and moves on to the next larger one
 while the bitmaps conflict.  If no bin is compatible, a new one opens.
 
+A duplicate cluster is a component of near copies, found by ``near_dedup`` on the documents
+packed.
+
 Bins alike in residual and bitmaps are kept together and searched as one, so that
 a third of all rows being copies of one text costs one step each, not one for
 every bin that such a copy sits in.
@@ -36,8 +39,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from . import near_dedup
 from .common import small_batches, table
 
+# a duplicate cluster's texts are linked by this similarity of word shingles, in hundredths
+NEAR = 80
 CAPACITY = 8192
 RUN = 8192
 
@@ -150,15 +157,23 @@ def _after(made: pa.RecordBatch, base: int) -> int:
     return base if last is None else last + 1
 
 
-def lengths(docs: DataFrame) -> DataFrame:
-    """doc_id, source, cluster (a hash of the text: exact copies) and length in characters."""
+def lengths(docs: DataFrame, link: int = NEAR) -> DataFrame:
+    """doc_id, source, cluster and length in characters.
+
+    The cluster is the component of near copies (see ``near_dedup``) that the row's text is
+    in; a row without an id is in no component, and its cluster a hash of its text.
+    """
     text = F.col("text").cast("string")
-    return docs.select("doc_id", "source", F.xxhash64(text).alias("cluster"),
+    found = near_dedup.groups(docs, link=link).where("doc_id is not null").select(
+        "doc_id", F.col("text_hash").alias("copy"), "component_id").distinct()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64(text).alias("copy"),
                        F.coalesce(F.char_length(text), F.lit(0)).alias("length"))
+    return rows.join(found, ["doc_id", "copy"], "left").select(
+        "doc_id", "source", F.coalesce("component_id", "copy").alias("cluster"), "length")
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    return packed(lengths(docs), capacity)
+    return packed(cut_lineage(lengths(docs)), capacity)
 
 
 QUERY = "op9_packing"

@@ -24,7 +24,8 @@ cutoff, and the cutoffs are chosen from labelled rows for each stratum (language
 Plan: one pass over the texts gives the signals, which are written to the shared
 folder (a few numbers a row); labels meet them there, and the counts beyond all
 grid points are one aggregation.  The thresholds are a row a stratum.  DataFrame
-functions only, binomial sums included (in logarithms, by a fold over 0..x).
+functions only, binomial sums included (a fold over the terms that count, some standard
+deviations of them).
 
 Defined cases: a null text has no words, and fails the base rules.  Null languages
 are a stratum of their own.  Labels of unknown documents, null labels and null ids
@@ -34,6 +35,7 @@ documents gives a row.
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,20 +129,43 @@ def _beyond(rule: str, ratio: F.Column, cutoff) -> F.Column:
     return ratio > cutoff if RULES[rule][0] else ratio < cutoff
 
 
+_SMALL_FACTORIALS = [math.lgamma(i + 1) for i in range(32)]
+
+
+def _log_factorial(m: F.Column) -> F.Column:
+    """ln(m!), for larger m by Stirling's series."""
+    x = F.greatest(m.cast("double"), F.lit(1.0))
+    series = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x)
+    small = F.get(F.array(*[F.lit(v) for v in _SMALL_FACTORIALS]), m.cast("int"))
+    return F.when(m < len(_SMALL_FACTORIALS), small).otherwise(series)
+
+
 def binomial_cdf(n: F.Column, x: F.Column, p: float) -> F.Column:
-    """P(Bin(n, p) <= x), summed in logarithms from the term of 0."""
-    odds = F.log(F.lit(p / (1 - p)))
-    start = n * F.log(F.lit(1 - p))
-
-    def add(acc: F.Column, k: F.Column) -> F.Column:
-        term = acc["term"] + F.log((n - k + 1) / k) + odds
-        top = F.greatest(acc["total"], term)
-        total = top + F.log(F.exp(acc["total"] - top) + F.exp(term - top))
-        return F.struct(term.alias("term"), total.alias("total"))
-
-    steps = F.when(x >= 1, F.sequence(F.lit(1).cast("long"), x)).otherwise(F.array().cast("array<long>"))
-    summed = F.aggregate(steps, F.struct(start.alias("term"), start.alias("total")), add, lambda a: a["total"])
-    return F.when(n <= 0, F.lit(1.0)).when(x >= n, F.lit(1.0)).otherwise(F.exp(summed))
+    """P(Bin(n, p) <= x).
+
+    Below the mean the terms fall from x down, above it from x + 1 up (the other tail).
+    They are added as multiples of the first one until none counts any more, which takes
+    some standard deviations, 9.2 of them and a constant: not x terms.
+    """
+    below = x.cast("double") < n * F.lit(p)
+    start = F.when(below, x).otherwise(x + 1)
+    first = (_log_factorial(n) - _log_factorial(start) - _log_factorial(n - start)
+             + start * F.lit(math.log(p)) + (n - start) * F.lit(math.log1p(-p)))
+    terms = F.ceil(F.sqrt(n * F.lit(84 * p * (1 - p)))) + 100
+    count = F.least(terms, F.when(below, start).otherwise(n - start))
+    odds = F.lit(p / (1 - p))
+
+    def add(acc: F.Column, i: F.Column) -> F.Column:
+        down = (start - i + 1) / (n - start + i) / odds
+        up = (n - start - i + 1) / (start + i) * odds
+        term = acc["term"] * F.when(below, down).otherwise(up)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    steps = F.when(count >= 1, F.sequence(F.lit(1).cast("long"), count)).otherwise(F.array().cast("array<long>"))
+    tail = F.exp(first) * F.aggregate(steps, F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")), add,
+                                      lambda a: a["total"])
+    return F.when(n <= 0, F.lit(1.0)).when(x >= n, F.lit(1.0)).otherwise(
+        F.least(F.lit(1.0), F.when(below, tail).otherwise(1 - tail)))
 
 
 def thresholds(measured: DataFrame, labels: DataFrame) -> DataFrame:

@@ -42,6 +42,7 @@ RULES = [
 DEFAULT = "allow"
 PREFIX_HEX = 8
 BROADCAST_RULES = 50_000
+MAX_LENGTHS = 1_000
 
 
 def parts(url: F.Column) -> tuple[F.Column, F.Column]:
@@ -54,23 +55,22 @@ def parts(url: F.Column) -> tuple[F.Column, F.Column]:
     return host, path
 
 
-def host_suffixes(host: F.Column) -> F.Column:
-    """The host and all its suffixes that begin after a dot."""
+def host_suffixes(host: F.Column, most: int) -> F.Column:
+    """The suffixes of a host of at most so many labels: from its last ``most`` labels on."""
     labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)),
-                       lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    last = F.when(F.size(labels) > most, F.slice(labels, -most, most)).otherwise(labels)
+    return F.element_at(F.transform(F.array(last), lambda x: F.transform(
+        F.sequence(F.lit(1), F.size(x)), lambda i: F.array_join(F.slice(x, i, F.size(x)), "."))), 1)
 
 
-def path_prefixes(path: F.Column, lengths: list[int]) -> F.Column:
-    """Prefixes that end at a slash, and those of the given lengths."""
-    cuts = F.split(path, "/", -1)
-    slashed = F.transform(F.sequence(F.lit(1), F.size(cuts)),
-                          lambda i: F.concat(F.array_join(F.slice(cuts, 1, i), "/"), F.lit("/")))
-    # the last piece is not followed by a slash
-    slashed = F.slice(slashed, 1, F.size(cuts) - 1)
+def path_prefixes(path: F.Column, lengths: list[int], longest: int) -> F.Column:
+    """Prefixes of up to ``longest`` characters that end at a slash, and those of the given lengths."""
+    short = F.substring(path, 1, longest)
+    slashed = F.filter(F.transform(F.sequence(F.lit(1), F.length(short)), lambda i: F.substring(short, F.lit(1), i)),
+                       lambda x: x.endswith("/"))
     if not lengths:
         return slashed
-    fixed = F.filter(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]),
+    fixed = F.filter(F.array(*[F.when(F.length(short) >= n, F.substring(short, 1, n)) for n in lengths]),
                      lambda x: x.isNotNull())
     return F.array_distinct(F.concat(slashed, fixed))
 
@@ -92,14 +92,21 @@ def rule_table(rules: DataFrame) -> DataFrame:
 def judge(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """All columns of urls, with host, path, rule and verdict as columns of a struct ``judged``."""
     table_ = rule_table(rules)
-    lengths = sorted(r[0] for r in rules.where("host <> '' and path <> '' and path not like '%/'")
-                     .select(F.length("path")).distinct().collect())
+    given = rules.where("host <> '' and path <> ''")
+    lengths = sorted(r[0] for r in given.where("path not like '%/'").select(F.length("path").alias("n")).distinct()
+                     .limit(MAX_LENGTHS + 1).collect())
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"more than {MAX_LENGTHS} lengths of rule paths that don't end at a slash")
+    # no longer prefix or suffix can be a rule's
+    longest, labels = given.agg(F.max(F.length("path")), F.max(F.size(F.split("host", r"\.", -1)))).first()
     host, path = parts(F.col(url).cast("string"))
     keyed = urls.withColumn("judged", F.struct(host.alias("host"), path.alias("path")))
     distinct = keyed.select("judged.host", "judged.path").distinct()
     expressions = (distinct.where("host <> '' and path <> ''")
-                   .withColumn("suffix", F.explode(host_suffixes(F.col("host"))))
-                   .withColumn("start", F.explode(path_prefixes(F.col("path"), lengths)))
+                   .withColumn("starts", path_prefixes(F.col("path"), lengths, longest or 1))
+                   .where(F.size("starts") > 0)
+                   .withColumn("suffix", F.explode(host_suffixes(F.col("host"), labels or 1)))
+                   .withColumn("start", F.explode("starts"))
                    .where("suffix <> ''")
                    .withColumn("digest", F.sha2(F.concat_ws("\n", "suffix", "start"), 256))
                    .select("host", "path", "digest", F.substring("digest", 1, PREFIX_HEX).alias("prefix")))

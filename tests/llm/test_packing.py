@@ -1,8 +1,12 @@
 """Packing against a plain search of all bins, and its constraints."""
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from noisyframe.llm import packing as M
 
+from .frames import docs, words
+
 SCHEMA = "doc_id long, source string, cluster long, length long"
 
 
@@ -87,3 +91,19 @@ def test_documents_of_a_table(spark):
     rows = [(1, None), (2, ""), (3, words(1, 3000)), (4, "ñ🙂")]
     placed = M.pack_documents(docs(spark, rows)).collect()
     assert {i: sum(r["length"] for r in placed if r["doc_id"] == i) for i, _ in rows} == {1: 0, 2: 0, 3: len(words(1, 3000)), 4: 2}
+
+
+def test_near_copies_never_share_a_sequence(spark):
+    base = words(4, 120)
+    near = [base, base.replace(" ", "  ", 1), "z" + base, base + " tail", base.upper()]
+    rows = [(i, t) for i, t in enumerate(near)] + [(10 + i, words(50 + i, 60)) for i in range(20)] + [(None, base), (None, base)]
+    frame = docs(spark, rows).withColumn("source", F.concat(F.lit("s"), F.coalesce("doc_id", F.lit(99)).cast("string")))
+    placed = M.pack_documents(frame).collect()
+    assert len(placed) == len(rows)
+    bins = [r["bin_id"] for r in placed if r["doc_id"] is not None and r["doc_id"] < 5]
+    assert len(set(bins)) == 5
+    assert len({r["bin_id"] for r in placed}) < len(rows)
+    # one id with two texts: each text is in the component of its own copies
+    two = docs(spark, [(1, base), (5, base), (5, words(77, 60))]).withColumn("source", F.lit(None).cast("string"))
+    clusters = {(r["doc_id"], r["length"]): r["cluster"] for r in M.lengths(two).collect()}
+    assert len(clusters) == 3 and sorted(clusters.values()) == [1, 1, 5]

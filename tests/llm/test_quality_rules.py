@@ -67,3 +67,20 @@ def test_few_labels_certify_nothing(spark):
     assert all(r["kept"] for r in M.rated(frame, labels).collect())
     assert M.rated(docs(spark, []), labels).count() == 0
     assert all(r["kept"] != r["base_failed"] for r in M.rated(frame, labels.limit(0)).collect())
+
+
+def test_binomial_bounds_of_very_many_labels_end(spark):
+    rows = [(10 ** 9, 10 ** 6, 0.002), (10 ** 9, 1_900_000, 0.002), (10 ** 9, 2_100_000, 0.002), (4 * 10 ** 9, 3 * 10 ** 9, 0.002)]
+    for n, x, p in rows:
+        got = spark.createDataFrame([(n, x)], "n long, x long").select(M.binomial_cdf(F.col("n"), F.col("x"), p).alias("cdf")).first()[0]
+        assert 0 <= got <= 1 and (got < 1e-12) == (x < n * p * 0.97) and (got > 0.999) == (x > n * p * 1.03)
+
+
+def test_binomial_sums_of_some_thousand_terms(spark):
+    for n, p in ((3000, 0.004), (20_000, 0.02)):
+        xs = [0, 1, int(n * p) - 1, int(n * p), int(n * p) + 1, int(n * p * 1.5), n - 1, n]
+        log = [math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p) for k in range(n + 1)]
+        got = {r["x"]: r["cdf"] for r in spark.createDataFrame([(n, x) for x in xs], "n long, x long").select(
+            "x", M.binomial_cdf(F.col("n"), F.col("x"), p).alias("cdf")).collect()}
+        for x in xs:
+            assert got[x] == pytest.approx(math.fsum(map(math.exp, log[:x + 1])), rel=1e-7), (n, x)

@@ -36,3 +36,12 @@ def test_verdicts(spark, monkeypatch):
         assert [got[i] for i in range(2 * len(urls))] == [judge(u) for u in urls] * 2
     assert M.judge(pages.limit(0), rules).count() == 0
     assert {r["judged"]["verdict"] for r in M.judge(pages, rules.limit(0)).collect()} == {"allow"}
+
+
+def test_very_long_paths_and_hosts_end(spark):
+    urls = [(1, "http://example.com/en/" + "a/" * 100_000), (2, "http://" + "x." * 20_000 + "example.com/en/q"),
+            (3, "http://a.net/" + "/" * 100_000), (4, "http://a.net/es/" + "b" * 300_000)]
+    rules = spark.createDataFrame(M.RULES, "verdict string, host string, path string")
+    frame = spark.createDataFrame(urls, "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in M.judge(frame, rules).select("page_id", "judged.rule", "judged.verdict").collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: ("example.com/en/", "block"), 3: (None, "allow"), 4: ("net/es/", "block")}
