@@ -6,9 +6,10 @@ the columns of documents, texts as changed so far.  Every stage's output is
 written as Parquet to the shared folder and read again by the next one.
 
 Defined cases: null or empty texts, texts without a letter, and texts in none of the
-labelled languages go in the first stage; a null doc_id is kept by all other stages,
-as nothing can be held against a row without identity; repeated rows count as copies,
-of which one stays; additional columns are carried along.  An empty table gives an
+labelled languages go in the first stage (of texts of one word in a labelled language about a
+fifth goes, of three words or more none: see the README); a null doc_id is kept by all other
+stages, as nothing can be held against a row without identity; repeated rows count as copies,
+of which one stays; one doc_id with several texts is as many documents; additional columns are carried along.  An empty table gives an
 empty result.
 """
 
@@ -39,11 +40,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, the one of the smallest doc_id."""
-    gone = near_dedup.near_duplicates(docs, link=NEAR).where(~F.col("kept")).select("doc_id").distinct()
+    """Keeps one document of each group of near-duplicates, the one of the smallest doc_id.
+
+    Documents are told apart by doc_id and text: of two texts of one doc_id only the one
+    that has a copy goes.  Rows with a null doc_id stay, repeated ones too.
+    """
     same = free_name(docs, "same")
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns, F.xxhash64("text").alias(same))
-    return left.dropDuplicates(["doc_id", same]).select(*docs.columns)
+    gone = near_dedup.groups(docs, link=NEAR).where(~F.col("kept")).select("doc_id", F.col("text_hash").alias(same)).distinct()
+    marked = docs.withColumn(same, F.xxhash64("text"))
+    left = marked.join(gone, ["doc_id", same], "left_anti")
+    known = left.where("doc_id is not null").dropDuplicates(["doc_id", same])
+    return known.unionByName(left.where("doc_id is null")).select(*docs.columns)
 
 
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
