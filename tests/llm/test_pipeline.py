@@ -65,7 +65,7 @@ def test_empty_tables(spark, tmp_path):
 
 def test_one_query_for_each_operator():
     names = list(catalog.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert set(catalog.oracle_sql()) <= set(names)
     entry = importlib.import_module("__spark_entry__")
     assert {"pipeline", *names} <= set(entry.queries())
@@ -97,3 +97,11 @@ def test_language_stage_rejects_what_is_in_no_language(spark, tmp_path):
     unlabelled = frame.drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang")
     left = {r["doc_id"] for r in P.language_stage(spark, unlabelled, str(tmp_path)).collect()}
     assert left == {i for i, _, _ in rows} - {9300, 9301}
+
+
+def test_a_text_without_a_copy_stays(spark):
+    t, u = words(1, 90), words(2, 90)
+    given = docs(spark, [(1, t), (5, t), (5, u), (5, u), (None, t), (None, t), (7, t + " more")])
+    left = P.near_dedup_stage(spark, given, None).collect()
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in left) == sorted([(1, t), (5, u), (0, t), (0, t)])
+    assert P.near_dedup_stage(spark, given.limit(0), None).count() == 0
