@@ -18,11 +18,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
+# Buckets whose sums are literals of a plan, and those that a broadcast may hold (16 bytes each).
+LITERAL_BUCKETS = 256
+BROADCAST_BUCKETS = 500_000
+
 
 def bucket_of(value: Column, bounds: Sequence, strict: bool = False) -> Column:
     """Number of ``bounds`` (sorted) that are <= value (``strict``: < value), as a
@@ -60,14 +64,30 @@ def global_row_number(df: DataFrame, order_cols: Sequence[Column], name: str = "
     placed = cut_lineage(df.repartitionByRange(parts, *order_cols).sortWithinPartitions(*order_cols)
                          .withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftright("_at", 33)
-    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, seen = [], 0
-    for i in range(max(sizes, default=0) + 1):
-        before.append(seen)
-        seen += sizes.get(i, 0)
-    offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), part.cast("int"))
+    sizes = placed.groupBy(part.cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    counted = with_total_before(placed, part.cast("int"), sizes, parts, "_before")
     place = F.col("_at") - F.shiftleft(part, 33)
-    return placed.withColumn(name, (place + offset + 1).cast("bigint")).drop("_at")
+    return counted.withColumn(name, (place + F.col("_before") + 1).cast("bigint")).drop("_at", "_before")
+
+
+def with_total_before(df: DataFrame, bucket: Column, sizes: DataFrame, buckets: int, name: str) -> DataFrame:
+    """df with the sum of n over the buckets before the row's, from sizes (b, n): one row per bucket.
+
+    A few buckets are literals of the plan; more are a table (their prefix sums take one small
+    task), which is broadcast up to ``BROADCAST_BUCKETS`` rows and joined otherwise.
+    """
+    if buckets <= LITERAL_BUCKETS:
+        found = {r["b"]: r["n"] for r in sizes.collect()}
+        before, seen = [], 0
+        for i in range(max(found, default=0) + 1):
+            before.append(seen)
+            seen += found.get(i, 0)
+        return df.withColumn(name, F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), bucket))
+    earlier = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    table = cut_lineage(sizes.select(F.col("b").alias("_b"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(name)))
+    keyed = df.withColumn("_bucket", bucket)
+    small = F.broadcast(table) if buckets <= BROADCAST_BUCKETS else table
+    return keyed.join(small, keyed["_bucket"] == small["_b"], "left").drop("_b", "_bucket")
 
 
 def distributed_row_number(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[Column],

@@ -17,7 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import bucket_of, distributed_row_number, global_row_number, position_bucket
+from ..functions.ranking import (bucket_of, distributed_row_number, global_row_number, position_bucket,
+                                 with_total_before)
 from ..session import cut_lineage
 from ..sources.tables import Roles
 
@@ -89,6 +90,7 @@ def select_raw(df: DataFrame, roles: Roles | None = None, keep=("row_id", "label
 
 # ------------------------------------------------------------------ P4 narrowing
 
+FLOAT_MAX = 3.4028234663852886e38
 INT_TYPES = (("tinyint", -128, 127), ("smallint", -32768, 32767),
              ("int", -2147483648, 2147483647), ("bigint", -(2 ** 63), 2 ** 63 - 1))
 
@@ -119,6 +121,22 @@ def narrow_stats(df: DataFrame, cols: list) -> DataFrame:
                        kind.alias("type"))
 
 
+def narrow(df: DataFrame, cols: list, lossy: bool = False) -> DataFrame:
+    """The columns cast to the types of ``narrow_stats``.
+
+    ``lossy``: a fractional column becomes ``float`` wherever its range allows it, whether or
+    not its values survive; integers never lose anything.  Nulls stay null.
+    """
+    stats = {r["col"]: r for r in narrow_stats(df, cols).collect()}     # one row per column
+
+    def kind(r) -> str:
+        if lossy and r["type"] == "double" and r["max"] is not None and max(abs(r["min"]), abs(r["max"])) <= FLOAT_MAX:
+            return "float"
+        return r["type"]
+
+    return df.select(*[F.col(f"`{c}`").cast(kind(stats[c])).alias(c) if c in stats else F.col(f"`{c}`") for c in df.columns])
+
+
 # ------------------------------------------------------------------ P5, P11, P12
 
 def pair_code(df: DataFrame, a: str, b: str, name: str = "pair_code") -> DataFrame:
@@ -426,13 +444,10 @@ def _exact_order_stats(df: DataFrame, col: str, ranks: list) -> dict:
               .groupBy("_x").agg(F.count(F.lit(1)).alias("_n")))
     ranked = global_row_number(counts, [F.col("_x")], "_r")
     ranked = ranked.withColumn("_bkt", position_bucket(ranked, "_r"))
-    sums = {r["_bkt"]: r["n"] for r in ranked.groupBy("_bkt").agg(F.sum("_n").alias("n")).collect()}
-    before, seen = [], 0
-    for i in range(max(sums, default=0) + 1):
-        before.append(seen)
-        seen += sums.get(i, 0)
+    sums = ranked.groupBy(F.col("_bkt").alias("b")).agg(F.sum("_n").alias("n"))
     running = F.sum("_n").over(Window.partitionBy("_bkt").orderBy("_r"))
-    upto = running + F.get(F.array(*[F.lit(n).cast("bigint") for n in before]), F.col("_bkt"))
+    ranked = with_total_before(ranked.withColumn("_run", running), F.col("_bkt"), sums, sums.count(), "_before")
+    upto = F.col("_run") + F.col("_before")
     want = F.array(*[F.lit(int(r)).cast("bigint") for r in sorted(set(ranks))])
     held = ranked.select("_x", "_n", upto.alias("_upto")).withColumn(
         "_held", F.filter(want, lambda r: (r <= F.col("_upto")) & (r > F.col("_upto") - F.col("_n"))))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import r6
 from ..operators import features as FE
-from ..sources.tables import (noisy_lineitem, pu_orders, ssl_events, table)
+from ..sources.tables import declared_frame, noisy_lineitem, pu_orders, ssl_events, table
 from . import sqlparts as S
 from .catalog import register
 from .label_errors import lineitem_psx
@@ -84,6 +84,44 @@ def narrow_stats(spark, sf_dir):
                     "n_lossy", "type")
 
 
+def _narrowed_sql(lossy: bool) -> str:
+    typed = _narrow_sql(NARROW_COLS)
+    rows = " UNION ALL ".join(f"SELECT row_id, '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM f" for c in NARROW_COLS)
+    kind = "CASE WHEN type = 'double' THEN 'float' ELSE type END" if lossy else "type"
+    return f"""WITH f AS ({S.F2}), t AS (SELECT col, {kind} AS type FROM ({typed}) s), r AS ({rows})
+SELECT row_id, col, type, ROUND(CASE WHEN type = 'float' THEN CAST(CAST(x AS FLOAT) AS DOUBLE) ELSE x END, 6) AS value
+FROM r JOIN t USING (col)"""
+
+
+def _narrowed(spark, sf_dir, lossy):
+    f = FE.narrow(_f2(spark, sf_dir), NARROW_COLS, lossy)
+    return f.select("row_id", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("col"), F.typeof(c).alias("type"), F.round(F.col(c).cast("double"), 6).alias("value"))
+        for c in NARROW_COLS]))).withColumn("row_id", F.col("row_id").cast("bigint"))
+
+
+@register("narrow_lossless", _narrowed_sql(False))
+def narrow_lossless(spark, sf_dir):
+    """P4 applied: each value with the type it is cast to."""
+    return _narrowed(spark, sf_dir, False)
+
+
+@register("narrow_lossy", _narrowed_sql(True))
+def narrow_lossy(spark, sf_dir):
+    """P4 applied, with floats wherever the range allows them."""
+    return _narrowed(spark, sf_dir, True)
+
+
+DECLARED = {"c_mktsegment": "cat", "c_nationkey": "cat", "c_acctbal": "num"}
+
+
+@register("declared_roles", """SELECT c_custkey AS row_id, c_mktsegment AS c_1, CAST(c_nationkey AS VARCHAR) AS c_2,
+  CAST(c_acctbal AS DOUBLE) AS n_1 FROM customer""")
+def declared_roles(spark, sf_dir):
+    """Customers by a declared map; their names all start like categories."""
+    return declared_frame(table(spark, sf_dir, "customer"), DECLARED, "c_custkey")
+
+
 @register("pair_code", f"""WITH f AS ({S.F2})
 SELECT row_id, CAST(c_3 AS BIGINT) * (SELECT MAX(CAST(c_4 AS BIGINT)) FROM f) + CAST(c_4 AS BIGINT)
        AS pair_code FROM f""")

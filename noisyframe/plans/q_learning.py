@@ -266,3 +266,17 @@ def labelled_text(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/labelled-text-{uuid.uuid4().hex}"
     write_labelled_text(docs.withColumnRenamed("row_id", "doc_id"), path, ids=ids)
     return read_labelled_text(spark, path)
+
+
+@register("labelled_text_subset", """SELECT CAST(l.quality AS VARCHAR) AS label,
+  replace(trim(regexp_replace(replace(d.text, chr(13), ''), chr(10) || '+$', '')), chr(10), ' __newline__ ')
+    || ' __newline__ __label__9 __newline__ ' || chr(92) || '__label__8' AS text
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality = 0""")
+def labelled_text_subset(spark, sf_dir):
+    """Documents whose last lines start with the label token, written, and the records of one label read by their ids."""
+    docs = noisy_documents(spark, sf_dir).where(F.col("label").isNotNull()).withColumn("text", F.concat(
+        F.trim(F.regexp_replace(F.regexp_replace("text", "\r", ""), "\n+$", "")), F.lit("\n__label__9\n\\__label__8")))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/labelled-text-{uuid.uuid4().hex}"
+    write_labelled_text(docs, path)
+    ids = cut_lineage(read_labelled_text(spark, path, with_ids=True).where(F.col("label") == "0").select("file", "record"))
+    return read_labelled_text(spark, path, ids=ids)

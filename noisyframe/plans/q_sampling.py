@@ -40,23 +40,27 @@ def frac_sample(spark, sf_dir):
 
 
 def _plan_sql(src: str, cap: int | str) -> str:
-    return f"""WITH c AS (SELECT COUNT(CASE WHEN label = 1 THEN 1 END) AS p0,
-                  COUNT(CASE WHEN label <> 1 THEN 1 END) AS n0 FROM ({src}) a),
-u AS (SELECT *, GREATEST(LEAST(p0, n0), 1000) AS m FROM c),
-r AS (SELECT *, CASE WHEN m < 8000 THEN 10 - FLOOR(m / 1000) ELSE 3 END AS ur, p0 > n0 AS rev,
-             CAST(LEAST(p0, n0) AS DOUBLE) AS p, CAST(GREATEST(p0, n0) AS DOUBLE) AS n FROM u),
-k AS (SELECT *, LEAST(p * (ur + 1), {cap}) AS cap FROM r),
-pl AS (SELECT *, CASE WHEN p + n > cap THEN
-         CASE WHEN n / p <= 2 THEN p / (p + n) * cap
-              WHEN n / p <= ur THEN CASE WHEN p > cap / 3 THEN cap / 3 ELSE p END
-              ELSE CASE WHEN p > cap / (ur + 1) THEN cap / (ur + 1) ELSE p END END
-       ELSE p END AS pn FROM k),
-p2 AS (SELECT *, CASE WHEN p + n > cap THEN CASE WHEN n / p <= 2 THEN n / (p + n) * cap ELSE cap - pn END
-                 ELSE n END AS nn FROM pl),
-f AS (SELECT *, CASE WHEN nn / pn > ur THEN pn * ur ELSE nn END AS nn2 FROM p2)
-SELECT CAST(FLOOR(CASE WHEN rev THEN nn2 ELSE pn END) AS BIGINT) AS pos_num,
-       CAST(FLOOR(CASE WHEN rev THEN pn ELSE nn2 END) AS BIGINT) AS neg_num,
-       CAST(p0 AS BIGINT) AS npos, CAST(n0 AS BIGINT) AS nneg FROM f"""
+    """T5 as a table of bands over (small, large), the class sizes in order of size.
+
+    A band holds while large is at most ``upto`` times small, and gives the smaller class one
+    part in ``parts`` of the cap, at most all of it; the first band that holds counts.
+    """
+    return f"""WITH sizes AS (SELECT label = 1 AS positive, COUNT(*) AS n FROM ({src}) a GROUP BY 1),
+c AS (SELECT COALESCE(MAX(n) FILTER (positive), 0) AS p0, COALESCE(MAX(n) FILTER (NOT positive), 0) AS n0 FROM sizes),
+k AS (SELECT p0, n0, CAST(LEAST(p0, n0) AS DOUBLE) AS small, CAST(GREATEST(p0, n0) AS DOUBLE) AS large,
+        (SELECT ratio FROM (VALUES (8000, 3), (7000, 3), (6000, 4), (5000, 5), (4000, 6), (3000, 7), (2000, 8), (0, 9)) steps(least_size, ratio)
+         WHERE GREATEST(LEAST(p0, n0), 1000) >= least_size ORDER BY least_size DESC LIMIT 1) AS ratio FROM c),
+t AS (SELECT *, LEAST(small * (ratio + 1), {cap}) AS total FROM k),
+bands AS (SELECT 1 AS band, 1.0 AS upto, 1.0 AS parts UNION ALL SELECT 2, {SM.MIN_NEG_POS_RATIO}, NULL
+          UNION ALL SELECT 3, NULL, {SM.MIN_NEG_POS_RATIO} + 1 UNION ALL SELECT 4, CAST('Infinity' AS DOUBLE), NULL),
+chosen AS (SELECT t.*, band, COALESCE(parts, ratio + 1) AS parts FROM t JOIN bands
+           ON CASE band WHEN 1 THEN small + large <= total ELSE large <= COALESCE(upto, ratio) * small END
+           ORDER BY band LIMIT 1),
+few AS (SELECT *, CASE band WHEN 1 THEN small WHEN 2 THEN small / (small + large) * total ELSE LEAST(small, total / parts) END AS few FROM chosen),
+both_ AS (SELECT *, LEAST(few * ratio, CASE band WHEN 1 THEN large WHEN 2 THEN large / (small + large) * total ELSE total - few END) AS many FROM few)
+SELECT CAST(FLOOR(CASE WHEN p0 <= n0 THEN few ELSE many END) AS BIGINT) AS pos_num,
+       CAST(FLOOR(CASE WHEN p0 <= n0 THEN many ELSE few END) AS BIGINT) AS neg_num,
+       CAST(p0 AS BIGINT) AS npos, CAST(n0 AS BIGINT) AS nneg FROM both_"""
 
 
 @register("balance_plan", _plan_sql(S.F2, BALANCE_ROWS))

@@ -45,6 +45,8 @@ class Roles:
         if schema:
             r = cls()
             for c, kind in schema.items():
+                if kind not in ("cat", "num", "time"):
+                    raise ValueError(f"column {c!r} is declared as {kind!r}: cat, num or time")
                 {"cat": r.cat, "num": r.num, "time": r.time}[kind].append(c)
             return r
         return cls(
@@ -58,11 +60,28 @@ class Roles:
         for c in self.cat + self.num + self.time:
             if c not in types:
                 raise ValueError(f"declared column {c!r} is missing")
+        for c in self.num:
+            if types[c] in ("string", "boolean", "date", "binary") or types[c].startswith(("timestamp", "array", "map", "struct")):
+                raise ValueError(f"number column {c!r} has type {types[c]}")
         for c in self.time:
             if not types[c].startswith("timestamp") and types[c] != "date":
                 raise ValueError(f"time column {c!r} has type {types[c]}")
 
 
+def declared_frame(df: DataFrame, schema: dict, row_id: str, label: str | None = None) -> DataFrame:
+    """A weak-label frame from a declared ``{col: 'cat'|'num'|'time'}`` map, whatever the names.
+
+    Columns are checked against the map and become ``c_1 ..``, ``n_1 ..``, ``t_1 ..`` in its
+    order: categories as strings, numbers as doubles.  Other columns are left out.
+    """
+    roles = Roles.infer(df, schema)
+    roles.validate(df)
+    out = [F.col(row_id).cast("bigint").alias("row_id")]
+    for prefix, cols, kind in ((CAT_PREFIX, roles.cat, "string"), (NUM_PREFIX, roles.num, "double"), (TIME_PREFIX, roles.time, None)):
+        out += [(F.col(c).cast(kind) if kind else F.col(c)).alias(f"{prefix}{i + 1}") for i, c in enumerate(cols)]
+    return df.select(*out, *([F.col(label).alias("label")] if label else []))
+
+
 # ---------------------------------------------------------------- frames (FIXTURES)
 
 def pu_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
