@@ -80,17 +80,19 @@ class StagedBooster(Estimator, _StagedParams, DefaultParamsReadable, DefaultPara
         base = cells.where(train).agg(F.sum("_s") / F.sum("_n")).first()[0]
         if base is None:
             raise ValueError("no labelled row to learn from")
-        cells = cells.withColumn("_f", F.lit(float(base)))
+        cells = cells.withColumn("_f", F.lit(float(base))).withColumn("_delta", F.lit(None).cast("double"))
         tables, best, best_loss = [], 0, math.inf
         for r in range(1, self.getMaxIter() + 1):
             i = (r - 1) % columns
             move = F.sum(F.col("_s") - F.col("_n") * F.col("_f")) / (F.sum("_n") + F.lit(self.getOrDefault("smoothing")))
-            deltas = cut_lineage(cells.where(train).groupBy(F.col(f"_c{i}").alias("value")).agg(
-                (F.lit(self.getStepSize()) * move).alias("delta")))
-            tables.append(deltas.select(F.lit(r).alias("round"), F.lit(i).alias("column"), "value", "delta"))
-            cells = cut_lineage(cells.join(deltas, cells[f"_c{i}"].eqNullSafe(deltas["value"]), "left").withColumn(
-                "_f", F.col("_f") + F.coalesce("delta", F.lit(0.0))).drop("value", "delta"))
-            loss = self._loss(cells)
+            moves = cells.where(train).groupBy(F.col(f"_c{i}").alias("value")).agg(
+                (F.lit(self.getStepSize()) * move).alias("_delta"))
+            # one table a round: the cells with their move, from which the moves of a kept round are read
+            cells = cut_lineage(cells.drop("_delta").join(moves, cells[f"_c{i}"].eqNullSafe(moves["value"]), "left").withColumn(
+                "_f", F.col("_f") + F.coalesce("_delta", F.lit(0.0))).drop("value"))
+            tables.append(cells.where("_delta is not null").groupBy(F.col(f"_c{i}").alias("value")).agg(
+                F.first("_delta").alias("delta")).select(F.lit(r).alias("round"), F.lit(i).alias("column"), "value", "delta"))
+            loss = self._loss(cells) if self.isDefined("validationCol") else None
             if loss is None:        # no validation rows: all rounds
                 best = r
             elif loss < best_loss:

@@ -182,19 +182,39 @@ def mean_prediction(models: list, df: DataFrame) -> DataFrame:
 
 
 def pu_confident(df: DataFrame, features: list, max_models: int = PU_MODELS, seed: int = 0,
-                 rounds: int = LN.CLEAN_ROUNDS, folds: int = LN.CLEAN_FOLDS, estimator=None) -> list:
-    """M8: a balanced sample of 4x the positives in all (T6), then the noisy-label model
-    with the positive class protected (it runs as intended, D3)."""
+                 rounds: int = 500, folds: int = LN.CLEAN_FOLDS, estimator=None, trials: int = 2,
+                 staged: bool = False) -> list:
+    """M8: a balanced sample of 4x the positives in all (T6); a search and an early-stopped
+    90/10 fit, whose number of rounds the cleaning folds and the last fit use; then the
+    noisy-label model with the positive class protected (it runs as intended, D3).
+
+    ``estimator(params, seed)`` replaces the boosted trees.  One that is ``staged`` has
+    ``maxIter`` and ``validationCol`` of its own, and goes through the early-stopped fit too;
+    others have no rounds to choose."""
     models = []
     p, _ = SM.class_counts_binary(df)
     for i in range(max_models):
         s = cut_lineage(SM.class_balanced(df, 4 * p, seed + i).drop("copy"))
-        factory = (lambda: estimator(None, seed + i)) if estimator else (  # noqa: B023
-            lambda: LN.gbt(rounds, 4, 0.1, 1.0, seed + i))  # noqa: B023
+        if estimator is None:
+            params = _searched(s, features, trials, seed + i, min(rounds, LN.CLEAN_ROUNDS))
+            kept = max(1, _rounds_kept(_fit(s, features, params, rounds, seed + i, 0.1)))
+            factory = lambda: LN.searched_gbt(params, kept, seed + i, 4)  # noqa: B023, E731
+        elif staged:
+            kept = max(1, _rounds_kept(_fit(s, features, None, rounds, seed + i, 0.1, estimator, True)))
+            factory = lambda: _without_validation(estimator(None, seed + i), kept)  # noqa: B023, E731
+        else:
+            factory = lambda: estimator(None, seed + i)  # noqa: B023, E731
         models.append(LN.NoisyLabelModel(features, factory, folds, seed + i, pulearning=1).fit(s).model)
     return models
 
 
+def _without_validation(est, rounds: int):
+    """The estimator with a fixed number of rounds, on all rows."""
+    est = est.copy()
+    est.clear(est.validationCol)
+    return est._set(maxIter=rounds)
+
+
 def pu_bagging(df: DataFrame, features: list, max_models: int = PU_MODELS, rounds: int = 100,
                trials: int = 2, seed: int = 0, estimator=None) -> list:
     """M9: class-balanced bags of 4x the positives, search, 90/10 fit."""

@@ -11,13 +11,13 @@ from ..operators.noisy import NoisyLabelClassifier, NoisyLabelClassifierModel
 from ..operators.rates import RateClassifier
 from ..operators.staged import StagedBooster
 from ..session import cut_lineage, stage_path
-from ..sources.tables import noisy_lineitem
+from ..sources.tables import noisy_lineitem, pu_orders
 from . import automl as AM
 from . import sqlparts as S
 from .catalog import register
-from .q_labels import marks_sql
+from .q_labels import errors_sql, marks_sql
 from .q_rates import F2_CAT, FOLDS, mean_sql, psx_sql, without
-from .q_sampling import smallest_sql
+from .q_sampling import balanced_sql, smallest_sql
 
 # Fixed parameters of these queries: P(s|y) and P(y|s) of two classes.
 NOISE = [[0.85, 0.25], [0.15, 0.75]]
@@ -104,12 +104,12 @@ def _booster(params=None, seed=0) -> StagedBooster:
                          patience=STAGED_PATIENCE, validationCol="_valid")
 
 
-def _staged_sql(p: str, src: str) -> str:
+def _staged_sql(p: str, src: str, cats: list = STAGED_CATS) -> str:
     """CTEs ``{p}d1 ..`` (value, delta), ``{p}base`` and ``{p}best`` of a fit on src (label, categories, is_valid)."""
     out = [f"{p}base AS MATERIALIZED (SELECT AVG(CAST(label AS DOUBLE)) AS base FROM ({src}) b WHERE NOT is_valid)",
-           f"{p}s0 AS MATERIALIZED (SELECT label, {', '.join(STAGED_CATS)}, is_valid, base AS f FROM ({src}) b CROSS JOIN {p}base)"]
+           f"{p}s0 AS MATERIALIZED (SELECT label, {', '.join(cats)}, is_valid, base AS f FROM ({src}) b CROSS JOIN {p}base)"]
     for r in range(1, STAGED_ROUNDS + 1):
-        c = STAGED_CATS[(r - 1) % len(STAGED_CATS)]
+        c = cats[(r - 1) % len(cats)]
         out += [f"""{p}d{r} AS MATERIALIZED (SELECT {c} AS value, {STAGED_STEP} * (SUM(label - f) / (COUNT(*) + {STAGED_SMOOTHING})) AS delta
 FROM {p}s{r - 1} WHERE NOT is_valid GROUP BY {c})""",
                 f"""{p}s{r} AS MATERIALIZED (SELECT s.* REPLACE (f + COALESCE(delta, 0) AS f) FROM {p}s{r - 1} s
@@ -122,10 +122,10 @@ SELECT best FROM b ORDER BY CASE WHEN r - best >= {STAGED_PATIENCE} THEN r ELSE
     return ",\n".join(out)
 
 
-def _staged_score(p: str, f: str = "f", limit: str | None = None) -> tuple[str, str]:
+def _staged_score(p: str, f: str = "f", limit: str | None = None, cats: list = STAGED_CATS) -> tuple[str, str]:
     """Score expression and joins over rows f, by the first rounds."""
     upto = limit or f"(SELECT best FROM {p}best)"
-    joins = " ".join(f"LEFT JOIN {p}d{r} ON {f}.{STAGED_CATS[(r - 1) % len(STAGED_CATS)]} IS NOT DISTINCT FROM {p}d{r}.value"
+    joins = " ".join(f"LEFT JOIN {p}d{r} ON {f}.{cats[(r - 1) % len(cats)]} IS NOT DISTINCT FROM {p}d{r}.value"
                      for r in range(1, STAGED_ROUNDS + 1))
     terms = " + ".join(f"CASE WHEN {r} <= {upto} THEN COALESCE({p}d{r}.delta, 0) ELSE 0 END" for r in range(1, STAGED_ROUNDS + 1))
     return f"(SELECT base FROM {p}base) + {terms}", joins
@@ -160,7 +160,6 @@ WHERE rounds >= ({cut}) GROUP BY row_id"""
 
 
 def _errors(psx: str) -> str:
-    from .q_labels import errors_sql
     return f"SELECT row_id FROM ({errors_sql(psx)}) e"
 
 
@@ -188,3 +187,49 @@ def scores_tree_limit(spark, sf_dir):
     d = cut_lineage(noisy_lineitem(spark, sf_dir))
     models = AM.noisy_single(d, ["n_1"], trials=0, estimator=_booster, staged=True)
     return AM.predict(models, d, tree_limit=TREE_LIMIT).select("row_id", r6(F.col("score")).alias("score"))
+
+
+# ------------------------------------------------------------------ M8 in full
+
+PU_CATS = ["c_2", "c_1"]
+PU_MODELS = 3
+
+
+def _pu_booster(params=None, seed=0) -> StagedBooster:
+    return StagedBooster(catCols=PU_CATS, maxIter=STAGED_ROUNDS, stepSize=STAGED_STEP, smoothing=STAGED_SMOOTHING,
+                         patience=STAGED_PATIENCE, validationCol="_valid")
+
+
+def _pu_round(i: int) -> tuple[str, str, str]:
+    """CTEs of one round, and the score of its model over f with the joins that it needs."""
+    p = f"u{i}_"
+    rounds = f"(SELECT best FROM {p}first_best)"
+    plain = f"SELECT *, FALSE AS is_valid FROM {p}folded"
+    parts = [f"{p}all AS MATERIALIZED ({balanced_sql('SELECT * FROM f', '4 * p0', i)})",
+             f"{p}rows AS MATERIALIZED ({_valid_sql(f'SELECT * EXCLUDE (side, rn) FROM {p}all', i, 0.1)})",
+             _staged_sql(f"{p}first_", f"SELECT * FROM {p}rows", PU_CATS),
+             f"{p}folded AS MATERIALIZED ({S.folds(f'SELECT * EXCLUDE (side, rn) FROM {p}all', FOLDS, i)})"]
+    scored = []
+    for k in range(FOLDS):
+        parts.append(_staged_sql(f"{p}k{k}_", f"{plain} WHERE fold <> {k}", PU_CATS))
+        score, join = _staged_score(f"{p}k{k}_", "t", rounds, PU_CATS)
+        scored.append(f"SELECT t.*, LEAST(GREATEST({score}, 0), 1) AS p1 FROM {p}folded t {join} WHERE t.fold = {k}")
+    parts += [f"{p}psx AS MATERIALIZED (SELECT *, 1 - p1 AS p0 FROM ({' UNION ALL '.join(scored)}) a)",
+              f"{p}err AS MATERIALIZED (SELECT row_id FROM ({errors_sql(f'SELECT * FROM {p}psx')}) e WHERE label <> 1)",
+              _staged_sql(f"{p}last_", f"{plain} WHERE row_id NOT IN (SELECT row_id FROM {p}err)", PU_CATS)]
+    score, join = _staged_score(f"{p}last_", "f", rounds, PU_CATS)
+    parts.append(f"{p}out AS MATERIALIZED (SELECT f.row_id, LEAST(GREATEST({score}, 0), 1) AS score FROM f {join})")
+    return ",\n".join(parts), f"SELECT * FROM {p}out", rounds
+
+
+_PU = [_pu_round(i) for i in range(PU_MODELS)]
+
+
+@register("pu_confident_staged", f"""WITH f AS MATERIALIZED ({S.F1}),
+{', '.join(r[0] for r in _PU)}
+SELECT row_id, ROUND(AVG(score), 6) AS score FROM ({' UNION ALL '.join(r[1] for r in _PU)}) u GROUP BY row_id""")
+def pu_confident_staged(spark, sf_dir):
+    """M8 in full, three rounds: the early-stopped 90/10 fit sets the rounds of the folds and of the last fit."""
+    d = cut_lineage(pu_orders(spark, sf_dir))
+    return AM.predict(AM.pu_confident(d, ["n_1"], PU_MODELS, estimator=_pu_booster, staged=True), d).select(
+        "row_id", r6(F.col("score")).alias("score"))

@@ -22,7 +22,6 @@ from .q_sampling import balanced_sql, pu_sql, ssl_pu_sql, ssl_sql
 
 # The category column of each frame that the classifier learns from.
 F2_CAT, F3_CAT, F1_CAT = "c_3", "c_1", "c_2"
-NOISY_ROUNDS = 2        # of the six: each cleans all rows twice
 FOLDS = LN.CLEAN_FOLDS
 
 
@@ -112,18 +111,28 @@ def noisy_single_rate(spark, sf_dir):
     return _mean(AM.noisy_single(d, ["n_1"], trials=0, estimator=_rate(F2_CAT)), d)
 
 
-def _cleaned_twice(seed: int) -> str:
-    first = errors_sql(psx_sql(S.F2, seed))
-    kept = without(S.F2, first)
-    return without(kept, errors_sql(psx_sql(kept, seed + 1)))
+def _cleaning(i: int) -> str:
+    """CTEs n{i}a, n{i}b: the rows of f left by two cleaning passes with the seeds i and i + 1."""
+    parts, src = [], "f"
+    for step, seed in (("a", i), ("b", i + 1)):
+        p = f"n{i}{step}"
+        parts += [f"{p}_psx AS MATERIALIZED ({psx_sql(f'SELECT * FROM {src}', seed)})",
+                  f"{p}_err AS MATERIALIZED (SELECT row_id FROM ({errors_sql(f'SELECT * FROM {p}_psx')}) e)",
+                  f"{p} AS MATERIALIZED ({without(f'SELECT * FROM {src}', f'SELECT row_id FROM {p}_err')})"]
+        src = p
+    return ",\n".join(parts)
 
 
-@register("noisy_ensemble_rate", mean_sql(S.F2, F2_CAT, [_kept_for_fit(_cleaned_twice(i), i, 0.2)
-                                                          for i in range(NOISY_ROUNDS)]))
+_CLEANED = ",\n".join(_cleaning(i) for i in range(AM.NOISY_MODELS))
+
+
+@register("noisy_ensemble_rate", f"WITH f AS MATERIALIZED ({S.F2}),\n{_CLEANED}\n" + mean_sql(
+    "SELECT * FROM f", F2_CAT, [_kept_for_fit(f"SELECT * FROM n{i}b", i, 0.2) for i in range(AM.NOISY_MODELS)]))
 def noisy_ensemble_rate(spark, sf_dir):
-    """M6: every round cleans all rows again with its own seed, then fits on the kept ones."""
+    """M6: the noise is estimated (below 0.9 here); each of six rounds cleans all rows twice with
+    its own seeds, then fits on the kept ones."""
     d = cut_lineage(noisy_lineitem(spark, sf_dir))
-    return _mean(AM.noisy_ensemble(d, ["n_1"], NOISY_ROUNDS, noise_sum=0.0, estimator=_rate(F2_CAT)), d)
+    return _mean(AM.noisy_ensemble(d, ["n_1"], estimator=_rate(F2_CAT)), d)
 
 
 _BAG = "4 * p0"     # four times the positives in all
@@ -137,27 +146,34 @@ def pu_bagging_rate(spark, sf_dir):
     return _mean(AM.pu_bagging(d, ["n_1"], trials=0, estimator=_rate(F1_CAT)), d)
 
 
-def _confident_train(seed: int) -> str:
-    sample = balanced_sql(S.F1, _BAG, seed)
-    return without(sample, f"SELECT row_id FROM ({errors_sql(psx_sql(sample, seed, F1_CAT))}) e WHERE label <> 1")
+def _confident(i: int) -> str:
+    """CTEs: the balanced sample of round i, its errors but for positives, and the rows kept."""
+    p = f"c{i}"
+    sample = balanced_sql("SELECT * FROM f", _BAG, i)
+    return ",\n".join([
+        f"{p}_all AS MATERIALIZED ({sample})",
+        f"{p}_psx AS MATERIALIZED ({psx_sql(f'SELECT * FROM {p}_all', i, F1_CAT)})",
+        f"{p}_err AS MATERIALIZED (SELECT row_id FROM ({errors_sql(f'SELECT * FROM {p}_psx')}) e WHERE label <> 1)",
+        f"{p} AS MATERIALIZED ({without(f'SELECT * FROM {p}_all', f'SELECT row_id FROM {p}_err')})"])
 
 
-@register("pu_confident_rate", mean_sql(S.F1, F1_CAT, [_confident_train(i) for i in range(NOISY_ROUNDS)]))
+@register("pu_confident_rate", f"WITH f AS MATERIALIZED ({S.F1}),\n" + ",\n".join(_confident(i) for i in range(AM.PU_MODELS)) + "\n" + mean_sql(
+    "SELECT * FROM f", F1_CAT, [f"SELECT * FROM c{i}" for i in range(AM.PU_MODELS)]))
 def pu_confident_rate(spark, sf_dir):
-    """M8: balanced samples, pruned with the positive class protected."""
+    """M8: ten balanced samples, pruned with the positive class protected."""
     d = cut_lineage(pu_orders(spark, sf_dir))
-    return _mean(AM.pu_confident(d, ["n_1"], NOISY_ROUNDS, estimator=_rate(F1_CAT)), d)
+    return _mean(AM.pu_confident(d, ["n_1"], estimator=_rate(F1_CAT)), d)
 
 
 def _drawn(seed: int) -> str:
     return f"SELECT d.row_id, d.label, e.{F3_CAT} FROM ({ssl_pu_sql(seed)}) d JOIN ({S.F3}) e ON e.row_id = d.row_id"
 
 
-@register("ssl_as_pu_rate", mean_sql(S.F3, F3_CAT, [_kept_for_fit(_drawn(i), i, 0.1) for i in range(AM.SSL_MODELS)]))
+@register("ssl_as_pu_rate", mean_sql(S.F3, F3_CAT, [_kept_for_fit(_drawn(i), i, 0.1) for i in range(AM.PU_MODELS)]))
 def ssl_as_pu_rate(spark, sf_dir):
     """Draws with replacement (T9), 90/10 fits, mean score."""
     d = cut_lineage(ssl_events(spark, sf_dir))
-    return _mean(AM.ssl_as_pu(d, ["n_1"], AM.SSL_MODELS, estimator=_rate(F3_CAT)), d)
+    return _mean(AM.ssl_as_pu(d, ["n_1"], estimator=_rate(F3_CAT)), d)
 
 
 @register("holdout_auc", f"""WITH t AS ({_kept_for_fit(S.F2, 0, 0.2)}),
