@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as FE
+from ..operators import gain as GN
 from ..operators import learn as LN
 from ..operators import sampling as SM
 from ..operators.clean import normalize_labels
@@ -284,7 +285,8 @@ class FeatureEngine:
 
     From selection 1 on, everything is gated: a noisy task whose rates sum to at most
     2, or another task with a time column.  Selection (T2/M1) ranks all features, raw
-    categories and date parts included, by gain on a class-balanced sample; those of
+    categories and date parts included, by gain on a class-balanced sample (``gain``: of
+    boosted ``trees``, or of class ``histogram``s in a few passes); those of
     at least ``min_gain`` are kept, and in that order the kept categories and numbers
     become ``combine_cats`` / ``combine_nums``, of which the pair counts and means
     take the first ``combine`` each.  The others are dropped after selection 1 for
@@ -312,6 +314,7 @@ class FeatureEngine:
     noise_sum: float = 0.0
 
     min_gain: float = LN.GAIN_FLOOR
+    gain: str = "trees"
     combine: int = 5
     refit: bool = True
     folds: int = LN.CLEAN_FOLDS
@@ -322,8 +325,9 @@ class FeatureEngine:
         """Names of the features at or above the floor, by gain, and of the others."""
         feats = LN.feature_columns(df)
         train = df.select("row_id", "label", *[F.col(f"`{c}`") for c in feats]).na.fill(-1)
-        kept = [r["feature"] for r in LN.feature_gain(train, feats, self.rounds, self.min_gain, top,
-                                                      self.seed).collect()]  # at most `top` names
+        gains = GN.balanced_gain(train, feats, self.min_gain, top, seed=self.seed) if self.gain == "histogram" else (
+            LN.feature_gain(train, feats, self.rounds, self.min_gain, top, self.seed))
+        kept = [r["feature"] for r in gains.collect()]      # at most `top` names
         return kept, [f for f in feats if f not in set(kept)]
 
     def fit_transform(self, df: DataFrame) -> DataFrame:

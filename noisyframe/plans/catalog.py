@@ -29,7 +29,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from . import q_labels, q_features, q_sampling, q_latent, q_learning, q_rates, q_noisy, q_multi, q_classes  # noqa: F401
+    from . import q_labels, q_features, q_sampling, q_latent, q_learning, q_rates, q_noisy, q_multi, q_engine, q_classes  # noqa: F401
 
 
 def queries() -> dict:

@@ -241,14 +241,14 @@ def cat_label_rate(spark, sf_dir):
     return d.select("row_id", r6(F.col(f"`{FE.feat_name('n_', 'CatMeanLabel', 'c_3')}`")).alias("rate"))
 
 
-def _pairs_sql(src: str, cats: list) -> str:
+def pairs_sql(src: str, cats: list) -> str:
     return " UNION ".join(f"SELECT '{c}' AS col, CAST({c} AS STRING) AS value FROM ({src}) p{i} "
                           f"WHERE {c} IS NOT NULL" for i, c in enumerate(cats))
 
 
-def _blocks_sql(cats: list) -> str:
+def blocks_sql(cats: list, src: str = S.F2) -> str:
     cols = ", ".join(f"('{c}', {i})" for i, c in enumerate(cats))
-    return f"""WITH RECURSIVE pv AS ({_pairs_sql(S.F2, cats)}),
+    return f"""WITH RECURSIVE pv AS ({pairs_sql(src, cats)}),
 sz AS (SELECT col, COUNT(*) AS n FROM pv GROUP BY col),
 it AS (SELECT a.col AS col_a, b.col AS col_b, COUNT(*) AS n_both FROM pv a JOIN pv b
        ON a.value = b.value AND a.col < b.col GROUP BY 1, 2),
@@ -261,13 +261,13 @@ root AS (SELECT src AS col, MIN(c.idx) AS r FROM reach JOIN cols c ON c.col = re
 SELECT col, CAST(DENSE_RANK() OVER (ORDER BY r) AS INT) AS block FROM root"""
 
 
-@register("cat_blocks", _blocks_sql(CATS5))
+@register("cat_blocks", blocks_sql(CATS5))
 def cat_blocks(spark, sf_dir):
     return FE.cat_blocks(_f2(spark, sf_dir), CATS5)
 
 
-@register("block_values", f"""WITH b AS ({_blocks_sql(CATS5)}),
-pv AS ({_pairs_sql(S.F2, CATS5)})
+@register("block_values", f"""WITH b AS ({blocks_sql(CATS5)}),
+pv AS ({pairs_sql(S.F2, CATS5)})
 SELECT DISTINCT block, value FROM pv JOIN b USING (col)""")
 def block_values(spark, sf_dir):
     f = _f2(spark, sf_dir)
@@ -276,10 +276,10 @@ def block_values(spark, sf_dir):
 
 def _encode_sql() -> str:
     fit = f"SELECT * FROM ({S.F2}) a WHERE n_1 <= 25"
-    return f"""WITH b AS ({_blocks_sql(CATS5)}),
-fitv AS (SELECT DISTINCT block, value FROM ({_pairs_sql(fit, CATS5)}) p JOIN b USING (col)),
+    return f"""WITH b AS ({blocks_sql(CATS5)}),
+fitv AS (SELECT DISTINCT block, value FROM ({pairs_sql(fit, CATS5)}) p JOIN b USING (col)),
 d0 AS (SELECT block, value, ROW_NUMBER() OVER (PARTITION BY block ORDER BY value) - 1 AS code FROM fitv),
-allv AS (SELECT DISTINCT block, value FROM ({_pairs_sql(S.F2, CATS5)}) p JOIN b USING (col)),
+allv AS (SELECT DISTINCT block, value FROM ({pairs_sql(S.F2, CATS5)}) p JOIN b USING (col)),
 nv AS (SELECT block, value FROM allv WHERE NOT EXISTS
        (SELECT 1 FROM d0 WHERE d0.block = allv.block AND d0.value = allv.value)),
 base AS (SELECT block, COUNT(*) AS n FROM d0 GROUP BY block),
