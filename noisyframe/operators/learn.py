@@ -105,9 +105,15 @@ def prob1(col: str = "probability") -> Column:
 def oof_probabilities(df: DataFrame, features: list, estimator_factory=None, k: int = 5,
                       seed: int = 0, threads: int = 4, num_classes: int = 2) -> DataFrame:
     """L1: each of k models is fit on the other folds and scores its own fold;
-    the union is ``psx ARRAY<DOUBLE>`` per row.  Fold jobs run concurrently."""
+    the union is ``psx ARRAY<DOUBLE>`` per row.  Fold jobs run concurrently.
+
+    An estimator with a method ``out_of_fold(df)`` does all of that by itself from the
+    column ``fold``: one whose fit is a sum needs no fit per fold."""
     est = estimator_factory or (lambda: gbt(seed=seed))
     folded = cut_lineage(L.stratified_folds(df, k, seed))
+    whole = getattr(est(), "out_of_fold", None)
+    if whole is not None:
+        return whole(folded)
     pipe = lambda: Pipeline(stages=[assembler(features), est()])
 
     def one(f):

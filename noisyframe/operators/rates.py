@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .labels import fold_rate_psx
 from .persist import StageReader, StageWriter
 
 
@@ -47,6 +48,10 @@ class RateClassifier(Estimator, _RateParams, DefaultParamsReadable, DefaultParam
             F.array(*[F.count_if(label == k) for k in range(self.getOrDefault(self.numClasses))]).alias("n"))
         return self._copyValues(RateModel(cut_lineage(counts)))
 
+    def out_of_fold(self, folded: DataFrame) -> DataFrame:
+        """``psx`` of every row by the other folds' counts: all counts less those of the row's fold."""
+        return fold_rate_psx(folded, self.getOrDefault(self.catCol), self.getOrDefault(self.numClasses), self.getLabelCol())
+
 
 class RateModel(Model, _RateParams, MLReadable, MLWritable):
     def __init__(self, counts: DataFrame):

@@ -50,3 +50,15 @@ def test_saved_model_scores_alike_and_row_by_row(spark):
     assert {r["row_id"]: r["score"] for r in loaded.predict(f).collect()} == want
     assert 0.6 < LN.auc(model.predict(f).join(f.withColumn("label", F.when(F.col("label") == 1, 1).otherwise(0)), "row_id"),
                         F.col("score"))
+
+
+def test_out_of_fold_in_one_pass_equals_a_fit_per_fold(spark, monkeypatch):
+    d = cut_lineage(pu_orders(spark, SF_SMALL).withColumn("c_2", F.when(F.col("row_id") % 11 != 0, F.col("c_2"))))
+
+    def psx():
+        return {r["row_id"]: r["psx"] for r in LN.oof_probabilities(d, ["n_1"], _rate("c_2"), 3, 5).collect()}
+    one = psx()
+    monkeypatch.delattr(RateClassifier, "out_of_fold")
+    many = psx()
+    assert one.keys() == many.keys()
+    assert all(abs(a - b) < 1e-12 for i in one for a, b in zip(one[i], many[i], strict=True))
