@@ -190,19 +190,26 @@ def set_pairs(members: DataFrame, link: int = LINK_UNION) -> DataFrame:
     The smaller set (of equal ones the smaller id) must be one that finds, and the two
     must still be able to have enough in common after the places where they meet.  At
     the first value that they share nothing before it is common, so no link is lost.
-    All of this is in the condition of the join: what can't be a link is not made.
-    Lists of one component, as a family of near copies fills with what only it has, are done.
+    Lists are paired component by component first, under the same conditions at their best
+    for any members (for single texts they are the conditions themselves), so that what can't
+    be a link isn't made and members of one component never meet.
     """
-    several = members.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    members = members.join(several.select("value"), "value")
-    right = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
+    most = F.max(F.col("n") - F.col("pos"))
+    block = [F.min("n").alias("low"), F.max("n").alias("high"), most.alias("rest"), F.min("id").alias("first"), F.max("id").alias("last")]
+    left = members.where("finds").groupBy("value", "component").agg(*block)
+    right = members.groupBy("value", "component").agg(*block).withColumnsRenamed(
+        {c: f"{c}2" for c in ("component", "low", "high", "rest", "first", "last")})
+    can = ((F.least("rest", "rest2") + 1) * (LINK_INTERSECTION + link) >= (F.col("low") + F.col("low2")) * link) \
+        & ((F.col("low") < F.col("high2")) | ((F.col("low") == F.col("high2")) & (F.col("first") < F.col("last2")))) \
+        & (F.col("high2") * LINK_INTERSECTION >= F.col("low") * link) & (F.col("high") * LINK_INTERSECTION >= F.col("low2") * link)
+    blocks = left.join(right, "value").where((F.col("component") != F.col("component2")) & can).select("value", "component", "component2")
+    other = members.select("value", F.col("component").alias("component2"), F.col("id").alias("id2"),
                            F.col("n").alias("n2"), F.col("pos").alias("pos2"))
     rest = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) + 1
     enough = rest * (LINK_INTERSECTION + link) >= (F.col("n") + F.col("n2")) * link
     smaller = (F.col("n") < F.col("n2")) | ((F.col("n") == F.col("n2")) & (F.col("id") < F.col("id2")))
-    return (members.where("finds").join(right, "value")
-            .where((F.col("component") != F.col("component2")) & smaller & enough & _similar_sizes("n", "n2", link))
-            .select(*_ordered_ids()).distinct())
+    return (blocks.join(members.where("finds"), ["value", "component"]).join(other, ["value", "component2"])
+            .where(smaller & enough & _similar_sizes("n", "n2", link)).select(*_ordered_ids()).distinct())
 
 
 def _ordered_ids() -> list[F.Column]:
