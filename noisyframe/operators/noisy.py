@@ -28,7 +28,7 @@ from . import labels as L
 from . import latent as LT
 from . import pruning as P
 from .clean import assert_valid
-from .learn import CLEAN_FOLDS, accuracy, assembler, oof_probabilities
+from .learn import CLEAN_FOLDS, accuracy, assembler, oof_probabilities, read_columns
 from .persist import StageReader, StageWriter
 
 MASKS = ("protect", "reference")
@@ -154,6 +154,11 @@ class NoisyLabelClassifier(Estimator, _NoisyParams, MLReadable, MLWritable):
                 assert_noise_matrix(matrix, is_inverse)
         return noise, inverse
 
+    def _read(self, rows: DataFrame) -> list:
+        """Columns that the out-of-fold fits read; all where the label has another name for the estimator."""
+        return rows.columns if self.value("labelCol") != "label" else read_columns(
+            rows, [c for c in self.value("inputCols") if c != self.value("idCol")], [self._make()])
+
     def find_errors(self, df: DataFrame, psx: DataFrame | None = None) -> tuple[DataFrame, list, list, list]:
         """The mask (row id, label, is_error), P(s|y), P(y|s) and P(y); ``psx`` (row id, label, psx) may be given."""
         noise, inverse = self.matrices()
@@ -162,6 +167,7 @@ class NoisyLabelClassifier(Estimator, _NoisyParams, MLReadable, MLWritable):
         size, label, row_id = self.value("numClasses"), self.value("labelCol"), self.value("idCol")
         rows = df.withColumnsRenamed({label: "label", row_id: "row_id"})
         if psx is None:
+            rows = rows.select(*[F.col(f"`{c}`") for c in self._read(rows)])
             psx = cut_lineage(oof_probabilities(rows, self.value("inputCols"), self._make, self.value("numFolds"),
                                                 self.value("seed"), num_classes=size))
         else:
