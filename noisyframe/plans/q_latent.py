@@ -154,7 +154,7 @@ def multi_psx_sql(K: int = 3) -> str:
 
 def multi_psx(spark, sf_dir):
     d = multi_label_documents(spark, sf_dir).select("row_id", "c_1", "label", "labels")
-    return L.fold_rate_psx_multi(cut_lineage(L.stratified_folds(d, 5, 0)), "c_1", 3)
+    return L.fold_rate_psx_multi(L.stratified_folds(d, 5, 0, write=True), "c_1", 3)
 
 
 def multi_joint_sql(K: int = 3) -> str:
