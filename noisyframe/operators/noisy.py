@@ -28,7 +28,7 @@ from . import labels as L
 from . import latent as LT
 from . import pruning as P
 from .clean import assert_valid
-from .learn import CLEAN_FOLDS, accuracy, assembler, oof_probabilities, read_columns
+from .learn import CLEAN_FOLDS, accuracy, assembler, oof_counted, read_columns
 from .persist import StageReader, StageWriter
 
 MASKS = ("protect", "reference")
@@ -73,13 +73,13 @@ def noise_of(inverse: list, shares: list) -> np.ndarray:
 
 
 def joint_from_matrix(df: DataFrame, num_classes: int, noise: list | None = None, inverse: list | None = None,
-                      label: str = "label") -> DataFrame:
+                      label: str = "label", weight: str | None = None) -> DataFrame:
     """The calibrated joint (k_s, k_y, v) that a given matrix implies for the labels of df.
 
     An inverse matrix says how each class's rows divide; a noise matrix does so by its
     inverse.  Where both are given, the inverse one counts.  Rows are rounded by W6.
     """
-    counts = L.class_count_frame(df, num_classes, label)
+    counts = L.class_count_frame(df, num_classes, label, weight)
     n = {r["k_s"]: r["n"] for r in counts.collect()}        # K rows
     shares = [n[k] / max(1, sum(n.values())) for k in range(num_classes)]
     inv = np.asarray(inverse, float) if inverse is not None else inverse_of(noise, shares)
@@ -168,26 +168,28 @@ class NoisyLabelClassifier(Estimator, _NoisyParams, MLReadable, MLWritable):
         rows = df.withColumnsRenamed({label: "label", row_id: "row_id"})
         if psx is None:
             rows = rows.select(*[F.col(f"`{c}`") for c in self._read(rows)])
-            psx = cut_lineage(oof_probabilities(rows, self.value("inputCols"), self._make, self.value("numFolds"),
-                                                self.value("seed"), num_classes=size))
+            psx, counts = oof_counted(rows, self.value("inputCols"), self._make, self.value("numFolds"),
+                                      self.value("seed"), num_classes=size)
         else:
-            psx = psx.withColumnsRenamed({label: "label", row_id: "row_id"})
-        assert_valid(psx, size)
-        shares = [r["ps"] for r in LT.class_shares(psx, size).orderBy("k").collect()]
+            psx, counts = psx.withColumnsRenamed({label: "label", row_id: "row_id"}), None
+        read, weight = (psx, None) if counts is None else (counts, L.ROWS)
+        assert_valid(read, size, weight=weight)
+        shares = [r["ps"] for r in LT.class_shares(read, size, weight=weight).orderBy("k").collect()]
         if noise is None and inverse is None:
-            joint = L.confident_joint(psx, self.value("thresholds") or L.per_class_thresholds(psx, size))
-            py, nm, inv = LT.estimate_latent(joint, psx, size)
+            joint = L.confident_joint(read, self.value("thresholds") or L.per_class_thresholds(
+                read, size, weight=weight), weight=weight)
+            py, nm, inv = LT.estimate_latent(joint, read, size, weight=weight)
             prior = [r["py"] for r in py.orderBy("k").collect()]
             noise, inverse = LT._mat(nm, size), LT._mat(inv, size)
             if self.value("converge"):
                 prior, noise, inverse = LT.converge_latent(shares, prior, noise, inverse)
         else:
-            joint = joint_from_matrix(psx, size, noise, inverse)
+            joint = joint_from_matrix(read, size, noise, inverse, weight=weight)
             inverse = inverse if inverse is not None else inverse_of(noise, shares).tolist()
             noise = noise if noise is not None else noise_of(inverse, shares).tolist()
             prior = (np.asarray(inverse).T @ np.asarray(shares)).tolist()
         marked = P.find_label_errors(psx, cj=joint, num_classes=size, method=self.value("pruneMethod"),
-                                     budget=self.value("budget"))
+                                     budget=self.value("budget"), counts=counts)
         clean = self.value("cleanClass")
         if clean is not None:
             noise = LT._mat(LT.remove_noise_from_class(_cells(df, noise), clean), size)
