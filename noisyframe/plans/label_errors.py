@@ -20,7 +20,7 @@ from ..sources.tables import noisy_lineitem
 def with_psx(df: DataFrame, cat: str, num_classes: int = 2, k: int = 5, seed: int = 0,
              checkpoint: bool = True) -> DataFrame:
     """Folds plus fold-rate psx; written out because the cut searches re-read it."""
-    psx = L.fold_rate_psx(cut_lineage(L.stratified_folds(df, k, seed)), cat, num_classes)
+    psx = L.fold_rate_psx(L.stratified_folds(df, k, seed, write=True), cat, num_classes)
     return cut_lineage(psx) if checkpoint else psx
 
 
