@@ -5,10 +5,10 @@ and a text's log score of a class is the log share of the class plus the log rat
 tokens, ``(n + 1) / (N + V)``, with V tokens in all.  Tokens are the runs of non-blank
 characters after A-Z became a-z.
 
-Plan: one row per (text, token) with its count; class counts per (token, fold) by one
-aggregation, those of the other folds by a window over a token's few folds; one equi-join
-back and one aggregation by text.  Classes and folds are bounded, tokens are not: nothing of
-them is collected or broadcast by hand.
+Plan: one row per (text, token) with its count, written out, so that texts are read for their
+tokens once; class counts per (token, fold) by one aggregation, those of the other folds by a
+window over a token's few folds; one equi-join back and one aggregation by text.  Classes and
+folds are bounded, tokens are not: their rates are counted, and broadcast if they are few.
 
 Defined cases: a null or blank text has the class shares as probabilities.  Rows without a
 label learn nothing but are scored (they need a fold).  Probabilities are rounded to
@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import settled
+from ..session import cut_lineage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN = r"([^\x09-\x0D\x20]+)"
 DIGITS = 9
@@ -33,12 +36,13 @@ def token_rate_psx(df: DataFrame, num_classes: int = 2, text: str = "text", labe
                    fold: str = "fold", row_id: str = "row_id", digits: int = DIGITS) -> DataFrame:
     """df with ``psx``, from the rows of the other folds."""
     K, ks = num_classes, range(num_classes)
-    said = df.select(row_id, fold, label, F.explode(tokens(F.col(text))).alias("_token")).groupBy(
-        row_id, fold, label, "_token").agg(F.count("*").alias("_n"))
-    per_fold = said.groupBy("_token", fold).agg(
-        *[F.sum(F.when(F.col(label) == k, F.col("_n")).otherwise(0)).alias(f"_f{k}") for k in ks])
+    said = cut_lineage(df.select(row_id, fold, label, F.explode(tokens(F.col(text))).alias("_token")).groupBy(
+        row_id, fold, label, "_token").agg(F.count("*").alias("_n")))
+    per_fold = cut_lineage(said.groupBy("_token", fold).agg(
+        *[F.sum(F.when(F.col(label) == k, F.col("_n")).otherwise(0)).alias(f"_f{k}") for k in ks]))
     of_token = Window.partitionBy("_token")
-    rates = per_fold.select(F.col("_token"), F.col(fold), *[(F.sum(f"_f{k}").over(of_token) - F.col(f"_f{k}")).alias(f"_o{k}") for k in ks])
+    rates = settled(per_fold.select(
+        F.col("_token"), F.col(fold), *[(F.sum(f"_f{k}").over(of_token) - F.col(f"_f{k}")).alias(f"_o{k}") for k in ks]))
     # rows of folds x classes, and the number of tokens
     sizes = per_fold.groupBy(fold).agg(*[F.sum(f"_f{k}").alias(f"_f{k}") for k in ks])
     shares = df.groupBy(fold).agg(*[F.count_if(F.col(label) == k).alias(f"_c{k}") for k in ks])

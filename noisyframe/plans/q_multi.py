@@ -93,7 +93,7 @@ def _text_psx(spark, sf_dir, flipped: bool = False):
     d = noisy_documents(spark, sf_dir).where(F.col("label").isNotNull()).select("row_id", "label", "text")
     if flipped:
         d = d.withColumn("label", F.when(F.col("row_id") % 9 == 0, 1 - F.col("label")).otherwise(F.col("label")))
-    folded = cut_lineage(L.stratified_folds(d, TEXT_FOLDS, 0))
+    folded = L.stratified_folds(d, TEXT_FOLDS, 0, write=True)
     return cut_lineage(token_rate_psx(folded).drop("text"))
 
 
