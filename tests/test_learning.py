@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from noisyframe.operators import learn as LN
 from noisyframe.operators.rates import RateClassifier
 from noisyframe.plans import automl as AM
+from noisyframe.plans import q_learning as QL
 from noisyframe.session import cut_lineage, stage_path
 from noisyframe.sources.tables import noisy_lineitem, pu_orders
 
@@ -62,3 +63,22 @@ def test_out_of_fold_in_one_pass_equals_a_fit_per_fold(spark, monkeypatch):
     many = psx()
     assert one.keys() == many.keys()
     assert all(abs(a - b) < 1e-12 for i in one for a, b in zip(one[i], many[i], strict=True))
+
+
+def test_noisy_single_searches_before_it_fits(spark, monkeypatch):
+    rows = cut_lineage(spark.range(400).select(F.col("id").alias("row_id"), (F.col("id") % 7).cast("double").alias("n_1"),
+                                               (F.col("id") % 7 > 3).cast("int").alias("label")))
+    monkeypatch.setattr(QL, "coded_lineitem", lambda spark, sf_dir: rows)
+    monkeypatch.setattr(AM, "PU_SEARCH_ROWS", 300)
+    seen, fitted = [], []
+    search, gbt = LN.random_search, LN.searched_gbt
+
+    def searching(df, features, trials, seed, rounds):
+        seen.append((df.count(), trials, rounds, search(df, features, trials, seed, 2)))
+        return seen[-1][3]
+
+    monkeypatch.setattr(LN, "random_search", searching)
+    monkeypatch.setattr(LN, "searched_gbt", lambda params, rounds, *a, **b: fitted.append((params, rounds)) or gbt(params, 2, *a, **b))
+    assert QL.noisy_single(spark, "").count() == 400
+    (n, trials, rounds, (params, _)), = seen
+    assert (n, trials, rounds) == (300, 2, 500) and fitted == [(params, 500)]
