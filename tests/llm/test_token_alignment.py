@@ -1,5 +1,6 @@
 """Alignment, link counts and digests against plain Python over the tokenizers' own output."""
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -121,3 +122,27 @@ def test_empty_table_and_null_ids(spark):
     assert M.link_scores(docs(spark, [])).count() == 0
     got = M.link_scores(docs(spark, [(None, "a b"), (None, "a b"), (3, "a b")])).collect()
     assert sorted(str(r["doc_id"]) for r in got) == ["3", "None", "None"] and len({r["count_sum"] for r in got}) == 1
+
+
+def test_parts_of_a_block_give_the_same(sides, monkeypatch):
+    texts = [t for t in TEXTS if t != ""]
+    whole = M.Block(texts, *sides)
+    want = [x.tolist() for x in whole.links()], whole.digests()
+    monkeypatch.setattr(M, "LINKS", 40)
+    monkeypatch.setattr(M, "ENCODED", 2)
+    parts = M.Block(texts, *sides)
+    assert ([x.tolist() for x in parts.links()], parts.digests()) == want
+
+
+def test_a_block_needs_little_beside_its_tokens(sides):
+    """Temporaries of links and digests are bounded by a part of the block, not by all of it."""
+    block = M.Block([words(i, 2000) for i in range(150)], *sides)
+    tokens = len(block.a) + len(block.b)
+    assert tokens > 4 * M.LINKS
+    tracemalloc.start()
+    try:
+        kept = [block.links(), block.digests()]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert kept and most < 60 * tokens
